@@ -1,0 +1,86 @@
+"""A keyed parquet table fed by micro-batches: the last write of each key counts."""
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructType
+
+from clickmill.schema import KEYS
+
+
+class KeyedTable:
+    """Upserts appended as one directory per micro-batch, resolved by key when read.
+
+    A write costs as much as its changed rows, whatever the table holds. Micro-batch n is
+    `version=2n`, so a replay rewrites its own directory and changes nothing. compact()
+    folds all up to 2n into a snapshot `version=2n+1`, and readers start from the newest
+    snapshot. Versions are deleted one compaction after a snapshot has replaced them, so
+    queries under way keep their files, and stopping at any point leaves the table right.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, schema: StructType, keys=KEYS):
+        self.spark = spark
+        self.path = path.rstrip("/")
+        self.keys = list(keys)
+        self.schema = schema
+        # An empty snapshot gives a new table its directory.
+        empty = spark.createDataFrame([], schema)
+        empty.write.mode("ignore").parquet(self._folder(-1))
+
+    def upsert(self, rows: DataFrame, batch_id: int) -> None:
+        """Write the rows of a micro-batch; each key must occur at most once in it."""
+        rows.select(self.schema.names).write.mode("overwrite").parquet(self._folder(2 * batch_id))
+
+    def read(self) -> DataFrame:
+        versions = self.versions()
+        return self._resolve(versions[self._newest_snapshot(versions) :])
+
+    def compact(self) -> None:
+        versions = self.versions()
+        start = self._newest_snapshot(versions)
+        if start == len(versions) - 1:
+            return
+        for version in versions[:start]:
+            self._delete(version)
+        self._resolve(versions[start:]).write.mode("overwrite").parquet(
+            self._folder(versions[-1] + 1)
+        )
+
+    def versions(self) -> list[int]:
+        """Versions whose write finished, oldest first."""
+        filesystem, path = self._hadoop(self.path)
+        folders = [status.getPath() for status in filesystem.listStatus(path)]
+        done = [f for f in folders if self.exists(f"{f}/_SUCCESS")]
+        return sorted(int(f.getName().removeprefix("version=")) for f in done)
+
+    def is_empty(self) -> bool:
+        return self.versions() == [-1]
+
+    def exists(self, path: str) -> bool:
+        filesystem, hadoop_path = self._hadoop(path)
+        return filesystem.exists(hadoop_path)
+
+    @staticmethod
+    def _newest_snapshot(versions: list[int]) -> int:
+        return max(i for i, version in enumerate(versions) if version % 2)
+
+    def _resolve(self, versions: list[int]) -> DataFrame:
+        schema = StructType([*self.schema.fields]).add("version", LongType())
+        rows = self.spark.read.schema(schema).parquet(self.path)
+        values = [name for name in self.schema.names if name not in self.keys]
+        return (
+            rows.where(F.col("version").isin(versions))
+            .groupBy(*self.keys)
+            .agg(*(F.max_by(name, "version").alias(name) for name in values))
+            .select(self.schema.names)
+        )
+
+    def _folder(self, version: int) -> str:
+        return f"{self.path}/version={version}"
+
+    def _hadoop(self, path: str):
+        hadoop_path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return hadoop_path.getFileSystem(self.spark._jsc.hadoopConfiguration()), hadoop_path
+
+    def _delete(self, version: int) -> None:
+        filesystem, hadoop_path = self._hadoop(self._folder(version))
+        filesystem.delete(hadoop_path, True)
