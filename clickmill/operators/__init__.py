@@ -3,6 +3,7 @@ from clickmill.operators.aggregates import (
     distinct_keys,
     last_write_per_key,
     latest_hours,
+    rollup_by_product,
     visitors_by_product,
 )
 from clickmill.operators.quality import drop_duplicate_events, split_malformed
@@ -27,6 +28,7 @@ __all__ = [
     "merge_sketches",
     "missing_rows",
     "not_in",
+    "rollup_by_product",
     "split_malformed",
     "visitor_sketches",
     "visitors_by_product",

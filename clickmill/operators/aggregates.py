@@ -23,6 +23,16 @@ def visitors_by_product(activity: DataFrame) -> DataFrame:
     return activity.groupBy(*KEYS).agg(F.countDistinct("visitor").alias("unique_visitors"))
 
 
+def rollup_by_product(activity: DataFrame) -> DataFrame:
+    """The counts and the exact unique visitors of each key from one scan.
+
+    The sums ride along with the distinct count's two shuffles.
+    """
+    return activity.groupBy(*KEYS).agg(
+        *action_counts(), F.countDistinct("visitor").alias("unique_visitors")
+    )
+
+
 def distinct_keys(activity: DataFrame) -> DataFrame:
     return activity.select("timestamp_hour", "product").distinct()
 
@@ -38,8 +48,12 @@ def first_rows(rows: DataFrame, keys: list[str], order: list[Column], n: int) ->
 
 
 def last_write_per_key(rows: DataFrame, order: list[str], keys: list[str] = KEYS) -> DataFrame:
-    """The row a keyed table would hold: the latest by `order`, whose last column breaks ties."""
-    return first_rows(rows, keys, [F.desc(name) for name in order], 1)
+    """The row a keyed table would hold: the latest by `order`, whose last column breaks ties.
+
+    The hour leads the sort: comparing numbers is cheaper than comparing product names, and
+    rows in time order compress better on their way through the shuffle.
+    """
+    return first_rows(rows, keys[::-1], [F.desc(name) for name in order], 1)
 
 
 def latest_hours(table: DataFrame, n: int) -> DataFrame:

@@ -41,27 +41,30 @@ def not_in(rows: DataFrame, listed: DataFrame, keys: list[str] = KEYS) -> DataFr
     SQL keeps a row only if it surely differs from every listed pair, and NULL may equal
     anything. Spark plans that test as a nested loop over all pairs; here each way to
     match is an equality join, and a row with no key left to join on asks only whether a
-    listed row of the right shape exists.
+    listed row of the right shape exists. Rows with a NULL, few if any, go separately, so
+    the others are not shuffled by a single column on their account.
     """
-    a, b = keys
-    listed = listed.select(F.col(a).alias("_a"), F.col(b).alias("_b")).distinct()
-    firsts = listed.select("_a").distinct()
-    seconds = listed.select("_b").distinct()
-    no_a, no_b = F.col(a).isNull(), F.col(b).isNull()
-
-    same_pair = (F.col(a) == F.col("_a")) & (F.col(b) == F.col("_b"))
-    kept = rows.join(listed, same_pair, "left_anti")
-    # A listed NULL matches whatever stands in its column.
-    half = listed.where("_b IS NULL").select("_a")
-    kept = kept.join(half, F.col(a) == F.col("_a"), "left_anti")
-    half = listed.where("_a IS NULL").select("_b")
-    kept = kept.join(half, F.col(b) == F.col("_b"), "left_anti")
-    # So does a NULL of the row itself.
-    kept = kept.join(firsts, no_b & (F.col(a) == F.col("_a")), "left_anti")
-    kept = kept.join(seconds, no_a & (F.col(b) == F.col("_b")), "left_anti")
+    a, b = (F.col(key) for key in keys)
+    listed = listed.select(a.alias("_a"), b.alias("_b"))
+    _a, _b = F.col("_a"), F.col("_b")
+    no_a, no_b = listed.where(_a.isNull()), listed.where(_b.isNull())
+    has_null = a.isNull() | b.isNull()
+
+    equal = {"_a": a == _a, "_b": b == _b}
+
+    def without(rows, listed, *columns):
+        on = [equal[column] for column in columns]
+        return rows.join(listed.select(*columns).distinct(), on, "left_anti")
+
+    whole = without(rows.where(~has_null), listed.where(_a.isNotNull() & _b.isNotNull()), "_a", "_b")
+    whole = without(without(whole, no_b, "_a"), no_a, "_b")
+    whole = whole.where(~no_a.where(_b.isNull()).exists())
+
+    only_a = rows.where(a.isNotNull() & b.isNull()).where(~no_a.exists())
+    only_b = rows.where(a.isNull() & b.isNotNull()).where(~no_b.exists())
+    neither = rows.where(a.isNull() & b.isNull()).where(~listed.exists())
     return (
-        kept.where(~listed.where("_a IS NULL AND _b IS NULL").exists())
-        .where(~no_a | ~listed.where("_b IS NULL").exists())
-        .where(~no_b | ~listed.where("_a IS NULL").exists())
-        .where(~(no_a & no_b) | ~listed.exists())
+        whole.unionByName(without(only_a, listed, "_a"))
+        .unionByName(without(only_b, listed, "_b"))
+        .unionByName(neither)
     )

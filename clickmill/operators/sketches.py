@@ -24,6 +24,4 @@ def estimate_visitors(sketches: DataFrame) -> DataFrame:
 
 def approx_visitors_by_product(activity: DataFrame) -> DataFrame:
     """Approximate unique visitors; unlike the exact count, Spark allows it on a stream."""
-    return activity.groupBy(*KEYS).agg(
-        F.approx_count_distinct("visitor").alias("unique_visitors")
-    )
+    return estimate_visitors(visitor_sketches(activity))

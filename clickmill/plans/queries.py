@@ -354,7 +354,7 @@ def quarantine(spark, sf_dir):
 def dedup_events(spark, sf_dir):
     """Every event delivered twice; the Kafka position tells the copies."""
     rows = kafka_rows(clicks(spark, sf_dir))
-    once = drop_duplicate_events(rows.unionByName(rows), ["topic", "partition", "offset"])
+    once = drop_duplicate_events(rows.unionByName(rows), ["offset", "partition", "topic"])
     return decode_clicks(once)
 
 

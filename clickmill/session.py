@@ -8,10 +8,12 @@ from pyspark.sql import SparkSession
 CLUSTER_CONF = {
     # Start wide and let adaptive execution merge small shuffle partitions.
     "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8000",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "16000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64m",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.files.maxPartitionBytes": "256m",
+    # Hash instead of sort in joins once all partitions are known to be this small.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
+    "spark.sql.files.maxPartitionBytes": "512m",
     "spark.sql.parquet.compression.codec": "zstd",
     "spark.shuffle.io.retryWait": "10s",
     "spark.decommission.enabled": "true",
