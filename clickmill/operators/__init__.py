@@ -6,7 +6,7 @@ from clickmill.operators.aggregates import (
     rollup_by_product,
     visitors_by_product,
 )
-from clickmill.operators.quality import drop_duplicate_events, split_malformed
+from clickmill.operators.quality import drop_duplicate_events, has_key, split_malformed
 from clickmill.operators.serving import apply_updates, merge, missing_rows, not_in
 from clickmill.operators.sketches import (
     approx_visitors_by_product,
@@ -22,6 +22,7 @@ __all__ = [
     "distinct_keys",
     "drop_duplicate_events",
     "estimate_visitors",
+    "has_key",
     "last_write_per_key",
     "latest_hours",
     "merge",

@@ -1,16 +1,24 @@
 """Rows a keyed table cannot hold, and repeated deliveries."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickmill.schema import KEYS
 
 
-def split_malformed(activity: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(accepted, rejected): a row without a product or an event time has no key."""
+def has_key() -> Column:
+    """Whether a row has the product and the event time its key is made of.
+
+    On rows just decoded from JSON use it as a column: as a filter it would be moved below
+    the decoding, and each payload parsed again for it.
+    """
     product, hour = KEYS
-    bad = F.col(product).isNull() | F.col(hour).isNull()
-    return activity.where(~bad), activity.where(bad)
+    return F.col(product).isNotNull() & F.col(hour).isNotNull()
+
+
+def split_malformed(activity: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(accepted, rejected) rows of stored activity; only accepted ones can be keyed."""
+    return activity.where(has_key()), activity.where(~has_key())
 
 
 def drop_duplicate_events(events: DataFrame, id_columns: list[str]) -> DataFrame:

@@ -1,22 +1,25 @@
 """The jobs: landing raw clicks, the speed layer, the batch recompute and the serving table.
 
 Streaming jobs take any frame of Kafka rows (schema.KAFKA_ROW) and return the running query.
+Clicks without a key are landed but appear in no keyed table.
 """
 
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from clickmill.functions import date_parts, decode_clicks
 from clickmill.operators import (
     activity_by_product,
     approx_visitors_by_product,
+    has_key,
     merge,
     rollup_by_product,
     split_malformed,
 )
-from clickmill.schema import ACTIVITY_BY_PRODUCT, EVENT_COLUMNS, VISITORS_BY_PRODUCT
+from clickmill.schema import ACTIVITY, ACTIVITY_BY_PRODUCT, EVENT_COLUMNS, VISITORS_BY_PRODUCT
 from clickmill.session import new_folder
 from clickmill.sources import landed, publish, write_table
 from clickmill.streaming import KeyedTable, start_files, start_upsert
@@ -30,36 +33,42 @@ def ingest(
     file_format: str = "parquet",
     trigger: dict | None = None,
     name: str = "clickStream",
+    keep_payload: bool = False,
 ) -> StreamingQuery:
-    """Land decoded clicks by the day they are received; no row is left out."""
+    """Land decoded clicks by the day they are received; no row is left out.
+
+    keep_payload adds the column `payload` with the text of those that got no key, so that
+    what could not be read can be looked into later.
+    """
     year, month, day = date_parts(ingest_date)
-    activity = decode_clicks(rows).select("*", day, month, year)
+    if keep_payload:
+        payload = F.when(~has_key(), F.col("value").cast("string")).alias("payload")
+        activity = decode_clicks(rows, keep=("value",)).select(*ACTIVITY.names, payload, day, month, year)
+    else:
+        activity = decode_clicks(rows).select("*", day, month, year)
     return start_files(activity, path, checkpoint, file_format, trigger=trigger, name=name)
 
 
 def speed_activity(
     rows: DataFrame, table: KeyedTable, checkpoint: str, **options
 ) -> StreamingQuery:
-    """Keep running counts per product and hour. Clicks without a key are left to the lake."""
-    accepted, _ = split_malformed(decode_clicks(rows))
-    return start_upsert(activity_by_product(accepted), table, checkpoint, **options)
+    """Keep running counts per product and hour."""
+    return start_upsert(activity_by_product(decode_clicks(rows)), table, checkpoint, **options)
 
 
 def speed_visitors(
     rows: DataFrame, table: KeyedTable, checkpoint: str, **options
 ) -> StreamingQuery:
     """Keep running approximate unique visitors per product and hour."""
-    accepted, _ = split_malformed(decode_clicks(rows))
-    return start_upsert(approx_visitors_by_product(accepted), table, checkpoint, **options)
+    return start_upsert(approx_visitors_by_product(decode_clicks(rows)), table, checkpoint, **options)
 
 
 def speed_clicks(
     rows: DataFrame, table: KeyedTable, checkpoint: str, **options
 ) -> StreamingQuery:
     """Keep the last click of each product and hour."""
-    accepted, _ = split_malformed(decode_clicks(rows))
     return start_upsert(
-        accepted, table, checkpoint, mode="append", order=EVENT_COLUMNS, **options
+        decode_clicks(rows), table, checkpoint, mode="append", order=EVENT_COLUMNS, **options
     )
 
 

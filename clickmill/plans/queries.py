@@ -27,13 +27,13 @@ from clickmill.operators import (
     distinct_keys,
     drop_duplicate_events,
     estimate_visitors,
+    has_key,
     last_write_per_key,
     latest_hours,
     merge,
     merge_sketches,
     missing_rows,
     not_in,
-    split_malformed,
     visitor_sketches,
     visitors_by_product,
 )
@@ -344,11 +344,7 @@ def catalog_columns(spark, sf_dir):
 def quarantine(spark, sf_dir):
     """Every delivered row, marked accepted or rejected."""
     rows = decode_clicks(_damaged(spark, sf_dir), keep=("partition", "offset"))
-    accepted, rejected = split_malformed(rows)
-    both = accepted.withColumn("accepted", F.lit(True)).unionByName(
-        rejected.withColumn("accepted", F.lit(False))
-    )
-    return both.drop("eventtime", "timestamp_hour")
+    return rows.withColumn("accepted", has_key()).drop("eventtime", "timestamp_hour")
 
 
 def dedup_events(spark, sf_dir):

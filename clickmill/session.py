@@ -42,9 +42,12 @@ def configure(builder: SparkSession.Builder, *confs: dict) -> SparkSession.Build
 def new_folder(spark: SparkSession, label: str) -> str:
     """A fresh path in the folder named by spark.checkpoint.dir, which all executors share.
 
-    Only where the session names none, as in a local test, is a temporary folder used.
+    A local session may name none and then gets a temporary folder; on a cluster that would
+    be out of the other machines' reach.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         shared = tempfile.mkdtemp(prefix="run-")
     return f"{shared.rstrip('/')}/clickmill/{label}-{uuid4().hex}"

@@ -1,4 +1,5 @@
 from clickmill.sources.catalog import (
+    create_database,
     create_tables,
     list_columns,
     list_tables,
@@ -9,6 +10,7 @@ from clickmill.sources.files import event_stream, landed, text_lines, write_tabl
 from clickmill.sources.kafka import kafka_options, kafka_stream, kafka_values
 
 __all__ = [
+    "create_database",
     "create_tables",
     "event_stream",
     "kafka_options",

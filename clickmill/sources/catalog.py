@@ -3,22 +3,30 @@
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from clickmill.operators.aggregates import in_key_order
 from clickmill.schema import KEYS, TABLES
 
 
+def create_database(spark: SparkSession, database: str, location: str) -> None:
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{location}'")
+
+
+def _column_list(schema: StructType) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+
+
 def create_tables(spark: SparkSession, database: str, location: str) -> None:
     """The database and its five keyed tables, each where absent.
 
     Parquet enforces no key, so the key and the order of the files are recorded as table
     properties for readers and kept by the writers of this package.
     """
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{location}'")
+    create_database(spark, database, location)
     for name, schema in TABLES.items():
-        columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema)
         spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {database}.{name} ({columns}) USING parquet "
+            f"CREATE TABLE IF NOT EXISTS {database}.{name} ({_column_list(schema)}) USING parquet "
             f"LOCATION '{location}/{name}' TBLPROPERTIES "
             f"('primary_key' = '{','.join(KEYS)}', 'clustering_order' = 'timestamp_hour DESC')"
         )
@@ -59,6 +67,5 @@ def publish(spark: SparkSession, rows: DataFrame, table: str, location: str) ->
         spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
         spark.catalog.refreshTable(table)
     else:
-        columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
-        spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet LOCATION '{path}'")
+        spark.sql(f"CREATE TABLE {table} ({_column_list(rows.schema)}) USING parquet LOCATION '{path}'")
     return path

@@ -24,7 +24,7 @@ def landed(
     return rows
 
 
-def event_stream(spark: SparkSession, path: str, schema: StructType, **options) -> DataFrame:
+def event_stream(spark: SparkSession, path: str, schema: StructType | str, **options) -> DataFrame:
     """A parquet directory, or files matching a pattern, read as a stream from the beginning."""
     return spark.readStream.schema(schema).options(**options).parquet(path)
 

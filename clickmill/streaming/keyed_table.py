@@ -27,8 +27,12 @@ class KeyedTable:
         empty.write.mode("ignore").parquet(self._folder(-1))
 
     def upsert(self, rows: DataFrame, batch_id: int) -> None:
-        """Write the rows of a micro-batch; each key must occur at most once in it."""
-        rows.select(self.schema.names).write.mode("overwrite").parquet(self._folder(2 * batch_id))
+        """Write the rows of a micro-batch; each key must occur at most once in it.
+
+        Rows with a NULL in their key are left out, as a keyed store would refuse them.
+        """
+        keyed = rows.select(self.schema.names).dropna(subset=self.keys)
+        keyed.write.mode("overwrite").parquet(self._folder(2 * batch_id))
 
     def read(self) -> DataFrame:
         versions = self.versions()
@@ -66,10 +70,12 @@ class KeyedTable:
     def _resolve(self, versions: list[int]) -> DataFrame:
         schema = StructType([*self.schema.fields]).add("version", LongType())
         rows = self.spark.read.schema(schema).parquet(self.path)
+        rows = rows.where(F.col("version").isin(versions))
+        if len(versions) == 1:
+            return rows.select(self.schema.names)
         values = [name for name in self.schema.names if name not in self.keys]
         return (
-            rows.where(F.col("version").isin(versions))
-            .groupBy(*self.keys)
+            rows.groupBy(*self.keys)
             .agg(*(F.max_by(name, "version").alias(name) for name in values))
             .select(self.schema.names)
         )
