@@ -35,11 +35,13 @@ VISITORS = """
 
 LAYERS = f"""{CLICKS},
 batch AS (
-  SELECT product, timestamp_hour, {COUNTS} FROM clicks WHERE event_id % 2 = 0
+  SELECT product, timestamp_hour, {COUNTS} FROM clicks
+  WHERE referrer IN ('Google', 'Bing', 'Yahoo')
   GROUP BY product, timestamp_hour
 ),
 speed AS (
-  SELECT product, timestamp_hour, {COUNTS} FROM clicks WHERE event_id % 2 = 1
+  SELECT product, timestamp_hour, {COUNTS} FROM clicks
+  WHERE referrer NOT IN ('Google', 'Bing', 'Yahoo')
   GROUP BY product, timestamp_hour
 )
 """
@@ -139,11 +141,13 @@ ORACLE_SQL = {
         WHERE (timestamp_hour, product) NOT IN (SELECT timestamp_hour, product FROM batch)""",
     "not_in_null_semantics": f"""{CLICKS},
         batch AS (
-          SELECT DISTINCT timestamp_hour, CASE WHEN event_id % 500 <> 0 THEN product END AS product
-          FROM clicks WHERE event_id % 2 = 0),
+          SELECT DISTINCT timestamp_hour,
+            CASE WHEN visitor <> 'Visitor-7' THEN product END AS product
+          FROM clicks WHERE referrer IN ('Google', 'Bing', 'Yahoo')),
         speed AS (
-          SELECT DISTINCT timestamp_hour, CASE WHEN event_id % 7 <> 0 THEN product END AS product
-          FROM clicks WHERE event_id % 2 = 1)
+          SELECT DISTINCT timestamp_hour,
+            CASE WHEN action <> 'error' THEN product END AS product
+          FROM clicks WHERE referrer NOT IN ('Google', 'Bing', 'Yahoo'))
         SELECT timestamp_hour, product FROM speed
         WHERE (timestamp_hour, product) NOT IN (SELECT timestamp_hour, product FROM batch)""",
     "serving_merge": CLICKS + ACTIVITY,

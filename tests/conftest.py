@@ -1,8 +1,14 @@
 import os
+from pathlib import Path
 
 import pytest
 from pyspark.sql import SparkSession
 
+# Python workers import the package too; on a cluster --py-files sees to that.
+os.environ["PYTHONPATH"] = os.pathsep.join(
+    [str(Path(__file__).parent.parent), *filter(None, [os.environ.get("PYTHONPATH")])]
+)
+
 
 @pytest.fixture(scope="session")
 def spark():

@@ -1,0 +1,309 @@
+import json
+from datetime import date
+
+import pytest
+from pyspark.errors import AnalysisException, StreamingQueryException
+from pyspark.sql import functions as F
+
+from clickmill.functions import decode_clicks
+from clickmill.operators import activity_by_product, drop_duplicate_events, last_write_per_key
+from clickmill.plans import jobs
+from clickmill.plans.clicks import clicks, kafka_rows
+from clickmill.schema import ACTIVITY, ACTIVITY_BY_PRODUCT, EVENT_COLUMNS, KAFKA_ROW
+from clickmill.sources import event_stream, kafka_options, kafka_stream, kafka_values, landed
+from clickmill.sources.kafka import kafka_sink_options, write_kafka
+from clickmill.streaming import (
+    KeyedTable,
+    RowWriter,
+    closed_hours,
+    start_console,
+    start_files,
+    start_foreach,
+    start_kafka,
+    start_memory,
+    start_replace,
+    start_upsert,
+)
+
+ONCE = {"availableNow": True}
+DAY = date(2024, 2, 1)
+
+
+@pytest.fixture(scope="module")
+def topic(spark, sf_dir, tmp_path_factory):
+    """The clicks as Kafka rows in four files."""
+    path = str(tmp_path_factory.mktemp("topic"))
+    kafka_rows(clicks(spark, sf_dir)).repartition(4).write.mode("overwrite").parquet(path)
+    return path
+
+
+@pytest.fixture
+def stream(spark, topic):
+    """The topic, one file per micro-batch."""
+    return event_stream(spark, topic, KAFKA_ROW, maxFilesPerTrigger=1)
+
+
+@pytest.fixture
+def folder(tmp_path):
+    return lambda name: str(tmp_path / name)
+
+
+def rows_of(frame):
+    return sorted(tuple(r) for r in frame.collect())
+
+
+def finish(query):
+    assert query.awaitTermination(120)
+
+
+def part(spark, topic, index, target):
+    """Add one of the topic's files to a source folder of its own."""
+    file = sorted(spark.read.parquet(topic).inputFiles())[index]
+    spark.read.schema(KAFKA_ROW).parquet(file).write.mode("append").parquet(target)
+
+
+def test_many_micro_batches_equal_the_batch_aggregate(spark, sf_dir, stream, folder):
+    table = KeyedTable(spark, folder("t"), ACTIVITY_BY_PRODUCT)
+    finish(jobs.speed_activity(stream, table, folder("c"), trigger=ONCE, compact_every=3))
+    assert table.versions()[:4] == [-1, 0, 2, 4] and 5 in table.versions()
+    assert rows_of(table.read()) == rows_of(activity_by_product(clicks(spark, sf_dir)))
+
+
+def test_restart_with_the_same_checkpoint_goes_on_counting(spark, sf_dir, topic, folder):
+    table = KeyedTable(spark, folder("t"), ACTIVITY_BY_PRODUCT)
+    for files in ((0, 1), (2, 3)):
+        for index in files:
+            part(spark, topic, index, folder("in"))
+        rows = event_stream(spark, folder("in"), KAFKA_ROW)
+        finish(jobs.speed_activity(rows, table, folder("c"), trigger=ONCE))
+    assert rows_of(table.read()) == rows_of(activity_by_product(clicks(spark, sf_dir)))
+
+
+def test_a_new_checkpoint_on_a_filled_table_is_refused(spark, stream, folder):
+    table = KeyedTable(spark, folder("t"), ACTIVITY_BY_PRODUCT)
+    finish(jobs.speed_activity(stream, table, folder("c"), trigger=ONCE))
+    with pytest.raises(ValueError, match="new"):
+        jobs.speed_activity(stream, table, folder("lost"), trigger=ONCE)
+
+
+def test_replayed_micro_batch_changes_nothing(spark, folder):
+    def batch(*rows):
+        return spark.createDataFrame(rows, ACTIVITY_BY_PRODUCT)
+
+    table = KeyedTable(spark, folder("t"), ACTIVITY_BY_PRODUCT)
+    assert table.is_empty() and table.read().count() == 0
+    table.upsert(batch(("a", 0, 1, 0, 0), ("b", 0, 1, 0, 0), (None, 0, 9, 9, 9)), 0)
+    for _ in range(2):
+        table.upsert(batch(("a", 0, 2, 0, 0)), 1)
+        assert rows_of(table.read()) == [("a", 0, 2, 0, 0), ("b", 0, 1, 0, 0)]
+    table.compact()
+    assert table.versions() == [-1, 0, 2, 3]
+    # The stream failed before it noted micro-batch 1 as done, and runs it again.
+    table.upsert(batch(("a", 0, 2, 0, 0)), 1)
+    table.upsert(batch(("c", 0, 7, 0, 0)), 2)
+    expected = [("a", 0, 2, 0, 0), ("b", 0, 1, 0, 0), ("c", 0, 7, 0, 0)]
+    assert rows_of(table.read()) == expected
+    table.compact()
+    assert table.versions() == [3, 4, 5]
+    assert rows_of(table.read()) == expected
+    assert not KeyedTable(spark, folder("t"), ACTIVITY_BY_PRODUCT).is_empty()
+
+
+def test_unfinished_write_is_not_read(spark, folder):
+    table = KeyedTable(spark, folder("t"), ACTIVITY_BY_PRODUCT)
+    rows = spark.createDataFrame([("a", 0, 1, 0, 0)], ACTIVITY_BY_PRODUCT)
+    unfinished = rows.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    unfinished.parquet(folder("t") + "/version=0")
+    assert table.read().count() == 0
+    table.upsert(rows, 0)
+    assert table.read().count() == 1
+
+
+def test_last_clicks_within_one_micro_batch(spark, sf_dir, topic, folder):
+    table = KeyedTable(spark, folder("t"), ACTIVITY)
+    finish(jobs.speed_clicks(event_stream(spark, topic, KAFKA_ROW), table, folder("c"), trigger=ONCE))
+    expected = last_write_per_key(clicks(spark, sf_dir).drop("event_id"), EVENT_COLUMNS)
+    assert rows_of(table.read()) == rows_of(expected)
+
+
+def test_later_micro_batch_wins(spark, folder):
+    table = KeyedTable(spark, folder("t"), ACTIVITY)
+    older, newer = ((t, "r", "a", "", "v", "p", "x", 0) for t in (5, 9))
+    for batch_id, row in enumerate((newer, older)):
+        table.upsert(spark.createDataFrame([row], ACTIVITY), batch_id)
+    assert [tuple(r) for r in table.read().collect()] == [older]
+
+
+@pytest.mark.parametrize("file_format", ["parquet", "orc", "json", "csv"])
+def test_ingest_formats(spark, sf_dir, stream, folder, file_format):
+    finish(jobs.ingest(stream, folder("t"), folder("c"), DAY, file_format, trigger=ONCE))
+    schema = clicks(spark, sf_dir).drop("event_id").schema
+    rows = spark.read.format(file_format).schema(schema.add("year", "integer").add("month", "integer"))
+    # Csv has no empty string of its own; both sides compare without it.
+    found = rows.load(folder("t")).fillna("", ["prevpage"])
+    assert found.select("year", "month").distinct().collect() == [(2024, 2)]
+    assert rows_of(found.select(ACTIVITY.names)) == rows_of(clicks(spark, sf_dir).select(ACTIVITY.names))
+
+
+def test_ingest_layout_and_batch_over_it(spark, sf_dir, stream, folder):
+    query = jobs.ingest(stream, folder("t"), folder("c"), DAY, trigger=ONCE)
+    assert query.name == "clickStream"
+    finish(query)
+    rows = landed(spark, folder("t"))
+    assert rows.columns == [*ACTIVITY.names, "year", "month", "day"]
+    assert landed(spark, folder("t"), since=date(2024, 2, 2)).count() == 0
+    assert landed(spark, folder("t"), until=DAY).count() == rows.count()
+    # The recompute may run again over its own output.
+    for _ in range(2):
+        activity, visitors = jobs.batch(spark, folder("t"), folder("out"))
+    assert rows_of(activity) == rows_of(activity_by_product(clicks(spark, sf_dir)))
+    assert visitors.count() == activity.count()
+    with pytest.raises(AnalysisException, match="PATH_ALREADY_EXISTS"):
+        jobs.batch(spark, folder("t"), folder("out"), mode="errorifexists")
+
+
+def test_ingest_keeps_what_it_cannot_read(spark, folder):
+    payloads = ["not json", '{"eventTime":1,"product":"x"}', '{"product":"y"}']
+    rows = spark.createDataFrame([(p,) for p in payloads], "value string")
+    rows.select(F.col("value").cast("binary")).write.parquet(folder("in"))
+    source = event_stream(spark, folder("in"), "value binary")
+    finish(jobs.ingest(source, folder("t"), folder("c"), DAY, trigger=ONCE, keep_payload=True))
+    found = landed(spark, folder("t"))
+    assert found.count() == 3
+    kept = found.where("payload IS NOT NULL").select("payload", "product").collect()
+    assert {tuple(r) for r in kept} == {("not json", None), ('{"product":"y"}', "y")}
+    activity, _ = jobs.batch(spark, folder("t"), folder("out"))
+    assert rows_of(activity) == [("x", 0, 0, 0, 0)]
+
+
+def test_rerun_with_the_checkpoint_lands_nothing_twice(spark, stream, folder):
+    for _ in range(2):
+        finish(jobs.ingest(stream, folder("t"), folder("c"), DAY, trigger=ONCE))
+    assert landed(spark, folder("t")).count() == stream.sparkSession.read.parquet(folder("t")).count()
+    assert landed(spark, folder("t")).distinct().count() == landed(spark, folder("t")).count()
+
+
+def test_memory_sink_in_complete_mode(spark, sf_dir, stream):
+    counts = activity_by_product(decode_clicks(stream))
+    finish(start_memory(counts, "activity_in_memory", trigger=ONCE))
+    found = spark.table("activity_in_memory")
+    assert rows_of(found) == rows_of(activity_by_product(clicks(spark, sf_dir)))
+
+
+def test_processing_time_trigger(spark, stream):
+    query = start_memory(
+        activity_by_product(decode_clicks(stream)), "every_minute", trigger={"processingTime": "60 seconds"}
+    )
+
+    assert query.isActive
+    query.stop()
+
+
+def test_console_sink(stream):
+    query = start_console(activity_by_product(decode_clicks(stream)), trigger=ONCE)
+    finish(query)
+    assert "ConsoleTable" in query.lastProgress.sink.description
+
+
+def test_replace_writes_the_whole_result_each_time(spark, sf_dir, stream, folder):
+    query = start_replace(
+        activity_by_product(decode_clicks(stream)), folder("t"), folder("c"), trigger=ONCE
+    )
+    finish(query)
+    last = spark.read.parquet(f"{folder('t')}/batch={query.lastProgress.batchId}")
+    assert rows_of(last) == rows_of(activity_by_product(clicks(spark, sf_dir)))
+
+
+def test_foreach_writer_sees_every_row(spark, sf_dir, topic, tmp_path, folder):
+    target = tmp_path / "rows"
+    target.mkdir()
+
+    def connect(partition_id, epoch_id):
+        return open(f"{target}/{epoch_id}-{partition_id}.json", "w")
+
+    def write_line(file, row):
+        file.write(json.dumps(row.asDict()) + "\n")
+
+    counts = activity_by_product(decode_clicks(event_stream(spark, topic, KAFKA_ROW)))
+    query = start_foreach(
+        counts, RowWriter(connect, write_line), folder("c"), trigger=ONCE, name="rowByRow"
+    )
+    assert query.name == "rowByRow"
+    finish(query)
+    written = spark.read.schema(ACTIVITY_BY_PRODUCT).json(str(target))
+    assert rows_of(written) == rows_of(activity_by_product(clicks(spark, sf_dir)))
+
+
+def test_append_needs_a_watermark(stream, folder):
+    counts = activity_by_product(decode_clicks(stream))
+    with pytest.raises(AnalysisException, match="[Aa]ppend"):
+        start_files(counts, folder("t"), folder("c"), partition_by=[], trigger=ONCE)
+
+
+def test_exact_distinct_counts_are_no_streaming_aggregate(stream, folder):
+    exact = decode_clicks(stream).groupBy("product").agg(F.countDistinct("visitor"))
+    with pytest.raises(AnalysisException):
+        start_replace(exact, folder("t"), folder("c"), trigger=ONCE)
+
+
+def test_closed_hours_leave_out_late_clicks(spark, folder):
+    hour = 3_600_000
+
+    def add(*times):
+        rows = [(json.dumps({"eventTime": t, "product": "x", "action": "purchase"}),) for t in times]
+        frame = spark.createDataFrame(rows, "value string").select(F.col("value").cast("binary"))
+        frame.coalesce(1).write.mode("append").parquet(folder("in"))
+        source = event_stream(spark, folder("in"), "value binary")
+        counts = closed_hours(decode_clicks(source), "1 hour")
+        finish(start_files(counts, folder("t"), folder("c"), partition_by=[], trigger=ONCE))
+        return rows_of(spark.read.schema(ACTIVITY_BY_PRODUCT).parquet(folder("t")))
+
+    assert add(0, 10, hour + 1) == []
+    assert add(5, 3 * hour) == [("x", 0, 3, 0, 0), ("x", hour, 1, 0, 0)]
+    # Hour 0 is closed, so a click that late is not counted.
+    assert add(7, 6 * hour)[0] == ("x", 0, 3, 0, 0)
+
+
+def test_repeated_deliveries_within_the_watermark(spark, topic, sf_dir, folder):
+    rows = event_stream(spark, topic, KAFKA_ROW).withWatermark("timestamp", "1 day")
+    once = drop_duplicate_events(rows.unionByName(rows), ["topic", "partition", "offset"])
+    finish(start_files(once, folder("t"), folder("c"), partition_by=[], trigger=ONCE))
+    found = decode_clicks(spark.read.parquet(folder("t")))
+    assert rows_of(found) == rows_of(clicks(spark, sf_dir).select(ACTIVITY.names))
+
+
+def test_upsert_in_order(spark, stream, folder):
+    table = KeyedTable(spark, folder("t"), ACTIVITY, keys=["visitor"])
+    finish(start_upsert(decode_clicks(stream), table, folder("c"), "append", ["eventtime"], trigger=ONCE))
+    found = table.read()
+    assert found.count() == found.select("visitor").distinct().count()
+
+
+def test_kafka_options():
+    assert kafka_options("h:1", "clicks", maxOffsetsPerTrigger=5) == {
+        "kafka.bootstrap.servers": "h:1",
+        "subscribe": "clicks",
+        "startingOffsets": "latest",
+        "maxOffsetsPerTrigger": "5",
+    }
+    assert kafka_options("h:1", "clicks", "earliest")["startingOffsets"] == "earliest"
+    assert kafka_sink_options("h:1", "clicks") == {
+        "kafka.bootstrap.servers": "h:1", "topic": "clicks", "kafka.acks": "all",
+    }
+
+
+def test_kafka_values_hold_the_json(spark, sf_dir):
+    values = kafka_values(clicks(spark, sf_dir))
+    assert values.columns == ["value"]
+    back = decode_clicks(values.select(F.col("value").cast("binary")))
+    assert rows_of(back) == rows_of(clicks(spark, sf_dir).select(ACTIVITY.names))
+
+
+def test_kafka_needs_its_connector(spark, sf_dir, stream, folder):
+    """Without the connector, which is not installed here, each entry point says so."""
+    with pytest.raises(AnalysisException, match="kafka"):
+        kafka_stream(spark, "h:1", "clicks")
+    with pytest.raises(AnalysisException, match="kafka"):
+        write_kafka(clicks(spark, sf_dir), "h:1", "clicks")
+    with pytest.raises((AnalysisException, StreamingQueryException), match="kafka"):
+        start_kafka(decode_clicks(stream), "h:1", "clicks", folder("c"), trigger=ONCE)
