@@ -22,7 +22,7 @@ from clickmill.operators import (
 from clickmill.schema import ACTIVITY, ACTIVITY_BY_PRODUCT, EVENT_COLUMNS, VISITORS_BY_PRODUCT
 from clickmill.session import new_folder
 from clickmill.sources import landed, publish, write_table
-from clickmill.streaming import KeyedTable, start_files, start_upsert
+from clickmill.streaming import KeyedTable, StoreTable, start_files, start_upsert
 
 
 def ingest(
@@ -50,21 +50,21 @@ def ingest(
 
 
 def speed_activity(
-    rows: DataFrame, table: KeyedTable, checkpoint: str, **options
+    rows: DataFrame, table: KeyedTable | StoreTable, checkpoint: str, **options
 ) -> StreamingQuery:
     """Keep running counts per product and hour."""
     return start_upsert(activity_by_product(decode_clicks(rows)), table, checkpoint, **options)
 
 
 def speed_visitors(
-    rows: DataFrame, table: KeyedTable, checkpoint: str, **options
+    rows: DataFrame, table: KeyedTable | StoreTable, checkpoint: str, **options
 ) -> StreamingQuery:
     """Keep running approximate unique visitors per product and hour."""
     return start_upsert(approx_visitors_by_product(decode_clicks(rows)), table, checkpoint, **options)
 
 
 def speed_clicks(
-    rows: DataFrame, table: KeyedTable, checkpoint: str, **options
+    rows: DataFrame, table: KeyedTable | StoreTable, checkpoint: str, **options
 ) -> StreamingQuery:
     """Keep the last click of each product and hour."""
     return start_upsert(

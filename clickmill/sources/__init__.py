@@ -2,12 +2,14 @@ from clickmill.sources.catalog import (
     create_database,
     create_tables,
     list_columns,
+    list_databases,
     list_tables,
     publish,
     swap_table,
 )
 from clickmill.sources.files import event_stream, landed, text_lines, write_table
-from clickmill.sources.kafka import kafka_options, kafka_stream, kafka_values
+from clickmill.sources.kafka import kafka_options, kafka_stream, kafka_values, write_kafka
+from clickmill.sources.store import write_store
 
 __all__ = [
     "create_database",
@@ -18,9 +20,12 @@ __all__ = [
     "kafka_values",
     "landed",
     "list_columns",
+    "list_databases",
     "list_tables",
     "publish",
     "swap_table",
     "text_lines",
+    "write_kafka",
+    "write_store",
     "write_table",
 ]

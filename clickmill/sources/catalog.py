@@ -32,6 +32,10 @@ def create_tables(spark: SparkSession, database: str, location: str) -> None:
         )
 
 
+def list_databases(spark: SparkSession) -> DataFrame:
+    return spark.sql("SHOW DATABASES")
+
+
 def list_tables(spark: SparkSession, database: str) -> DataFrame:
     return spark.sql(f"SHOW TABLES IN {database}").select("tableName")
 

@@ -10,10 +10,12 @@ from clickmill.streaming.sinks import (
     start_replace,
     start_upsert,
 )
+from clickmill.streaming.store_table import StoreTable
 
 __all__ = [
     "KeyedTable",
     "RowWriter",
+    "StoreTable",
     "closed_hours",
     "start_console",
     "start_files",

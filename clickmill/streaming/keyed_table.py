@@ -17,14 +17,28 @@ class KeyedTable:
     queries under way keep their files, and stopping at any point leaves the table right.
     """
 
-    def __init__(self, spark: SparkSession, path: str, schema: StructType, keys=KEYS):
+    def __init__(
+        self,
+        spark: SparkSession,
+        path: str,
+        schema: StructType,
+        keys: list[str] = KEYS,
+        compact_every: int = 100,
+    ):
         self.spark = spark
         self.path = path.rstrip("/")
-        self.keys = list(keys)
         self.schema = schema
-        # An empty snapshot gives a new table its directory.
-        empty = spark.createDataFrame([], schema)
-        empty.write.mode("ignore").parquet(self._folder(-1))
+        self.keys = list(keys)
+        self.compact_every = compact_every
+
+    def check(self, checkpoint: str) -> None:
+        """Refuse a new checkpoint on a filled table.
+
+        Running counts live in the checkpoint; without them totals already in the table
+        would be overwritten by partial ones.
+        """
+        if self.versions() and not self._exists(f"{checkpoint}/offsets"):
+            raise ValueError(f"{self.path} holds data, but the checkpoint {checkpoint} is new")
 
     def upsert(self, rows: DataFrame, batch_id: int) -> None:
         """Write the rows of a micro-batch; each key must occur at most once in it.
@@ -33,6 +47,8 @@ class KeyedTable:
         """
         keyed = rows.select(self.schema.names).dropna(subset=self.keys)
         keyed.write.mode("overwrite").parquet(self._folder(2 * batch_id))
+        if (batch_id + 1) % self.compact_every == 0:
+            self.compact()
 
     def read(self) -> DataFrame:
         versions = self.versions()
@@ -41,7 +57,7 @@ class KeyedTable:
     def compact(self) -> None:
         versions = self.versions()
         start = self._newest_snapshot(versions)
-        if start == len(versions) - 1:
+        if len(versions) - start < 2:
             return
         for version in versions[:start]:
             self._delete(version)
@@ -51,23 +67,20 @@ class KeyedTable:
 
     def versions(self) -> list[int]:
         """Versions whose write finished, oldest first."""
+        if not self._exists(self.path):
+            return []
         filesystem, path = self._hadoop(self.path)
         folders = [status.getPath() for status in filesystem.listStatus(path)]
-        done = [f for f in folders if self.exists(f"{f}/_SUCCESS")]
+        done = [f for f in folders if self._exists(f"{f}/_SUCCESS")]
         return sorted(int(f.getName().removeprefix("version=")) for f in done)
 
-    def is_empty(self) -> bool:
-        return self.versions() == [-1]
-
-    def exists(self, path: str) -> bool:
-        filesystem, hadoop_path = self._hadoop(path)
-        return filesystem.exists(hadoop_path)
-
     @staticmethod
     def _newest_snapshot(versions: list[int]) -> int:
-        return max(i for i, version in enumerate(versions) if version % 2)
+        return max((i for i, version in enumerate(versions) if version % 2), default=0)
 
     def _resolve(self, versions: list[int]) -> DataFrame:
+        if not versions:
+            return self.spark.createDataFrame([], self.schema)
         schema = StructType([*self.schema.fields]).add("version", LongType())
         rows = self.spark.read.schema(schema).parquet(self.path)
         rows = rows.where(F.col("version").isin(versions))
@@ -87,6 +100,10 @@ class KeyedTable:
         hadoop_path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return hadoop_path.getFileSystem(self.spark._jsc.hadoopConfiguration()), hadoop_path
 
+    def _exists(self, path: str) -> bool:
+        filesystem, hadoop_path = self._hadoop(path)
+        return filesystem.exists(hadoop_path)
+
     def _delete(self, version: int) -> None:
         filesystem, hadoop_path = self._hadoop(self._folder(version))
         filesystem.delete(hadoop_path, True)

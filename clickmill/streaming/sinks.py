@@ -14,6 +14,7 @@ from clickmill.operators.aggregates import last_write_per_key
 from clickmill.schema import INGEST_DATE
 from clickmill.sources.kafka import kafka_sink_options, kafka_values
 from clickmill.streaming.keyed_table import KeyedTable
+from clickmill.streaming.store_table import StoreTable
 
 
 def _writer(
@@ -47,29 +48,24 @@ def start_files(
 
 def start_upsert(
     stream: DataFrame,
-    table: KeyedTable,
+    table: KeyedTable | StoreTable,
     checkpoint: str,
     mode: str = "update",
     order: list[str] | None = None,
-    compact_every: int = 100,
     trigger: dict | None = None,
     name: str | None = None,
 ) -> StreamingQuery:
     """Upsert every micro-batch into a keyed table.
 
     Aggregates in update mode send each key once. For plain rows give `order`: the last row
-    of each key is kept. Counts live in the checkpoint, so a new checkpoint on a filled
-    table would overwrite totals with partial ones and is refused.
+    of each key is kept.
     """
-    if not table.is_empty() and not table.exists(f"{checkpoint}/offsets"):
-        raise ValueError(f"{table.path} holds data, but the checkpoint {checkpoint} is new")
+    table.check(checkpoint)
 
     def write(rows: DataFrame, batch_id: int) -> None:
         if order is not None:
             rows = last_write_per_key(rows, order, table.keys)
         table.upsert(rows, batch_id)
-        if (batch_id + 1) % compact_every == 0:
-            table.compact()
 
     return _writer(stream, mode, checkpoint, trigger, name).foreachBatch(write).start()
 

@@ -9,6 +9,7 @@ from clickmill.session import CLUSTER_CONF, STREAM_CONF, configure, new_folder
 from clickmill.sources import (
     create_tables,
     list_columns,
+    list_databases,
     list_tables,
     publish,
     swap_table,
@@ -39,7 +40,7 @@ def test_create_and_list(spark, database, tmp_path):
     columns = list_columns(spark, database).collect()
     assert len(columns) == sum(len(schema) for schema in TABLES.values())
     assert ("batch_visitors_by_product", 2, "unique_visitors", "bigint") in columns
-    assert any(r.namespace == database for r in spark.sql("SHOW DATABASES").collect())
+    assert (database,) in [tuple(r) for r in list_databases(spark).collect()]
     properties = spark.sql(f"SHOW TBLPROPERTIES {database}.stream_click_events").collect()
     assert ("primary_key", "product,timestamp_hour") in [tuple(r) for r in properties]
 
@@ -53,6 +54,15 @@ def test_insert_rows_and_selects(spark, database):
     assert rows_of(spark.table(table)) == [("a", 0, 1, 2, 3), ("b", 0, 4, 5, 6)]
 
 
+def test_batch_job_fills_the_tables_at_its_location(spark, sf_dir, database, tmp_path):
+    rows = clicks(spark, sf_dir)
+    rows.write.parquet(str(tmp_path / "landed"))
+    jobs.batch(spark, str(tmp_path / "landed"), str(tmp_path / "db"))
+    table = f"{database}.batch_activity_by_product"
+    spark.catalog.refreshTable(table)
+    assert rows_of(spark.table(table)) == rows_of(activity_by_product(rows))
+
+
 def test_swap_replaces_the_table(spark, database):
     for name, product in (("serving", "old"), ("serving_temp", "new")):
         counts(spark, (product, 0, 1, 1, 1)).write.saveAsTable(f"{database}.{name}")
