@@ -1,6 +1,7 @@
 from clickmill.operators.aggregates import (
     activity_by_product,
     distinct_keys,
+    in_key_order,
     last_write_per_key,
     latest_hours,
     rollup_by_product,
@@ -23,6 +24,7 @@ __all__ = [
     "drop_duplicate_events",
     "estimate_visitors",
     "has_key",
+    "in_key_order",
     "last_write_per_key",
     "latest_hours",
     "merge",

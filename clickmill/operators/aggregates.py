@@ -61,11 +61,15 @@ def latest_hours(table: DataFrame, n: int) -> DataFrame:
     return first_rows(table, ["product"], [F.desc("timestamp_hour")], n)
 
 
+def key_order() -> list[Column]:
+    """By product, newest hour first."""
+    return [F.col("product").asc(), F.col("timestamp_hour").desc()]
+
+
 def in_key_order(table: DataFrame) -> DataFrame:
-    """Rows clustered by product, newest hour first, for the files of a keyed table.
+    """Rows in ranges of the key, sorted, for the files of a keyed table.
 
     Ranges cover both key columns, so one product may span several files; row-group
     statistics then let a product lookup skip the rest.
     """
-    order = [F.col("product").asc(), F.col("timestamp_hour").desc()]
-    return table.repartitionByRange(*order).sortWithinPartitions(*order)
+    return table.repartitionByRange(*key_order()).sortWithinPartitions(*key_order())

@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clickmill.operators.aggregates import key_order
 from clickmill.schema import COUNTS, KEYS
 
 
@@ -20,19 +21,25 @@ def missing_rows(base: DataFrame, speed: DataFrame) -> DataFrame:
     return speed.join(base.select(*KEYS), KEYS, "left_anti")
 
 
-def merge(batch: DataFrame, speed: DataFrame, cutoff_hour: int | None = None) -> DataFrame:
+def merge(
+    batch: DataFrame, speed: DataFrame, cutoff_hour: int | None = None, ordered: bool = False
+) -> DataFrame:
     """Update and insert in one shuffle: add up the rows of both tables by key.
 
     Without a cutoff the counts are simply added, so the tables must cover separate events.
     With one, batch rows count before that hour and speed rows from it on; both filters
-    reach the scans.
+    reach the scans. `ordered` gives the result in key order and still shuffles once: rows
+    partitioned by ranges of the key can be added up where they are.
     """
     if cutoff_hour is not None:
         batch = batch.where(F.col("timestamp_hour") < cutoff_hour)
         speed = speed.where(F.col("timestamp_hour") >= cutoff_hour)
     columns = KEYS + COUNTS
     both = batch.select(columns).unionByName(speed.select(columns))
-    return both.groupBy(*KEYS).agg(*(F.sum(name).alias(name) for name in COUNTS))
+    if ordered:
+        both = both.repartitionByRange(*key_order())
+    merged = both.groupBy(*KEYS).agg(*(F.sum(name).alias(name) for name in COUNTS))
+    return merged.sortWithinPartitions(*key_order()) if ordered else merged
 
 
 def not_in(rows: DataFrame, listed: DataFrame, keys: list[str] = KEYS) -> DataFrame:

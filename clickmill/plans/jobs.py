@@ -101,5 +101,5 @@ def serve(
     cutoff_hour: int | None = None,
 ) -> str:
     """Merge the batch and speed counts and publish them as the serving table."""
-    merged = merge(batch_table, speed_table, cutoff_hour)
+    merged = merge(batch_table, speed_table, cutoff_hour, ordered=True)
     return publish(merged.sparkSession, merged, table, location)

@@ -28,6 +28,7 @@ from clickmill.operators import (
     drop_duplicate_events,
     estimate_visitors,
     has_key,
+    in_key_order,
     last_write_per_key,
     latest_hours,
     merge,
@@ -235,7 +236,7 @@ def serve(spark, sf_dir):
     batch, speed = _layer_tables(spark, sf_dir)
     folder = new_folder(spark, "serve")
     table = f"serving_layer_{folder[-12:]}"
-    publish(spark, batch, table, folder)
+    publish(spark, in_key_order(batch), table, folder)
     jobs.serve(spark.table(table), speed, table, folder)
     return spark.table(table)
 
@@ -339,8 +340,7 @@ def catalog_columns(spark, sf_dir):
         ("batch_activity_by_product", activity_by_product(rows)),
         ("batch_visitors_by_product", visitors_by_product(rows)),
     ):
-        table.createOrReplaceTempView("computed")
-        spark.sql(f"INSERT INTO {database}.{name} BY NAME SELECT * FROM computed")
+        table.write.insertInto(f"{database}.{name}")
     return list_columns(spark, database)
 
 

@@ -14,6 +14,8 @@ CLUSTER_CONF = {
     # Hash instead of sort in joins once all partitions are known to be this small.
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
     "spark.sql.files.maxPartitionBytes": "512m",
+    # Sketches of this many keys per task, 4 KB each at most, before it sorts instead.
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "20000",
     "spark.sql.parquet.compression.codec": "zstd",
     "spark.shuffle.io.retryWait": "10s",
     "spark.decommission.enabled": "true",

@@ -5,7 +5,6 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from clickmill.operators.aggregates import in_key_order
 from clickmill.schema import KEYS, TABLES
 
 
@@ -37,7 +36,7 @@ def list_databases(spark: SparkSession) -> DataFrame:
 
 
 def list_tables(spark: SparkSession, database: str) -> DataFrame:
-    return spark.sql(f"SHOW TABLES IN {database}").select("tableName")
+    return spark.sql(f"SHOW TABLES IN {database}").where("NOT isTemporary").select("tableName")
 
 
 def list_columns(spark: SparkSession, database: str) -> DataFrame:
@@ -60,13 +59,13 @@ def swap_table(spark: SparkSession, replacement: str, table: str) -> None:
 
 
 def publish(spark: SparkSession, rows: DataFrame, table: str, location: str) -> str:
-    """Write the rows as a new version below `location` and point the table at it.
+    """Write the rows, as they are ordered, as a new version below `location` and point the table at it.
 
     Readers see the former version or the new one, whole, and a query still running keeps
     its files. Returns the new version's path; removing old ones is left to the caller.
     """
     path = f"{location}/{table.split('.')[-1]}-{uuid4().hex}"
-    in_key_order(rows).write.parquet(path)
+    rows.write.parquet(path)
     if spark.catalog.tableExists(table):
         spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
         spark.catalog.refreshTable(table)

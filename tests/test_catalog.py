@@ -92,7 +92,8 @@ def test_serving_table_can_be_rebuilt_from_itself(spark, database, tmp_path):
 
 def test_published_files_hold_products_in_ranges_newest_hour_first(spark, sf_dir, database, tmp_path):
     table = f"{database}.serving"
-    path = publish(spark, activity_by_product(clicks(spark, sf_dir)), table, str(tmp_path / "s"))
+    rows = activity_by_product(clicks(spark, sf_dir))
+    path = jobs.serve(rows, rows, table, str(tmp_path / "s"))
     for file in spark.read.parquet(path).inputFiles():
         keys = [(r.product, -r.timestamp_hour) for r in spark.read.parquet(file).collect()]
         assert keys == sorted(keys)

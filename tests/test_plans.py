@@ -110,6 +110,12 @@ def test_merge_shuffles_once(tables):
     assert len(exchanges(text)) == 1 and "Join" not in text
 
 
+def test_ordered_merge_still_shuffles_once(tables):
+    text = plan(merge(*tables, ordered=True))
+    assert [kind for kind, _ in exchanges(text)] == ["rangepartitioning"]
+    assert "HashAggregate" in text and text.index("Sort") < text.index("HashAggregate")
+
+
 def test_cutoff_reaches_both_scans(tables):
     text = plan(merge(*tables, cutoff_hour=5))
     assert "LessThan(timestamp_hour,5)" in text

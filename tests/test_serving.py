@@ -75,3 +75,5 @@ def test_merge_of_any_split_equals_the_direct_aggregate(spark, sf_dir):
     for side in (F.col("visitor") < "Visitor-5", F.col("action") == "purchase"):
         merged = merge(activity_by_product(rows.where(side)), activity_by_product(rows.where(~side)))
         assert rows_of(merged) == direct
+        parts = (activity_by_product(rows.where(s)) for s in (side, ~side))
+        assert rows_of(merge(*parts, ordered=True)) == direct
