@@ -25,6 +25,7 @@ def _arguments() -> argparse.Namespace:
     landing = jobs.add_parser("ingest", help="land clicks from Kafka as dated parquet")
     speed = jobs.add_parser("speed", help="keep a speed table up to date from Kafka")
     speed.add_argument("kind", choices=SPEED)
+    speed.add_argument("--files", type=int, default=64, help="files per micro-batch")
     for stream in (landing, speed):
         stream.add_argument("--servers", required=True)
         stream.add_argument("--topic", required=True)
@@ -83,7 +84,7 @@ def main() -> None:
             query = ingest(rows, args.path, args.checkpoint, trigger=trigger)
         else:
             start, schema = SPEED[args.kind]
-            table = KeyedTable(spark, args.path, schema)
+            table = KeyedTable(spark, args.path, schema, files=args.files)
             query = start(rows, table, args.checkpoint, trigger=trigger)
         query.awaitTermination()
 

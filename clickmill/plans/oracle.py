@@ -118,6 +118,7 @@ ORACLE_SQL = {
         SELECT * FROM clicks WHERE 1706616000 - timestamp_hour / 1000 <= 60 * 60 * 6""",
     "activity_by_product": CLICKS + ACTIVITY,
     "visitors_by_product": CLICKS + VISITORS,
+    "activity_view": CLICKS + ACTIVITY,
     "null_key_group": f"""{CLICKS}
         SELECT CASE WHEN action <> 'error' THEN product END AS product, timestamp_hour, {COUNTS}
         FROM clicks GROUP BY 1, 2""",

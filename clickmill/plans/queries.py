@@ -156,6 +156,20 @@ def visitors_by_product_query(spark, sf_dir):
     return visitors_by_product(clicks(spark, sf_dir))
 
 
+def activity_view(spark, sf_dir):
+    """The same counts in SQL, over the clicks as a view."""
+    clicks(spark, sf_dir).createOrReplaceTempView("activity")
+    return spark.sql(
+        """
+        SELECT product, timestamp_hour,
+          count_if(action = 'purchase') AS purchase_count,
+          count_if(action = 'add_to_cart') AS add_to_cart_count,
+          count_if(action = 'page_view') AS page_view_count
+        FROM activity GROUP BY ALL
+        """
+    )
+
+
 def null_key_group(spark, sf_dir):
     """Error events lose their product and gather under a NULL key."""
     product = F.when(F.col("action") != "error", F.col("product"))
@@ -374,6 +388,7 @@ QUERIES = {
     "recent_hours": recent_hours,
     "activity_by_product": activity_by_product_query,
     "visitors_by_product": visitors_by_product_query,
+    "activity_view": activity_view,
     "null_key_group": null_key_group,
     "distinct_hour_product": distinct_hour_product,
     "last_write_per_key": last_write_per_key_query,

@@ -15,6 +15,9 @@ class KeyedTable:
     folds all up to 2n into a snapshot `version=2n+1`, and readers start from the newest
     snapshot. Versions are deleted one compaction after a snapshot has replaced them, so
     queries under way keep their files, and stopping at any point leaves the table right.
+
+    A version has a file per task of the stream unless `files` bounds them, by a shuffle of
+    the changed rows; with thousands of state partitions it should.
     """
 
     def __init__(
@@ -24,12 +27,14 @@ class KeyedTable:
         schema: StructType,
         keys: list[str] = KEYS,
         compact_every: int = 100,
+        files: int | None = None,
     ):
         self.spark = spark
         self.path = path.rstrip("/")
         self.schema = schema
         self.keys = list(keys)
         self.compact_every = compact_every
+        self.files = files
 
     def check(self, checkpoint: str) -> None:
         """Refuse a new checkpoint on a filled table.
@@ -46,6 +51,8 @@ class KeyedTable:
         Rows with a NULL in their key are left out, as a keyed store would refuse them.
         """
         keyed = rows.select(self.schema.names).dropna(subset=self.keys)
+        if self.files is not None:
+            keyed = keyed.repartition(self.files, *self.keys)
         keyed.write.mode("overwrite").parquet(self._folder(2 * batch_id))
         if (batch_id + 1) % self.compact_every == 0:
             self.compact()

@@ -40,8 +40,15 @@ def start_files(
     partition_by: list[str] = INGEST_DATE,
     trigger: dict | None = None,
     name: str | None = None,
+    files: int | None = None,
 ) -> StreamingQuery:
-    """Append to partitioned files (parquet, orc, json or csv), exactly once."""
+    """Append to partitioned files (parquet, orc, json or csv), exactly once.
+
+    Each task writes its own files; `files` bounds them per micro-batch, by a shuffle, and
+    suits aggregates with many state partitions.
+    """
+    if files is not None:
+        stream = stream.repartition(files)
     writer = _writer(stream, "append", checkpoint, trigger, name)
     return writer.partitionBy(*partition_by).format(file_format).start(path)
 

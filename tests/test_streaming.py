@@ -280,6 +280,29 @@ def test_outside_store_gets_every_micro_batch(spark, sf_dir, topic, folder):
     assert rows_of(found) == rows_of(activity_by_product(clicks(spark, sf_dir)))
 
 
+def test_files_per_micro_batch_can_be_bounded(spark, sf_dir, topic, folder):
+    table = KeyedTable(spark, folder("t"), ACTIVITY_BY_PRODUCT, files=2)
+    rows = event_stream(spark, topic, KAFKA_ROW)
+    finish(jobs.speed_activity(rows, table, folder("c"), trigger=ONCE))
+    assert len(table.read().inputFiles()) == 2
+    assert rows_of(table.read()) == rows_of(activity_by_product(clicks(spark, sf_dir)))
+    finish(start_files(rows, folder("f"), folder("fc"), partition_by=[], trigger=ONCE, files=3))
+    assert len(spark.read.parquet(folder("f")).inputFiles()) == 3
+
+
+def test_sql_over_a_view_of_the_stream(spark, sf_dir, stream, folder):
+    decode_clicks(stream).createOrReplaceTempView("activity")
+    counted = spark.sql(
+        "SELECT product, timestamp_hour, count_if(action = 'purchase') AS purchase_count, "
+        "count_if(action = 'add_to_cart') AS add_to_cart_count, "
+        "count_if(action = 'page_view') AS page_view_count "
+        "FROM activity GROUP BY product, timestamp_hour"
+    )
+    table = KeyedTable(spark, folder("t"), ACTIVITY_BY_PRODUCT)
+    finish(start_upsert(counted, table, folder("c"), trigger=ONCE))
+    assert rows_of(table.read()) == rows_of(activity_by_product(clicks(spark, sf_dir)))
+
+
 def test_upsert_in_order(spark, stream, folder):
     table = KeyedTable(spark, folder("t"), ACTIVITY, keys=["visitor"])
     finish(start_upsert(decode_clicks(stream), table, folder("c"), "append", ["eventtime"], trigger=ONCE))
