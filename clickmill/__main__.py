@@ -26,6 +26,7 @@ def _arguments() -> argparse.Namespace:
     speed = jobs.add_parser("speed", help="keep a speed table up to date from Kafka")
     speed.add_argument("kind", choices=SPEED)
     speed.add_argument("--files", type=int, default=64, help="files per micro-batch")
+    speed.add_argument("--delay", help='forget hours this old, such as "2 days"; activity only')
     for stream in (landing, speed):
         stream.add_argument("--servers", required=True)
         stream.add_argument("--topic", required=True)
@@ -85,7 +86,8 @@ def main() -> None:
         else:
             start, schema = SPEED[args.kind]
             table = KeyedTable(spark, args.path, schema, files=args.files)
-            query = start(rows, table, args.checkpoint, trigger=trigger)
+            options = {"delay": args.delay} if args.delay else {}
+            query = start(rows, table, args.checkpoint, trigger=trigger, **options)
         query.awaitTermination()
 
 

@@ -2,6 +2,7 @@ from clickmill.operators.aggregates import (
     activity_by_product,
     distinct_keys,
     in_key_order,
+    key_order,
     last_write_per_key,
     latest_hours,
     rollup_by_product,
@@ -25,6 +26,7 @@ __all__ = [
     "estimate_visitors",
     "has_key",
     "in_key_order",
+    "key_order",
     "last_write_per_key",
     "latest_hours",
     "merge",

@@ -14,7 +14,8 @@ REFERRERS = ["Google", "Bing", "Yahoo", "Twitter", "Facebook", "Other", "Direct"
 
 # Stating the types saves reading a footer before planning.
 EVENTS = (
-    "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+    "event_id bigint, ts timestamp_ntz, user_id bigint, "
+    "event_type string, value double, props string"
 )
 # The zoneless times taken as UTC instants, whatever the session's time zone.
 EVENTS_UTC = EVENTS.replace("timestamp_ntz", "timestamp")

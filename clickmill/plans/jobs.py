@@ -15,14 +15,21 @@ from clickmill.operators import (
     activity_by_product,
     approx_visitors_by_product,
     has_key,
+    key_order,
     merge,
     rollup_by_product,
     split_malformed,
 )
-from clickmill.schema import ACTIVITY, ACTIVITY_BY_PRODUCT, EVENT_COLUMNS, VISITORS_BY_PRODUCT
+from clickmill.schema import ACTIVITY, EVENT_COLUMNS, TABLES
 from clickmill.session import new_folder
 from clickmill.sources import landed, publish, write_table
-from clickmill.streaming import KeyedTable, StoreTable, start_files, start_upsert
+from clickmill.streaming import (
+    KeyedTable,
+    StoreTable,
+    start_files,
+    start_upsert,
+    watermarked_counts,
+)
 
 
 def ingest(
@@ -50,10 +57,20 @@ def ingest(
 
 
 def speed_activity(
-    rows: DataFrame, table: KeyedTable | StoreTable, checkpoint: str, **options
+    rows: DataFrame,
+    table: KeyedTable | StoreTable,
+    checkpoint: str,
+    delay: str | None = None,
+    **options,
 ) -> StreamingQuery:
-    """Keep running counts per product and hour."""
-    return start_upsert(activity_by_product(decode_clicks(rows)), table, checkpoint, **options)
+    """Keep running counts per product and hour.
+
+    Without a delay all hours stay open and their state is kept for good. With one, such as
+    "2 days", clicks that much behind the newest are no longer counted, nor their hours kept.
+    """
+    activity = decode_clicks(rows)
+    counts = activity_by_product(activity) if delay is None else watermarked_counts(activity, delay)
+    return start_upsert(counts, table, checkpoint, **options)
 
 
 def speed_visitors(
@@ -83,14 +100,16 @@ def batch(
     """Recompute both batch tables from landed clicks: (activity, visitors).
 
     One pass over the clicks gives both aggregates, which are stored together and then
-    written as a table each.
+    written as a table each, sorted within its files.
     """
     accepted, _ = split_malformed(landed(spark, landed_path, since, until))
     both = write_table(rollup_by_product(accepted), new_folder(spark, "rollup"))
-    return (
-        write_table(both.select(ACTIVITY_BY_PRODUCT.names), f"{out}/batch_activity_by_product", mode),
-        write_table(both.select(VISITORS_BY_PRODUCT.names), f"{out}/batch_visitors_by_product", mode),
-    )
+
+    def table(name: str) -> DataFrame:
+        rows = both.select(TABLES[name].names).sortWithinPartitions(*key_order())
+        return write_table(rows, f"{out}/{name}", mode)
+
+    return table("batch_activity_by_product"), table("batch_visitors_by_product")
 
 
 def serve(

@@ -6,7 +6,7 @@ others the speed layer's: between them they hold every event, and many of their
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -43,8 +43,6 @@ from clickmill.plans.clicks import clicks, events, kafka_rows, kafka_stream
 from clickmill.schema import (
     ACTIVITY,
     ACTIVITY_BY_PRODUCT,
-    CLICK_EVENT,
-    EVENT_COLUMNS,
     KEYS,
     VISITORS_BY_PRODUCT,
 )
@@ -58,7 +56,7 @@ from clickmill.sources import (
     text_lines,
     write_table,
 )
-from clickmill.streaming import KeyedTable, closed_hours, start_files, start_replace, start_upsert
+from clickmill.streaming import KeyedTable, start_files, start_replace, watermarked_counts
 
 INGEST_DAY = date(2024, 2, 1)
 NOW = 1_706_616_000  # 2024-01-30 12:00 UTC, within the last hours of the events
@@ -317,7 +315,7 @@ def stream_complete(spark, sf_dir):
 
 def watermarked_hourly(spark, sf_dir):
     folder = new_folder(spark, "hourly")
-    stream = closed_hours(decode_clicks(kafka_stream(spark, sf_dir)), "2 hours")
+    stream = watermarked_counts(decode_clicks(kafka_stream(spark, sf_dir)), "2 hours")
     query = start_files(
         stream, f"{folder}/table", f"{folder}/checkpoint", partition_by=[], **RUN_ONCE
     )

@@ -1,4 +1,4 @@
-from clickmill.streaming.hourly import closed_hours
+from clickmill.streaming.hourly import watermarked_counts
 from clickmill.streaming.keyed_table import KeyedTable
 from clickmill.streaming.sinks import (
     RowWriter,
@@ -16,7 +16,6 @@ __all__ = [
     "KeyedTable",
     "RowWriter",
     "StoreTable",
-    "closed_hours",
     "start_console",
     "start_files",
     "start_foreach",
@@ -24,4 +23,5 @@ __all__ = [
     "start_memory",
     "start_replace",
     "start_upsert",
+    "watermarked_counts",
 ]

@@ -1,4 +1,4 @@
-"""Hourly counts that close: state is dropped once the watermark passes an hour."""
+"""Hourly counts with bounded state: an hour is forgotten once the watermark has passed it."""
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -7,11 +7,12 @@ from clickmill.operators.aggregates import action_counts
 from clickmill.schema import COUNTS
 
 
-def closed_hours(activity: DataFrame, delay: str) -> DataFrame:
-    """activity_by_product for append mode.
+def watermarked_counts(activity: DataFrame, delay: str) -> DataFrame:
+    """activity_by_product for a stream whose clicks are at most `delay` out of order.
 
-    An hour is sent once, when the newest event time seen is `delay` past its end; events
-    arriving later than that are lost, so the delay must cover their disorder.
+    In update mode an hour's counts are sent whenever they change, in append mode once, when
+    the newest event time seen is `delay` past the hour's end. Clicks that come later than
+    that are not counted, so the delay must cover their disorder.
     """
     timed = activity.withColumn("event_ts", F.timestamp_millis("eventtime"))
     counted = (

@@ -61,6 +61,9 @@ def test_batch_job_fills_the_tables_at_its_location(spark, sf_dir, database, tmp
     table = f"{database}.batch_activity_by_product"
     spark.catalog.refreshTable(table)
     assert rows_of(spark.table(table)) == rows_of(activity_by_product(rows))
+    for file in spark.table(table).inputFiles():
+        keys = [(r.product, -r.timestamp_hour) for r in spark.read.parquet(file).collect()]
+        assert keys == sorted(keys)
 
 
 def test_swap_replaces_the_table(spark, database):

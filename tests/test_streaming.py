@@ -16,7 +16,6 @@ from clickmill.streaming import (
     KeyedTable,
     RowWriter,
     StoreTable,
-    closed_hours,
     start_console,
     start_files,
     start_foreach,
@@ -24,6 +23,7 @@ from clickmill.streaming import (
     start_memory,
     start_replace,
     start_upsert,
+    watermarked_counts,
 )
 
 ONCE = {"availableNow": True}
@@ -254,7 +254,7 @@ def test_closed_hours_leave_out_late_clicks(spark, folder):
         frame = spark.createDataFrame(rows, "value string").select(F.col("value").cast("binary"))
         frame.coalesce(1).write.mode("append").parquet(folder("in"))
         source = event_stream(spark, folder("in"), "value binary")
-        counts = closed_hours(decode_clicks(source), "1 hour")
+        counts = watermarked_counts(decode_clicks(source), "1 hour")
         finish(start_files(counts, folder("t"), folder("c"), partition_by=[], trigger=ONCE))
         return rows_of(spark.read.schema(ACTIVITY_BY_PRODUCT).parquet(folder("t")))
 
@@ -264,6 +264,29 @@ def test_closed_hours_leave_out_late_clicks(spark, folder):
     assert add(7, 6 * hour)[0] == ("x", 0, 3, 0, 0)
 
 
+def test_running_counts_with_bounded_state(spark, folder):
+    hour = 3_600_000
+    table = KeyedTable(spark, folder("t"), ACTIVITY_BY_PRODUCT)
+
+    def add(*times):
+        rows = [(json.dumps({"eventTime": t, "product": "x", "action": "page_view"}),) for t in times]
+        frame = spark.createDataFrame(rows, "value string").select(F.col("value").cast("binary"))
+        frame.coalesce(1).write.mode("append").parquet(folder("in"))
+        source = event_stream(spark, folder("in"), "value binary")
+        query = jobs.speed_activity(source, table, folder("c"), delay="1 hour", trigger=ONCE)
+        finish(query)
+        state = query.lastProgress.stateOperators[0].numRowsTotal
+        return rows_of(table.read()), state
+
+    assert add(0, 10, hour) == ([("x", 0, 0, 0, 2), ("x", hour, 0, 0, 1)], 2)
+    # Counted at once, and the hours a whole hour behind are forgotten.
+    counts, state = add(5, 9 * hour)
+    assert counts == [("x", 0, 0, 0, 3), ("x", hour, 0, 0, 1), ("x", 9 * hour, 0, 0, 1)]
+    assert state == 1
+    # The table keeps what the state forgot.
+    assert add(7)[0] == counts
+
+
 def test_repeated_deliveries_within_the_watermark(spark, topic, sf_dir, folder):
     rows = event_stream(spark, topic, KAFKA_ROW).withWatermark("timestamp", "1 day")
     once = drop_duplicate_events(rows.unionByName(rows), ["topic", "partition", "offset"])
