@@ -84,7 +84,10 @@ def start_replace(
     trigger: dict | None = None,
     name: str | None = None,
 ) -> StreamingQuery:
-    """Complete mode to files: each micro-batch writes the whole result as `path/batch=n`."""
+    """Complete mode to files: each micro-batch writes the whole result as `path/batch=n`.
+
+    Former results stay until the caller removes them.
+    """
 
     def write(rows: DataFrame, batch_id: int) -> None:
         rows.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
