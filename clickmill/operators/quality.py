@@ -25,7 +25,8 @@ def drop_duplicate_events(events: DataFrame, id_columns: list[str]) -> DataFrame
     """One row per event id, such as Kafka's topic, partition and offset.
 
     Copies are dropped before the shuffle too, so a much-repeated event stays cheap. On a
-    stream with a watermark the ids are forgotten once the watermark has passed.
+    stream with a watermark the ids are forgotten once the watermark has passed; there the
+    copies of a micro-batch meet in one task, which keeps one id and no rows.
     """
     if events.isStreaming:
         return events.dropDuplicatesWithinWatermark(id_columns)
