@@ -41,7 +41,8 @@ def first_rows(rows: DataFrame, keys: list[str], order: list[Column], n: int) ->
     """The first n rows of each key.
 
     Spark applies the rank limit before the shuffle as well, so each task sends at most
-    n rows per key however many it holds.
+    n rows per key however many it holds (for n up to 1000, the default of
+    spark.sql.optimizer.windowGroupLimitThreshold).
     """
     window = Window.partitionBy(*keys).orderBy(*order)
     return rows.withColumn("_rank", F.row_number().over(window)).where(f"_rank <= {n}").drop("_rank")

@@ -55,15 +55,14 @@ def not_in(rows: DataFrame, listed: DataFrame, keys: list[str] = KEYS) -> DataFr
     listed = listed.select(a.alias("_a"), b.alias("_b"))
     _a, _b = F.col("_a"), F.col("_b")
     no_a, no_b = listed.where(_a.isNull()), listed.where(_b.isNull())
-    has_null = a.isNull() | b.isNull()
-
     equal = {"_a": a == _a, "_b": b == _b}
 
     def without(rows, listed, *columns):
         on = [equal[column] for column in columns]
         return rows.join(listed.select(*columns).distinct(), on, "left_anti")
 
-    whole = without(rows.where(~has_null), listed.where(_a.isNotNull() & _b.isNotNull()), "_a", "_b")
+    whole = rows.where(a.isNotNull() & b.isNotNull())
+    whole = without(whole, listed.where(_a.isNotNull() & _b.isNotNull()), "_a", "_b")
     whole = without(without(whole, no_b, "_a"), no_a, "_b")
     whole = whole.where(~no_a.where(_b.isNull()).exists())
 

@@ -121,4 +121,4 @@ def serve(
 ) -> str:
     """Merge the batch and speed counts and publish them as the serving table."""
     merged = merge(batch_table, speed_table, cutoff_hour, ordered=True)
-    return publish(merged.sparkSession, merged, table, location)
+    return publish(merged, table, location)

@@ -248,7 +248,7 @@ def serve(spark, sf_dir):
     batch, speed = _layer_tables(spark, sf_dir)
     folder = new_folder(spark, "serve")
     table = f"serving_layer_{folder[-12:]}"
-    publish(spark, in_key_order(batch), table, folder)
+    publish(in_key_order(batch), table, folder)
     jobs.serve(spark.table(table), speed, table, folder)
     return spark.table(table)
 

@@ -58,12 +58,13 @@ def swap_table(spark: SparkSession, replacement: str, table: str) -> None:
     spark.sql(f"ALTER TABLE {replacement} RENAME TO {table}")
 
 
-def publish(spark: SparkSession, rows: DataFrame, table: str, location: str) -> str:
+def publish(rows: DataFrame, table: str, location: str) -> str:
     """Write the rows, as they are ordered, as a new version below `location` and point the table at it.
 
     Readers see the former version or the new one, whole, and a query still running keeps
     its files. Returns the new version's path; removing old ones is left to the caller.
     """
+    spark = rows.sparkSession
     path = f"{location}/{table.split('.')[-1]}-{uuid4().hex}"
     rows.write.parquet(path)
     if spark.catalog.tableExists(table):

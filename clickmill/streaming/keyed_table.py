@@ -89,8 +89,8 @@ class KeyedTable:
         if not versions:
             return self.spark.createDataFrame([], self.schema)
         schema = StructType([*self.schema.fields]).add("version", LongType())
-        rows = self.spark.read.schema(schema).parquet(self.path)
-        rows = rows.where(F.col("version").isin(versions))
+        reader = self.spark.read.schema(schema).option("basePath", self.path)
+        rows = reader.parquet(*map(self._folder, versions))
         if len(versions) == 1:
             return rows.select(self.schema.names)
         values = [name for name in self.schema.names if name not in self.keys]

@@ -77,17 +77,17 @@ def test_swap_replaces_the_table(spark, database):
 
 def test_publish_moves_readers_to_the_new_version(spark, database, tmp_path):
     table, location = f"{database}.serving", str(tmp_path / "serving")
-    first = publish(spark, counts(spark, ("a", 0, 1, 1, 1)), table, location)
+    first = publish(counts(spark, ("a", 0, 1, 1, 1)), table, location)
     before = spark.table(table)
     assert rows_of(before) == [("a", 0, 1, 1, 1)]
-    second = publish(spark, counts(spark, ("b", 0, 2, 2, 2)), table, location)
+    second = publish(counts(spark, ("b", 0, 2, 2, 2)), table, location)
     assert rows_of(spark.table(table)) == [("b", 0, 2, 2, 2)]
     assert first != second and spark.read.parquet(first).count() == 1
 
 
 def test_serving_table_can_be_rebuilt_from_itself(spark, database, tmp_path):
     table, location = f"{database}.serving", str(tmp_path / "serving")
-    publish(spark, counts(spark, ("a", 0, 1, 0, 0)), table, location)
+    publish(counts(spark, ("a", 0, 1, 0, 0)), table, location)
     for _ in range(2):
         jobs.serve(spark.table(table), counts(spark, ("a", 0, 1, 0, 0)), table, location)
     assert rows_of(spark.table(table)) == [("a", 0, 3, 0, 0)]
