@@ -7,23 +7,25 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from clickmill.functions.hours import hour_bucket
-from clickmill.schema import CLICK_EVENT, EVENT_COLUMNS
+from clickmill.schema import ACTIVITY, CLICK_EVENT, EVENT_COLUMNS
 
 
-def decode_clicks(rows: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+def decode_clicks(
+    rows: DataFrame, keep: tuple[str, ...] = (), columns: list[str] = ACTIVITY.names
+) -> DataFrame:
     """Kafka rows to activity rows: the JSON fields in lower case and the event's hour.
 
-    A payload that does not parse gives NULL fields. `keep` carries envelope columns along.
+    A payload that does not parse gives NULL fields. `keep` carries envelope columns along;
+    `columns` names what is wanted of the activity, and no other field is decoded.
     """
-    parsed = rows.select(
-        *keep, F.from_json(F.col("value").cast("string"), CLICK_EVENT).alias("click")
-    )
-    flat = parsed.select(
-        *(F.col(f"click.{name}").alias(name.lower()) for name in CLICK_EVENT.names), *keep
-    )
-    return flat.select(
-        *EVENT_COLUMNS, hour_bucket("eventtime").alias("timestamp_hour"), *keep
-    )
+    wanted = {"eventtime" if name == "timestamp_hour" else name for name in columns}
+    fields = StructType([f for f in CLICK_EVENT if f.name.lower() in wanted])
+    click = F.from_json(F.col("value").cast("string"), fields)
+    parsed = rows.select(*keep, click.alias("click"))
+    activity = {name.lower(): F.col(f"click.{name}") for name in fields.names}
+    if "timestamp_hour" in columns:
+        activity["timestamp_hour"] = hour_bucket("click.eventTime")
+    return parsed.select(*(activity[name].alias(name) for name in columns), *keep)
 
 
 def encode_json() -> Column:

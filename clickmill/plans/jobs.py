@@ -20,7 +20,7 @@ from clickmill.operators import (
     rollup_by_product,
     split_malformed,
 )
-from clickmill.schema import ACTIVITY, EVENT_COLUMNS, TABLES
+from clickmill.schema import ACTIVITY, EVENT_COLUMNS, KEYS, TABLES
 from clickmill.session import new_folder
 from clickmill.sources import landed, publish, write_table
 from clickmill.streaming import (
@@ -68,8 +68,11 @@ def speed_activity(
     Without a delay all hours stay open and their state is kept for good. With one, such as
     "2 days", clicks that much behind the newest are no longer counted, nor their hours kept.
     """
-    activity = decode_clicks(rows)
-    counts = activity_by_product(activity) if delay is None else watermarked_counts(activity, delay)
+    if delay is None:
+        counts = activity_by_product(decode_clicks(rows, columns=[*KEYS, "action"]))
+    else:
+        activity = decode_clicks(rows, columns=["eventtime", "product", "action"])
+        counts = watermarked_counts(activity, delay)
     return start_upsert(counts, table, checkpoint, **options)
 
 
@@ -77,7 +80,8 @@ def speed_visitors(
     rows: DataFrame, table: KeyedTable | StoreTable, checkpoint: str, **options
 ) -> StreamingQuery:
     """Keep running approximate unique visitors per product and hour."""
-    return start_upsert(approx_visitors_by_product(decode_clicks(rows)), table, checkpoint, **options)
+    visits = decode_clicks(rows, columns=[*KEYS, "visitor"])
+    return start_upsert(approx_visitors_by_product(visits), table, checkpoint, **options)
 
 
 def speed_clicks(

@@ -67,6 +67,9 @@ def test_many_micro_batches_equal_the_batch_aggregate(spark, sf_dir, stream, fol
     table = KeyedTable(spark, folder("t"), ACTIVITY_BY_PRODUCT, compact_every=3)
     finish(jobs.speed_activity(stream, table, folder("c"), trigger=ONCE))
     assert table.versions()[:4] == [0, 2, 4, 5]
+    for file in spark.read.parquet(f"{folder('t')}/version=5").inputFiles():
+        hours = [r.timestamp_hour for r in spark.read.parquet(file).collect()]
+        assert hours == sorted(hours)
     assert rows_of(table.read()) == rows_of(activity_by_product(clicks(spark, sf_dir)))
 
 
