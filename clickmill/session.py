@@ -13,7 +13,8 @@ CLUSTER_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Hash instead of sort in joins once all partitions are known to be this small.
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
-    "spark.sql.files.maxPartitionBytes": "512m",
+    # Larger splits combine more rows before a shuffle, until their groups spill.
+    "spark.sql.files.maxPartitionBytes": "256m",
     # Sketches of this many keys per task, 4 KB each at most, before it sorts instead.
     "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "20000",
     "spark.sql.parquet.compression.codec": "zstd",
