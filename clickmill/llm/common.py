@@ -49,12 +49,14 @@ def share_of(bound: int, total: int, seed: int, *columns: str) -> Column:
 
 def map_rows(rows: DataFrame, function: Callable, schema: str) -> DataFrame:
     """Apply a function from a batch of rows (pyarrow) to any number of dicts of columns."""
-    names = [part.split()[0] for part in schema.split(", ")]
+    kinds = {"int": pa.int32(), "long": pa.int64(), "double": pa.float64(), "binary": pa.binary()}
+    names, types = zip(*(part.split() for part in schema.split(", ")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for columns in function(batch):
-                yield pa.RecordBatch.from_arrays([pa.array(columns[n]) for n in names], names)
+                arrays = [pa.array(columns[n], kinds[t]) for n, t in zip(names, types)]
+                yield pa.RecordBatch.from_arrays(arrays, names)
 
     return rows.mapInArrow(run, schema)
 

@@ -2,10 +2,44 @@
 
 from pyspark.sql import functions as F
 
-from clickmill.llm import simhash
+from clickmill.llm import brown, mixing, packing, quality, sharding, simhash, toxicity
 from clickmill.llm.common import table
 
 
+def word_tokenizer() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op1_quality(spark, sf_dir):
+    return quality.rate_documents(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op3_lm_scoring(spark, sf_dir):
+    """Every seventh document, by CRC-32 of its id, is held out."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2, F.lit(False))
+    return brown.score(spark, docs, ~held_out).withColumn("held_out", held_out)
+
+
+def op5_toxicity(spark, sf_dir):
+    return toxicity.classify(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op6_sharding(spark, sf_dir):
+    dealt = sharding.shard(spark, table(spark, sf_dir, "documents"), shards=8)
+    return dealt.withColumn("law", F.lit("bytes")).withColumn("grown_shard", F.lit(None).cast("int"))
+
+
+def op7_packing(spark, sf_dir):
+    return packing.pack(spark, table(spark, sf_dir, "documents"), word_tokenizer(), capacity=4096, end_id=1)
+
+
+def op8_mixing(spark, sf_dir):
+    return mixing.mix(spark, table(spark, sf_dir, "documents"), weights=(1, 2, 3), most_passes=3)
+
+
 def op9_simhash(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     found = simhash.near_duplicates(spark, docs, shingle_words=4, max_bits=4)
@@ -13,6 +47,12 @@ def op9_simhash(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_quality": op1_quality,
+    "op3_lm_scoring": op3_lm_scoring,
+    "op5_toxicity": op5_toxicity,
+    "op6_sharding": op6_sharding,
+    "op7_packing": op7_packing,
+    "op8_mixing": op8_mixing,
     "op9_simhash": op9_simhash,
 }
 
