@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from clickmill.llm import brown, mixing, packing, quality, sharding, simhash, toxicity
+from clickmill.llm import brown, kmtree, mixing, packing, quality, rangejoin, sharding, simhash, sitetree, toxicity
 from clickmill.llm.common import table
 
 
@@ -16,6 +16,10 @@ def op1_quality(spark, sf_dir):
     return quality.rate_documents(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_embedding_near_dup(spark, sf_dir):
+    return rangejoin.near_duplicates(spark, table(spark, sf_dir, "embeddings"), least=0.93)
+
+
 def op3_lm_scoring(spark, sf_dir):
     """Every seventh document, by CRC-32 of its id, is held out."""
     docs = table(spark, sf_dir, "documents")
@@ -23,6 +27,11 @@ def op3_lm_scoring(spark, sf_dir):
     return brown.score(spark, docs, ~held_out).withColumn("held_out", held_out)
 
 
+def op4_ann(spark, sf_dir):
+    """Every hundredth vector, by its id, is a query."""
+    return kmtree.search(spark, table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
 def op5_toxicity(spark, sf_dir):
     return toxicity.classify(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -46,14 +55,21 @@ def op9_simhash(spark, sf_dir):
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op10_html(spark, sf_dir):
+    return sitetree.extract(spark, table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
+    "op2_embedding_near_dup": op2_embedding_near_dup,
     "op3_lm_scoring": op3_lm_scoring,
+    "op4_ann": op4_ann,
     "op5_toxicity": op5_toxicity,
     "op6_sharding": op6_sharding,
     "op7_packing": op7_packing,
     "op8_mixing": op8_mixing,
     "op9_simhash": op9_simhash,
+    "op10_html": op10_html,
 }
 
 ORACLE_SQL = {}
