@@ -60,7 +60,10 @@ def shard(spark: SparkSession, docs: DataFrame, shards: int = 8) -> DataFrame:
     )
     sized = stored(spark, sized, "sizes")
     whole = sized.agg(F.count("*").alias("rows"), F.sum("size").alias("bytes")).first()
-    rows, total = whole["rows"], whole["bytes"] or 0
+    rows, total = whole["rows"], whole["bytes"]
+    if not rows:
+        nothing = F.lit(None)
+        return sized.select("doc_id", "size", "text_crc32", nothing.cast("int").alias("shard"), nothing.cast("long").alias("slot"))
     ranges = max(4 * shards, -(-rows // RANGE_ROWS))
     share = total / ranges
     splitters, overfull = np.zeros(0, "S16"), None
@@ -106,7 +109,7 @@ def shard(spark: SparkSession, docs: DataFrame, shards: int = 8) -> DataFrame:
     )
     kept = F.col("group_bytes") * (shards * WHOLE) <= total
     middle = F.when(kept, F.col("group_end") - F.col("group_bytes") / 2).otherwise(F.col("end") - F.col("size") / 2)
-    number = F.least(F.floor(middle * shards / float(max(1, total))), F.lit(shards - 1)).cast("int")
+    number = F.least(F.floor(middle * shards / float(total)), F.lit(shards - 1)).cast("int")
     dealt = stored(spark, placed.select("doc_id", "size", "text_crc32", number.alias("shard"), "row"), "dealt")
     first = dealt.groupBy("shard").agg(F.min("row").alias("first"))
     slots = dealt.join(F.broadcast(first), "shard")

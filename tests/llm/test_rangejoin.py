@@ -1,0 +1,66 @@
+import numpy as np
+import pytest
+from brute import plain_components
+
+from clickmill.llm import rangejoin
+from clickmill.llm.queries import QUERIES
+
+SCHEMA = "vec_id long, embedding array<float>, label int, component_id string"
+
+
+def planted(count, random, dim=16):
+    """Vectors in clusters, copies among them, some labels null, some vectors unusable."""
+    centres = random.normal(size=(12, dim))
+    rows = []
+    for i in range(count):
+        centre = centres[random.integers(12)] if i % 3 else centres[0]
+        vector = (centre + random.normal(size=dim) * random.choice([0.02, 0.15, 1.0])).astype(np.float32).tolist()
+        rows.append((i, vector, int(random.integers(3)), "x"))
+    rows += [(count + i, rows[3][1], rows[3][2], "x") for i in range(40)]
+    bad = [None, [0.0] * dim, [float("nan")] * dim, [None] + [1.0] * (dim - 1), [float("inf")] * dim, []]
+    rows += [(count + 100 + i, v, 0, "x") for i, v in enumerate(bad)]
+    rows += [(count + 200, rows[3][1], None, "x"), (None, rows[3][1], 0, "x"), (count + 201, [1.0, 0.0], 0, "x")]
+    return rows
+
+
+def brute_force(rows, least):
+    def fine(row):
+        v = row[1]
+        return row[0] is not None and row[2] is not None and v and all(x is not None and np.isfinite(x) for x in v) and any(v)
+
+    good = [r for r in rows if fine(r)]
+    near, links = [], {r[0]: 0 for r in rows}
+    for i, a in enumerate(good):
+        for b in good[i + 1 :]:
+            if a[2] == b[2] and len(a[1]) == len(b[1]):
+                x, y = np.array(a[1], float), np.array(b[1], float)
+                if x @ y / (np.linalg.norm(x) * np.linalg.norm(y)) >= least:
+                    near.append((a[0], b[0]))
+                    links[a[0]] += 1
+                    links[b[0]] += 1
+    return links, plain_components([r[0] for r in rows if r[0] is not None], near)
+
+
+@pytest.mark.parametrize("cell, part", [(rangejoin.CELL, rangejoin.PART), (40, 16)])
+def test_matches_brute_force(spark, monkeypatch, cell, part):
+    monkeypatch.setattr(rangejoin, "CELL", cell)
+    monkeypatch.setattr(rangejoin, "PART", part)
+    rows = planted(400, np.random.default_rng(3))
+    links, root = brute_force(rows, 0.93)
+    found = rangejoin.near_duplicates(spark, spark.createDataFrame(rows, SCHEMA)).collect()
+    assert len(found) == len(rows)
+    assert {r["vec_id"]: r["n_links"] for r in found} == links
+    assert {r["vec_id"]: r["component_id"] for r in found if r["vec_id"] is not None} == root
+    assert all(r["kept"] == (r["vec_id"] == r["component_id"]) for r in found if r["vec_id"] is not None)
+    assert max(links.values()) >= 40
+
+
+def test_query_on_given_table(spark, sf_dir, tables):
+    rows = [(r["vec_id"], r["embedding"], r["label"]) for r in tables("embeddings")]
+    links, root = brute_force(rows, 0.93)
+    found = QUERIES["op2_embedding_near_dup"](spark, sf_dir).collect()
+    assert {r["vec_id"]: (r["n_links"], r["component_id"]) for r in found} == {i: (links[i], root[i]) for i in links}
+
+
+def test_empty(spark):
+    assert rangejoin.near_duplicates(spark, spark.createDataFrame([], SCHEMA)).collect() == []

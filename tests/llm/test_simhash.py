@@ -1,0 +1,92 @@
+from itertools import combinations
+
+import numpy as np
+import pytest
+import xxhash
+from brute import plain_components
+
+from clickmill.llm import simhash
+from clickmill.llm.common import components
+from clickmill.llm.queries import QUERIES
+
+
+def plain_fingerprint(text, size=4):
+    """Bit by bit, as the definition says."""
+    words = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    for white in "\t\n\v\f\r":
+        words = words.replace(white, " ")
+    words = [w for w in words.split(" ") if w]
+    if not words:
+        return 0
+    grams = [" ".join(words[i : i + size]) for i in range(max(1, len(words) - size + 1))]
+    hashes = [xxhash.xxh64_intdigest(g.encode(), 42) for g in grams]
+    return sum(1 << b for b in range(64) if sum(h >> b & 1 for h in hashes) * 2 > len(hashes))
+
+
+def test_matches_brute_force(spark, sf_dir, tables):
+    docs = tables("documents")
+    prints = {d["doc_id"]: plain_fingerprint(d["text"]) for d in docs}
+    near = [(a, b) for a, b in combinations(prints, 2) if (prints[a] ^ prints[b]).bit_count() <= 4]
+    root = plain_components(prints, near)
+    found = {r["doc_id"]: r for r in QUERIES["op9_simhash"](spark, sf_dir).collect()}
+    assert {i: r["fingerprint"] for i, r in found.items()} == {i: f"{p:016x}" for i, p in prints.items()}
+    assert {i: r["component_id"] for i, r in found.items()} == root
+    assert len(set(root.values())) < len(root)
+
+
+@pytest.mark.parametrize("group", [8, simhash.GROUP])
+@pytest.mark.parametrize("distance", [1, 4])
+def test_links_lose_nothing_in_dense_groups(spark, monkeypatch, group, distance):
+    """Fingerprints around a few centres, so that groups are large and cut in parts."""
+    monkeypatch.setattr(simhash, "GROUP", group)
+    random = np.random.default_rng(1)
+    prints = {int(c) for c in random.integers(0, 1 << 64, 300, dtype=np.uint64)}
+    for centre in list(prints)[:3]:
+        for _ in range(60):
+            flips = random.choice(64, random.integers(1, 7), replace=False)
+            prints.add(centre ^ sum(1 << int(b) for b in flips))
+    prints = sorted(prints)
+    signed = [p - (1 << 64) if p >> 63 else p for p in prints]
+    near = [(a, b) for a, b in combinations(range(len(prints)), 2) if (prints[a] ^ prints[b]).bit_count() <= distance]
+    expected = plain_components(range(len(prints)), near)
+    links = simhash.links(spark, spark.createDataFrame([(p,) for p in signed], "fp long"), distance)
+    found = {r["node"]: r["root"] for r in components(spark, links).collect()}
+    ours = [found.get(p, p) for p in signed]
+    assert len(set(ours)) == len(set(expected.values()))
+    assert len({(a, expected[i]) for i, a in enumerate(ours)}) == len(set(ours))
+
+
+def test_every_number_of_blocks_is_exact():
+    for blocks in (6, 7, 8):
+        masks = simhash._masks(blocks, 4)
+        for _ in range(200):
+            flips = np.random.default_rng(_).choice(64, 4, replace=False)
+            bits = sum(1 << int(b) for b in flips)
+            assert any(bits & (m % (1 << 64)) == 0 for m in masks)
+
+
+def test_edge_cases(spark, edge_docs, no_docs):
+    rows = simhash.near_duplicates(spark, edge_docs).collect()
+    assert len(rows) == 8
+    by_id = {r["doc_id"]: r for r in rows}
+    assert by_id[1]["fp"] == by_id[2]["fp"] == 0 and by_id[2]["component_id"] == 1
+    assert {by_id[i]["component_id"] for i in (3, 4, 6)} == {3}
+    assert by_id[None]["component_id"] is None
+    assert simhash.near_duplicates(spark, no_docs).collect() == []
+
+
+def test_keep_one(spark, edge_docs, no_docs, make_docs):
+    kept = simhash.keep_one(spark, edge_docs)
+    assert kept.columns == edge_docs.columns
+    assert sorted(r["doc_id"] or 0 for r in kept.collect()) == [0, 1, 3, 5]
+    assert simhash.keep_one(spark, no_docs).collect() == []
+    nameless = make_docs([(None, "a b c d e f", "en", "a"), (None, "a b c d e f", "en", "a"), (None, "z y x w v u", "en", "a")])
+    assert len(simhash.keep_one(spark, nameless).collect()) == 2
+
+
+def test_components_of_chains_stars_and_hot_nodes(spark):
+    chain = [(i, i + 1) for i in range(100, 160)]
+    star = [(7, i) for i in range(1000, 1300)]
+    links = spark.createDataFrame(chain + star + [(3, 3), (None, 4), (1100, 2)], "a long, b long")
+    found = {r["node"]: r["root"] for r in components(spark, links).collect()}
+    assert found == {i: 100 for i in range(100, 161)} | {i: 2 for i in [2, 7, *range(1000, 1300)]}
