@@ -1,8 +1,14 @@
 """Best-fit packing of tokenised documents by minimum bin slack."""
 
 import os
+import sys
+import unicodedata
 import zlib
+from array import array
+from collections import defaultdict
 from collections.abc import Iterator
+from itertools import chain, islice
+from types import ModuleType
 
 import numpy as np
 import pandas as pd
@@ -15,34 +21,86 @@ from clickmill.llm.prefix import pieces_of, with_running_total
 
 CAPACITY = 4096
 END_ID = 1
-CACHED = 400_000  # tokenised words that a task remembers
+CACHED = 1_000_000  # words whose ids a Python worker remembers
+AT_ONCE = 4_000_000  # bytes of text
 
 
-def _tokenize(tokenizer_path: str):
-    """A function from a text to the bytes of its ids (little-endian, 32 bits).
+class WordIds:
+    """Ids of texts, from the remembered ids of their words.
 
     The tokenizer never joins what white space parts, so runs of other characters are
-    tokenised alone and remembered.
+    tokenised alone. Nor does it join a letter with the full stop or comma after it.
     """
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(tokenizer_path)
-    tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-    known: dict[bytes, bytes] = {}
-
-    def ids(text: bytes) -> bytes:
-        runs = text.split()
-        new = list({run for run in runs if run not in known})
-        if new:
-            if len(known) + len(new) > CACHED:
-                known.clear()
-                new = list(set(runs))
-            encoded = tokenizer.encode_batch_fast([run.decode(errors="replace") for run in new], add_special_tokens=False)
-            known.update(zip(new, (np.array(e.ids, "<u4").tobytes() for e in encoded), strict=True))
-        return b"".join(map(known.__getitem__, runs))
-
-    return ids
+    def __init__(self, tokenizer_path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(tokenizer_path)
+        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.forget()
+
+    def forget(self) -> None:
+        self.numbers: dict[bytes, int] = defaultdict()
+        self.numbers.default_factory = self.numbers.__len__
+        self.ids: list[bytes] = []  # of each run, as little-endian 32-bit numbers
+        self.flat = np.zeros(0, "<u4")
+        self.count = self.first = np.zeros(0, np.int64)
+
+    def learn(self) -> None:
+        """Tokenise the runs that have numbers but no ids yet."""
+        of, known = self.numbers.__getitem__, len(self.ids)
+        new = list(islice(self.numbers, known, None))
+        stems = {run: run[:-1] for run in new if run[-1:] in (b".", b",") and _only_letters(run[:-1])}
+        for run, stem in stems.items():
+            of(stem), of(run[-1:])
+        new = list(islice(self.numbers, known, None))
+        whole = [run for run in new if run not in stems]
+        encoded = self.tokenizer.encode_batch_fast([run.decode(errors="replace") for run in whole], add_special_tokens=False)
+        found = {run: array("I", e.ids).tobytes() for run, e in zip(whole, encoded, strict=True)}
+
+        def ids(run: bytes) -> bytes:
+            number = of(run)
+            return self.ids[number] if number < known else found[run]
+
+        self.ids += [ids(stems[run]) + ids(run[-1:]) if run in stems else found[run] for run in new]
+        more = b"".join(self.ids[known:])
+        self.flat = np.concatenate([self.flat, np.frombuffer(more, "<u4")])
+        self.count = np.concatenate([self.count, np.array([len(i) // 4 for i in self.ids[known:]], np.int64)])
+        self.first = np.cumsum(self.count) - self.count
+
+    def of(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after the other, and the number of each."""
+        if len(self.numbers) > CACHED:
+            self.forget()
+        # Lowering A-Z first changes no ids where there are no combining characters to meet.
+        runs = [(text.lower() if text.isascii() else text).split() for text in texts]
+        lengths = [len(r) for r in runs]
+        number = self.numbers.__getitem__
+        words = np.fromiter(chain.from_iterable(map(number, text) for text in runs), np.int32, sum(lengths))
+        if len(self.numbers) > len(self.ids):
+            self.learn()
+        count = self.count[words]
+        end = np.cumsum(count)
+        place = np.repeat(self.first[words] - end + count, count) + np.arange(end[-1] if len(end) else 0)
+        edges = np.concatenate(([0], end))[np.concatenate(([0], np.cumsum(lengths)))]
+        return self.flat[place], np.diff(edges)
+
+
+def _only_letters(run: bytes) -> bool:
+    """Whether a run is of letters that stay letters when normalised and lowered."""
+    if run.isascii():
+        return run.isalpha()
+    text = run.decode(errors="replace")
+    return text.isalpha() and text.lower().isalpha() and unicodedata.is_normalized("NFC", text)
+
+
+def _word_ids(tokenizer_path: str) -> WordIds:
+    """What this Python worker has remembered; Spark gives a worker one task after another."""
+    kept = sys.modules.setdefault("clickmill_remembered_words", ModuleType("clickmill_remembered_words"))
+    if tokenizer_path not in vars(kept):
+        vars(kept)[tokenizer_path] = WordIds(tokenizer_path)
+    return vars(kept)[tokenizer_path]
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
@@ -50,24 +108,36 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_i
 
     A null or empty text has the one id end_id.
     """
-    end, width = np.array([end_id], "<u4").tobytes(), 4 * capacity
     names = ["doc_id", "piece", "start", "length", "ids_crc32"]
+    types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
+    end, width = np.array([end_id], "<u4").tobytes(), 4 * capacity
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = _tokenize(tokenizer_path)
-        types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
+    def cut(doc_ids: list, texts: list[bytes], words: WordIds) -> pa.RecordBatch:
+        rows = []
+        ids, lengths = words.of(texts)
+        for doc_id, part in zip(doc_ids, np.split(ids, np.cumsum(lengths)[:-1])):
+            data = part.tobytes() + end
+            for piece, start in enumerate(range(0, len(data), width)):
+                one = data[start : start + width]
+                rows.append((doc_id, piece, start // 4, len(one) // 4, zlib.crc32(one)))
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = _word_ids(tokenizer_path)
         for batch in batches:
-            rows = []
+            doc_ids, texts, size = [], [], 0
             for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist()):
-                data = ids(text) + end
-                for piece, start in enumerate(range(0, len(data), width)):
-                    part = data[start : start + width]
-                    rows.append((doc_id, piece, start // 4, len(part) // 4, zlib.crc32(part)))
-            columns = zip(*rows) if rows else [[]] * len(names)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
+                doc_ids.append(doc_id)
+                texts.append(text)
+                size += len(text)
+                if size >= AT_ONCE:
+                    yield cut(doc_ids, texts, words)
+                    doc_ids, texts, size = [], [], 0
+            if texts:
+                yield cut(doc_ids, texts, words)
 
     rows = docs.select(F.col("doc_id").cast("long"), text_bytes().alias("text"))
-    return rows.mapInArrow(cut, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    return rows.mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
 def fullest(counts: dict[int, int], space: int) -> list[int]:
