@@ -25,8 +25,8 @@ CLASSES = 64
 ROUNDS = 4
 SIDE = 256  # groups of neighbours on either side
 SMOOTHING = 32.0  # tokens that the prior of a transition or a neighbour counts as
-BASE_WEIGHT = 0.1  # of the add-one word probabilities that the class model is mixed with
-BLOCK_BYTES = 16_000_000
+RATIO_BINS = 400  # for the ratio of the two probabilities that are mixed
+BLOCK_BYTES = 8_000_000
 UNKNOWN = 255
 END = b"\n"  # no word holds white space
 
@@ -148,12 +148,13 @@ def _first_classes(hashes: np.ndarray, classes: int) -> np.ndarray:
     return ((hashes >> np.uint64(24)) % np.uint64(classes)).astype(np.int64)
 
 
-def _exchanged(size: int, neighbours: bytes, profile: np.ndarray) -> np.ndarray:
-    """For each word the class whose words have the likeliest neighbours for it.
+def _exchanged(size: int, seen: tuple[np.ndarray, ...], profile: np.ndarray) -> np.ndarray:
+    """For each word the class whose words have the likeliest neighbours for it, 0 for one that seen lacks.
 
-    profile counts the neighbours of every class. Words are taken in bounded groups.
+    seen holds words, in order, their neighbours and how often they met; profile counts the
+    neighbours of every class. Words are taken in bounded groups.
     """
-    word, side, seen = unpack(neighbours)
+    word, side, times = seen
     total = profile.sum(axis=0)
     prior = SMOOTHING * (total + 1) / (total + 1).sum()
     log = np.log((profile + prior) / (profile.sum(axis=1, keepdims=True) + SMOOTHING)).T.astype(np.float32)
@@ -163,7 +164,7 @@ def _exchanged(size: int, neighbours: bytes, profile: np.ndarray) -> np.ndarray:
         if c == d:
             continue
         own, starts = np.unique(word[c:d], return_index=True)
-        gain = np.add.reduceat(log[side[c:d]] * seen[c:d, None].astype(np.float32), starts, axis=0)
+        gain = np.add.reduceat(log[side[c:d]] * times[c:d, None].astype(np.float32), starts, axis=0)
         best[own] = gain.argmax(axis=1)
     return best
 
@@ -172,19 +173,24 @@ def _half(hashes: np.ndarray) -> np.ndarray:
     return (hashes >> np.uint64(16)) & np.uint64(1)
 
 
+def _of_half(hashes: np.ndarray, neighbours: bytes, half: int) -> tuple[np.ndarray, ...]:
+    word, side, seen = unpack(neighbours)
+    use = _half(hashes)[word] == half
+    return word[use], side[use], seen[use]
+
+
 def _profiles(vocabulary: DataFrame, half: int, profile: np.ndarray | None, classes: int) -> np.ndarray:
     """Neighbour counts of the classes, from the words of one half, classed by the other's profile."""
 
     def count(batch: pa.RecordBatch) -> Iterator[dict]:
         for hashes, neighbours in zip(batch["hashes"].to_pylist(), batch["neighbours"].to_pylist()):
             hashes = np.frombuffer(hashes, np.uint64)
+            word, side, seen = _of_half(hashes, neighbours, half)
             if profile is None:
                 own = _first_classes(hashes, classes)
             else:
-                own = _exchanged(len(hashes), neighbours, profile)
-            word, side, seen = unpack(neighbours)
-            use = _half(hashes)[word] == half
-            sums = np.bincount(own[word[use]] * (2 * SIDE) + side[use], seen[use], classes * 2 * SIDE)
+                own = _exchanged(len(hashes), (word, side, seen), profile)
+            sums = np.bincount(own[word] * (2 * SIDE) + side, seen, classes * 2 * SIDE)
             cell = np.flatnonzero(sums)
             yield {"cell": cell.astype(np.int32), "n": sums[cell].astype(np.int64)}
 
@@ -212,7 +218,8 @@ def cluster(vocabulary: DataFrame, classes: int = CLASSES, rounds: int = ROUNDS)
     def assign(batch: pa.RecordBatch) -> Iterator[dict]:
         for row in batch.to_pylist():
             hashes = np.frombuffer(row["hashes"], np.uint64)
-            by_odd, by_even = (_exchanged(len(hashes), row["neighbours"], p) for p in (odd, even))
+            halves = [_of_half(hashes, row["neighbours"], half) for half in (0, 1)]
+            by_odd, by_even = (_exchanged(len(hashes), seen, p) for seen, p in zip(halves, (odd, even)))
             own = np.where(_half(hashes) == 0, by_odd, by_even).astype(np.uint8)
             yield {"part": [row["part"]], "hashes": [row["hashes"]], "classes": [own.tobytes()], "counts": [row["counts"]]}
 
@@ -248,6 +255,20 @@ def _tokens(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return own, np.concatenate(([classes[row["end"]]], own[:-1])), counts[ids]
 
 
+def _base_weight(cells: np.ndarray, n: np.ndarray) -> float:
+    """The likeliest weight of the base model for tokens in bins of the ratio of class to base probability.
+
+    Bin 0 is of tokens that the class model does not know. Found by expectation maximisation.
+    """
+    if not n.sum():
+        return 1.0
+    ratio = np.where(cells == 0, 0.0, 2.0 ** ((cells - 1 - RATIO_BINS // 2) / 10))
+    weight = 0.5
+    for _ in range(200):
+        weight = float((n * weight / (weight + (1 - weight) * ratio)).sum() / n.sum())
+    return min(max(weight, 1e-6), 1.0)
+
+
 def score(
     spark: SparkSession,
     docs: DataFrame,
@@ -260,9 +281,10 @@ def score(
     The model learns from the rows where `train` holds. A token w after v, with classes d and
     c, has probability
 
-        (1 - BASE_WEIGHT) p(d|c) n(w)/n(d) + BASE_WEIGHT (n(w)+1)/(N+V+1)
+        (1 - b) p(d|c) n(w)/n(d) + b (n(w)+1)/(N+V+1)
 
-    p(d|c) is the share of transitions, smoothed by the share of d in all tokens. A word that
+    p(d|c) is the share of transitions, smoothed by the share of d in all tokens. The weight b
+    is the likeliest one for the training tokens, each left out of its counts. A word that
     training lacks has no class; what follows it is judged by the share of its class alone.
     Without any training token only the second term counts, with weight 1. A text ends with a
     token of its own, which also stands before its first word.
@@ -303,7 +325,24 @@ def score(
     share = np.zeros((UNKNOWN + 1, classes))
     share[:classes] = (counts + SMOOTHING * in_class / total) / (counts.sum(axis=1, keepdims=True) + SMOOTHING)
     share[UNKNOWN] = in_class / total
-    base_weight = BASE_WEIGHT if tokens else 1.0
+
+    def ratios(batch: pa.RecordBatch) -> Iterator[dict]:
+        """How often each ratio of class to base probability occurs, in steps of a tenth of a power of two."""
+        for row in batch.to_pylist():
+            own, before, count = _tokens(row)
+            trained = np.repeat(row["train"], row["lengths"])
+            own, before, count = own[trained], before[trained], count[trained]
+            again = count > 1
+            own, before, count = own[again], before[again], count[again]
+            model = share[before, own] * (count - 1) / (in_class[own] - 1)
+            step = np.log2(model * (tokens + distinct) / count) * 10
+            bins = np.bincount(np.clip(np.rint(step) + RATIO_BINS // 2, 0, RATIO_BINS).astype(int) + 1, minlength=RATIO_BINS + 2)
+            bins[0] = len(again) - again.sum()
+            cell = np.flatnonzero(bins)
+            yield {"cell": cell.astype(np.int32), "n": bins[cell]}
+
+    found = map_rows(with_classes, ratios, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
+    base_weight = _base_weight(found["cell"].to_numpy(int), found["n"].to_numpy(float))
 
     def rate(batch: pa.RecordBatch) -> Iterator[dict]:
         for row in batch.to_pylist():
