@@ -4,17 +4,27 @@ import argparse
 from datetime import date
 
 from pyspark.sql import SparkSession
-
-from clickmill.plans import batch, ingest, serve, speed_activity, speed_clicks, speed_visitors
+from pyspark.sql.types import StructType
+
+from clickmill.plans import (
+    CLICK_ORDER,
+    batch,
+    ingest,
+    serve,
+    speed_activity,
+    speed_clicks,
+    speed_visitors,
+)
+from clickmill.plans.jobs import PAYLOAD, POSITION
 from clickmill.schema import ACTIVITY, ACTIVITY_BY_PRODUCT, VISITORS_BY_PRODUCT
 from clickmill.session import STREAM_CONF, configure
-from clickmill.sources import create_database, kafka_stream
+from clickmill.sources import close_day, create_database, kafka_stream, read_version
 from clickmill.streaming import KeyedTable
 
 SPEED = {
-    "activity": (speed_activity, ACTIVITY_BY_PRODUCT),
-    "visitors": (speed_visitors, VISITORS_BY_PRODUCT),
-    "clicks": (speed_clicks, ACTIVITY),
+    "activity": (speed_activity, ACTIVITY_BY_PRODUCT, None),
+    "visitors": (speed_visitors, VISITORS_BY_PRODUCT, None),
+    "clicks": (speed_clicks, ACTIVITY, CLICK_ORDER),
 }
 
 
@@ -26,7 +36,10 @@ def _arguments() -> argparse.Namespace:
     speed = jobs.add_parser("speed", help="keep a speed table up to date from Kafka")
     speed.add_argument("kind", choices=SPEED)
     speed.add_argument("--files", type=int, default=64, help="files per micro-batch")
-    speed.add_argument("--delay", help='forget hours this old, such as "2 days"; activity only')
+    speed.add_argument("--delay", help='forget hours this old, such as "2 days"; not for clicks')
+    landing.add_argument("--files", type=int, help="files per micro-batch and day")
+    landing.add_argument("--keep-payload", action="store_true", help="land the text of what cannot be keyed")
+    landing.add_argument("--keep-position", action="store_true", help="land topic, partition and offset")
     for stream in (landing, speed):
         stream.add_argument("--servers", required=True)
         stream.add_argument("--topic", required=True)
@@ -35,12 +48,28 @@ def _arguments() -> argparse.Namespace:
         stream.add_argument("--path", required=True)
         stream.add_argument("--checkpoint", required=True)
         stream.add_argument("--every", help='processing time, such as "60 seconds"')
+        stream.add_argument(
+            "--kafka-option", action="append", default=[], metavar="KEY=VALUE",
+            help="for the Kafka client, such as kafka.security.protocol=SSL; repeatable",
+        )
 
     recompute = jobs.add_parser("batch", help="recompute the batch tables from landed clicks")
     recompute.add_argument("--landed", required=True)
     recompute.add_argument("--out", required=True)
     recompute.add_argument("--since", type=date.fromisoformat)
     recompute.add_argument("--until", type=date.fromisoformat)
+    recompute.add_argument("--closed", help="folder of the days that close has rewritten")
+    recompute.add_argument("--hours", type=int, help="only event hours this recent")
+    recompute.add_argument("--once", action="store_true", help="drop repeated deliveries; needs landed positions")
+    recompute.add_argument("--rejects", action="store_true", help="write clicks without a key, with their payload")
+
+    closing = jobs.add_parser("close", help="rewrite a landed day into few files in hour order")
+    closing.add_argument("--landed", required=True)
+    closing.add_argument("--closed", required=True)
+    closing.add_argument("--day", type=date.fromisoformat, required=True)
+    closing.add_argument("--files", type=int, default=64)
+    closing.add_argument("--keep-payload", action="store_true", help="the landed days hold payloads")
+    closing.add_argument("--keep-position", action="store_true", help="the landed days hold positions")
 
     serving = jobs.add_parser("serve", help="merge batch and speed counts and publish them")
     serving.add_argument("--batch", required=True)
@@ -48,12 +77,19 @@ def _arguments() -> argparse.Namespace:
     serving.add_argument("--database", required=True)
     serving.add_argument("--table", default="serving_layer")
     serving.add_argument("--location", required=True)
-    serving.add_argument("--cutoff-hour", type=int)
-    return parser.parse_args()
+    overlap = serving.add_mutually_exclusive_group()
+    overlap.add_argument("--cutoff-hour", type=int, help="default: the one the batch job stated")
+    overlap.add_argument("--additive", action="store_true", help="no click is in both tables")
+    args = parser.parse_args()
+    if args.job == "speed" and args.kind == "clicks" and args.delay:
+        parser.error("--delay is not for clicks: the last click of an hour needs no open hour")
+    if any("=" not in option for option in getattr(args, "kafka_option", [])):
+        parser.error("--kafka-option takes KEY=VALUE")
+    return args
 
 
 def _kafka(spark: SparkSession, args: argparse.Namespace):
-    extra = {}
+    extra = dict(option.split("=", 1) for option in args.kafka_option)
     if args.max_offsets_per_trigger:
         extra["maxOffsetsPerTrigger"] = args.max_offsets_per_trigger
     return kafka_stream(
@@ -68,24 +104,36 @@ def main() -> None:
     spark = configure(builder, *confs).getOrCreate()
 
     if args.job == "batch":
-        batch(spark, args.landed, args.out, args.since, args.until)
+        batch(
+            spark, args.landed, args.out, args.since, args.until, closed=args.closed,
+            hours=args.hours, once=args.once, rejects=args.rejects,
+        )
+    elif args.job == "close":
+        extra = StructType([*([PAYLOAD] if args.keep_payload else []), *(POSITION if args.keep_position else [])])
+        close_day(spark, args.landed, args.closed, args.day, args.files, extra)
     elif args.job == "serve":
         create_database(spark, args.database, args.location)
+        counts, stated = read_version(spark, args.batch, ACTIVITY_BY_PRODUCT)
+        cutoff = stated if args.cutoff_hour is None else args.cutoff_hour
         serve(
-            spark.read.parquet(args.batch),
+            counts,
             KeyedTable(spark, args.speed, ACTIVITY_BY_PRODUCT).read(),
             f"{args.database}.{args.table}",
             args.location,
-            args.cutoff_hour,
+            None if args.additive else cutoff,
+            args.additive,
         )
     else:
         trigger = {"processingTime": args.every} if args.every else None
         rows = _kafka(spark, args)
         if args.job == "ingest":
-            query = ingest(rows, args.path, args.checkpoint, trigger=trigger)
+            query = ingest(
+                rows, args.path, args.checkpoint, trigger=trigger, files=args.files,
+                keep_payload=args.keep_payload, keep_position=args.keep_position,
+            )
         else:
-            start, schema = SPEED[args.kind]
-            table = KeyedTable(spark, args.path, schema, files=args.files)
+            start, schema, order = SPEED[args.kind]
+            table = KeyedTable(spark, args.path, schema, files=args.files, order=order)
             options = {"delay": args.delay} if args.delay else {}
             query = start(rows, table, args.checkpoint, trigger=trigger, **options)
         query.awaitTermination()

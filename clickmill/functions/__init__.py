@@ -2,6 +2,7 @@ from clickmill.functions.codec import (
     classify_action,
     decode_clicks,
     delimited_fields,
+    delimited_line,
     encode_json,
     encode_tsv,
     numbered,
@@ -19,6 +20,7 @@ __all__ = [
     "date_parts",
     "decode_clicks",
     "delimited_fields",
+    "delimited_line",
     "encode_json",
     "encode_tsv",
     "hour_bucket",

@@ -34,16 +34,25 @@ def encode_json() -> Column:
     return F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
 
 
+# How a line says NULL, which is not the empty text. Leaving the field out would shift the later ones.
+NULL_FIELD = "\\N"
+
+
+def delimited_line(columns: list[str], delimiter: str = ";") -> Column:
+    """The columns as one line of text; delimited_fields reads it back."""
+    return F.concat_ws(delimiter, *(F.coalesce(F.col(name).cast("string"), F.lit(NULL_FIELD)) for name in columns))
+
+
 def encode_tsv() -> Column:
-    """The event as one tab-separated line; the text sink adds the line end."""
-    return F.concat_ws("\t", *(F.col(name).cast("string") for name in EVENT_COLUMNS))
+    """The event as one tab-separated line; the text sink adds the line end. NULL is written as NULL_FIELD."""
+    return delimited_line(EVENT_COLUMNS, "\t")
 
 
 def delimited_fields(line, schema: StructType, delimiter: str = ";") -> list[Column]:
-    """One typed column per schema field; a missing or unreadable field is NULL."""
+    """One typed column per schema field; a missing or unreadable field is NULL, and so is NULL_FIELD."""
     parts = F.split(line, re.escape(delimiter), -1)
     return [
-        F.get(parts, F.lit(i)).try_cast(field.dataType).alias(field.name)
+        F.nullif(F.get(parts, F.lit(i)), F.lit(NULL_FIELD)).try_cast(field.dataType).alias(field.name)
         for i, field in enumerate(schema)
     ]
 

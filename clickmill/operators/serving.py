@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 from clickmill.operators.aggregates import key_order
 from clickmill.schema import COUNTS, KEYS
 
+SALTS = 16
+
 
 def apply_updates(base: DataFrame, speed: DataFrame) -> DataFrame:
     """Every base row, with the counts of the matching speed row added."""
@@ -48,22 +50,31 @@ def not_in(rows: DataFrame, listed: DataFrame, keys: list[str] = KEYS) -> DataFr
     SQL keeps a row only if it surely differs from every listed pair, and NULL may equal
     anything. Spark plans that test as a nested loop over all pairs; here each way to
     match is an equality join, and a row with no key left to join on asks only whether a
-    listed row of the right shape exists. Rows with a NULL, few if any, go separately, so
-    the others are not shuffled by a single column on their account.
+    listed row of the right shape exists. Of listed rows with a NULL only the distinct values
+    of the other column count. Where whole rows are tested by that one column, a salt made of
+    the other spreads its hot values.
     """
     a, b = (F.col(key) for key in keys)
     listed = listed.select(a.alias("_a"), b.alias("_b"))
     _a, _b = F.col("_a"), F.col("_b")
-    no_a, no_b = listed.where(_a.isNull()), listed.where(_b.isNull())
+    # At most one row for each value that stands beside a NULL.
+    no_a = listed.where(_a.isNull()).select("_b").distinct()
+    no_b = listed.where(_b.isNull()).select("_a").distinct()
     equal = {"_a": a == _a, "_b": b == _b}
 
     def without(rows, listed, *columns):
         on = [equal[column] for column in columns]
         return rows.join(listed.select(*columns).distinct(), on, "left_anti")
 
+    def without_salted(rows, values, column, key, other):
+        salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+        salted = rows.withColumn("_salt", F.pmod(F.hash(other), F.lit(SALTS)))
+        values = values.where(F.col(column).isNotNull()).withColumn("_of", salts)
+        return salted.join(values, (key == F.col(column)) & (F.col("_salt") == F.col("_of")), "left_anti").drop("_salt")
+
     whole = rows.where(a.isNotNull() & b.isNotNull())
     whole = without(whole, listed.where(_a.isNotNull() & _b.isNotNull()), "_a", "_b")
-    whole = without(without(whole, no_b, "_a"), no_a, "_b")
+    whole = without_salted(without_salted(whole, no_b, "_a", a, b), no_a, "_b", b, a)
     whole = whole.where(~no_a.where(_b.isNull()).exists())
 
     only_a = rows.where(a.isNotNull() & b.isNull()).where(~no_a.exists())

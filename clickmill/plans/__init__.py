@@ -1,10 +1,21 @@
 from clickmill.plans.jobs import (
+    CLICK_ORDER,
     batch,
     ingest,
+    quarantine,
     serve,
     speed_activity,
     speed_clicks,
     speed_visitors,
 )
 
-__all__ = ["batch", "ingest", "serve", "speed_activity", "speed_clicks", "speed_visitors"]
+__all__ = [
+    "CLICK_ORDER",
+    "batch",
+    "ingest",
+    "quarantine",
+    "serve",
+    "speed_activity",
+    "speed_clicks",
+    "speed_visitors",
+]

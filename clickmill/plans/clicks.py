@@ -1,17 +1,17 @@
 """The click events the registered queries run on, derived from the whole `events` table."""
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickmill.functions import encode_json, hour_bucket, numbered, previous_page
-from clickmill.schema import ACTIVITY
+from clickmill.schema import ACTIVITY, KAFKA_ROW
 from clickmill.sources import event_stream
 
 # The referrers.
 REFERRERS = ["Google", "Bing", "Yahoo", "Twitter", "Facebook", "Other", "Direct", "Internal"]
 
+DELIVERIES = 3  # micro-batches of a stream
+
 # Stating the types saves reading a footer before planning.
 EVENTS = (
     "event_id bigint, ts timestamp_ntz, user_id bigint, "
@@ -66,8 +66,20 @@ def kafka_rows(clicks: DataFrame, value=None) -> DataFrame:
     )
 
 
-def kafka_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events table read as a stream of Kafka rows."""
-    # The pattern matches the table as one file and as a directory; a stream takes no file path.
-    path = os.path.join(sf_dir, "events.parque[t]")
-    return kafka_rows(to_clicks(event_stream(spark, path, EVENTS_UTC)))
+def deliver(spark: SparkSession, sf_dir: str, topic: str, first: int = 0, until: int = DELIVERIES) -> None:
+    """Append deliveries of the clicks, as Kafka rows in the order of their time, to a folder.
+
+    The time that the events span is cut in DELIVERIES equal parts.
+    """
+    rows = clicks(spark, sf_dir)
+    start, end = rows.agg(F.min("eventtime"), F.max("eventtime")).first()
+    step = (end - start) // DELIVERIES + 1
+    for i in range(first, until):
+        part = rows.where(F.col("eventtime").between(start + i * step, start + (i + 1) * step - 1))
+        kafka_rows(part).write.mode("append").parquet(topic)
+
+
+def kafka_stream(spark: SparkSession, topic: str) -> DataFrame:
+    """Delivered Kafka rows as a stream that takes a DELIVERIES-th of their files, oldest first, at a time."""
+    files = len(spark.read.schema(KAFKA_ROW).parquet(topic).inputFiles())
+    return event_stream(spark, topic, KAFKA_ROW, maxFilesPerTrigger=-(-files // DELIVERIES))

@@ -9,28 +9,39 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StringType, StructField, StructType
 
-from clickmill.functions import date_parts, decode_clicks
+from clickmill.functions import date_parts, decode_clicks, within_hours
 from clickmill.operators import (
     activity_by_product,
     approx_visitors_by_product,
+    drop_duplicate_events,
     has_key,
     key_order,
     merge,
     rollup_by_product,
     split_malformed,
 )
-from clickmill.schema import ACTIVITY, EVENT_COLUMNS, KEYS, TABLES
+from clickmill.schema import ACTIVITY, BATCH_TABLES, EVENT_COLUMNS, KAFKA_ROW, KEYS, TABLES
 from clickmill.session import new_folder
-from clickmill.sources import landed, publish, write_table
+from clickmill.sources import landed, newest_version, publish, write_table, write_version
+from clickmill.sources.catalog import point_at
+from clickmill.sources.folders import delete
 from clickmill.streaming import (
     KeyedTable,
     StoreTable,
     start_files,
     start_upsert,
     watermarked_counts,
+    watermarked_visitors,
 )
 
+ACTIVITY_TABLE, VISITORS_TABLE = BATCH_TABLES
+#: The newest event of a key counts, and of events at one time the one whose columns are largest.
+CLICK_ORDER = EVENT_COLUMNS
+POSITION = StructType([f for f in KAFKA_ROW if f.name in ("topic", "partition", "offset")])
+PAYLOAD = StructField("payload", StringType())
+
 
 def ingest(
     rows: DataFrame,
@@ -39,21 +50,27 @@ def ingest(
     ingest_date: date | Column | None = None,
     file_format: str = "parquet",
     trigger: dict | None = None,
-    name: str = "clickStream",
+    name: str = "landing",
     keep_payload: bool = False,
+    keep_position: bool = False,
+    files: int | None = None,
 ) -> StreamingQuery:
     """Land decoded clicks by the day they are received; no row is left out.
 
     keep_payload adds the column `payload` with the text of those that got no key, so that
-    what could not be read can be looked into later.
+    what could not be read can be looked into later. keep_position adds POSITION, where a
+    click stood in Kafka, by which batch can tell repeated deliveries. `files` bounds the
+    files of a micro-batch, by a shuffle.
     """
     year, month, day = date_parts(ingest_date)
+    extra = []
     if keep_payload:
-        payload = F.when(~has_key(), F.col("value").cast("string")).alias("payload")
-        activity = decode_clicks(rows, keep=("value",)).select(*ACTIVITY.names, payload, day, month, year)
-    else:
-        activity = decode_clicks(rows).select("*", day, month, year)
-    return start_files(activity, path, checkpoint, file_format, trigger=trigger, name=name)
+        extra.append(F.when(~has_key(), F.col("value").cast("string")).alias(PAYLOAD.name))
+    if keep_position:
+        extra += [F.col(f.name) for f in POSITION]
+    keep = ("value",) * keep_payload + tuple(POSITION.names) * keep_position
+    activity = decode_clicks(rows, keep=keep).select(*ACTIVITY.names, *extra, day, month, year)
+    return start_files(activity, path, checkpoint, file_format, trigger=trigger, name=name, files=files)
 
 
 def speed_activity(
@@ -77,20 +94,32 @@ def speed_activity(
 
 
 def speed_visitors(
-    rows: DataFrame, table: KeyedTable | StoreTable, checkpoint: str, **options
+    rows: DataFrame,
+    table: KeyedTable | StoreTable,
+    checkpoint: str,
+    delay: str | None = None,
+    **options,
 ) -> StreamingQuery:
-    """Keep running approximate unique visitors per product and hour."""
-    visits = decode_clicks(rows, columns=[*KEYS, "visitor"])
-    return start_upsert(approx_visitors_by_product(visits), table, checkpoint, **options)
+    """Keep running approximate unique visitors per product and hour.
+
+    Each open hour holds a sketch of up to 4 KB; a delay closes hours as in speed_activity.
+    """
+    if delay is None:
+        visits = decode_clicks(rows, columns=[*KEYS, "visitor"])
+        visitors = approx_visitors_by_product(visits)
+    else:
+        visits = decode_clicks(rows, columns=["eventtime", "product", "visitor"])
+        visitors = watermarked_visitors(visits, delay)
+    return start_upsert(visitors, table, checkpoint, **options)
 
 
 def speed_clicks(
     rows: DataFrame, table: KeyedTable | StoreTable, checkpoint: str, **options
 ) -> StreamingQuery:
-    """Keep the last click of each product and hour."""
-    return start_upsert(
-        decode_clicks(rows), table, checkpoint, mode="append", order=EVENT_COLUMNS, **options
-    )
+    """Keep the last click of each product and hour, by the table's order: see CLICK_ORDER."""
+    if table.order is None:
+        raise ValueError("the last click needs a table with an order, such as CLICK_ORDER")
+    return start_upsert(decode_clicks(rows), table, checkpoint, mode="append", **options)
 
 
 def batch(
@@ -100,20 +129,69 @@ def batch(
     since: date | None = None,
     until: date | None = None,
     mode: str = "overwrite",
+    closed: str | None = None,
+    hours: int | None = None,
+    now: int | None = None,
+    once: bool = False,
+    rejects: bool = False,
+    database: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Recompute both batch tables from landed clicks: (activity, visitors).
 
-    One pass over the clicks gives both aggregates, which are stored together and then
-    written as a table each, sorted within its files.
+    One pass over the clicks gives both aggregates. They are stored together, written as a
+    version of a table each, sorted within its files, and then removed. Readers of the former
+    version keep their files; with mode "errorifexists" the job refuses to begin if there is
+    one. A catalog database, if named, is pointed at the new versions.
+
+    since and until bound the day of receipt, `hours` the age of the event's hour before `now`
+    (epoch seconds, by default the current time). Days rewritten by close_day are read from
+    `closed`. `once` drops repeated deliveries, for clicks landed with their position.
+    `rejects` writes the clicks without a key, with their payload if it was landed, as a
+    version of `rejected`.
+
+    The activity table states a cutoff for serve: its newest hour, which may still receive
+    clicks; every hour before counts from here.
     """
-    accepted, _ = split_malformed(landed(spark, landed_path, since, until))
-    both = write_table(rollup_by_product(accepted), new_folder(spark, "rollup"))
+    names = BATCH_TABLES
+    if mode == "errorifexists" and any(newest_version(spark, f"{out}/{name}") for name in names):
+        raise ValueError(f"{out} already holds batch tables")
+    extra = StructType([*([PAYLOAD] if rejects else []), *(POSITION if once else [])])
+    rows = landed(spark, landed_path, since, until, extra, closed)
+    if hours is not None:
+        rows = rows.where(within_hours(hours, now))
+    if once:
+        rows = drop_duplicate_events(rows, POSITION.names)
+    accepted, rejected = split_malformed(rows)
+    folder = new_folder(spark, "rollup")
+    both = write_table(rollup_by_product(accepted), folder)
+    cutoff = both.agg(F.max("timestamp_hour")).first()[0]
 
     def table(name: str) -> DataFrame:
         rows = both.select(TABLES[name].names).sortWithinPartitions(*key_order())
-        return write_table(rows, f"{out}/{name}", mode)
+        written = write_version(rows, f"{out}/{name}", cutoff if name == ACTIVITY_TABLE else None)
+        if database is not None:
+            point_at(spark, f"{database}.{name}", newest_version(spark, f"{out}/{name}"))
+        return written
+
+    tables = tuple(table(name) for name in (ACTIVITY_TABLE, VISITORS_TABLE))
+    if rejects:
+        write_version(rejected, f"{out}/rejected")
+    delete(spark, folder)
+    return tables
 
-    return table("batch_activity_by_product"), table("batch_visitors_by_product")
+
+def quarantine(rows: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
+    """Store decoded Kafka rows apart, in one pass: (accepted, rejected).
+
+    Both keep their position; a rejected one keeps the text of its payload as well.
+    """
+    keep = (*POSITION.names, "value")
+    decoded = decode_clicks(rows, keep=keep).withColumn("accepted", has_key())
+    payload = F.when(~F.col("accepted"), F.col("value").cast("string")).alias(PAYLOAD.name)
+    columns = [*ACTIVITY.names, *POSITION.names]
+    decoded.select(*columns, payload, "accepted").write.partitionBy("accepted").parquet(path)
+    stored = rows.sparkSession.read.schema(StructType([*ACTIVITY, *POSITION, PAYLOAD]).add("accepted", "boolean")).parquet(path)
+    return tuple(stored.where(F.col("accepted") == side).drop("accepted") for side in (True, False))
 
 
 def serve(
@@ -122,7 +200,15 @@ def serve(
     table: str,
     location: str,
     cutoff_hour: int | None = None,
+    additive: bool = False,
 ) -> str:
-    """Merge the batch and speed counts and publish them as the serving table."""
+    """Merge the batch and speed counts and publish them as the serving table.
+
+    With a cutoff, such as the one batch states, hours before it count from the batch table
+    and the others from the speed table. Only `additive` adds both up in every hour, which is
+    right if no click is in both.
+    """
+    if (cutoff_hour is None) != additive:
+        raise ValueError("give the hour at which speed counts take over, or say that the tables are additive")
     merged = merge(batch_table, speed_table, cutoff_hour, ordered=True)
     return publish(merged, table, location)

@@ -1,5 +1,6 @@
 """DuckDB SQL for the registered queries, over the same parquet tables."""
 
+# The referrers in it are fixed values.
 CLICKS = """
 WITH clicks AS (
   SELECT
@@ -33,6 +34,11 @@ VISITORS = """
   FROM clicks GROUP BY product, timestamp_hour
 """
 
+VISITORS_CLOSE = """
+  SELECT product, timestamp_hour, count(DISTINCT visitor) AS unique_visitors, true AS close
+  FROM clicks GROUP BY product, timestamp_hour
+"""
+
 LAYERS = f"""{CLICKS},
 batch AS (
   SELECT product, timestamp_hour, {COUNTS} FROM clicks
@@ -63,35 +69,6 @@ LAST_CLICK = """
   ) WHERE position = 1
 """
 
-TABLE_COLUMNS = [
-    ("activity_by_product", [
-        ("product", "string"), ("timestamp_hour", "bigint"), ("purchase_count", "bigint"),
-        ("add_to_cart_count", "bigint"), ("page_view_count", "bigint"),
-    ]),
-    ("visitors_by_product", [
-        ("product", "string"), ("timestamp_hour", "bigint"), ("unique_visitors", "bigint"),
-    ]),
-    ("click_events", [
-        ("eventtime", "bigint"), ("referrer", "string"), ("action", "string"),
-        ("prevpage", "string"), ("visitor", "string"), ("page", "string"),
-        ("product", "string"), ("timestamp_hour", "bigint"),
-    ]),
-]
-
-
-def _catalog_rows() -> str:
-    rows = [
-        f"('{layer}_{name}', {position}, '{column}', '{kind}')"
-        for name, columns in TABLE_COLUMNS
-        for layer in (["stream"] if name == "click_events" else ["stream", "batch"])
-        for position, (column, kind) in enumerate(columns)
-    ]
-    return (
-        "SELECT * FROM (VALUES " + ", ".join(rows)
-        + ") AS t(table_name, position, column_name, data_type)"
-    )
-
-
 ORACLE_SQL = {
     "click_events": f"{CLICKS} SELECT * FROM clicks",
     "parse_json": f"""{CLICKS}
@@ -99,23 +76,18 @@ ORACLE_SQL = {
                event_id // 8 AS "offset" FROM clicks""",
     "encode_json": f"{CLICKS} SELECT event_id, {JSON_TEXT} AS value FROM clicks",
     "encode_tsv": f"""{CLICKS}
-        SELECT event_id, concat_ws(chr(9), CAST(eventtime AS VARCHAR), referrer, action,
-                                   prevpage, visitor, page, product) AS line FROM clicks""",
+        SELECT event_id, eventtime || chr(9) || CASE referrer WHEN 'Other' THEN '\\N' ELSE referrer END
+          || chr(9) || action || chr(9) || prevpage || chr(9) || visitor || chr(9) || page
+          || chr(9) || product AS line FROM clicks""",
     "delimited_parse": """
-        SELECT event_id, CAST(ts AS VARCHAR) AS ts, user_id, event_type, value FROM events""",
+        SELECT event_id, CAST(ts AS VARCHAR) AS ts, user_id, value, props,
+               CASE WHEN event_type <> 'error' THEN event_type END AS event_type FROM events""",
     "hour_bucket": f"{CLICKS} SELECT event_id, eventtime, timestamp_hour FROM clicks",
-    "hour_bucket_literal": f"""{CLICKS}
-        SELECT event_id, CAST(eventtime AS DOUBLE) / 3600000 * 3600000 AS timestamp_hour
-        FROM clicks""",
     "ingest_date_parts": """
         SELECT event_id, CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month,
                CAST(day(ts) AS INTEGER) AS day FROM events""",
-    "prev_page": f"{CLICKS} SELECT event_id, referrer, visitor, page, prevpage FROM clicks",
-    "classify_action": """
-        SELECT event_id, CASE event_id % (user_id % 200 + 1) WHEN 0 THEN 'purchase'
-               WHEN 1 THEN 'add_to_cart' ELSE 'page_view' END AS action FROM events""",
     "recent_hours": f"""{CLICKS}
-        SELECT * FROM clicks WHERE 1706616000 - timestamp_hour / 1000 <= 60 * 60 * 6""",
+        SELECT {LANDED_COLUMNS} FROM clicks WHERE 1706616000 - timestamp_hour / 1000 <= 60 * 60 * 6""",
     "activity_by_product": CLICKS + ACTIVITY,
     "visitors_by_product": CLICKS + VISITORS,
     "activity_view": CLICKS + ACTIVITY,
@@ -154,6 +126,12 @@ ORACLE_SQL = {
     "serving_merge": CLICKS + ACTIVITY,
     "serving_merge_cutoff": CLICKS + ACTIVITY,
     "serve": CLICKS + ACTIVITY,
+    "serving_insert_row": CLICKS + ACTIVITY + " UNION ALL SELECT 'Product-0', 0, 1, 2, 3",
+    "visitors_hll": CLICKS + VISITORS_CLOSE,
+    "stream_visitors_approx": CLICKS + VISITORS_CLOSE,
+    "ingest_formats": f"""{CLICKS}
+        SELECT {LANDED_COLUMNS}, 2024 AS year, 2 AS month, 1 AS day, unnest(['orc', 'json', 'csv']) AS format
+        FROM clicks""",
     "stream_ingest": f"""{CLICKS}
         SELECT {LANDED_COLUMNS}, 2024 AS year, 2 AS month, 1 AS day FROM clicks""",
     "stream_ingest_batch": f"""{CLICKS}, activity AS ({ACTIVITY}), visitors AS ({VISITORS})
@@ -171,16 +149,18 @@ ORACLE_SQL = {
     "batch_write_modes": CLICKS + VISITORS,
     "product_lines": """
         SELECT p_brand || ',' || p_name AS product, count(*) AS listed FROM part GROUP BY 1""",
-    "catalog_columns": _catalog_rows(),
     "quarantine": f"""{CLICKS}, delivered AS (
           SELECT *, action <> 'error' AS accepted, CAST(event_id % 8 AS INTEGER) AS partition,
-                 event_id // 8 AS "offset" FROM clicks)
-        SELECT CASE WHEN accepted THEN referrer END AS referrer,
+                 event_id // 8 AS "offset", {JSON_TEXT} AS json FROM clicks)
+        SELECT CASE WHEN accepted THEN CAST(eventtime AS VARCHAR) END AS eventtime,
+          CASE WHEN accepted THEN referrer END AS referrer,
           CASE WHEN accepted THEN action END AS action,
           CASE WHEN accepted THEN prevpage END AS prevpage,
           CASE WHEN accepted THEN visitor END AS visitor,
           CASE WHEN accepted THEN page END AS page,
           CASE WHEN accepted THEN product END AS product,
-          accepted, partition, "offset" FROM delivered""",
+          CASE WHEN accepted THEN CAST(timestamp_hour AS VARCHAR) END AS timestamp_hour,
+          'clicks' AS topic, partition, "offset", accepted,
+          CASE WHEN NOT accepted THEN substr(json, 2) END AS payload FROM delivered""",
     "dedup_events": f"{CLICKS} SELECT {LANDED_COLUMNS} FROM clicks",
 }

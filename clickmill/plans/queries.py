@@ -5,20 +5,20 @@ others the speed layer's: between them they hold every event, and many of their
 """
 
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from clickmill.functions import (
-    classify_action,
     date_parts,
     decode_clicks,
     delimited_fields,
+    delimited_line,
     encode_json,
     encode_tsv,
     hour_bucket,
-    hour_bucket_literal,
     within_hours,
 )
 from clickmill.operators import (
@@ -27,7 +27,6 @@ from clickmill.operators import (
     distinct_keys,
     drop_duplicate_events,
     estimate_visitors,
-    has_key,
     in_key_order,
     last_write_per_key,
     latest_hours,
@@ -39,28 +38,30 @@ from clickmill.operators import (
     visitors_by_product,
 )
 from clickmill.plans import jobs
-from clickmill.plans.clicks import clicks, events, kafka_rows, kafka_stream
+from clickmill.plans.clicks import DELIVERIES, clicks, deliver, events, kafka_rows, kafka_stream
 from clickmill.schema import (
     ACTIVITY,
     ACTIVITY_BY_PRODUCT,
+    INGEST_DATE,
     KEYS,
     VISITORS_BY_PRODUCT,
 )
 from clickmill.session import new_folder
 from clickmill.sources import (
-    create_tables,
+    close_day,
     landed,
-    list_columns,
     publish,
     swap_table,
     text_lines,
     write_table,
 )
+from clickmill.sources.files import DAYS
 from clickmill.streaming import KeyedTable, start_files, start_replace, watermarked_counts
 
 INGEST_DAY = date(2024, 2, 1)
 NOW = 1_706_616_000  # 2024-01-30 12:00 UTC, within the last hours of the events
 CUTOFF_HOUR = 1_705_276_800_000  # 2024-01-15 00:00 UTC, the middle of the events
+STANDARD_ERROR = 0.05  # of a sketch, at most
 SEARCH_ENGINES = ["Google", "Bing", "Yahoo"]
 RUN_ONCE = {"trigger": {"availableNow": True}}
 
@@ -99,15 +100,18 @@ def encode_json_query(spark, sf_dir):
 
 
 def encode_tsv_query(spark, sf_dir):
-    return clicks(spark, sf_dir).select("event_id", encode_tsv().alias("line"))
+    """The referrer of every eighth click is NULL."""
+    rows = clicks(spark, sf_dir)
+    rows = rows.withColumn("referrer", F.when(F.col("referrer") != "Other", F.col("referrer")))
+    return rows.select("event_id", encode_tsv().alias("line"))
 
 
 def delimited_parse(spark, sf_dir):
-    """Join typed columns with semicolons, then read them back."""
+    """Join typed columns, some of them NULL, with semicolons, then read them back."""
     rows = events(spark, sf_dir)
-    wanted = StructType([f for f in rows.schema if f.name != "props"])
-    line = F.concat_ws(";", *(F.col(name).cast("string") for name in wanted.names))
-    parsed = rows.select(line.alias("line")).select(*delimited_fields("line", wanted))
+    rows = rows.withColumn("event_type", F.when(F.col("event_type") != "error", F.col("event_type")))
+    lines = rows.select(delimited_line(rows.columns).alias("line"))
+    parsed = lines.select(*delimited_fields("line", rows.schema))
     return parsed.withColumn("ts", F.col("ts").cast("string"))
 
 
@@ -120,27 +124,18 @@ def hour_bucket_query(spark, sf_dir):
     )
 
 
-def hour_bucket_literal_query(spark, sf_dir):
-    return clicks(spark, sf_dir).select(
-        "event_id", hour_bucket_literal("eventtime").alias("timestamp_hour")
-    )
-
-
 def ingest_date_parts(spark, sf_dir):
     return events(spark, sf_dir).select("event_id", *date_parts(F.col("ts")))
 
 
-def prev_page(spark, sf_dir):
-    return clicks(spark, sf_dir).select("event_id", "referrer", "visitor", "page", "prevpage")
-
-
-def classify_action_query(spark, sf_dir):
-    action = classify_action(F.col("event_id"), F.col("user_id") % 200 + 1)
-    return events(spark, sf_dir).select("event_id", action.alias("action"))
-
-
 def recent_hours(spark, sf_dir):
-    return clicks(spark, sf_dir).where(within_hours(6, NOW))
+    """Over landed clicks whose day was rewritten in the order of the hour."""
+    folder = new_folder(spark, "recent")
+    rows = clicks(spark, sf_dir).select(*ACTIVITY.names, *date_parts(INGEST_DAY))
+    rows.write.partitionBy(*INGEST_DATE).parquet(f"{folder}/landed")
+    close_day(spark, f"{folder}/landed", f"{folder}/closed", INGEST_DAY, files=4)
+    stored = landed(spark, f"{folder}/landed", closed=f"{folder}/closed")
+    return stored.where(within_hours(6, NOW)).drop(*INGEST_DATE)
 
 
 # Aggregates
@@ -186,10 +181,20 @@ def latest_hours_query(spark, sf_dir):
     return latest_hours(activity_by_product(clicks(spark, sf_dir)), 3)
 
 
+def _beside_exact(estimated, spark, sf_dir):
+    """Exact unique visitors, and whether the estimate is within four standard errors, or one visitor, of them."""
+    exact = visitors_by_product(clicks(spark, sf_dir))
+    estimated = estimated.withColumnRenamed("unique_visitors", "estimate")
+    away = F.abs(F.col("estimate") - F.col("unique_visitors"))
+    close = away <= 1 + 4 * STANDARD_ERROR * F.col("unique_visitors")
+    return exact.join(estimated, KEYS, "full").select(*KEYS, "unique_visitors", close.alias("close"))
+
+
 def visitors_hll(spark, sf_dir):
-    """Sketches of the two layers, merged."""
+    """Sketches of the two layers, merged, beside the exact counts."""
     batch, speed = _layers(clicks(spark, sf_dir))
-    return estimate_visitors(merge_sketches(visitor_sketches(batch), visitor_sketches(speed)))
+    merged = merge_sketches(visitor_sketches(batch), visitor_sketches(speed))
+    return _beside_exact(estimate_visitors(merged), spark, sf_dir)
 
 
 # Serving
@@ -249,75 +254,101 @@ def serve(spark, sf_dir):
     folder = new_folder(spark, "serve")
     table = f"serving_layer_{folder[-12:]}"
     publish(in_key_order(batch), table, folder)
-    jobs.serve(spark.table(table), speed, table, folder)
+    jobs.serve(spark.table(table), speed, table, folder, additive=True)
+    return spark.table(table)
+
+
+def serving_insert_row(spark, sf_dir):
+    """The table with one more row, of literal values."""
+    folder = new_folder(spark, "insert")
+    table = f"activity_{folder[-12:]}"
+    publish(activity_by_product(clicks(spark, sf_dir)), table, folder)
+    spark.sql(f"INSERT INTO {table} VALUES ('Product-0', 0, 1, 2, 3)")
     return spark.table(table)
 
 
-# Streams, run until all input is read
+# Streams of several micro-batches, run until all input is read
+
+
+def _topic(spark, sf_dir, label):
+    """A new folder, and the clicks as a stream of Kafka rows delivered there."""
+    folder = new_folder(spark, label)
+    deliver(spark, sf_dir, f"{folder}/topic")
+    return folder, kafka_stream(spark, f"{folder}/topic")
 
 
 def stream_ingest(spark, sf_dir):
-    folder = new_folder(spark, "ingest")
-    query = jobs.ingest(
-        kafka_stream(spark, sf_dir), f"{folder}/table", f"{folder}/checkpoint", INGEST_DAY, **RUN_ONCE
-    )
+    folder, rows = _topic(spark, sf_dir, "ingest")
+    query = jobs.ingest(rows, f"{folder}/table", f"{folder}/checkpoint", INGEST_DAY, **RUN_ONCE)
     query.awaitTermination()
     return landed(spark, f"{folder}/table", since=INGEST_DAY, until=INGEST_DAY)
 
 
 def stream_ingest_batch(spark, sf_dir):
-    """Land the stream, then recompute the batch tables from what was landed."""
+    """Land the stream, every delivery twice, then recompute the batch tables from what was landed."""
     folder = new_folder(spark, "ingest-batch")
-    jobs.ingest(
-        kafka_stream(spark, sf_dir), f"{folder}/table", f"{folder}/checkpoint", INGEST_DAY, **RUN_ONCE
-    ).awaitTermination()
-    activity, visitors = jobs.batch(spark, f"{folder}/table", folder)
+    for _ in range(2):
+        deliver(spark, sf_dir, f"{folder}/topic")
+    rows = kafka_stream(spark, f"{folder}/topic")
+    options = {"keep_position": True, "files": 2, **RUN_ONCE}
+    jobs.ingest(rows, f"{folder}/table", f"{folder}/checkpoint", INGEST_DAY, **options).awaitTermination()
+    activity, visitors = jobs.batch(spark, f"{folder}/table", folder, once=True)
     return activity.join(visitors, KEYS)
 
 
+def ingest_formats(spark, sf_dir):
+    """The same stream landed in each of the other formats and read back."""
+    folder, rows = _topic(spark, sf_dir, "formats")
+    found = []
+    for name in ("orc", "json", "csv"):
+        path = f"{folder}/{name}"
+        jobs.ingest(rows, path, f"{path}-checkpoint", INGEST_DAY, name, **RUN_ONCE).awaitTermination()
+        back = spark.read.format(name).schema(StructType([*ACTIVITY, *DAYS])).load(path)
+        # Csv has no empty text of its own.
+        found.append(back.fillna("", ["prevpage"]).withColumn("format", F.lit(name)))
+    return reduce(DataFrame.unionByName, found)
+
+
 def stream_activity(spark, sf_dir):
+    """The stream stops after the first delivery and goes on from its checkpoint."""
     folder = new_folder(spark, "activity")
     table = KeyedTable(spark, f"{folder}/table", ACTIVITY_BY_PRODUCT)
-    query = jobs.speed_activity(
-        kafka_stream(spark, sf_dir), table, f"{folder}/checkpoint", **RUN_ONCE
-    )
-    query.awaitTermination()
+    for first, until in ((0, 1), (1, DELIVERIES)):
+        deliver(spark, sf_dir, f"{folder}/topic", first, until)
+        rows = kafka_stream(spark, f"{folder}/topic")
+        jobs.speed_activity(rows, table, f"{folder}/checkpoint", **RUN_ONCE).awaitTermination()
     return table.read()
 
 
 def stream_visitors_approx(spark, sf_dir):
-    folder = new_folder(spark, "visitors")
+    """Hours are forgotten a day after they end; deliveries in order lose none by that."""
+    folder, rows = _topic(spark, sf_dir, "visitors")
     table = KeyedTable(spark, f"{folder}/table", VISITORS_BY_PRODUCT)
-    query = jobs.speed_visitors(
-        kafka_stream(spark, sf_dir), table, f"{folder}/checkpoint", **RUN_ONCE
-    )
+    query = jobs.speed_visitors(rows, table, f"{folder}/checkpoint", delay="1 day", **RUN_ONCE)
     query.awaitTermination()
-    return table.read()
+    return _beside_exact(table.read(), spark, sf_dir)
 
 
 def stream_clicks(spark, sf_dir):
-    folder = new_folder(spark, "clicks")
-    table = KeyedTable(spark, f"{folder}/table", ACTIVITY)
-    query = jobs.speed_clicks(
-        kafka_stream(spark, sf_dir), table, f"{folder}/checkpoint", **RUN_ONCE
-    )
-    query.awaitTermination()
+    folder, rows = _topic(spark, sf_dir, "clicks")
+    table = KeyedTable(spark, f"{folder}/table", ACTIVITY, order=jobs.CLICK_ORDER)
+    jobs.speed_clicks(rows, table, f"{folder}/checkpoint", **RUN_ONCE).awaitTermination()
     return table.read()
 
 
 def stream_complete(spark, sf_dir):
-    folder = new_folder(spark, "complete")
-    stream = activity_by_product(decode_clicks(kafka_stream(spark, sf_dir)))
-    query = start_replace(stream, f"{folder}/table", f"{folder}/checkpoint", **RUN_ONCE)
+    folder, rows = _topic(spark, sf_dir, "complete")
+    counts = activity_by_product(decode_clicks(rows))
+    query = start_replace(counts, f"{folder}/table", f"{folder}/checkpoint", **RUN_ONCE)
     query.awaitTermination()
     return spark.read.parquet(f"{folder}/table/batch={query.lastProgress.batchId}")
 
 
 def watermarked_hourly(spark, sf_dir):
-    folder = new_folder(spark, "hourly")
-    stream = watermarked_counts(decode_clicks(kafka_stream(spark, sf_dir)), "2 hours")
+    folder, rows = _topic(spark, sf_dir, "hourly")
+    counts = watermarked_counts(decode_clicks(rows), "2 hours")
     query = start_files(
-        stream, f"{folder}/table", f"{folder}/checkpoint", partition_by=[], **RUN_ONCE
+        counts, f"{folder}/table", f"{folder}/checkpoint", partition_by=[], **RUN_ONCE
     )
     query.awaitTermination()
     return spark.read.schema(ACTIVITY_BY_PRODUCT).parquet(f"{folder}/table")
@@ -342,33 +373,22 @@ def product_lines(spark, sf_dir):
     return text_lines(spark, path, "product").groupBy("product").agg(F.count("*").alias("listed"))
 
 
-def catalog_columns(spark, sf_dir):
-    """The columns of the keyed tables, after the batch tables were filled."""
-    folder = new_folder(spark, "catalog")
-    database = f"clicks_{folder[-12:]}"
-    create_tables(spark, database, folder)
-    rows = clicks(spark, sf_dir)
-    for name, table in (
-        ("batch_activity_by_product", activity_by_product(rows)),
-        ("batch_visitors_by_product", visitors_by_product(rows)),
-    ):
-        table.write.insertInto(f"{database}.{name}")
-    return list_columns(spark, database)
-
-
 # Delivery faults
 
 
 def quarantine(spark, sf_dir):
-    """Every delivered row, marked accepted or rejected."""
-    rows = decode_clicks(_damaged(spark, sf_dir), keep=("partition", "offset"))
-    return rows.withColumn("accepted", has_key()).drop("eventtime", "timestamp_hour")
+    """Every delivered row, accepted or rejected, as the two sides were stored; times as text, as some are NULL."""
+    accepted, rejected = jobs.quarantine(_damaged(spark, sf_dir), new_folder(spark, "quarantine"))
+    sides = (accepted.withColumn("accepted", F.lit(True)), rejected.withColumn("accepted", F.lit(False)))
+    times = {name: F.col(name).cast("string") for name in ("eventtime", "timestamp_hour")}
+    return sides[0].unionByName(sides[1]).withColumns(times)
 
 
 def dedup_events(spark, sf_dir):
-    """Every event delivered twice; the Kafka position tells the copies."""
+    """Every event delivered again a second later; the Kafka position tells the copies."""
     rows = kafka_rows(clicks(spark, sf_dir))
-    once = drop_duplicate_events(rows.unionByName(rows), ["offset", "partition", "topic"])
+    again = rows.withColumn("timestamp", F.col("timestamp") + F.expr("INTERVAL 1 SECOND"))
+    once = drop_duplicate_events(rows.unionByName(again), ["offset", "partition", "topic"])
     return decode_clicks(once)
 
 
@@ -379,10 +399,7 @@ QUERIES = {
     "encode_tsv": encode_tsv_query,
     "delimited_parse": delimited_parse,
     "hour_bucket": hour_bucket_query,
-    "hour_bucket_literal": hour_bucket_literal_query,
     "ingest_date_parts": ingest_date_parts,
-    "prev_page": prev_page,
-    "classify_action": classify_action_query,
     "recent_hours": recent_hours,
     "activity_by_product": activity_by_product_query,
     "visitors_by_product": visitors_by_product_query,
@@ -399,8 +416,10 @@ QUERIES = {
     "serving_merge": serving_merge,
     "serving_merge_cutoff": serving_merge_cutoff,
     "serve": serve,
+    "serving_insert_row": serving_insert_row,
     "stream_ingest": stream_ingest,
     "stream_ingest_batch": stream_ingest_batch,
+    "ingest_formats": ingest_formats,
     "stream_activity": stream_activity,
     "stream_visitors_approx": stream_visitors_approx,
     "stream_clicks": stream_clicks,
@@ -408,7 +427,6 @@ QUERIES = {
     "watermarked_hourly": watermarked_hourly,
     "batch_write_modes": batch_write_modes,
     "product_lines": product_lines,
-    "catalog_columns": catalog_columns,
     "quarantine": quarantine,
     "dedup_events": dedup_events,
 }

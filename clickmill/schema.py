@@ -4,7 +4,6 @@ from pyspark.sql.types import (
     BinaryType,
     IntegerType,
     LongType,
-    MapType,
     StringType,
     StructField,
     StructType,
@@ -59,16 +58,6 @@ VISITORS_BY_PRODUCT = _struct(
     timestamp_hour=_LONG,
     unique_visitors=_LONG,
 )
-TYPED_ACTIVITY = _struct(
-    timestamp_hour=_LONG,
-    referrer=_TEXT,
-    action=_TEXT,
-    prevPage=_TEXT,
-    visitor=_TEXT,
-    page=_TEXT,
-    product=_TEXT,
-    inputProps=MapType(_TEXT, _TEXT),
-)
 TABLES = {
     "stream_click_events": ACTIVITY,
     "stream_activity_by_product": ACTIVITY_BY_PRODUCT,
@@ -76,6 +65,7 @@ TABLES = {
     "batch_activity_by_product": ACTIVITY_BY_PRODUCT,
     "batch_visitors_by_product": VISITORS_BY_PRODUCT,
 }
+BATCH_TABLES = [name for name in TABLES if name.startswith("batch_")]
 KEYS = ["product", "timestamp_hour"]
 INGEST_DATE = ["year", "month", "day"]
 COUNTED_ACTIONS = {

@@ -7,11 +7,23 @@ from clickmill.sources.catalog import (
     publish,
     swap_table,
 )
-from clickmill.sources.files import event_stream, landed, text_lines, write_table
+from clickmill.sources.files import (
+    close_day,
+    closed_days,
+    event_stream,
+    landed,
+    newest_version,
+    read_version,
+    text_lines,
+    write_table,
+    write_version,
+)
 from clickmill.sources.kafka import kafka_options, kafka_stream, kafka_values, write_kafka
 from clickmill.sources.store import write_store
 
 __all__ = [
+    "close_day",
+    "closed_days",
     "create_database",
     "create_tables",
     "event_stream",
@@ -22,10 +34,13 @@ __all__ = [
     "list_columns",
     "list_databases",
     "list_tables",
+    "newest_version",
     "publish",
+    "read_version",
     "swap_table",
     "text_lines",
     "write_kafka",
     "write_store",
     "write_table",
+    "write_version",
 ]

@@ -1,11 +1,13 @@
 """Catalog tables of the serving database."""
 
+import re
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from clickmill.schema import KEYS, TABLES
+from clickmill.schema import BATCH_TABLES, KEYS, TABLES
+from clickmill.sources.folders import children, delete
 
 
 def create_database(spark: SparkSession, database: str, location: str) -> None:
@@ -17,13 +19,16 @@ def _column_list(schema: StructType) -> str:
 
 
 def create_tables(spark: SparkSession, database: str, location: str) -> None:
-    """The database and its five keyed tables, each where absent.
+    """The database and its batch tables, each where absent.
 
     Parquet enforces no key, so the key and the order of the files are recorded as table
-    properties for readers and kept by the writers of this package.
+    properties for readers and kept by the batch job, which points the tables at each new
+    version. The speed tables resolve their keys when read, which a catalog table cannot: read
+    them with KeyedTable.read, as a temporary view if SQL is to reach them.
     """
     create_database(spark, database, location)
-    for name, schema in TABLES.items():
+    for name in BATCH_TABLES:
+        schema = TABLES[name]
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {database}.{name} ({_column_list(schema)}) USING parquet "
             f"LOCATION '{location}/{name}' TBLPROPERTIES "
@@ -31,6 +36,12 @@ def create_tables(spark: SparkSession, database: str, location: str) -> None:
         )
 
 
+def point_at(spark: SparkSession, table: str, path: str) -> None:
+    """Let a catalog table read the files of another folder."""
+    spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+    spark.catalog.refreshTable(table)
+
+
 def list_databases(spark: SparkSession) -> DataFrame:
     return spark.sql("SHOW DATABASES")
 
@@ -62,14 +73,21 @@ def publish(rows: DataFrame, table: str, location: str) -> str:
     """Write the rows, as they are ordered, as a new version below `location` and point the table at it.
 
     Readers see the former version or the new one, whole, and a query still running keeps
-    its files. Returns the new version's path; removing old ones is left to the caller.
+    its files: the version before stays, older ones are deleted. Returns the new version's
+    path.
     """
     spark = rows.sparkSession
-    path = f"{location}/{table.split('.')[-1]}-{uuid4().hex}"
+    stem = f"{table.split('.')[-1]}-"
+    name = f"{stem}{uuid4().hex}"
+    path = f"{location}/{name}"
     rows.write.parquet(path)
     if spark.catalog.tableExists(table):
-        spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
-        spark.catalog.refreshTable(table)
+        before = spark.sql(f"DESCRIBE FORMATTED {table}").where("col_name = 'Location'").first().data_type
+        point_at(spark, table, path)
+        kept = {name, before.rstrip("/").split("/")[-1]}
+        for old in children(spark, location):
+            if re.fullmatch(rf"{re.escape(stem)}[0-9a-f]{{32}}", old) and old not in kept:
+                delete(spark, f"{location}/{old}")
     else:
         spark.sql(f"CREATE TABLE {table} ({_column_list(rows.schema)}) USING parquet LOCATION '{path}'")
     return path

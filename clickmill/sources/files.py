@@ -4,26 +4,72 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StructField, StructType
+
+from clickmill.schema import ACTIVITY, INGEST_DATE
+from clickmill.sources.folders import children, delete, exists, read_note, write_note
+
+DAYS = StructType([StructField(name, IntegerType()) for name in INGEST_DATE])
 
 
 def landed(
-    spark: SparkSession, path: str, since: date | None = None, until: date | None = None
+    spark: SparkSession,
+    path: str,
+    since: date | None = None,
+    until: date | None = None,
+    extra: StructType = StructType(),
+    closed: str | None = None,
 ) -> DataFrame:
     """Landed activity, optionally only what was ingested in [since, until].
 
-    The range is tested on the partition columns, so other days are not even listed as
-    input. It bounds the ingest date, not the time of the events.
+    The range is tested on the partition columns and bounds the ingest date, not the time of
+    the events. All folders are listed, but files of other days are not read. The schema is
+    stated, so no file is opened to infer it; `extra` names columns that ingest was asked to
+    land besides. Days that close_day has rewritten below `closed` are read from there.
     """
-    rows = spark.read.parquet(path)
-    day = F.make_date("year", "month", "day")
+    schema = StructType([*ACTIVITY, *extra, *DAYS])
+    rows = _read(spark, path, schema)
+    done = closed_days(spark, closed) if closed else []
+    if done:
+        year, month, day = (F.col(name) for name in INGEST_DATE)
+        is_done = F.make_date(year, month, day).isin(done)
+        rows = rows.where(~is_done).unionByName(_read(spark, closed, schema).where(is_done))
+    ingested = F.make_date(*INGEST_DATE)
     if since is not None:
-        rows = rows.where(day >= F.lit(since))
+        rows = rows.where(ingested >= F.lit(since))
     if until is not None:
-        rows = rows.where(day <= F.lit(until))
+        rows = rows.where(ingested <= F.lit(until))
     return rows
 
 
+def _read(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    return spark.read.schema(schema).parquet(path).select(schema.names)
+
+
+def _day_folder(path: str, day: date) -> str:
+    return f"{path}/year={day.year}/month={day.month}/day={day.day}"
+
+
+def closed_days(spark: SparkSession, closed: str) -> list[date]:
+    """The days that close_day has finished."""
+    return [date.fromisoformat(name.removeprefix("_closed-")) for name in children(spark, closed) if name.startswith("_closed-")]
+
+
+def close_day(
+    spark: SparkSession, path: str, closed: str, day: date, files: int, extra: StructType = StructType()
+) -> None:
+    """Rewrite a day that receives no more clicks into a few files, in the order of their hour.
+
+    A filter on hours then skips whole row groups, and a recompute opens few files. Rows are
+    neither lost nor doubled if this stops midway: the day counts as closed only by a note
+    written last, and running it again replaces what was written.
+    """
+    rows = landed(spark, path, day, day, extra).drop(*INGEST_DATE)
+    ordered = rows.repartitionByRange(files, "timestamp_hour").sortWithinPartitions("timestamp_hour")
+    ordered.write.mode("overwrite").parquet(_day_folder(closed, day))
+    write_note(spark, f"{closed}/_closed-{day.isoformat()}", str(files))
+
+
 def event_stream(spark: SparkSession, path: str, schema: StructType | str, **options) -> DataFrame:
     """A parquet directory, or files matching a pattern, read as a stream from the beginning."""
     return spark.readStream.schema(schema).options(**options).parquet(path)
@@ -35,10 +81,48 @@ def text_lines(spark: SparkSession, path: str, name: str = "value") -> DataFrame
 
 
 def write_table(rows: DataFrame, path: str, mode: str = "overwrite") -> DataFrame:
-    """Write a batch table and return it as read back.
+    """Write a table and return it as read back.
 
-    The default replaces the former content, so a recompute can run again; "errorifexists"
-    refuses to.
+    The default replaces the former content, which readers under way lose; write_version
+    keeps it for them. "errorifexists" refuses to.
     """
     rows.write.mode(mode).parquet(path)
-    return rows.sparkSession.read.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    names = [name for name in children(spark, path) if name.startswith("v")]
+    return sorted(int(name[1:]) for name in names if exists(spark, f"{path}/{name}/_SUCCESS"))
+
+
+def write_version(rows: DataFrame, path: str, cutoff: int | None = None) -> DataFrame:
+    """Write a new version of a batch table and return it as read back.
+
+    Readers find the newest whole version, so one that fails midway changes nothing. The
+    version before stays for queries under way; older ones are deleted. `cutoff` is the hour
+    that serve may take speed counts from.
+    """
+    spark = rows.sparkSession
+    kept = _versions(spark, path)
+    number = kept[-1] + 1 if kept else 1
+    rows.write.mode("overwrite").parquet(f"{path}/v{number}")
+    if cutoff is not None:
+        write_note(spark, f"{path}/v{number}/_cutoff", str(cutoff))
+    for old in kept[:-1]:
+        delete(spark, f"{path}/v{old}")
+    return spark.read.schema(rows.schema).parquet(f"{path}/v{number}")
+
+
+def newest_version(spark: SparkSession, path: str) -> str | None:
+    """The folder of the newest whole version, None if there is none."""
+    kept = _versions(spark, path)
+    return f"{path}/v{kept[-1]}" if kept else None
+
+
+def read_version(spark: SparkSession, path: str, schema: StructType) -> tuple[DataFrame, int | None]:
+    """The newest whole version of a batch table and its cutoff."""
+    folder = newest_version(spark, path)
+    if folder is None:
+        raise ValueError(f"{path} holds no whole version of a batch table")
+    cutoff = read_note(spark, f"{folder}/_cutoff")
+    return spark.read.schema(schema).parquet(folder), None if cutoff is None else int(cutoff)

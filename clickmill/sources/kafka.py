@@ -25,8 +25,14 @@ def kafka_stream(spark: SparkSession, servers: str, topic: str, **options) -> Da
     return spark.readStream.format("kafka").options(**kafka_options(servers, topic, **options)).load()
 
 
-def kafka_sink_options(servers: str, topic: str, acks: str = "all") -> dict[str, str]:
-    return {"kafka.bootstrap.servers": servers, "topic": topic, "kafka.acks": acks}
+def kafka_sink_options(servers: str, topic: str, acks: str = "all", **options) -> dict[str, str]:
+    """Sink options; further ones, such as kafka.security.protocol or kafka.compression.type, reach the client."""
+    return {
+        "kafka.bootstrap.servers": servers,
+        "topic": topic,
+        "kafka.acks": acks,
+        **{key: str(value) for key, value in options.items()},
+    }
 
 
 def kafka_values(activity: DataFrame, value: Column | None = None) -> DataFrame:
@@ -34,6 +40,7 @@ def kafka_values(activity: DataFrame, value: Column | None = None) -> DataFrame:
     return activity.select((encode_json() if value is None else value).alias("value"))
 
 
-def write_kafka(activity: DataFrame, servers: str, topic: str) -> None:
+def write_kafka(activity: DataFrame, servers: str, topic: str, **options) -> None:
     """Send a batch frame to a topic; for a stream see streaming.start_kafka."""
-    kafka_values(activity).write.format("kafka").options(**kafka_sink_options(servers, topic)).save()
+    sink = kafka_sink_options(servers, topic, **options)
+    kafka_values(activity).write.format("kafka").options(**sink).save()

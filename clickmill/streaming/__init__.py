@@ -1,4 +1,4 @@
-from clickmill.streaming.hourly import watermarked_counts
+from clickmill.streaming.hourly import watermarked_counts, watermarked_visitors
 from clickmill.streaming.keyed_table import KeyedTable
 from clickmill.streaming.sinks import (
     RowWriter,
@@ -24,4 +24,5 @@ __all__ = [
     "start_replace",
     "start_upsert",
     "watermarked_counts",
+    "watermarked_visitors",
 ]

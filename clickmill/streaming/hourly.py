@@ -1,9 +1,10 @@
 """Hourly counts with bounded state: an hour is forgotten once the watermark has passed it."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickmill.operators.aggregates import action_counts
+from clickmill.operators.sketches import estimate_visitors
 from clickmill.schema import COUNTS
 
 
@@ -14,12 +15,23 @@ def watermarked_counts(activity: DataFrame, delay: str) -> DataFrame:
     the newest event time seen is `delay` past the hour's end. Clicks that come later than
     that are not counted, so the delay must cover their disorder.
     """
+    return watermarked(activity, delay, action_counts(), COUNTS)
+
+
+def watermarked_visitors(activity: DataFrame, delay: str) -> DataFrame:
+    """approx_visitors_by_product with bounded state: an hour's sketch is forgotten like its counts."""
+    sketch = F.hll_sketch_agg("visitor").alias("visitors")
+    return estimate_visitors(watermarked(activity, delay, [sketch], ["visitors"]))
+
+
+def watermarked(activity: DataFrame, delay: str, aggregates: list[Column], names: list[str]) -> DataFrame:
+    """Aggregates of each product and hour until the watermark has passed the hour."""
     timed = activity.withColumn("event_ts", F.timestamp_millis("eventtime"))
     counted = (
         timed.withWatermark("event_ts", delay)
         .groupBy("product", F.window("event_ts", "1 hour").alias("hour"))
-        .agg(*action_counts())
+        .agg(*aggregates)
     )
     return counted.select(
-        "product", F.unix_millis("hour.start").alias("timestamp_hour"), *COUNTS
+        "product", F.unix_millis("hour.start").alias("timestamp_hour"), *names
     )

@@ -2,9 +2,10 @@
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructType
+from pyspark.sql.types import LongType, NumericType, StructType
 
 from clickmill.schema import KEYS
+from clickmill.sources.folders import check_owner, checkpoint_id, children, delete, exists, set_owner
 
 
 class KeyedTable:
@@ -16,6 +17,9 @@ class KeyedTable:
     snapshot. Versions are deleted one compaction after a snapshot has replaced them, so
     queries under way keep their files, and stopping at any point leaves the table right.
 
+    Of several rows of a key the one of the newest micro-batch counts; with `order`, the
+    latest by those columns, so that where micro-batches are cut makes no difference.
+
     A version has a file per task of the stream unless `files` bounds them, by a shuffle of
     the changed rows; with thousands of state partitions it should.
     """
@@ -28,6 +32,7 @@ class KeyedTable:
         keys: list[str] = KEYS,
         compact_every: int = 100,
         files: int | None = None,
+        order: list[str] | None = None,
     ):
         self.spark = spark
         self.path = path.rstrip("/")
@@ -35,15 +40,15 @@ class KeyedTable:
         self.keys = list(keys)
         self.compact_every = compact_every
         self.files = files
+        self.order = order
 
     def check(self, checkpoint: str) -> None:
-        """Refuse a new checkpoint on a filled table.
+        """Refuse a checkpoint other than the one whose micro-batches fill the table."""
+        check_owner(self.spark, self.path, checkpoint, filled=bool(self.versions()))
 
-        Running counts live in the checkpoint; without them totals already in the table
-        would be overwritten by partial ones.
-        """
-        if self.versions() and not self._exists(f"{checkpoint}/offsets"):
-            raise ValueError(f"{self.path} holds data, but the checkpoint {checkpoint} is new")
+    def bind(self, checkpoint: str) -> None:
+        """From now on the table belongs to a checkpoint whose query has started."""
+        set_owner(self.spark, self.path, checkpoint_id(self.spark, checkpoint))
 
     def upsert(self, rows: DataFrame, batch_id: int) -> None:
         """Write the rows of a micro-batch; each key must occur at most once in it.
@@ -67,19 +72,16 @@ class KeyedTable:
         if len(versions) - start < 2:
             return
         for version in versions[:start]:
-            self._delete(version)
+            delete(self.spark, self._folder(version))
         # In hour order, so that a filter on recent hours skips most of a snapshot.
         rows = self._resolve(versions[start:]).sortWithinPartitions(*self.keys[::-1])
         rows.write.mode("overwrite").parquet(self._folder(versions[-1] + 1))
 
     def versions(self) -> list[int]:
         """Versions whose write finished, oldest first."""
-        if not self._exists(self.path):
-            return []
-        filesystem, path = self._hadoop(self.path)
-        folders = [status.getPath() for status in filesystem.listStatus(path)]
-        done = [f for f in folders if self._exists(f"{f}/_SUCCESS")]
-        return sorted(int(f.getName().removeprefix("version=")) for f in done)
+        names = [n for n in children(self.spark, self.path) if n.startswith("version=")]
+        done = [n for n in names if exists(self.spark, f"{self.path}/{n}/_SUCCESS")]
+        return sorted(int(n.removeprefix("version=")) for n in done)
 
     @staticmethod
     def _newest_snapshot(versions: list[int]) -> int:
@@ -93,24 +95,13 @@ class KeyedTable:
         rows = reader.parquet(*map(self._folder, versions))
         if len(versions) == 1:
             return rows.select(self.schema.names)
-        values = [name for name in self.schema.names if name not in self.keys]
-        return (
-            rows.groupBy(*self.keys)
-            .agg(*(F.max_by(name, "version").alias(name) for name in values))
-            .select(self.schema.names)
-        )
+        values = [f for f in self.schema if f.name not in self.keys]
+        if self.order is None and all(isinstance(f.dataType, NumericType) for f in values):
+            # Kept in place by a hash aggregate, which a struct or a text is not.
+            newest = [F.max_by(f.name, "version").alias(f.name) for f in values]
+            return rows.groupBy(*self.keys).agg(*newest).select(self.schema.names)
+        newest = F.max_by(F.struct(*(f.name for f in values)), F.struct(*(self.order or []), "version"))
+        return rows.groupBy(*self.keys).agg(newest.alias("newest")).select(*self.keys, "newest.*").select(self.schema.names)
 
     def _folder(self, version: int) -> str:
         return f"{self.path}/version={version}"
-
-    def _hadoop(self, path: str):
-        hadoop_path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return hadoop_path.getFileSystem(self.spark._jsc.hadoopConfiguration()), hadoop_path
-
-    def _exists(self, path: str) -> bool:
-        filesystem, hadoop_path = self._hadoop(path)
-        return filesystem.exists(hadoop_path)
-
-    def _delete(self, version: int) -> None:
-        filesystem, hadoop_path = self._hadoop(self._folder(version))
-        filesystem.delete(hadoop_path, True)

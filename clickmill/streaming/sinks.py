@@ -12,6 +12,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from clickmill.operators.aggregates import last_write_per_key
 from clickmill.schema import INGEST_DATE
+from clickmill.sources.folders import check_owner, children, delete, exists, set_owner
 from clickmill.sources.kafka import kafka_sink_options, kafka_values
 from clickmill.streaming.keyed_table import KeyedTable
 from clickmill.streaming.store_table import StoreTable
@@ -45,12 +46,17 @@ def start_files(
     """Append to partitioned files (parquet, orc, json or csv), exactly once.
 
     Each task writes its own files; `files` bounds them per micro-batch, by a shuffle, and
-    suits aggregates with many state partitions.
+    suits aggregates with many state partitions. The sink skips the micro-batches that its
+    log already holds, by number, so only the checkpoint that filled a path may go on with it.
     """
+    spark = stream.sparkSession
+    check_owner(spark, path, checkpoint, filled=exists(spark, f"{path}/_spark_metadata"))
     if files is not None:
         stream = stream.repartition(files)
     writer = _writer(stream, "append", checkpoint, trigger, name)
-    return writer.partitionBy(*partition_by).format(file_format).start(path)
+    query = writer.partitionBy(*partition_by).format(file_format).start(path)
+    set_owner(spark, path, query.id)
+    return query
 
 
 def start_upsert(
@@ -58,20 +64,20 @@ def start_upsert(
     table: KeyedTable | StoreTable,
     checkpoint: str,
     mode: str = "update",
-    order: list[str] | None = None,
     trigger: dict | None = None,
     name: str | None = None,
 ) -> StreamingQuery:
     """Upsert every micro-batch into a keyed table.
 
-    Aggregates in update mode send each key once. For plain rows give `order`: the last row
-    of each key is kept.
+    Aggregates in update mode send each key once. For plain rows the table's `order` tells
+    which of a key's rows is kept.
     """
     table.check(checkpoint)
 
     def write(rows: DataFrame, batch_id: int) -> None:
-        if order is not None:
-            rows = last_write_per_key(rows, order, table.keys)
+        table.bind(checkpoint)
+        if table.order is not None:
+            rows = last_write_per_key(rows, table.order, table.keys)
         table.upsert(rows, batch_id)
 
     return _writer(stream, mode, checkpoint, trigger, name).foreachBatch(write).start()
@@ -86,11 +92,15 @@ def start_replace(
 ) -> StreamingQuery:
     """Complete mode to files: each micro-batch writes the whole result as `path/batch=n`.
 
-    Former results stay until the caller removes them.
+    The result before stays for queries under way; older ones are deleted.
     """
 
     def write(rows: DataFrame, batch_id: int) -> None:
         rows.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        spark = rows.sparkSession
+        for old in children(spark, path):
+            if old.startswith("batch=") and int(old.removeprefix("batch=")) < batch_id - 1:
+                delete(spark, f"{path}/{old}")
 
     return _writer(stream, "complete", checkpoint, trigger, name).foreachBatch(write).start()
 
@@ -101,10 +111,11 @@ def start_kafka(
     topic: str,
     checkpoint: str,
     trigger: dict | None = None,
+    **options,
 ) -> StreamingQuery:
-    """Send activity rows to a Kafka topic as JSON values."""
+    """Send activity rows to a Kafka topic as JSON values; `options` are the client's."""
     writer = _writer(kafka_values(activity), "append", checkpoint, trigger)
-    return writer.format("kafka").options(**kafka_sink_options(servers, topic)).start()
+    return writer.format("kafka").options(**kafka_sink_options(servers, topic, **options)).start()
 
 
 def start_console(

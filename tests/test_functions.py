@@ -9,6 +9,7 @@ from clickmill.functions import (
     date_parts,
     decode_clicks,
     delimited_fields,
+    delimited_line,
     encode_json,
     encode_tsv,
     hour_bucket,
@@ -16,7 +17,7 @@ from clickmill.functions import (
     previous_page,
     within_hours,
 )
-from clickmill.schema import ACTIVITY, CLICK_EVENT, KAFKA_ROW, TYPED_ACTIVITY
+from clickmill.schema import ACTIVITY, CLICK_EVENT, KAFKA_ROW
 
 EMPTY = dict.fromkeys(ACTIVITY.names)
 
@@ -127,6 +128,20 @@ def test_delimited_fields_give_null_for_bad_or_missing_parts(spark):
     assert parsed[4] == (None, None, None, None)
 
 
+def test_null_fields_keep_their_place(spark):
+    schema = StructType.fromDDL("id bigint, a string, b string, n int")
+    rows = spark.createDataFrame([(1, None, "b", 2), (None, "", None, None)], schema)
+    lines = rows.select(delimited_line(rows.columns).alias("line"))
+    assert [r.line for r in lines.collect()] == ["1;\\N;b;2", "\\N;;\\N;\\N"]
+    parsed = lines.select(*delimited_fields("line", schema))
+    assert [tuple(r) for r in parsed.collect()] == [tuple(r) for r in rows.collect()]
+
+
+def test_tsv_of_an_event_with_nulls(spark):
+    rows = spark.createDataFrame([(5, None, "a", "", "v", "p", None, 0)], ACTIVITY)
+    assert rows.select(encode_tsv()).first()[0] == "5\t\\N\ta\t\tv\tp\t\\N"
+
+
 def test_delimiter_is_no_pattern(spark):
     schema = StructType.fromDDL("a string, b int")
     rows = spark.createDataFrame([("x.y|3",)], "line string")
@@ -154,7 +169,3 @@ def test_wire_contracts():
     ]
     assert all(field.nullable for s in (KAFKA_ROW, CLICK_EVENT, ACTIVITY) for field in s)
 
-
-def test_typed_activity_contract(spark):
-    rows = spark.createDataFrame([(0, "r", "a", "", "v", "p", "x", {"k": "1"})], TYPED_ACTIVITY)
-    assert rows.select("inputProps.k").first().k == "1"

@@ -5,7 +5,6 @@ from datetime import date
 
 import pytest
 
-from __spark_entry__ import queries
 from clickmill.functions import decode_clicks, within_hours
 from clickmill.operators import (
     activity_by_product,
@@ -19,11 +18,12 @@ from clickmill.operators import (
     visitors_by_product,
 )
 from clickmill.plans.clicks import clicks, kafka_rows
-from clickmill.schema import ACTIVITY, ACTIVITY_BY_PRODUCT, KEYS
+from clickmill.plans.queries import QUERIES
+from clickmill.schema import ACTIVITY, ACTIVITY_BY_PRODUCT, EVENT_COLUMNS, KEYS
 from clickmill.sources import landed
 from clickmill.streaming import KeyedTable
 
-PLAIN = [name for name in queries() if "stream" not in name and name != "watermarked_hourly"]
+PLAIN = [n for n in QUERIES if "stream" not in n and n not in ("watermarked_hourly", "ingest_formats")]
 
 
 def plan(frame) -> str:
@@ -61,7 +61,7 @@ def exchanges(text):
 
 @pytest.mark.parametrize("name", PLAIN)
 def test_no_python_no_cross_join_no_single_task(spark, sf_dir, name):
-    text = plan(queries()[name](spark, sf_dir))
+    text = plan(QUERIES[name](spark, sf_dir))
     for unwanted in ("Python", "InPandas", "NestedLoop", "Cartesian", "Exchange SinglePartition"):
         assert unwanted not in text
 
@@ -139,10 +139,41 @@ def test_update_and_insert_join_on_equal_keys(tables):
         assert "SortMergeJoin" in text and "NestedLoop" not in text
 
 
-def test_not_in_shuffles_only_null_rows_by_one_column(tables):
+def test_not_in_shuffles_whole_rows_by_two_columns(tables):
+    """By the key, then by one column and a salt of the other; only rows with a NULL go by one column."""
     batch, speed = tables
     text = plan(not_in(speed, batch))
-    assert "IsNull(product)" in text and "IsNull(timestamp_hour)" in text
+    keys = [re.sub(r"#\d+L?", "", k) for kind, k in exchanges(text) if kind == "hashpartitioning"]
+    by_one = [k for k in keys if "," not in k]
+    assert {"product, timestamp_hour", "product, _salt", "timestamp_hour, _salt"} <= set(keys)
+    # Two sides for rows with a NULL, and one for each list of distinct values.
+    assert len(by_one) <= 8 and "NestedLoop" not in text
+    whole = [k for k in keys if "," in k]
+    assert len(whole) >= 6
+
+
+def test_the_second_delivery_is_not_planned_away(spark, sf_dir):
+    text = plan(QUERIES["dedup_events"](spark, sf_dir))
+    assert "Union" in text and text.count("FileScan") == 2
+
+
+def test_recent_hours_skip_row_groups_of_closed_days(spark, sf_dir):
+    frame = QUERIES["recent_hours"](spark, sf_dir)
+    assert "GreaterThanOrEqual(timestamp_hour" in plan(frame)
+    rows = clicks(spark, sf_dir).count()
+    read = []
+
+    def walk(node):
+        if "FileScan" in node.nodeName() or "Scan" in node.nodeName():
+            read.append(node.metrics().apply("numOutputRows").value())
+        for i in range(node.children().size()):
+            walk(node.children().apply(i))
+
+    assert frame.count() > 0
+    done = frame._jdf.queryExecution()
+    done.toRdd().count()
+    walk(done.executedPlan())
+    assert 0 < sum(read) < rows / 2
 
 
 def test_keyed_table_reads_only_live_versions(spark, tmp_path):
@@ -152,6 +183,11 @@ def test_keyed_table_reads_only_live_versions(spark, tmp_path):
         table.upsert(rows, batch_id)
     text = plan(table.read())
     assert "HashAggregate" in text and "SortAggregate" not in text
+    clicks_table = KeyedTable(spark, str(tmp_path / "c"), ACTIVITY, order=EVENT_COLUMNS)
+    for batch_id in range(2):
+        clicks_table.upsert(spark.createDataFrame([], ACTIVITY), batch_id)
+    text = plan(clicks_table.read())
+    assert "functions=[max_by(" in text and ", max_by(" not in text
     table.compact()
     assert "Exchange" not in plan(table.read())
     assert {re.search(r"version=(\d+)", f)[1] for f in table.read().inputFiles()} == {"5"}

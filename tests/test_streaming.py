@@ -4,13 +4,24 @@ from datetime import date
 import pytest
 from pyspark.errors import AnalysisException, StreamingQueryException
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from clickmill.functions import decode_clicks
+from clickmill.functions import decode_clicks, within_hours
 from clickmill.operators import activity_by_product, drop_duplicate_events, last_write_per_key
-from clickmill.plans import jobs
+from clickmill.plans import jobs, queries
 from clickmill.plans.clicks import clicks, kafka_rows
-from clickmill.schema import ACTIVITY, ACTIVITY_BY_PRODUCT, EVENT_COLUMNS, KAFKA_ROW
-from clickmill.sources import event_stream, kafka_options, kafka_stream, kafka_values, landed
+from clickmill.schema import ACTIVITY, ACTIVITY_BY_PRODUCT, EVENT_COLUMNS, KAFKA_ROW, VISITORS_BY_PRODUCT
+from clickmill.sources import (
+    close_day,
+    closed_days,
+    event_stream,
+    kafka_options,
+    kafka_stream,
+    kafka_values,
+    landed,
+    newest_version,
+)
+from clickmill.sources.folders import children
 from clickmill.sources.kafka import kafka_sink_options, write_kafka
 from clickmill.streaming import (
     KeyedTable,
@@ -122,6 +133,33 @@ def test_a_new_checkpoint_on_a_filled_table_is_refused(spark, stream, folder):
         jobs.speed_activity(stream, table, folder("lost"), trigger=ONCE)
 
 
+def test_a_kept_checkpoint_on_an_empty_table_is_refused(spark, stream, folder):
+    table = KeyedTable(spark, folder("t"), ACTIVITY_BY_PRODUCT)
+    finish(jobs.speed_activity(stream, table, folder("c"), trigger=ONCE))
+    with pytest.raises(ValueError, match="does not hold"):
+        jobs.speed_activity(stream, KeyedTable(spark, folder("other"), ACTIVITY_BY_PRODUCT), folder("c"))
+
+
+def test_a_checkpoint_of_another_table_is_refused(spark, stream, folder):
+    for name in "ab":
+        table = KeyedTable(spark, folder(f"t{name}"), ACTIVITY_BY_PRODUCT)
+        finish(jobs.speed_activity(stream, table, folder(f"c{name}"), trigger=ONCE))
+    with pytest.raises(ValueError, match="another checkpoint"):
+        jobs.speed_activity(stream, table, folder("ca"), trigger=ONCE)
+
+
+def test_landing_takes_no_other_checkpoint(spark, stream, folder):
+    """The file sink would skip micro-batches that its log holds by number, and lose their rows."""
+    finish(jobs.ingest(stream, folder("t"), folder("c"), DAY, trigger=ONCE))
+    rows = landed(spark, folder("t")).count()
+    with pytest.raises(ValueError, match="new"):
+        jobs.ingest(stream, folder("t"), folder("c2"), DAY, trigger=ONCE)
+    with pytest.raises(ValueError, match="does not hold"):
+        jobs.ingest(stream, folder("empty"), folder("c"), DAY, trigger=ONCE)
+    finish(jobs.ingest(stream, folder("t"), folder("c"), DAY, trigger=ONCE))
+    assert landed(spark, folder("t")).count() == rows
+
+
 def test_replayed_micro_batch_changes_nothing(spark, folder):
     def batch(*rows):
         return spark.createDataFrame(rows, ACTIVITY_BY_PRODUCT)
@@ -154,19 +192,32 @@ def test_unfinished_write_is_not_read(spark, folder):
     assert table.read().count() == 1
 
 
-def test_last_clicks_within_one_micro_batch(spark, sf_dir, topic, folder):
-    table = KeyedTable(spark, folder("t"), ACTIVITY)
-    finish(jobs.speed_clicks(event_stream(spark, topic, KAFKA_ROW), table, folder("c"), trigger=ONCE))
+@pytest.mark.parametrize("files", [1, 4])
+def test_last_clicks_however_the_micro_batches_are_cut(spark, sf_dir, topic, folder, files):
+    """The topic's files hold clicks of all hours, so micro-batches are out of order."""
+    table = KeyedTable(spark, folder("t"), ACTIVITY, order=jobs.CLICK_ORDER, compact_every=3)
+    rows = event_stream(spark, topic, KAFKA_ROW, maxFilesPerTrigger=files)
+    finish(jobs.speed_clicks(rows, table, folder("c"), trigger=ONCE))
     expected = last_write_per_key(clicks(spark, sf_dir).drop("event_id"), EVENT_COLUMNS)
     assert rows_of(table.read()) == rows_of(expected)
 
 
-def test_later_micro_batch_wins(spark, folder):
-    table = KeyedTable(spark, folder("t"), ACTIVITY)
+def test_the_newest_event_wins_whenever_it_comes(spark, folder):
     older, newer = ((t, "r", "a", "", "v", "p", "x", 0) for t in (5, 9))
-    for batch_id, row in enumerate((newer, older)):
-        table.upsert(spark.createDataFrame([row], ACTIVITY), batch_id)
-    assert [tuple(r) for r in table.read().collect()] == [older]
+    for name, rows in (("a", (newer, older)), ("b", (older, newer)), ("c", (newer, older, older, newer))):
+        table = KeyedTable(spark, folder(name), ACTIVITY, order=jobs.CLICK_ORDER)
+        for batch_id, row in enumerate(rows):
+            table.upsert(spark.createDataFrame([row], ACTIVITY), batch_id)
+            # A replay of the same micro-batch.
+            table.upsert(spark.createDataFrame([row], ACTIVITY), batch_id)
+        assert [tuple(r) for r in table.read().collect()] == [newer]
+        table.compact()
+        assert [tuple(r) for r in table.read().collect()] == [newer]
+
+
+def test_last_clicks_need_an_order(stream, spark, folder):
+    with pytest.raises(ValueError, match="order"):
+        jobs.speed_clicks(stream, KeyedTable(spark, folder("t"), ACTIVITY), folder("c"))
 
 
 @pytest.mark.parametrize("file_format", ["parquet", "orc", "json", "csv"])
@@ -182,28 +233,88 @@ def test_ingest_formats(spark, sf_dir, stream, folder, file_format):
 
 def test_ingest_layout_and_batch_over_it(spark, sf_dir, stream, folder):
     query = jobs.ingest(stream, folder("t"), folder("c"), DAY, trigger=ONCE)
-    assert query.name == "clickStream"
+    assert query.name == "landing"
     finish(query)
     rows = landed(spark, folder("t"))
     assert rows.columns == [*ACTIVITY.names, "year", "month", "day"]
     assert landed(spark, folder("t"), since=date(2024, 2, 2)).count() == 0
     assert landed(spark, folder("t"), until=DAY).count() == rows.count()
-    # The recompute may run again over its own output.
+    # The recompute may run again; who read the former version still can, and no more is kept.
+    activity, visitors = jobs.batch(spark, folder("t"), folder("out"), mode="errorifexists")
+    before, _ = jobs.batch(spark, folder("t"), folder("out"))
     for _ in range(2):
-        activity, visitors = jobs.batch(spark, folder("t"), folder("out"))
-    assert rows_of(activity) == rows_of(activity_by_product(clicks(spark, sf_dir)))
-    assert visitors.count() == activity.count()
-    with pytest.raises(AnalysisException, match="PATH_ALREADY_EXISTS"):
+        expected = rows_of(activity_by_product(clicks(spark, sf_dir)))
+        after, _ = jobs.batch(spark, folder("t"), folder("out"))
+        assert rows_of(before) == rows_of(after) == expected
+        before = after
+        assert len(children(spark, f"{folder('out')}/batch_activity_by_product")) == 2
+    assert visitors.schema.names == VISITORS_BY_PRODUCT.names
+    with pytest.raises(ValueError, match="already"):
         jobs.batch(spark, folder("t"), folder("out"), mode="errorifexists")
 
 
+def test_batch_leaves_no_rollup_behind(spark, stream, folder, monkeypatch):
+    finish(jobs.ingest(stream, folder("t"), folder("c"), DAY, trigger=ONCE))
+    monkeypatch.setattr(jobs, "new_folder", lambda spark, label: f"{folder('scratch')}/{label}")
+    jobs.batch(spark, folder("t"), folder("out"))
+    assert children(spark, folder("scratch")) == []
+
+
+def test_redelivered_clicks_count_once(spark, sf_dir, topic, folder):
+    for index in (0, 1, 2, 3, 1):
+        part(spark, topic, index, folder("in"))
+    source = event_stream(spark, folder("in"), KAFKA_ROW, maxFilesPerTrigger=2)
+    finish(jobs.ingest(source, folder("t"), folder("c"), DAY, trigger=ONCE, keep_position=True))
+    expected = activity_by_product(clicks(spark, sf_dir))
+    activity, _ = jobs.batch(spark, folder("t"), folder("out"), once=True)
+    assert rows_of(activity) == rows_of(expected)
+    activity, _ = jobs.batch(spark, folder("t"), folder("out"))
+    assert rows_of(activity) != rows_of(expected)
+
+
+def test_closed_days_are_read_once_and_in_hour_order(spark, sf_dir, stream, folder):
+    finish(jobs.ingest(stream, folder("t"), folder("c"), DAY, trigger=ONCE, files=3))
+    close_day(spark, folder("t"), folder("closed"), DAY, files=2)
+    assert closed_days(spark, folder("closed")) == [DAY]
+    rows = landed(spark, folder("t"), closed=folder("closed"))
+    assert rows_of(rows) == rows_of(landed(spark, folder("t")))
+    files = spark.read.parquet(folder("closed")).inputFiles()
+    assert len(files) == 2
+    for file in files:
+        hours = [r.timestamp_hour for r in spark.read.parquet(file).collect()]
+        assert hours == sorted(hours)
+    activity, _ = jobs.batch(spark, folder("t"), folder("out"), closed=folder("closed"), hours=6, now=1_706_616_000)
+    recent = clicks(spark, sf_dir).where(within_hours(6, 1_706_616_000))
+    assert rows_of(activity) == rows_of(activity_by_product(recent))
+
+
+def test_batch_writes_rejects_with_their_payload(spark, folder):
+    payloads = ["not json", '{"eventTime":1,"product":"x"}', '{"product":"y"}']
+    rows = spark.createDataFrame([(p,) for p in payloads], "value string")
+    rows.select(F.col("value").cast("binary")).write.parquet(folder("in"))
+    source = event_stream(spark, folder("in"), "value binary")
+    finish(jobs.ingest(source, folder("t"), folder("c"), DAY, trigger=ONCE, keep_payload=True))
+    jobs.batch(spark, folder("t"), folder("out"), rejects=True)
+    found = spark.read.parquet(newest_version(spark, f"{folder('out')}/rejected"))
+    assert {r.payload for r in found.collect()} == {"not json", '{"product":"y"}'}
+
+
+@pytest.mark.parametrize("name", ["stream_activity", "stream_clicks", "stream_ingest", "stream_complete", "watermarked_hourly"])
+def test_registered_streams_take_several_micro_batches(spark, sf_dir, folder, monkeypatch, name):
+    monkeypatch.setattr(queries, "new_folder", lambda spark, label: folder(label))
+    assert queries.QUERIES[name](spark, sf_dir).count() > 0
+    label = name.removeprefix("stream_") if name != "watermarked_hourly" else "hourly"
+    commits = [c for c in children(spark, f"{folder(label)}/checkpoint/commits") if not c.endswith(".crc")]
+    assert len(commits) >= 3
+
+
 def test_ingest_keeps_what_it_cannot_read(spark, folder):
     payloads = ["not json", '{"eventTime":1,"product":"x"}', '{"product":"y"}']
     rows = spark.createDataFrame([(p,) for p in payloads], "value string")
     rows.select(F.col("value").cast("binary")).write.parquet(folder("in"))
     source = event_stream(spark, folder("in"), "value binary")
     finish(jobs.ingest(source, folder("t"), folder("c"), DAY, trigger=ONCE, keep_payload=True))
-    found = landed(spark, folder("t"))
+    found = landed(spark, folder("t"), extra=StructType([jobs.PAYLOAD]))
     assert found.count() == 3
     kept = found.where("payload IS NOT NULL").select("payload", "product").collect()
     assert {tuple(r) for r in kept} == {("not json", None), ('{"product":"y"}', "y")}
@@ -322,6 +433,24 @@ def test_running_counts_with_bounded_state(spark, folder):
     assert add(7)[0] == counts
 
 
+def test_running_visitors_with_bounded_state(spark, folder):
+    hour = 3_600_000
+    table = KeyedTable(spark, folder("t"), VISITORS_BY_PRODUCT)
+
+    def add(*clicks):
+        rows = [(json.dumps({"eventTime": t, "product": "x", "visitor": v}),) for t, v in clicks]
+        frame = spark.createDataFrame(rows, "value string").select(F.col("value").cast("binary"))
+        frame.coalesce(1).write.mode("append").parquet(folder("in"))
+        source = event_stream(spark, folder("in"), "value binary")
+        query = jobs.speed_visitors(source, table, folder("c"), delay="1 hour", trigger=ONCE)
+        finish(query)
+        return rows_of(table.read()), query.lastProgress.stateOperators[0].numRowsTotal
+
+    assert add((0, "a"), (10, "b"), (11, "a"), (hour, "a")) == ([("x", 0, 2), ("x", hour, 1)], 2)
+    visitors, state = add((9 * hour, "c"))
+    assert visitors == [("x", 0, 2), ("x", hour, 1), ("x", 9 * hour, 1)] and state == 1
+
+
 def test_repeated_deliveries_within_the_watermark(spark, topic, sf_dir, folder):
     rows = event_stream(spark, topic, KAFKA_ROW).withWatermark("timestamp", "1 day")
     once = drop_duplicate_events(rows.unionByName(rows), ["topic", "partition", "offset"])
@@ -362,8 +491,8 @@ def test_sql_over_a_view_of_the_stream(spark, sf_dir, stream, folder):
 
 
 def test_upsert_in_order(spark, stream, folder):
-    table = KeyedTable(spark, folder("t"), ACTIVITY, keys=["visitor"])
-    finish(start_upsert(decode_clicks(stream), table, folder("c"), "append", ["eventtime"], trigger=ONCE))
+    table = KeyedTable(spark, folder("t"), ACTIVITY, keys=["visitor"], order=["eventtime"])
+    finish(start_upsert(decode_clicks(stream), table, folder("c"), "append", trigger=ONCE))
     found = table.read()
     assert found.count() == found.select("visitor").distinct().count()
 
@@ -379,6 +508,8 @@ def test_kafka_options():
     assert kafka_sink_options("h:1", "clicks") == {
         "kafka.bootstrap.servers": "h:1", "topic": "clicks", "kafka.acks": "all",
     }
+    options = {"kafka.security.protocol": "SSL", "kafka.compression.type": "zstd"}
+    assert options.items() <= kafka_sink_options("h:1", "clicks", **options).items()
 
 
 def test_kafka_values_hold_the_json(spark, sf_dir):
