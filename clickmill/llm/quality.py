@@ -73,7 +73,7 @@ def learn(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE) -> Classifier
         return texts.map(describe)
 
     rows = sample.select("doc_id", "quality", of(text_bytes()).alias("x")).toPandas().sort_values("doc_id", kind="stable")
-    x = np.array(rows["x"].tolist()).reshape(len(rows), -1)
+    x = np.array(rows["x"].tolist()).reshape(len(rows), len(describe(b"")))
     return Classifier(x, rows["quality"].to_numpy(float))
 
 

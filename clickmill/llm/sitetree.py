@@ -73,7 +73,7 @@ class Page:
 def _element(tag: str, attributes: str, parent: Element) -> Element:
     found = {name.lower(): value.strip("\"'").lower() for name, value in ATTRIBUTE.findall(attributes)} if attributes else {}
     names = " ".join(found[a] for a in ("class", "id", "role", "itemprop") if a in found)
-    label = tag + "".join("." + re.sub(r"\d+", "", w) for w in sorted(names.split()))
+    label = tag + "".join("." + re.sub(r"\d{3,}", "", w) for w in sorted(names.split()))
     words = set(re.split(r"[^a-z]+", names)) if names else set()
     hidden = "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in found.get("style", "").replace(" ", "")
     noise = parent.noise or hidden or tag in NOISE_TAGS or bool(words & NOISE_WORDS) or (tag == "header" or "header" in words) and parent.level < MARKED

@@ -1,0 +1,116 @@
+import math
+import re
+from collections import Counter
+from html import unescape
+
+import pytest
+
+from clickmill.llm import sitetree
+from clickmill.llm.queries import QUERIES
+from clickmill.llm.sitetree import read_page
+
+SCHEMA = "page_id long, url string, html string, text string"
+
+
+def texts(html):
+    return [text for *_, text in read_page(html).blocks]
+
+
+def plain_article(html):
+    """What stands in the article of the given pages: their only marks there are h1, p, b and br."""
+    inner = re.search(r"<article>(.*?)</article>", html, re.S)[1]
+    blocks = re.split(r"</?(?:h1|p)>", inner)
+    found = [re.sub(r"\s+", " ", unescape(re.sub(r"</?\w+>", " ", b))).strip() for b in blocks]
+    return "\n".join(b for b in found if b)
+
+
+def test_given_pages(spark, sf_dir, tables):
+    pages = {p["page_id"]: p for p in tables("pages")}
+    rows = QUERIES["op10_html"](spark, sf_dir).collect()
+    assert len(rows) == len(pages)
+    for r in rows:
+        page = pages[r["page_id"]]
+        assert r["url"] == page["url"]
+        assert r["text"] == plain_article(page["html"])
+        assert r["n_chars"] == len(r["text"])
+
+
+@pytest.mark.parametrize(
+    "html, blocks",
+    [
+        ("a<p>b<p>c", ["a", "b", "c"]),
+        ("<p>x &amp; y&nbsp;z &lt;b&gt; &#233;&#x1F642; &copy</p>", ["x & y z <b> é\U0001f642 ©"]),
+        ("<p> one \n\t <b>two</b>\r\n<i>th</i>ree</p>", ["one two three"]),
+        ("<p>a<br>b<br/>c", ["a b c"]),
+        ("<script>var t='</p><p>x';</script><style>p{}</style><p>y", ["y"]),
+        ("<!-- <p>no</p> --><p>yes</p><!doctype html><?php no ?>", ["yes"]),
+        ("<p>1 < 2 and 3 > 2</p>", ["1 < 2 and 3 > 2"]),
+        ("<ul><li>a<li>b<ul><li>c</ul>d</ul>", ["a", "b", "c", "d"]),
+        ("<table><tr><td>a<td>b<tr><td>c</table>", ["a", "b", "c"]),
+        ('<p title="a > b">x</p><p data-x=\'<p>\'>y</p>', ["x", "y"]),
+        ("</p></div>x</b>", ["x"]),
+        ("<p>unclosed <b>bold", ["unclosed bold"]),
+        ("<title>T</title><textarea>t</textarea><p>x", ["x"]),
+        ("<script>never closed <p>x", []),
+        ("<p>broken <a href=\"x>y</a></p>", ["broken y"]),
+        ("", []),
+    ],
+)
+def test_parsing(html, blocks):
+    assert texts(html) == blocks
+
+
+PAGE = (
+    "<html><head><title>t</title></head><body><header>H<nav>m</nav></header><div class='cookie-notice'>c</div>"
+    "<div id='sidebar'>s</div><main><article><h1>{0}</h1><p>one {0}</p><aside>x</aside>"
+    "<section class='comments'><p>reader {0}</p></section><div class='share-buttons'>s</div></article></main>"
+    "<form><p>f</p></form><div class='ad-box'>buy {0}</div><footer>f</footer></body></html>"
+)
+
+
+def test_marked_parts_go(spark):
+    pages = [(i, f"http://h.org/{i}", PAGE.format(i), "x") for i in range(3)]
+    rows = sitetree.extract(spark, spark.createDataFrame(pages, SCHEMA)).orderBy("page_id").collect()
+    assert [r["text"] for r in rows] == [f"{i}\none {i}" for i in range(3)]
+
+
+def test_the_tree_finds_unmarked_noise(spark):
+    """Menus and footers without telling names repeat over a site; its texts do not."""
+    html = "<body><div class=k1><a>Home</a> <a>About</a></div><div class=k2><p>Text {0} of page</p><p>more {0}</p></div><div class=k3>All rights</div></body>"
+    pages = [(i, f"https://User@Site.org:80/{i}", html.format(i), "x") for i in range(8)]
+    # Too few pages to judge, and a page without a url.
+    pages += [(100, "https://lone.org/", html.format(100), "x"), (101, None, "<p>alone</p>", "x")]
+    found = {r["page_id"]: r["text"] for r in sitetree.extract(spark, spark.createDataFrame(pages, SCHEMA)).collect()}
+    assert found[3] == "Text 3 of page\nmore 3"
+    assert found[100] == "Home About\nText 100 of page\nmore 100\nAll rights"
+    assert found[101] == "alone"
+
+
+def test_importance_is_the_stated_entropy(spark):
+    shown = ["a", "a", "b", "c", "c", "c"]
+    pages = [(i, "http://h.org/", f"<div>{t}</div><p>own {i}</p>", "x") for i, t in enumerate(shown)]
+    tree = sitetree.style_tree(sitetree._parsed(spark.createDataFrame(pages, SCHEMA)))
+    found = {r["path"]: r for r in tree.collect()}
+    entropy = -sum(n / 6 * math.log(n / 6) for n in Counter(shown).values()) / math.log(6)
+    assert found["/div"]["pages"] == 6
+    assert found["/div"]["importance"] == pytest.approx(0.9 * entropy)
+    assert found["/p"]["importance"] == pytest.approx(0.9)
+
+
+def test_copies_of_a_page_do_not_make_it_noise(spark):
+    page = "<body><div class=k><p>the same long text</p></div></body>"
+    pages = [(i, "http://h.org/a", page, "x") for i in range(20)] + [(50, "http://h.org/b", "<body><div class=k><p>other</p></div></body>", "x")]
+    rows = sitetree.extract(spark, spark.createDataFrame(pages, SCHEMA)).collect()
+    assert Counter(r["text"] for r in rows) == {"the same long text": 20, "other": 1}
+
+
+def test_edge_cases(spark):
+    long = "<article>" + "<p>word &amp; word</p>" * 20_000 + "</article>"
+    rows = [(1, None, None, None), (2, "http://a.b/", "", "x"), (None, "http://a.b/", "<p>x</p>", "x"), (3, "not a url", long, "x"), (3, "not a url", long, "x"), (4, "http://a.b/", "<nav>only</nav>", "x")]
+    found = sitetree.extract(spark, spark.createDataFrame(rows, SCHEMA)).collect()
+    assert len(found) == 6
+    by_id = {r["page_id"]: r for r in found}
+    assert by_id[1]["text"] == by_id[2]["text"] == by_id[4]["text"] == "" and by_id[1]["n_chars"] == 0
+    assert by_id[None]["text"] == "x"
+    assert by_id[3]["text"] == "\n".join(["word & word"] * 20_000)
+    assert sitetree.extract(spark, spark.createDataFrame([], SCHEMA)).collect() == []
