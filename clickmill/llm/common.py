@@ -78,6 +78,17 @@ def local_components(size: int, left: np.ndarray, right: np.ndarray) -> np.ndarr
             return label
 
 
+HUB = 10_000  # links of a node that one task may hold
+
+
+def _with_smallest(links: DataFrame, total: int) -> DataFrame:
+    """Add m, the smallest b of each a. Nodes of very many links are joined by broadcast, of which there are at most 2,000."""
+    smallest = links.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))
+    hubs = F.broadcast(smallest.where(F.col("n") > max(HUB, total // 1000)).select("a", "m"))
+    others = links.join(hubs.select("a"), "a", "left_anti").join(smallest.select("a", "m"), "a")
+    return links.join(hubs, "a").unionByName(others)
+
+
 def components(spark: SparkSession, links: DataFrame) -> DataFrame:
     """Connected components of links (a, b): every linked node with the smallest it can reach.
 
@@ -95,11 +106,11 @@ def components(spark: SparkSession, links: DataFrame) -> DataFrame:
     state = links.agg(*summary).first()
     while True:
         both = links.select(*ends("a", "b")).unionAll(links.select(*ends("b", "a")))
-        nearest = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.where("b > a").join(nearest, "a").where("b <> m").select(*ends("b", "m"))
-        root = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(root, "a").where("b <> m").select(*ends("b", "m"))
-        links = stored(spark, small.unionAll(root.select(*ends("a", "m"))).distinct(), "links")
+        near = _with_smallest(both, state[0]).where("b > a")
+        large = near.select(F.col("b").alias("a"), F.least("a", "m").alias("b"))
+        small = _with_smallest(large, state[0])
+        below = small.where("b <> m").select(*ends("b", "m"))
+        links = stored(spark, below.unionAll(small.select(*ends("a", "m"))).distinct(), "links")
         before, state = state, links.agg(*summary).first()
         if state == before:
             roots = links.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()

@@ -5,7 +5,7 @@ import pytest
 import xxhash
 from brute import plain_components
 
-from clickmill.llm import simhash
+from clickmill.llm import common, simhash
 from clickmill.llm.common import components
 from clickmill.llm.queries import QUERIES
 
@@ -84,9 +84,21 @@ def test_keep_one(spark, edge_docs, no_docs, make_docs):
     assert len(simhash.keep_one(spark, nameless).collect()) == 2
 
 
-def test_components_of_chains_stars_and_hot_nodes(spark):
+@pytest.mark.parametrize("hub", [3, common.HUB])
+def test_components_of_chains_stars_and_hubs(spark, monkeypatch, hub):
+    monkeypatch.setattr(common, "HUB", hub)
     chain = [(i, i + 1) for i in range(100, 160)]
     star = [(7, i) for i in range(1000, 1300)]
     links = spark.createDataFrame(chain + star + [(3, 3), (None, 4), (1100, 2)], "a long, b long")
     found = {r["node"]: r["root"] for r in components(spark, links).collect()}
     assert found == {i: 100 for i in range(100, 161)} | {i: 2 for i in [2, 7, *range(1000, 1300)]}
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_components_of_random_links(spark, monkeypatch, seed):
+    monkeypatch.setattr(common, "HUB", 2)
+    random = np.random.default_rng(seed)
+    links = [(int(a), int(b)) for a, b in random.integers(0, 300, (220, 2))]
+    expected = plain_components(range(300), links)
+    found = {r["node"]: r["root"] for r in components(spark, spark.createDataFrame(links, "a long, b long")).collect()}
+    assert {i: found.get(i, i) for i in range(300)} == expected
