@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from clickmill.llm import brown, kmtree, mixing, packing, quality, rangejoin, sharding, simhash, sitetree, toxicity
+from clickmill.llm import brown, kmtree, mixing, oracle, packing, quality, rangejoin, sharding, simhash, sitetree, toxicity
 from clickmill.llm.common import table
 
 
@@ -46,7 +46,9 @@ def op7_packing(spark, sf_dir):
 
 
 def op8_mixing(spark, sf_dir):
-    return mixing.mix(spark, table(spark, sf_dir, "documents"), weights=(1, 2, 3), most_passes=3)
+    """position is the time of a document's first copy, -1 if it is not taken."""
+    plan = mixing.mix(spark, table(spark, sf_dir, "documents"), weights=(1, 2, 3), most_passes=3)
+    return plan.withColumn("position", F.coalesce(F.get("positions", F.lit(0)), F.lit(-1.0))).drop("positions")
 
 
 def op9_simhash(spark, sf_dir):
@@ -72,4 +74,4 @@ QUERIES = {
     "op10_html": op10_html,
 }
 
-ORACLE_SQL = {}
+ORACLE_SQL = {"op2_embedding_near_dup": oracle.NEAR_VECTORS, "op8_mixing": oracle.MIX}

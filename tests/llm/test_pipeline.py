@@ -7,6 +7,8 @@ from collections import Counter
 from itertools import combinations
 from pathlib import Path
 
+import duckdb
+import pandas as pd
 import pytest
 from brute import plain_components
 from test_mixing import plain_mix
@@ -17,7 +19,7 @@ import corpus_pipeline
 from __spark_entry__ import oracle_sql, queries
 from clickmill.llm import quality, toxicity
 from clickmill.llm.common import table
-from clickmill.llm.queries import QUERIES
+from clickmill.llm.queries import ORACLE_SQL, QUERIES
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -81,6 +83,17 @@ def test_run_is_the_stages(spark, sf_dir, stages):
     assert found.exceptAll(expected).count() == expected.exceptAll(found).count() == 0
 
 
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
+def test_matches_oracle(spark, sf_dir, name):
+    duck = duckdb.connect()
+    for t in ("documents", "embeddings"):
+        duck.sql(f"CREATE VIEW {t} AS SELECT * FROM '{sf_dir}/{t}.parquet'")
+    ours, theirs = QUERIES[name](spark, sf_dir).toPandas(), duck.sql(ORACLE_SQL[name]).df()
+    order = sorted(ours.columns)
+    ours, theirs = (f[order].sort_values(order).reset_index(drop=True) for f in (ours, theirs))
+    pd.testing.assert_frame_equal(ours, theirs, check_exact=True)
+
+
 def test_every_operator_and_the_pipeline_are_registered():
     names = queries()
     for number in range(1, 11):
