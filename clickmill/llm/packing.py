@@ -1,14 +1,12 @@
 """Best-fit packing of tokenised documents by minimum bin slack."""
 
 import os
-import sys
 import unicodedata
 import zlib
 from array import array
 from collections import defaultdict
 from collections.abc import Iterator
 from itertools import chain, islice
-from types import ModuleType
 
 import numpy as np
 import pandas as pd
@@ -21,15 +19,20 @@ from clickmill.llm.prefix import pieces_of, with_running_total
 
 CAPACITY = 4096
 END_ID = 1
-CACHED = 1_000_000  # words whose ids a Python worker remembers
+CACHED = 600_000  # words whose ids a task remembers
 AT_ONCE = 4_000_000  # bytes of text
 
+# How byte-level vocabularies write bytes: printable ones as themselves, the others, in order, from 256 on.
+SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+BYTE_LEVEL = {byte: 256 + i for i, byte in enumerate(sorted(set(range(256)) - set(SHOWN)))}
+
 
 class WordIds:
     """Ids of texts, from the remembered ids of their words.
 
     The tokenizer never joins what white space parts, so runs of other characters are
-    tokenised alone. Nor does it join a letter with the full stop or comma after it.
+    tokenised alone. Nor does it join a letter with the full stop or comma after it. What is
+    letters only, in lower case, is one piece to its last step, which is then called directly.
     """
 
     def __init__(self, tokenizer_path: str):
@@ -38,69 +41,77 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.merge = self.tokenizer.model.tokenize
         self.forget()
 
     def forget(self) -> None:
         self.numbers: dict[bytes, int] = defaultdict()
         self.numbers.default_factory = self.numbers.__len__
-        self.ids: list[bytes] = []  # of each run, as little-endian 32-bit numbers
+        # The ids of all runs in the order of their numbers, how many each has, and where they start.
         self.flat = np.zeros(0, "<u4")
-        self.count = self.first = np.zeros(0, np.int64)
+        self.count = np.zeros(0, np.int32)
+        self.first = np.zeros(0, np.int64)
 
     def learn(self) -> None:
         """Tokenise the runs that have numbers but no ids yet."""
-        of, known = self.numbers.__getitem__, len(self.ids)
-        new = list(islice(self.numbers, known, None))
-        stems = {run: run[:-1] for run in new if run[-1:] in (b".", b",") and _only_letters(run[:-1])}
-        for run, stem in stems.items():
-            of(stem), of(run[-1:])
+        of, known, merge = self.numbers.__getitem__, len(self.count), self.merge
+        stems = {}
+        for run in list(islice(self.numbers, known, None)):
+            if run[-1:] in (b".", b",") and _only_letters(run[:-1]):
+                stems[run] = run[:-1]
+                of(run[:-1]), of(run[-1:])
         new = list(islice(self.numbers, known, None))
-        whole = [run for run in new if run not in stems]
-        encoded = self.tokenizer.encode_batch_fast([run.decode(errors="replace") for run in whole], add_special_tokens=False)
-        found = {run: array("I", e.ids).tobytes() for run, e in zip(whole, encoded, strict=True)}
+        found, others = {}, []
+        for run in new:
+            if run in stems:
+                continue
+            if not _only_letters(run):
+                others.append(run)
+                continue
+            text = run.decode() if run.isascii() else run.decode("latin-1").translate(BYTE_LEVEL)
+            found[run] = array("I", [token.id for token in merge(text)]).tobytes()
+        encoded = self.tokenizer.encode_batch_fast([run.decode(errors="replace") for run in others], add_special_tokens=False)
+        found |= {run: array("I", e.ids).tobytes() for run, e in zip(others, encoded, strict=True)}
 
         def ids(run: bytes) -> bytes:
             number = of(run)
-            return self.ids[number] if number < known else found[run]
+            if number >= known:
+                return found[run]
+            return self.flat[self.first[number] :][: self.count[number]].tobytes()
 
-        self.ids += [ids(stems[run]) + ids(run[-1:]) if run in stems else found[run] for run in new]
-        more = b"".join(self.ids[known:])
-        self.flat = np.concatenate([self.flat, np.frombuffer(more, "<u4")])
-        self.count = np.concatenate([self.count, np.array([len(i) // 4 for i in self.ids[known:]], np.int64)])
-        self.first = np.cumsum(self.count) - self.count
+        more = [ids(stems[run]) + ids(run[-1:]) if run in stems else found[run] for run in new]
+        self.flat = np.concatenate([self.flat, np.frombuffer(b"".join(more), "<u4")])
+        self.count = np.concatenate([self.count, np.array([len(i) // 4 for i in more], np.int32)])
+        self.first = np.cumsum(self.count, dtype=np.int64) - self.count
 
     def of(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, one after the other, and the number of each."""
         if len(self.numbers) > CACHED:
             self.forget()
-        # Lowering A-Z first changes no ids where there are no combining characters to meet.
-        runs = [(text.lower() if text.isascii() else text).split() for text in texts]
+        runs = [_lowered(text).split() for text in texts]
         lengths = [len(r) for r in runs]
         number = self.numbers.__getitem__
         words = np.fromiter(chain.from_iterable(map(number, text) for text in runs), np.int32, sum(lengths))
-        if len(self.numbers) > len(self.ids):
+        if len(self.numbers) > len(self.count):
             self.learn()
         count = self.count[words]
-        end = np.cumsum(count)
+        end = np.cumsum(count, dtype=np.int64)
         place = np.repeat(self.first[words] - end + count, count) + np.arange(end[-1] if len(end) else 0)
         edges = np.concatenate(([0], end))[np.concatenate(([0], np.cumsum(lengths)))]
         return self.flat[place], np.diff(edges)
 
 
+def _lowered(text: bytes) -> bytes:
+    """The text with A-Z in lower case, unless it has an accent (U+0300 to U+036F) that one of them might join."""
+    return text if b"\xcc" in text or b"\xcd" in text else text.lower()
+
+
 def _only_letters(run: bytes) -> bool:
-    """Whether a run is of letters that stay letters when normalised and lowered."""
+    """Whether a run is of letters, in lower case, that normalising leaves as they are."""
     if run.isascii():
-        return run.isalpha()
+        return run.isalpha() and run.islower()
     text = run.decode(errors="replace")
-    return text.isalpha() and text.lower().isalpha() and unicodedata.is_normalized("NFC", text)
-
-
-def _word_ids(tokenizer_path: str) -> WordIds:
-    """What this Python worker has remembered; Spark gives a worker one task after another."""
-    kept = sys.modules.setdefault("clickmill_remembered_words", ModuleType("clickmill_remembered_words"))
-    if tokenizer_path not in vars(kept):
-        vars(kept)[tokenizer_path] = WordIds(tokenizer_path)
-    return vars(kept)[tokenizer_path]
+    return text.isalpha() and text.lower() == text and unicodedata.is_normalized("NFC", text)
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
@@ -123,7 +134,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_i
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = _word_ids(tokenizer_path)
+        words = WordIds(tokenizer_path)
         for batch in batches:
             doc_ids, texts, size = [], [], 0
             for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist()):
