@@ -42,15 +42,20 @@ def configure(builder: SparkSession.Builder, *confs: dict) -> SparkSession.Build
     return builder
 
 
+_own_folders: list[tempfile.TemporaryDirectory] = []  # removed when the process ends
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
     """A fresh path in the folder named by spark.checkpoint.dir, which all executors share.
 
-    A local session may name none and then gets a temporary folder; on a cluster that would
-    be out of the other machines' reach.
+    A local session that names none gets one temporary folder for as long as the process
+    lives; on a cluster that would be out of the other machines' reach.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared is None:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        shared = tempfile.mkdtemp(prefix="run-")
+        _own_folders.append(tempfile.TemporaryDirectory(prefix="run-", ignore_cleanup_errors=True))
+        shared = _own_folders[-1].name
+        spark.conf.set("spark.checkpoint.dir", shared)
     return f"{shared.rstrip('/')}/clickmill/{label}-{uuid4().hex}"

@@ -153,12 +153,11 @@ def test_text_lines_are_opaque(spark, tmp_path):
     assert sorted(r.product for r in lines) == ["A,B", "A,B", 'Trident,"White Gum, Spearmint"']
 
 
-def test_new_folder_lies_in_the_shared_folder(spark):
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+def test_new_folders_lie_in_one_shared_folder(spark):
     first, second = new_folder(spark, "x"), new_folder(spark, "x")
+    shared = spark.conf.get("spark.checkpoint.dir")
     assert first != second
-    if shared is not None:
-        assert first.startswith(shared)
+    assert first.startswith(f"{shared}/") and second.startswith(f"{shared}/")
 
 
 def test_configure_applies_settings_in_order():
