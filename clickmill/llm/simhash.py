@@ -182,8 +182,8 @@ def keep_one(spark: SparkSession, docs: DataFrame, shingle_words: int = 4, max_b
     nameless = docs.where("doc_id is null")
     if nameless.isEmpty():
         return kept
-    alone = found.where("component_id is null").groupBy("fp").agg(F.lit(None).alias("nothing"))
-    roots = components(spark, links(spark, alone.select("fp"), max_bits))
+    alone = found.where("component_id is null").select("fp").distinct()
+    roots = components(spark, links(spark, alone, max_bits))
     lone = alone.join(roots, F.col("fp") == F.col("node"), "left").where("root is null or root = fp").select("fp")
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     prints = fingerprints(nameless.select(F.struct(whole).alias("doc_id"), "text"), shingle_words)
