@@ -13,20 +13,39 @@ from pyspark.sql import functions as F
 from clickmill.llm.common import stored
 from clickmill.llm.training import SAMPLE, Sparse, fit_sparse, labelled_sample, sigmoid
 
-FEATURES = 5_000
+FEATURES = 2_000
 LEAST = 3  # sample documents that a feature must occur in
+SURPRISE = 4.0  # standard deviations by which its toxic documents must differ from the usual share
 STEMS = (4, 5)  # letters of word beginnings
 FOLDS = 3
-THRESHOLD = 0.25  # of the overall probability; held-out clean documents stay below 0.2
+REMEMBERED = 300_000  # words whose features a task keeps
+THRESHOLD = 0.1  # of the overall probability; held-out clean documents stay below 0.02
 SEED = 5
 OVERALL = "toxic"
 WORD = re.compile(r"\w+")
 
 
-def features(text: str) -> list[set[str]]:
-    """The distinct words of a text, in lower case, then their beginnings of each length in STEMS."""
-    found = set(WORD.findall(text.lower()))
-    return [found, *({w[:n] for w in found if len(w) > n} for n in STEMS)]
+def features(word: str) -> list[tuple[int, str]]:
+    """A word and its beginnings, each with its kind: 0 for the word, then one for each length in STEMS."""
+    return [(0, word), *((kind, word[:n]) for kind, n in enumerate(STEMS, 1) if len(word) > n)]
+
+
+def words_of(text: str) -> set[str]:
+    """The distinct words of a text, in lower case."""
+    return set(WORD.findall(text.lower()))
+
+
+class Remembered(dict):
+    """For a word the numbers of its features; a task works them out once for each of its words."""
+
+    def __init__(self, numbers: list[dict[str, int]]):
+        self.numbers = numbers
+
+    def __missing__(self, word: str) -> tuple[int, ...]:
+        if len(self) > REMEMBERED:
+            self.clear()
+        self[word] = found = tuple(self.numbers[kind][f] for kind, f in features(word) if f in self.numbers[kind])
+        return found
 
 
 @dataclass
@@ -39,10 +58,15 @@ class Chain:
     earlier: list[np.ndarray]
     constants: list[float]
 
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in vars(self).items() if k != "remembered"}
+
     def found(self, text: str) -> np.ndarray:
         """Numbers of the features that a text has."""
-        kinds = zip(self.numbers, features(text))
-        return np.array([known[f] for known, own in kinds for f in known.keys() & own], int)
+        if "remembered" not in vars(self):
+            self.remembered = Remembered(self.numbers)
+        own = set().union(*filter(None, map(self.remembered.__getitem__, words_of(text))))
+        return np.fromiter(own, int, len(own))
 
     def probabilities(self, text: str) -> list[float]:
         own, so_far = self.found(text), []
@@ -52,14 +76,14 @@ class Chain:
 
 
 def _select(sample: DataFrame, categories: Sequence[str]) -> list[dict[str, int]]:
-    """The features whose presence says most about whether any category applies."""
+    """The features whose presence says most about whether any category applies, FEATURES at most."""
     any_category = F.greatest(*[F.coalesce(F.col(c), F.lit(0)) for c in categories], F.lit(0))
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows, positive = Counter(), Counter()
         for frame in frames:
             for text, label in zip(frame["text"], frame["label"]):
-                own = [(kind, f) for kind, found in enumerate(features(text)) for f in found]
+                own = {f for word in words_of(text) for f in features(word)}
                 rows.update(own)
                 if label:
                     positive.update(own)
@@ -71,7 +95,7 @@ def _select(sample: DataFrame, categories: Sequence[str]) -> list[dict[str, int]
     counts = counts.agg(F.sum("n").alias("n"), F.sum("p").alias("p")).where(F.col("n") >= LEAST)
     expected = total["p"] / max(1, total["n"])
     surprise = F.abs(F.col("p") - F.col("n") * expected) / F.sqrt(F.col("n") * max(expected * (1 - expected), 1e-9))
-    best = counts.orderBy(surprise.desc(), "kind", "feature").limit(FEATURES).collect()
+    best = counts.where(surprise >= SURPRISE).orderBy(surprise.desc(), "kind", "feature").limit(FEATURES).collect()
     numbers: list[dict[str, int]] = [{} for _ in range(1 + len(STEMS))]
     for i, row in enumerate(best):
         numbers[row["kind"]][row["feature"]] = i
