@@ -78,12 +78,14 @@ def local_components(size: int, left: np.ndarray, right: np.ndarray) -> np.ndarr
             return label
 
 
-HUB = 10_000  # links of a node that one task may hold
+HUB = 100_000  # links of a node that one task may hold
 
 
 def _with_smallest(links: DataFrame, total: int) -> DataFrame:
     """Add m, the smallest b of each a. Nodes of very many links are joined by broadcast, of which there are at most 2,000."""
     smallest = links.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))
+    if total <= HUB:  # no node can have more
+        return links.join(smallest.select("a", "m"), "a")
     hubs = F.broadcast(smallest.where(F.col("n") > max(HUB, total // 1000)).select("a", "m"))
     others = links.join(hubs.select("a"), "a", "left_anti").join(smallest.select("a", "m"), "a")
     return links.join(hubs, "a").unionByName(others)
