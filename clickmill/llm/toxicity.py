@@ -11,15 +11,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickmill.llm.common import stored
-from clickmill.llm.training import SAMPLE, Sparse, fit_sparse, labelled_sample, sigmoid
+from clickmill.llm.training import SAMPLE, Sparse, fit_sparse, labelled_sample, logit, sigmoid
 
 FEATURES = 2_000
-LEAST = 3  # sample documents that a feature must occur in
-SURPRISE = 4.0  # standard deviations by which its toxic documents must differ from the usual share
+LEAST = 2  # sample documents that a feature must occur in
+SURPRISE = 3.0  # standard deviations by which its toxic documents must differ from the usual share
 STEMS = (4, 5)  # letters of word beginnings
 FOLDS = 3
 REMEMBERED = 300_000  # words whose features a task keeps
-THRESHOLD = 0.1  # of the overall probability; held-out clean documents stay below 0.02
 SEED = 5
 OVERALL = "toxic"
 WORD = re.compile(r"\w+")
@@ -57,6 +56,7 @@ class Chain:
     words: list[np.ndarray]
     earlier: list[np.ndarray]
     constants: list[float]
+    threshold: float = 0.5  # of the last category's probability
 
     def __getstate__(self) -> dict:
         return {k: v for k, v in vars(self).items() if k != "remembered"}
@@ -75,6 +75,22 @@ class Chain:
         return so_far
 
 
+def best_threshold(probability: np.ndarray, label: np.ndarray) -> float:
+    """The threshold of fewest errors.
+
+    Of several, the lower quarter of the widest gap in log odds between probabilities, as
+    toxic words that the sample lacks score low.
+    """
+    order = np.argsort(probability, kind="stable")
+    odds = logit(np.clip(probability[order], 1e-12, 1 - 1e-12))
+    missed = np.cumsum(label[order])
+    wrong = np.cumsum(1 - label[order][::-1])[::-1]
+    # Between the sorted probabilities i and i + 1.
+    errors, gap = missed[:-1] + wrong[1:], np.diff(odds)
+    best = np.lexsort((-gap, errors + len(label) * (gap <= 0)))[0]
+    return float(sigmoid(odds[best] + (odds[best + 1] - odds[best]) / 4))
+
+
 def _select(sample: DataFrame, categories: Sequence[str]) -> list[dict[str, int]]:
     """The features whose presence says most about whether any category applies, FEATURES at most."""
     any_category = F.greatest(*[F.coalesce(F.col(c), F.lit(0)) for c in categories], F.lit(0))
@@ -106,8 +122,8 @@ def fit(spark: SparkSession, sample: DataFrame, categories: Sequence[str]) -> Ch
     """Fit a chain on sample (doc_id, text and a 0/1 column for each category, null as 0).
 
     Each model learns from the features and from the probabilities that earlier categories
-    got out of fold: from models that did not see the document. Without examples the chain
-    finds nothing toxic.
+    got out of fold: from models that did not see the document. The threshold of the last
+    category is set on the same predictions. Without examples the chain finds nothing toxic.
     """
     sample = stored(spark, sample.select("doc_id", "text", *categories), "toxic-sample")
     chain = Chain(list(categories), _select(sample, categories), [], [], [])
@@ -137,6 +153,8 @@ def fit(spark: SparkSession, sample: DataFrame, categories: Sequence[str]) -> Ch
         chain.earlier.append(weights[1])
         chain.constants.append(weights[2])
         earlier = np.column_stack([earlier, apart])
+    if 0 < label.sum() < len(label):
+        chain.threshold = best_threshold(apart, label)
     return chain
 
 
@@ -173,7 +191,7 @@ def probabilities(chain: Chain, text: Column) -> Column:
 def classify(spark: SparkSession, docs: DataFrame, labels: DataFrame, bound: int = SAMPLE) -> DataFrame:
     """doc_id, categories (a map from category to probability), probability, toxic, for every row of docs.
 
-    toxic says whether the overall probability, the last of the chain, reaches THRESHOLD.
+    toxic says whether the overall probability, the last of the chain, reaches its threshold.
     Whole texts count. A null or empty text has no features and the probabilities of that;
     repeated rows give repeated results; a null doc_id stays null.
     """
@@ -181,10 +199,10 @@ def classify(spark: SparkSession, docs: DataFrame, labels: DataFrame, bound: int
     rows = docs.select("doc_id", probabilities(chain, F.col("text")).alias("p"))
     names = F.array(*[F.lit(c) for c in chain.categories])
     last = F.element_at("p", -1)
-    return rows.select("doc_id", F.map_from_arrays(names, "p").alias("categories"), last.alias("probability"), (last >= THRESHOLD).alias("toxic"))
+    return rows.select("doc_id", F.map_from_arrays(names, "p").alias("categories"), last.alias("probability"), (last >= chain.threshold).alias("toxic"))
 
 
 def clean(spark: SparkSession, docs: DataFrame, labels: DataFrame, bound: int = SAMPLE) -> DataFrame:
     """The documents that are not toxic, with all their columns."""
     chain = learn(spark, docs, labels, bound)
-    return docs.where(F.element_at(probabilities(chain, F.col("text")), -1) < THRESHOLD)
+    return docs.where(F.element_at(probabilities(chain, F.col("text")), -1) < chain.threshold)
