@@ -8,7 +8,7 @@ from html import unescape
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickmill.llm.common import stored
@@ -17,7 +17,7 @@ PAGES = 3  # of a host, that must share a branch before it can be judged
 LOW = 0.3  # importance below which a branch is noise
 LOW_MAIN = 0.1  # the same within what the page itself marks as its article
 DEPTH_WEIGHT = 0.9  # of what lies below a branch, against its own presentation
-BROADCAST_ROWS = 100_000  # noise branches of all hosts that are sent to every task
+BROADCAST_ROWS = 100_000  # noise branches of all hosts, or contents of such, that are sent to every task
 
 # What HTML says about its elements.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -162,9 +162,13 @@ def read_page(html: str) -> Page:
 
 
 def _parsed(pages: DataFrame) -> DataFrame:
-    """page_id, url, host, copy (a hash of all text), blocks and branches (path, look, content) of every page."""
+    """page_id, url, host, copy (a hash of all text but noise), blocks and branches of every page.
+
+    A branch has path, look, content (hashes of its children and of its text) and bare, whether
+    all of its text is noise by name.
+    """
     block = pa.struct([("path", pa.string()), ("noise", pa.bool_()), ("level", pa.int32()), ("text", pa.string())])
-    branch = pa.struct([("path", pa.string()), ("look", pa.int64()), ("content", pa.int64())])
+    branch = pa.struct([("path", pa.string()), ("look", pa.int64()), ("content", pa.int64()), ("bare", pa.bool_())])
     schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("copy", pa.int64()), ("blocks", pa.list_(block)), ("branches", pa.list_(branch))])
 
     def hashed(parts) -> int:
@@ -179,35 +183,52 @@ def _parsed(pages: DataFrame) -> DataFrame:
                 for path, _, _, text in page.blocks:
                     content.setdefault(path, []).append(text)
                 paths = page.branches.keys() | content.keys()
+                clean = {path for path, noise, _, _ in page.blocks if not noise}
                 rows.append(
                     {
                         "page_id": page_id,
                         "url": url,
-                        "copy": hashed(text for *_, text in page.blocks),
+                        "copy": hashed(text for _, noise, _, text in page.blocks if not noise),
                         "blocks": [dict(zip(("path", "noise", "level", "text"), b)) for b in page.blocks],
-                        "branches": [{"path": p, "look": hashed(page.branches.get(p, [])), "content": hashed(content.get(p, []))} for p in sorted(paths)],
+                        "branches": [
+                            {"path": p, "look": hashed(page.branches.get(p, [])), "content": hashed(content.get(p, [])), "bare": p not in clean}
+                            for p in sorted(paths)
+                        ],
                     }
                 )
             yield pa.RecordBatch.from_pylist(rows, schema)
 
     rows = pages.select(F.col("page_id").cast("long"), "url", F.coalesce("html", F.lit("")).alias("html"))
     blocks = "array<struct<path: string, noise: boolean, level: int, text: string>>"
-    branches = "array<struct<path: string, look: long, content: long>>"
+    branches = "array<struct<path: string, look: long, content: long, bare: boolean>>"
     parsed = rows.mapInArrow(run, f"page_id long, url string, copy long, blocks {blocks}, branches {branches}")
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1))
     return parsed.withColumn("host", host)
 
 
+def _shown(parsed: DataFrame) -> DataFrame:
+    """host, path, look, content, bare: what each branch shows on every host's different pages."""
+    rows = parsed.select("host", "copy", F.explode("branches").alias("b")).select("host", "copy", "b.*")
+    one = F.min(F.struct("look", "content", "bare")).alias("b")  # copies may differ in noise
+    return rows.groupBy("host", "copy", "path").agg(one).select("host", "path", "b.*")
+
+
+def _and_above(path: str) -> Column:
+    """A path and all paths above it."""
+    parts = F.split(path, "/")
+    return F.transform(F.sequence(F.lit(2), F.size(parts)), lambda n: F.array_join(F.slice(parts, 1, n), "/"))
+
+
 def style_tree(parsed: DataFrame) -> DataFrame:
     """host, path, pages, importance: the merged trees of every host's different pages.
 
-    Pages of a host with the same text count once. The entropy of what a branch shows, over
+    Pages of a host with the same text, noise left out, count once. The entropy of what a branch shows, over
     the m pages that have it, divided by log m, is the importance of its content; that of the
     sequences of its children is the importance of its look. A branch weighs its own look
     little and the larger part by its content and the most important branch below it. A
     branch of one page has importance 1.
     """
-    seen = parsed.select("host", "copy", F.explode("branches").alias("b")).select("host", "copy", "b.*").distinct()
+    seen = _shown(parsed)
 
     def entropy(kind: str) -> DataFrame:
         counts = seen.groupBy("host", "path", kind).agg(F.count("*").alias("n"))
@@ -217,45 +238,77 @@ def style_tree(parsed: DataFrame) -> DataFrame:
 
     nodes = entropy("content").join(entropy("look").drop("pages"), ["host", "path"])
     # Every branch also tells each branch above it how important it is.
-    parts = F.split("path", "/")
-    above = F.transform(F.sequence(F.lit(2), F.size(parts)), lambda n: F.array_join(F.slice(parts, 1, n), "/"))
-    below = nodes.select("host", F.explode(above).alias("path"), "content").groupBy("host", "path").agg(F.max("content").alias("below"))
+    below = nodes.select("host", F.explode(_and_above("path")).alias("path"), "content").groupBy("host", "path").agg(F.max("content").alias("below"))
     importance = DEPTH_WEIGHT * F.col("below") + (1 - DEPTH_WEIGHT) * F.col("look")
     return nodes.join(below, ["host", "path"]).select("host", "path", "pages", importance.alias("importance"))
 
 
+def recurring(spark: SparkSession, parsed: DataFrame) -> DataFrame:
+    """host, path, content, importance, own: what branches of low importance show again and again.
+
+    These are contents that PAGES different pages of a host have on a branch that is of low
+    importance itself or hangs on one; importance is the lowest of these. own tells whether
+    PAGES pages have something of their own there, shown on fewer pages than that: then the
+    branch carries texts of the site, and what recurs may be one of them, copied often.
+    """
+    low = style_tree(parsed).where((F.col("pages") >= PAGES) & (F.col("importance") < LOW))
+    low = stored(spark, low.select("host", F.col("path").alias("root"), "importance"), "low")
+    low = F.broadcast(low) if low.count() <= BROADCAST_ROWS else low
+    counts = _shown(parsed).groupBy("host", "path", "content").agg(F.count("*").alias("n"), F.min("bare").alias("bare"))
+    paths = counts.groupBy("host", "path").agg((F.sum(F.when(F.col("n") < PAGES, F.col("n")).otherwise(0)) >= PAGES).alias("own"))
+    paths = paths.select("*", F.explode(_and_above("path")).alias("root")).join(low, ["host", "root"])
+    paths = paths.groupBy("host", "path").agg(F.min("importance").alias("importance"), F.first("own").alias("own"))
+    paths = stored(spark, paths, "paths")
+    paths = F.broadcast(paths) if paths.count() <= BROADCAST_ROWS else paths
+    return counts.where((F.col("n") >= PAGES) & ~F.col("bare")).join(paths, ["host", "path"]).drop("n", "bare")
+
+
 def extract(spark: SparkSession, pages: DataFrame) -> DataFrame:
     """The main text of every page of pages (page_id, url, html).
 
     Branches that HTML or their class, id or role name as menu, header, footer, sidebar,
-    notice, advert, form or comments are noise; so are those whose importance in the style
-    tree of the page's host is low. If a page marks its article, only that is taken, and its
-    branches are noise only at very low importance and if others remain. White space within
-    a block becomes one space, blocks are joined by a line feed in page order.
+    notice, advert, form or comments are noise. So is what a page shows on a branch whose
+    importance in the style tree of its host is low, if other pages of the host show the same
+    there; what only this page shows stays. Where a branch carries texts of the site, what
+    recurs and is over half of a page's text is an article copied often, and stays. If a page
+    marks its article, only that is taken, and its branches are noise only at very low
+    importance. A page of which nothing would remain keeps all that is not noise by name.
+    White space within a block becomes one space, blocks are joined by a line feed in page order.
 
     Returns page_id, url, text and n_chars (code points), a row for each row of pages. Null
     and empty html give an empty text. Pages without a url form one site. Whole pages count,
     repeated ones once in the tree.
     """
     parsed = stored(spark, _parsed(pages), "parsed")
-    noise = style_tree(parsed).where((F.col("pages") >= PAGES) & (F.col("importance") < LOW))
-    noise = stored(spark, noise, "noise")
-    by_host = noise.groupBy("host").agg(
-        F.collect_list("path").alias("low"),
-        F.collect_list(F.when(F.col("importance") < LOW_MAIN, F.col("path"))).alias("very_low"),
+    noise = stored(spark, recurring(spark, parsed), "noise")
+    by_path = noise.groupBy("host", "path").agg(
+        (F.min("importance") < LOW_MAIN).alias("very_low"), F.first("own").alias("own"), F.collect_list("content").alias("contents")
     )
+    by_host = by_path.groupBy("host").agg(F.collect_list(F.struct("path", "very_low", "own", "contents")).alias("low"))
     by_host = F.broadcast(by_host) if noise.count() <= BROADCAST_ROWS else by_host
-    joined = parsed.drop("branches").join(by_host, "host", "left")
+    joined = parsed.join(by_host, "host", "left")
     level = F.coalesce(F.array_max(F.transform(F.filter("blocks", lambda b: ~b["noise"]), lambda b: b["level"])), F.lit(PLAIN))
     joined = joined.withColumn("level", level)
     candidates = F.filter("blocks", lambda b: ~b["noise"] & (b["level"] == F.col("level")))
     joined = joined.withColumn("candidates", candidates)
-    bad = F.when(F.col("level") > PLAIN, F.col("very_low")).otherwise(F.col("low"))
-    bad = F.coalesce(bad, F.array().cast("array<string>"))
-    # A branch goes with all that hangs on it.
-    good = F.filter("candidates", lambda b: ~F.exists(bad, lambda p: (b["path"] == p) | b["path"].startswith(F.concat(p, F.lit("/")))))
+
+    def shown(low: Column) -> Column:
+        here = F.exists("branches", lambda b: (b["path"] == low["path"]) & F.array_contains(low["contents"], b["content"]))
+        return ((F.col("level") == PLAIN) | low["very_low"]) & here
+
+    bad = F.transform(F.filter("low", shown), lambda low: F.struct(low["path"], low["own"]))
+    joined = joined.withColumn("bad", F.coalesce(bad, F.array().cast("array<struct<path: string, own: boolean>>")))
+
+    def on(block: Column, *own: bool) -> Column:
+        return F.exists("bad", lambda low: (low["path"] == block["path"]) & low["own"].isin(*own))
+
+    def chars(blocks: Column) -> Column:
+        return F.aggregate(blocks, F.lit(0), lambda n, b: n + F.char_length(b["text"]))
+
+    copied = 2 * chars(F.filter("candidates", lambda b: on(b, True))) > chars(F.col("candidates"))
+    joined = joined.withColumn("copied", copied)
+    good = F.filter("candidates", lambda b: ~on(b, False) & (F.col("copied") | ~on(b, True)))
     joined = joined.withColumn("good", good)
-    emptied = (F.col("level") > PLAIN) & (F.size("good") == 0)
-    chosen = F.when(emptied, F.col("candidates")).otherwise(F.col("good"))
+    chosen = F.when(F.size("good") == 0, F.col("candidates")).otherwise(F.col("good"))
     text = F.array_join(F.transform(chosen, lambda b: b["text"]), "\n")
     return joined.select("page_id", "url", text.alias("text")).withColumn("n_chars", F.char_length("text").cast("long"))

@@ -104,6 +104,26 @@ def test_copies_of_a_page_do_not_make_it_noise(spark):
     assert Counter(r["text"] for r in rows) == {"the same long text": 20, "other": 1}
 
 
+@pytest.mark.parametrize("differs", ["<div class=ad>buy {0}</div>", "<div class=day>on day {0}</div>", "<div class=ad>buy {0}</div><i>at {0}</i>"])
+@pytest.mark.parametrize("tag", ["div", "article"])
+def test_one_article_copied_often_removes_no_other(spark, differs, tag):
+    """Copies that differ in an advert or a date, on most pages of a host."""
+    html = "<body><div class=k1>Home and About</div>" + differs + f"<{tag}><p>{{1}}</p><p>and so on, at length</p></{tag}></body>"
+    said = [f"the text of page {i} alone" if i >= 190 else "the article that all the others copy" for i in range(200)]
+    pages = [(i, f"http://h.org/{i}", html.format(i, t), "x") for i, t in enumerate(said)]
+    rows = sitetree.extract(spark, spark.createDataFrame(pages, SCHEMA)).collect()
+    assert [r["page_id"] for r in rows if said[r["page_id"]] not in r["text"]] == []
+    assert not any("Home" in r["text"] for r in rows if r["page_id"] < 190 and "class=ad" not in differs)
+
+
+def test_a_page_of_nothing_but_what_recurs_keeps_it(spark):
+    html = "<body><div class=k1>Home and About</div>{0}</body>"
+    own = ["", *(f"<p>text {i}</p>" for i in range(9))]
+    pages = [(i, f"http://h.org/{i}", html.format(t), "x") for i, t in enumerate(own)]
+    found = {r["page_id"]: r["text"] for r in sitetree.extract(spark, spark.createDataFrame(pages, SCHEMA)).collect()}
+    assert found == {0: "Home and About"} | {i + 1: f"text {i}" for i in range(9)}
+
+
 def test_edge_cases(spark):
     long = "<article>" + "<p>word &amp; word</p>" * 20_000 + "</article>"
     rows = [(1, None, None, None), (2, "http://a.b/", "", "x"), (None, "http://a.b/", "<p>x</p>", "x"), (3, "not a url", long, "x"), (3, "not a url", long, "x"), (4, "http://a.b/", "<nav>only</nav>", "x")]
