@@ -1,6 +1,7 @@
 """Main text of web pages by site style trees."""
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from html import unescape
@@ -40,6 +41,13 @@ NOISE_WORDS = set(
     "social comment comments reply replies respond disqus discussion pagination pager skip toolbar complementary "
     "contentinfo form".split()
 )
+# What a name may say beside such a word; others, as in has-sidebar or search-page, make it the name of something else.
+THING_WORDS = set(
+    "area bar block blocks bottom box boxes button buttons col column container group icon icons inner item items left "
+    "link links list lists outer panel pane post posts primary right row secondary section site slot text title top unit "
+    "wrap wrapper x".split()
+)
+NAMED_NEVER = set("html body main article".split())
 MAIN_WORDS = {"articlebody", "article-body", "article-content", "entry-content", "post-content", "post-body", "main-content", "story-body", "page-content"}
 
 TOKEN = re.compile(
@@ -48,7 +56,7 @@ TOKEN = re.compile(
     r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>",
     re.S,
 )
-ATTRIBUTE = re.compile(r"""\b(class|id|role|itemprop|style|aria-hidden|hidden)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>][^\s>]*))?""")
 SPACE = re.compile(r"\s+")
 PLAIN, MARKED, MAIN, ARTICLE = range(4)
 
@@ -57,7 +65,8 @@ PLAIN, MARKED, MAIN, ARTICLE = range(4)
 class Element:
     tag: str
     path: str
-    noise: bool
+    noise: bool  # by tag or hidden
+    named: tuple[int, ...]  # the elements around it, itself included, that their names alone mark as noise
     level: int
     children: list[str] = field(default_factory=list)
 
@@ -70,20 +79,65 @@ class Page:
     branches: dict[str, list[str]] = field(default_factory=dict)
 
 
-def _element(tag: str, attributes: str, parent: Element) -> Element:
-    found = {name.lower(): value.strip("\"'").lower() for name, value in ATTRIBUTE.findall(attributes)} if attributes else {}
+def _named(names: str) -> set[str]:
+    """Noise words that are whole names, or parts of names that only say what kind of thing it is."""
+    found = set()
+    for name in names.split():
+        words = set(re.findall("[a-z]+", name))
+        if words <= NOISE_WORDS | THING_WORDS | {"header"}:
+            found |= words - THING_WORDS
+    return found
+
+
+def _element(tag: str, attributes: str, parent: Element, number: int) -> Element:
+    found = {}
+    for name, value in ATTRIBUTE.findall(attributes) if attributes else ():
+        found.setdefault(name.lower(), value.strip("\"'").lower())
     names = " ".join(found[a] for a in ("class", "id", "role", "itemprop") if a in found)
     label = tag + "".join("." + re.sub(r"\d{3,}", "", w) for w in sorted(names.split()))
-    words = set(re.split(r"[^a-z]+", names)) if names else set()
+    words = _named(names) if names and tag not in NAMED_NEVER else set()
     hidden = "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in found.get("style", "").replace(" ", "")
-    noise = parent.noise or hidden or tag in NOISE_TAGS or bool(words & NOISE_WORDS) or (tag == "header" or "header" in words) and parent.level < MARKED
+    noise = parent.noise or hidden or tag in NOISE_TAGS or tag == "header" and parent.level < MARKED
+    named = bool(words & NOISE_WORDS) or "header" in words and parent.level < MARKED
     level = ARTICLE if tag == "article" else MAIN if tag == "main" or "main" in found.get("role", "").split() else MARKED if MAIN_WORDS & set(names.split()) else PLAIN
-    return Element(tag, f"{parent.path}/{label}", noise, max(level, parent.level))
+    return Element(tag, f"{parent.path}/{label}", noise, (*parent.named, number) if named else parent.named, max(level, parent.level))
+
+
+def _lifted(blocks: list[tuple[str, bool, tuple[int, ...], int, str]]) -> set[int]:
+    """Named elements that hold the page's main text, so that their names say nothing.
+
+    If all text is noise, that is the outermost named element of the most text, and so on
+    inside of it. If text that the page marks as its article stands in named elements only,
+    and is more than what is not noise, it is those around the most of it.
+    """
+    lifted: set[int] = set()
+    while True:
+        clean, marked = 0, False
+        held: Counter[tuple[int, ...]] = Counter()
+        article: Counter[tuple[int, ...]] = Counter()
+        for _, noise, named, level, text in blocks:
+            left = tuple(n for n in named if n not in lifted)
+            if noise:
+                continue
+            if not left:
+                clean += len(text)
+                marked |= level > PLAIN
+                continue
+            held[left[:1]] += len(text)
+            if level > PLAIN:
+                article[left] += len(text)
+        most = max(article, key=article.get, default=()) if not marked else ()
+        if not (most and article[most] > clean):
+            most = max(held, key=held.get, default=()) if not clean else ()
+        if not most:
+            return lifted
+        lifted.update(most)
 
 
 def read_page(html: str) -> Page:
     """Parse a page, however malformed, into text blocks and the branches they hang on."""
-    page, stack = Page(), [Element("", "", False, PLAIN)]
+    page, stack = Page(), [Element("", "", False, (), PLAIN)]
+    blocks: list[tuple[str, bool, tuple[int, ...], int, str]] = []
     text: list[str] = []
 
     def flush() -> None:
@@ -91,7 +145,7 @@ def read_page(html: str) -> Page:
         text.clear()
         if joined:
             at = next(e for e in reversed(stack) if e.tag in BLOCK or not e.tag)
-            page.blocks.append((at.path, stack[-1].noise, stack[-1].level, joined))
+            blocks.append((at.path, stack[-1].noise, stack[-1].named, stack[-1].level, joined))
 
     def close(depth: int) -> None:
         while len(stack) > depth:
@@ -147,7 +201,7 @@ def read_page(html: str) -> Page:
                     close(head)
         if tag in VOID:
             continue
-        element = _element(tag, attributes, stack[-1])
+        element = _element(tag, attributes, stack[-1], at)
         if tag in BLOCK:
             owner = next(e for e in reversed(stack) if e.tag in BLOCK or not e.tag)
             if not owner.children or owner.children[-1] != tag:
@@ -158,6 +212,8 @@ def read_page(html: str) -> Page:
     text.append(html[at:])
     flush()
     close(1)
+    lifted = _lifted(blocks) if any(named for _, _, named, _, _ in blocks) else set()
+    page.blocks = [(path, noise or not lifted.issuperset(named), level, text) for path, noise, named, level, text in blocks]
     return page
 
 
@@ -267,7 +323,8 @@ def extract(spark: SparkSession, pages: DataFrame) -> DataFrame:
     """The main text of every page of pages (page_id, url, html).
 
     Branches that HTML or their class, id or role name as menu, header, footer, sidebar,
-    notice, advert, form or comments are noise. So is what a page shows on a branch whose
+    notice, advert, form or comments are noise; a name counts as a whole, never on html, body,
+    main and article, and not where it would hide the article a page marks or all it says. So is what a page shows on a branch whose
     importance in the style tree of its host is low, if other pages of the host show the same
     there; what only this page shows stays. Where a branch carries texts of the site, what
     recurs and is over half of a page's text is an article copied often, and stays. If a page

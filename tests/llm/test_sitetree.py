@@ -124,6 +124,34 @@ def test_a_page_of_nothing_but_what_recurs_keeps_it(spark):
     assert found == {0: "Home and About"} | {i + 1: f"text {i}" for i in range(9)}
 
 
+NOISY_NAMES = [
+    ("<body class='has-sidebar search'>{}</body>", True),
+    ("<main class='content no-sidebar'>{}</main>", True),
+    ("<article class='post comments-open'>{}</article>", True),
+    ("<article class=notice>{}</article>", True),
+    ("<div id='search-page'>{}</div>", True),
+    ("<div data-hidden='false'>{}</div>", True),
+    ("<div title='The hidden truth'>{}</div>", True),
+    ("<div title='a class=ad b'>{}</div>", True),
+    ("<div class=search><div class=widget><main>{}</main></div></div><p>a</p>", True),
+    ("<div class=search>{}</div><nav>a b c</nav><div class=cookie-notice>c</div>", True),
+    ("<div class=ad-box>{}</div><p>own</p>", False),
+    ("<div CLASS='share-buttons'>{}</div><p>own</p>", False),
+    ("<div id=ad300x250>{}</div><p>own</p>", False),
+    ("<div hidden>{}</div>", False),
+    ("<nav class=x>{}</nav>", False),
+    ("<main>own</main><ol class=comment-list><li><article>{}</article></ol>", False),
+    ("<p>our own text, longer</p><div class=related><article>{}</article></div>", False),
+]
+
+
+@pytest.mark.parametrize("html, stays", NOISY_NAMES)
+def test_names_of_noise(html, stays):
+    found = [text for _, noise, _, text in read_page(html.format("<p>text of it</p>")).blocks if not noise]
+    assert ("text of it" in found) == stays
+    assert "c" not in found
+
+
 def test_edge_cases(spark):
     long = "<article>" + "<p>word &amp; word</p>" * 20_000 + "</article>"
     rows = [(1, None, None, None), (2, "http://a.b/", "", "x"), (None, "http://a.b/", "<p>x</p>", "x"), (3, "not a url", long, "x"), (3, "not a url", long, "x"), (4, "http://a.b/", "<nav>only</nav>", "x")]
