@@ -59,6 +59,7 @@ TOKEN = re.compile(
 ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>][^\s>]*))?""")
 SPACE = re.compile(r"\s+")
 PLAIN, MARKED, MAIN, ARTICLE = range(4)
+OUTSIDE, JUDGED, CORE = range(3)
 
 
 @dataclass
@@ -68,14 +69,19 @@ class Element:
     noise: bool  # by tag or hidden
     named: tuple[int, ...]  # the elements around it, itself included, that their names alone mark as noise
     level: int
+    marks: tuple[tuple[int, int], ...]  # number and level of the marked elements around it, itself included
     children: list[str] = field(default_factory=list)
 
 
 @dataclass
 class Page:
-    """What a page says: its blocks in order, and for each branch of its tree the children there."""
+    """What a page says: its blocks in order, and for each branch of its tree the children there.
 
-    blocks: list[tuple[str, bool, int, str]] = field(default_factory=list)  # path, noise, level, text
+    A block's place is OUTSIDE what the page marks as its article, in the CORE of that, or
+    elsewhere in it or on an unmarked page, where the style tree judges it as any branch.
+    """
+
+    blocks: list[tuple[str, bool, int, str]] = field(default_factory=list)  # path, noise, place, text
     branches: dict[str, list[str]] = field(default_factory=dict)
 
 
@@ -100,7 +106,33 @@ def _element(tag: str, attributes: str, parent: Element, number: int) -> Element
     noise = parent.noise or hidden or tag in NOISE_TAGS or tag == "header" and parent.level < MARKED
     named = bool(words & NOISE_WORDS) or "header" in words and parent.level < MARKED
     level = ARTICLE if tag == "article" else MAIN if tag == "main" or "main" in found.get("role", "").split() else MARKED if MAIN_WORDS & set(names.split()) else PLAIN
-    return Element(tag, f"{parent.path}/{label}", noise, (*parent.named, number) if named else parent.named, max(level, parent.level))
+    marks = (*parent.marks, (number, level)) if level else parent.marks
+    return Element(tag, f"{parent.path}/{label}", noise, (*parent.named, number) if named else parent.named, max(level, parent.level), marks)
+
+
+def _places(blocks: list[tuple[str, bool, tuple[tuple[int, int], ...], str]]) -> list[int]:
+    """The place of each block (path, noise, marks, text).
+
+    A page's article are all outermost marked elements, or the main ones alone if the one of
+    the most text is a main. Its core is the innermost marked element that holds half of its
+    text. On an unmarked page all is judged alike.
+    """
+    size: Counter[tuple[int, int]] = Counter()
+    for _, noise, marks, text in blocks:
+        if not noise:
+            size.update({mark: len(text) for mark in marks})
+    outermost = {marks[0] for _, noise, marks, _ in blocks if marks and not noise}
+    if not outermost:
+        return [JUDGED] * len(blocks)
+    if max(sorted(outermost), key=size.get)[1] == MAIN:
+        outermost = {mark for mark in outermost if mark[1] == MAIN}
+    total = sum(size[mark] for mark in outermost)
+    held = [[mark for mark in marks if 2 * size[mark] >= total] for _, noise, marks, _ in blocks if not noise and marks and marks[0] in outermost]
+    core = max(held, key=len)[-1:]
+    return [
+        OUTSIDE if not marks or marks[0] not in outermost else CORE if not core or marks[-1:] == tuple(core) else JUDGED
+        for _, _, marks, _ in blocks
+    ]
 
 
 def _lifted(blocks: list[tuple[str, bool, tuple[int, ...], int, str]]) -> set[int]:
@@ -136,8 +168,9 @@ def _lifted(blocks: list[tuple[str, bool, tuple[int, ...], int, str]]) -> set[in
 
 def read_page(html: str) -> Page:
     """Parse a page, however malformed, into text blocks and the branches they hang on."""
-    page, stack = Page(), [Element("", "", False, (), PLAIN)]
+    page, stack = Page(), [Element("", "", False, (), PLAIN, ())]
     blocks: list[tuple[str, bool, tuple[int, ...], int, str]] = []
+    marks: list[tuple[tuple[int, int], ...]] = []
     text: list[str] = []
 
     def flush() -> None:
@@ -146,6 +179,7 @@ def read_page(html: str) -> Page:
         if joined:
             at = next(e for e in reversed(stack) if e.tag in BLOCK or not e.tag)
             blocks.append((at.path, stack[-1].noise, stack[-1].named, stack[-1].level, joined))
+            marks.append(stack[-1].marks)
 
     def close(depth: int) -> None:
         while len(stack) > depth:
@@ -213,17 +247,18 @@ def read_page(html: str) -> Page:
     flush()
     close(1)
     lifted = _lifted(blocks) if any(named for _, _, named, _, _ in blocks) else set()
-    page.blocks = [(path, noise or not lifted.issuperset(named), level, text) for path, noise, named, level, text in blocks]
+    found = [(path, noise or not lifted.issuperset(named), mark, text) for (path, noise, named, _, text), mark in zip(blocks, marks)]
+    page.blocks = [(path, noise, place, text) for (path, noise, _, text), place in zip(found, _places(found))]
     return page
 
 
 def _parsed(pages: DataFrame) -> DataFrame:
-    """page_id, url, host, copy (a hash of all text but noise), blocks and branches of every page.
+    """page_id, url, host, copy (a hash of what may be its main text), blocks and branches of every page.
 
     A branch has path, look, content (hashes of its children and of its text) and bare, whether
-    all of its text is noise by name.
+    all of its text is noise by name or outside of the article.
     """
-    block = pa.struct([("path", pa.string()), ("noise", pa.bool_()), ("level", pa.int32()), ("text", pa.string())])
+    block = pa.struct([("path", pa.string()), ("noise", pa.bool_()), ("place", pa.int32()), ("text", pa.string())])
     branch = pa.struct([("path", pa.string()), ("look", pa.int64()), ("content", pa.int64()), ("bare", pa.bool_())])
     schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("copy", pa.int64()), ("blocks", pa.list_(block)), ("branches", pa.list_(branch))])
 
@@ -239,13 +274,13 @@ def _parsed(pages: DataFrame) -> DataFrame:
                 for path, _, _, text in page.blocks:
                     content.setdefault(path, []).append(text)
                 paths = page.branches.keys() | content.keys()
-                clean = {path for path, noise, _, _ in page.blocks if not noise}
+                clean = {path for path, noise, place, _ in page.blocks if not noise and place != OUTSIDE}
                 rows.append(
                     {
                         "page_id": page_id,
                         "url": url,
-                        "copy": hashed(text for _, noise, _, text in page.blocks if not noise),
-                        "blocks": [dict(zip(("path", "noise", "level", "text"), b)) for b in page.blocks],
+                        "copy": hashed(text for _, noise, place, text in page.blocks if not noise and place != OUTSIDE),
+                        "blocks": [dict(zip(("path", "noise", "place", "text"), b)) for b in page.blocks],
                         "branches": [
                             {"path": p, "look": hashed(page.branches.get(p, [])), "content": hashed(content.get(p, [])), "bare": p not in clean}
                             for p in sorted(paths)
@@ -255,7 +290,7 @@ def _parsed(pages: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_pylist(rows, schema)
 
     rows = pages.select(F.col("page_id").cast("long"), "url", F.coalesce("html", F.lit("")).alias("html"))
-    blocks = "array<struct<path: string, noise: boolean, level: int, text: string>>"
+    blocks = "array<struct<path: string, noise: boolean, place: int, text: string>>"
     branches = "array<struct<path: string, look: long, content: long, bare: boolean>>"
     parsed = rows.mapInArrow(run, f"page_id long, url string, copy long, blocks {blocks}, branches {branches}")
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1))
@@ -278,7 +313,7 @@ def _and_above(path: str) -> Column:
 def style_tree(parsed: DataFrame) -> DataFrame:
     """host, path, pages, importance: the merged trees of every host's different pages.
 
-    Pages of a host with the same text, noise left out, count once. The entropy of what a branch shows, over
+    Pages of a host with the same text, noise and what is outside the article left out, count once. The entropy of what a branch shows, over
     the m pages that have it, divided by log m, is the importance of its content; that of the
     sequences of its children is the importance of its look. A branch weighs its own look
     little and the larger part by its content and the most important branch below it. A
@@ -328,8 +363,9 @@ def extract(spark: SparkSession, pages: DataFrame) -> DataFrame:
     importance in the style tree of its host is low, if other pages of the host show the same
     there; what only this page shows stays. Where a branch carries texts of the site, what
     recurs and is over half of a page's text is an article copied often, and stays. If a page
-    marks its article, only that is taken, and its branches are noise only at very low
-    importance. A page of which nothing would remain keeps all that is not noise by name.
+    marks its article, only that is taken: all outermost marked elements, or if a main holds the
+    most of their text, the main ones. In the innermost marked element that holds half of this, branches
+    are noise only at very low importance. A page of which nothing would remain keeps all that is not noise by name.
     White space within a block becomes one space, blocks are joined by a line feed in page order.
 
     Returns page_id, url, text and n_chars (code points), a row for each row of pages. Null
@@ -344,20 +380,20 @@ def extract(spark: SparkSession, pages: DataFrame) -> DataFrame:
     by_host = by_path.groupBy("host").agg(F.collect_list(F.struct("path", "very_low", "own", "contents")).alias("low"))
     by_host = F.broadcast(by_host) if noise.count() <= BROADCAST_ROWS else by_host
     joined = parsed.join(by_host, "host", "left")
-    level = F.coalesce(F.array_max(F.transform(F.filter("blocks", lambda b: ~b["noise"]), lambda b: b["level"])), F.lit(PLAIN))
-    joined = joined.withColumn("level", level)
-    candidates = F.filter("blocks", lambda b: ~b["noise"] & (b["level"] == F.col("level")))
+    candidates = F.filter("blocks", lambda b: ~b["noise"] & (b["place"] != OUTSIDE))
     joined = joined.withColumn("candidates", candidates)
 
     def shown(low: Column) -> Column:
-        here = F.exists("branches", lambda b: (b["path"] == low["path"]) & F.array_contains(low["contents"], b["content"]))
-        return ((F.col("level") == PLAIN) | low["very_low"]) & here
+        return F.exists("branches", lambda b: (b["path"] == low["path"]) & F.array_contains(low["contents"], b["content"]))
 
-    bad = F.transform(F.filter("low", shown), lambda low: F.struct(low["path"], low["own"]))
-    joined = joined.withColumn("bad", F.coalesce(bad, F.array().cast("array<struct<path: string, own: boolean>>")))
+    bad = F.transform(F.filter("low", shown), lambda low: F.struct(low["path"], low["very_low"], low["own"]))
+    joined = joined.withColumn("bad", F.coalesce(bad, F.array().cast("array<struct<path: string, very_low: boolean, own: boolean>>")))
 
     def on(block: Column, *own: bool) -> Column:
-        return F.exists("bad", lambda low: (low["path"] == block["path"]) & low["own"].isin(*own))
+        def counts(low: Column) -> Column:
+            return (low["path"] == block["path"]) & low["own"].isin(*own) & ((block["place"] == JUDGED) | low["very_low"])
+
+        return F.exists("bad", counts)
 
     def chars(blocks: Column) -> Column:
         return F.aggregate(blocks, F.lit(0), lambda n, b: n + F.char_length(b["text"]))

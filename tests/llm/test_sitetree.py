@@ -152,6 +152,29 @@ def test_names_of_noise(html, stays):
     assert "c" not in found
 
 
+@pytest.mark.parametrize(
+    "html, taken",
+    [
+        ("<main><h1>h</h1><p>lead</p><p>the main text</p><article>card</article><article>card</article></main>", "h lead|the main text card|card"),
+        ("<div class=entry-content><p>the main text</p></div><article>card</article><p>x</p>", "the main text card"),
+        ("<main><p>the main text</p></main><article>card</article><p>x</p>", "the main text"),
+        ("<main><h1>h</h1><article><p>the main text</p></article></main><p>x</p>", "h the main text"),
+        ("<article>one</article><article>two</article><p>x</p>", "one two"),
+        ("<p>no marks</p><p>x</p>", "no marks x"),
+    ],
+)
+def test_the_marked_region_is_taken_whole(html, taken):
+    found = [text for _, noise, place, text in read_page(html).blocks if not noise and place != sitetree.OUTSIDE]
+    assert found == re.split(r"(?<=\w)[ |](?=lead|the main|card|two|x)", taken)
+
+
+def test_the_tree_drops_teasers(spark):
+    html = "<main><h1>head {0}</h1><p>the main text of page {0}</p><article>the same card</article></main>"
+    pages = [(i, f"http://h.org/{i}", html.format(i), "x") for i in range(8)]
+    rows = sitetree.extract(spark, spark.createDataFrame(pages, SCHEMA)).collect()
+    assert sorted(r["text"] for r in rows) == [f"head {i}\nthe main text of page {i}" for i in range(8)]
+
+
 def test_edge_cases(spark):
     long = "<article>" + "<p>word &amp; word</p>" * 20_000 + "</article>"
     rows = [(1, None, None, None), (2, "http://a.b/", "", "x"), (None, "http://a.b/", "<p>x</p>", "x"), (3, "not a url", long, "x"), (3, "not a url", long, "x"), (4, "http://a.b/", "<nav>only</nav>", "x")]
