@@ -21,6 +21,13 @@ def stored(spark: SparkSession, rows: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(path)
 
 
+def keyed_rows(spark: SparkSession, rows: DataFrame, **more: Column) -> DataFrame:
+    """Every row whole in _row, under a _row_key of its own and a _row_digest of all its columns, stored with further columns."""
+    columns = [F.col(f"`{c}`") for c in rows.columns]
+    key = [F.monotonically_increasing_id().alias("_row_key"), F.xxhash64(*columns).alias("_row_digest"), F.struct(*columns).alias("_row")]
+    return stored(spark, rows.select(*key, *[column.alias(name) for name, column in more.items()]), "rows")
+
+
 def text_bytes(column: str = "text") -> Column:
     """The text as UTF-8 bytes; a null text is empty."""
     return F.coalesce(F.col(column), F.lit("")).cast("binary")

@@ -6,10 +6,10 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickmill.llm.common import components, local_components, seeded_hash, stored, text_bytes, words
+from clickmill.llm.common import components, keyed_rows, local_components, seeded_hash, stored, text_bytes, words
 
 SEED = 42
 REFERENCES = 24
@@ -40,14 +40,17 @@ def fingerprint(text: bytes, size: int) -> int:
     return int(np.packbits(2 * ones > count, bitorder="little").view("<i8")[0])
 
 
-def fingerprints(docs: DataFrame, size: int) -> DataFrame:
-    """doc_id and fp of every row; a null text is an empty one."""
-
+def _print_of_text(size: int) -> Column:
     @F.pandas_udf("long")
     def of(texts: pd.Series) -> pd.Series:
         return texts.map(lambda text: fingerprint(text, size)).astype("int64")
 
-    return docs.select("doc_id", of(text_bytes()).alias("fp"))
+    return of(text_bytes())
+
+
+def fingerprints(docs: DataFrame, size: int) -> DataFrame:
+    """doc_id and fp of every row; a null text is an empty one."""
+    return docs.select("doc_id", _print_of_text(size).alias("fp"))
 
 
 def references(count: int = REFERENCES) -> np.ndarray:
@@ -161,31 +164,30 @@ def near_duplicates(
     only where no linked row has a doc_id. Repeated rows give repeated results.
     """
     prints = stored(spark, fingerprints(docs, shingle_words), "fingerprints")
+    known = _classes(spark, prints, max_bits)
+    return prints.join(known, "fp").select("doc_id", "fp", "component_id")
+
+
+def _classes(spark: SparkSession, prints: DataFrame, max_bits: int) -> DataFrame:
+    """fp, root and component_id of every fingerprint of prints (doc_id, fp): one root for each group."""
     distinct = stored(spark, prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct")
     roots = components(spark, links(spark, distinct.select("fp"), max_bits))
     placed = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
     placed = placed.withColumn("root", F.coalesce("root", "fp"))
     smallest = placed.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    known = stored(spark, placed.join(smallest, "root").select("fp", "component_id"), "classes")
-    return prints.join(known, "fp").select("doc_id", "fp", "component_id")
+    return stored(spark, placed.join(smallest, "root").select("fp", "root", "component_id"), "classes")
 
 
 def keep_one(spark: SparkSession, docs: DataFrame, shingle_words: int = 4, max_bits: int = 4) -> DataFrame:
-    """The document of the smallest doc_id of each group, with all its columns.
+    """One row of each group, of its smallest doc_id, with all columns.
 
-    Rows that share a doc_id are one document. A row without a doc_id stays only if its group
-    has no row with one, one such row for a group.
+    A row without a doc_id stays only if its group has no row with one. Of rows that share a
+    doc_id, those of one group are one document, those of different groups all stay.
     """
-    found = near_duplicates(spark, docs, shingle_words, max_bits)
-    first = found.where("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
-    kept = docs.join(first, F.col("doc_id") == F.col("kept_id"), "left_semi").dropDuplicates(["doc_id"])
-    nameless = docs.where("doc_id is null")
-    if nameless.isEmpty():
-        return kept
-    alone = found.where("component_id is null").select("fp").distinct()
-    roots = components(spark, links(spark, alone, max_bits))
-    lone = alone.join(roots, F.col("fp") == F.col("node"), "left").where("root is null or root = fp").select("fp")
-    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    prints = fingerprints(nameless.select(F.struct(whole).alias("doc_id"), "text"), shingle_words)
-    chosen = prints.join(lone, "fp", "left_semi").dropDuplicates(["fp"]).select("doc_id.row.*")
-    return kept.unionByName(chosen)
+    rows = keyed_rows(spark, docs, _fp=_print_of_text(shingle_words))
+    slim = rows.select("_row_key", "_row_digest", F.col("_row.doc_id").alias("doc_id"), F.col("_fp").alias("fp"))
+    known = _classes(spark, slim.select("doc_id", "fp"), max_bits)
+    place = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "_row_digest", "_row_key")
+    best = slim.groupBy("fp").agg(F.min(place).alias("best")).join(known, "fp")
+    kept = best.groupBy("root").agg(F.min("best").alias("best")).select(F.col("best._row_key").alias("_kept"))
+    return rows.join(kept, F.col("_row_key") == F.col("_kept"), "left_semi").select("_row.*")

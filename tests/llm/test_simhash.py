@@ -84,6 +84,13 @@ def test_keep_one(spark, edge_docs, no_docs, make_docs):
     assert len(simhash.keep_one(spark, nameless).collect()) == 2
 
 
+def test_keep_one_of_each_group_though_they_share_an_id(spark, make_docs):
+    texts = ["a b c d e f", "z y x w v u", "z y x w v u", "k l m n o p"]
+    docs = make_docs([(7, texts[0], "en", "a"), (7, texts[1], "en", "a"), (8, texts[2], "de", "b"), (None, texts[3], "en", "a"), (7, texts[0], "en", "a")])
+    kept = sorted((r["doc_id"] or 0, r["text"]) for r in simhash.keep_one(spark, docs).collect())
+    assert kept == [(0, texts[3]), (7, texts[0]), (7, texts[1])]
+
+
 @pytest.mark.parametrize("hub", [3, common.HUB])
 def test_components_of_chains_stars_and_hubs(spark, monkeypatch, hub):
     monkeypatch.setattr(common, "HUB", hub)
