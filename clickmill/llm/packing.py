@@ -40,7 +40,6 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.merge = self.tokenizer.model.tokenize
         self.forget()
 
@@ -102,8 +101,11 @@ class WordIds:
 
 
 def _lowered(text: bytes) -> bytes:
-    """The text with A-Z in lower case, unless it has an accent (U+0300 to U+036F) that one of them might join."""
-    return text if b"\xcc" in text or b"\xcd" in text else text.lower()
+    """The text with A-Z in lower case, unless it has an accent (U+0300 to U+036F) that one of them might join, or "<|".
+
+    With that begin special tokens, which are such in lower case only.
+    """
+    return text if b"\xcc" in text or b"\xcd" in text or b"<|" in text else text.lower()
 
 
 def _only_letters(run: bytes) -> bool:

@@ -92,3 +92,15 @@ def test_edge_cases(spark, monkeypatch, edge_docs, no_docs, window):
     assert [r["length"] for r in rows if r["doc_id"] in (1, 2)] == [1, 1]
     assert_packed(rows, 64)
     assert packing.pack(spark, no_docs, word_tokenizer()).collect() == []
+
+
+def test_special_tokens_in_a_text_are_as_the_tokenizer_has_them():
+    from tokenizers import Tokenizer
+
+    texts = ["a <|endoftext|> b", "Ab<|startoftext|>CD<|endoftext|>. <|ENDOFTEXT|> x<|endoftext|", "<|endoftext|>" * 3, "Plain, words."]
+    plain, words = Tokenizer.from_file(word_tokenizer()), packing.WordIds(word_tokenizer())
+    expected = [plain.encode(text, add_special_tokens=False).ids for text in texts]
+    assert 49407 in expected[0] and 49406 in expected[1]
+    ids, lengths = words.of([text.encode() for text in texts])
+    assert lengths.tolist() == [len(e) for e in expected]
+    assert ids.tolist() == [i for e in expected for i in e]
