@@ -3,7 +3,6 @@
 import os
 import unicodedata
 import zlib
-from array import array
 from collections import defaultdict
 from collections.abc import Iterator
 from itertools import chain, islice
@@ -14,13 +13,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickmill.llm.common import stored, text_bytes
+from clickmill.llm.common import stored, stretches, text_bytes
 from clickmill.llm.prefix import pieces_of, with_running_total
 
 CAPACITY = 4096
 END_ID = 1
-CACHED = 600_000  # words whose ids a task remembers
-AT_ONCE = 4_000_000  # bytes of text
+CACHED = 150_000  # words whose ids a task remembers from one stretch of text to the next
+MARKS = (b".", b",")
+LONGEST = 64  # bytes of such a word
+AT_ONCE = 1_000_000  # bytes of text, unless one text alone is longer
 
 # How byte-level vocabularies write bytes: printable ones as themselves, the others, in order, from 256 on.
 SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -33,6 +34,8 @@ class WordIds:
     The tokenizer never joins what white space parts, so runs of other characters are
     tokenised alone. Nor does it join a letter with the full stop or comma after it. What is
     letters only, in lower case, is one piece to its last step, which is then called directly.
+    Of more than CACHED words only the half that came most often is kept, and none of over
+    LONGEST bytes, so what is remembered takes some megabytes however many words there are.
     """
 
     def __init__(self, tokenizer_path: str):
@@ -41,47 +44,62 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
         self.merge = self.tokenizer.model.tokenize
-        self.forget()
-
-    def forget(self) -> None:
         self.numbers: dict[bytes, int] = defaultdict()
         self.numbers.default_factory = self.numbers.__len__
-        # The ids of all runs in the order of their numbers, how many each has, and where they start.
+        # The ids of all runs, one after the other, and by their numbers how many each has, where
+        # they start and how often the run was seen.
         self.flat = np.zeros(0, "<u4")
-        self.count = np.zeros(0, np.int32)
-        self.first = np.zeros(0, np.int64)
+        self.count, self.first, self.seen = (np.zeros(0, np.int64) for _ in range(3))
+
+    def forget(self) -> None:
+        """Keep the words seen most often, and count half of what they were seen."""
+        runs = list(self.numbers)
+        long = np.fromiter(map(len, runs), np.int64, len(runs)) > LONGEST
+        kept = np.argsort(np.where(long, 0, -self.seen), kind="stable")[: CACHED // 2]
+        kept = np.sort(kept[~long[kept]])
+        self.numbers.clear()
+        for i in kept.tolist():
+            self.numbers[runs[i]]
+        self.flat = self._ids(kept)
+        self.count, self.seen = self.count[kept], self.seen[kept] // 2
+        self.first = np.cumsum(self.count) - self.count
+
+    def _ids(self, numbers: np.ndarray) -> np.ndarray:
+        """The ids of runs, one after the other."""
+        count = self.count[numbers]
+        end = np.cumsum(count)
+        return self.flat[np.repeat(self.first[numbers] - end + count, count) + np.arange(end[-1] if len(end) else 0)]
 
     def learn(self) -> None:
         """Tokenise the runs that have numbers but no ids yet."""
         of, known, merge = self.numbers.__getitem__, len(self.count), self.merge
-        stems = {}
+        plain, stopped, others = [], [], []
         for run in list(islice(self.numbers, known, None)):
-            if run[-1:] in (b".", b",") and _only_letters(run[:-1]):
-                stems[run] = run[:-1]
-                of(run[:-1]), of(run[-1:])
-        new = list(islice(self.numbers, known, None))
-        found, others = {}, []
-        for run in new:
-            if run in stems:
-                continue
-            if not _only_letters(run):
+            if _only_letters(run):
+                plain.append(run)
+            elif run[-1:] in MARKS and _only_letters(run[:-1]):
+                stopped.append(run)
+            else:
                 others.append(run)
-                continue
-            text = run.decode() if run.isascii() else run.decode("latin-1").translate(BYTE_LEVEL)
-            found[run] = array("I", [token.id for token in merge(text)]).tobytes()
-        encoded = self.tokenizer.encode_batch_fast([run.decode(errors="replace") for run in others], add_special_tokens=False)
-        found |= {run: array("I", e.ids).tobytes() for run, e in zip(others, encoded, strict=True)}
-
-        def ids(run: bytes) -> bytes:
-            number = of(run)
-            if number >= known:
-                return found[run]
-            return self.flat[self.first[number] :][: self.count[number]].tobytes()
-
-        more = [ids(stems[run]) + ids(run[-1:]) if run in stems else found[run] for run in new]
-        self.flat = np.concatenate([self.flat, np.frombuffer(b"".join(more), "<u4")])
-        self.count = np.concatenate([self.count, np.array([len(i) // 4 for i in more], np.int32)])
-        self.first = np.cumsum(self.count, dtype=np.int64) - self.count
+        asked = known + len(plain) + len(stopped) + len(others)
+        stems, marks = [of(run[:-1]) for run in stopped], [of(run[-1:]) for run in stopped]
+        for run in list(islice(self.numbers, asked, None)):
+            (others if run in MARKS else plain).append(run)
+        shown = [run.decode() if run.isascii() else run.decode("latin-1").translate(BYTE_LEVEL) for run in plain]
+        ids = [[token.id for token in merge(text)] for text in shown]
+        ids += [e.ids for e in self.tokenizer.encode_batch_fast([run.decode(errors="replace") for run in others], add_special_tokens=False)]
+        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
+        numbers = np.array(list(map(of, plain + others)), np.int64)
+        self.count, self.first, self.seen = (np.concatenate([c, np.zeros(len(self.numbers) - known, np.int64)]) for c in (self.count, self.first, self.seen))
+        self.count[numbers] = lengths
+        self.first[numbers] = len(self.flat) + np.cumsum(lengths) - lengths
+        self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(ids), "<u4", lengths.sum())])
+        if stopped:
+            both = np.column_stack([stems, marks])
+            numbers = np.array(list(map(of, stopped)), np.int64)
+            self.count[numbers] = lengths = self.count[both].sum(axis=1)
+            self.first[numbers] = len(self.flat) + np.cumsum(lengths) - lengths
+            self.flat = np.concatenate([self.flat, self._ids(both.ravel())])
 
     def of(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, one after the other, and the number of each."""
@@ -93,11 +111,10 @@ class WordIds:
         words = np.fromiter(chain.from_iterable(map(number, text) for text in runs), np.int32, sum(lengths))
         if len(self.numbers) > len(self.count):
             self.learn()
-        count = self.count[words]
-        end = np.cumsum(count, dtype=np.int64)
-        place = np.repeat(self.first[words] - end + count, count) + np.arange(end[-1] if len(end) else 0)
+        self.seen += np.bincount(words, minlength=len(self.seen))
+        end = np.cumsum(self.count[words])
         edges = np.concatenate(([0], end))[np.concatenate(([0], np.cumsum(lengths)))]
-        return self.flat[place], np.diff(edges)
+        return self._ids(words), np.diff(edges)
 
 
 def _lowered(text: bytes) -> bytes:
@@ -138,16 +155,8 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_i
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordIds(tokenizer_path)
         for batch in batches:
-            doc_ids, texts, size = [], [], 0
-            for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist()):
-                doc_ids.append(doc_id)
-                texts.append(text)
-                size += len(text)
-                if size >= AT_ONCE:
-                    yield cut(doc_ids, texts, words)
-                    doc_ids, texts, size = [], [], 0
-            if texts:
-                yield cut(doc_ids, texts, words)
+            for part in stretches(batch, "text", AT_ONCE):
+                yield cut(part["doc_id"].to_pylist(), part["text"].to_pylist(), words)
 
     rows = docs.select(F.col("doc_id").cast("long"), text_bytes().alias("text"))
     return rows.mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long")
