@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickmill.llm.common import stored, text_bytes
+from clickmill.llm.common import keyed_rows, stored, text_bytes
 from clickmill.llm.training import SAMPLE, fit_dense, labelled_sample, logit, sigmoid
 
 THRESHOLD = 0.5
@@ -153,30 +153,31 @@ def rate_documents(spark: SparkSession, docs: DataFrame, labels: DataFrame, boun
     and quality (0/1), and may be empty. Whole texts count; null and empty ones look alike.
     Repeated rows count once each and give repeated results.
     """
+    return _rated(spark, docs, labels, bound, ["doc_id"]).select("doc_id", *RATED)
+
+
+RATED = ["host", "path", "probability", "host_posterior", "path_posterior", "posterior", "kept"]
+
+
+def _rated(spark: SparkSession, docs: DataFrame, labels: DataFrame, bound: int, keys: list[str]) -> DataFrame:
+    """rate_documents with other columns of docs to tell its rows by."""
     classifier = learn(docs, labels, bound)
     known = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.max("quality").alias("quality"))
-    rows = docs.select("doc_id", F.col("source").alias("host"), F.col("lang").alias("path"), evidence(classifier, text_bytes()).alias("probability"))
+    rows = docs.select(*{*keys, "doc_id"}, F.col("source").alias("host"), F.col("lang").alias("path"), evidence(classifier, text_bytes()).alias("probability"))
     rows = stored(spark, rows, "evidence")
-    rows = rows.join(known, "doc_id", "left").withColumn("known", F.coalesce(F.col("quality").cast("double"), "probability")).drop("quality")
-    found = posterior(spark, rows, classifier.rate)
-    return found.select(
-        "doc_id", "host", "path", "probability", "host_posterior", "path_posterior", "posterior",
-        (F.col("posterior") >= THRESHOLD).alias("kept"),
-    )
+    # Rows without an id have no label; a join would bring them all to one task.
+    named = rows.where("doc_id is not null").join(known, "doc_id", "left")
+    rows = named.unionByName(rows.where("doc_id is null"), allowMissingColumns=True)
+    rows = rows.withColumn("known", F.coalesce(F.col("quality").cast("double"), "probability")).drop("quality")
+    return posterior(spark, rows, classifier.rate).withColumn("kept", F.col("posterior") >= THRESHOLD)
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, labels: DataFrame, bound: int = SAMPLE) -> DataFrame:
     """The documents of good quality, with all their columns.
 
-    doc_id names a document: rows that share one go together if one of them is rejected. Rows
-    without a doc_id are judged by their text alone.
+    Every row is judged on its own, also among rows that share a doc_id or have none.
     """
-    rated = rate_documents(spark, docs, labels, bound)
-    rejected = rated.where("not kept and doc_id is not null").select("doc_id")
-    kept = docs.join(rejected, "doc_id", "left_anti")
-    nameless = docs.where("doc_id is null")
-    if nameless.isEmpty():
-        return kept
-    classifier = learn(docs, labels, bound)
-    good = evidence(classifier, text_bytes()) >= THRESHOLD
-    return kept.where("doc_id is not null").unionByName(nameless.where(good))
+    rows = keyed_rows(spark, docs)
+    parts = [F.col(f"_row.{name}").alias(name) for name in ("doc_id", "text", "source", "lang")]
+    rated = _rated(spark, rows.select("_row_key", *parts), labels, bound, ["_row_key"])
+    return rows.join(rated.where("not kept").select("_row_key"), "_row_key", "left_anti").select("_row.*")

@@ -11,6 +11,7 @@ import duckdb
 import pandas as pd
 import pytest
 from brute import plain_components
+from pyspark.sql import functions as F
 from test_mixing import plain_mix
 from test_packing import assert_packed, plain_pieces
 from test_simhash import plain_fingerprint
@@ -83,6 +84,46 @@ def test_run_is_the_stages(spark, sf_dir, stages):
     assert found.exceptAll(expected).count() == expected.exceptAll(found).count() == 0
 
 
+def test_no_clean_row_is_lost(spark, sf_dir, tmp_path_factory):
+    """Shared and missing ids, repeated rows, a long text, an extra column named like an operator's own."""
+    folder = tmp_path_factory.mktemp("odd")
+    docs = table(spark, sf_dir, "documents").withColumn("_row_key", F.lit("x")).withColumn("piece", F.col("doc_id"))
+    shared = F.when(F.col("doc_id") % 5 == 0, None).when(F.col("doc_id") % 5 == 1, 7).otherwise(F.col("doc_id"))
+    long = docs.where("doc_id = 2").withColumn("text", F.repeat(F.concat("text", F.lit(" ")), 300)).withColumn("piece", F.lit(-1))
+    docs = docs.withColumn("doc_id", shared.cast("long")).unionByName(docs.where("doc_id < 30")).unionByName(long)
+    docs.write.parquet(f"{folder}/documents.parquet")
+    table(spark, sf_dir, "labels").write.parquet(f"{folder}/labels.parquet")
+    docs, counts = table(spark, folder, "documents"), []
+    for name, stage in corpus_pipeline.STAGES:
+        found = stage(spark, docs, str(folder))
+        found.write.parquet(f"{folder}/{name}")
+        before, docs = docs, spark.read.parquet(f"{folder}/{name}")
+        counts.append((before.count(), docs.count()))
+        if name == "quality":
+            judged = quality.rate_documents(spark, before, table(spark, str(folder), "labels"))
+            assert docs.count() == judged.where("kept").count() > 0.8 * before.count()
+        if name == "simhash":
+            texts = [{r["text"]: plain_fingerprint(r["text"]) for r in rows.select("text").distinct().collect()} for rows in (before, docs)]
+            prints = sorted(set(texts[0].values()))
+            near = [(a, b) for a, b in combinations(prints, 2) if (a ^ b).bit_count() <= 4]
+            roots = plain_components(prints, near)
+            # One row of each group, whatever ids its rows share.
+            assert docs.count() == len(set(roots.values()))
+            assert {roots[p] for p in texts[1].values()} == set(roots.values())
+    assert counts[0][0] == table(spark, str(folder), "documents").count()
+    assert 0.8 * counts[0][0] < counts[0][1] and all(n for _, n in counts)
+
+
+@pytest.mark.parametrize("rows", ["empty", "null"])
+def test_runs_on_tables_without_content(spark, sf_dir, tmp_path, rows):
+    for name in ("documents", "labels"):
+        part = table(spark, sf_dir, name).limit(0 if rows == "empty" else 4)
+        part.select(*(F.lit(None).cast(f.dataType).alias(f.name) for f in part.schema)).write.parquet(f"{tmp_path}/{name}.parquet")
+    found = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    # Four null rows are copies of each other, and the last holds no words to mix.
+    assert len(found) <= (rows == "null")
+
+
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_matches_oracle(spark, sf_dir, name):
     duck = duckdb.connect()

@@ -105,6 +105,23 @@ def test_edge_cases(spark, edge_docs, no_docs, labels):
     assert quality.keep_good(spark, no_docs, labels).collect() == []
 
 
+def test_rows_that_share_an_id_or_have_none_are_judged_alone(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where("doc_id >= 200")
+    rated = quality.rate_documents(spark, docs, labels)
+    bad = rated.where("not kept and doc_id >= 200").first()["doc_id"]
+    assert 0 < rated.where("doc_id < 200 and not kept").count() < 200
+
+    def kept(new_id):
+        changed = docs.withColumn("number", F.col("doc_id")).withColumn("doc_id", F.when(F.col("doc_id") < 200, new_id).otherwise(F.col("doc_id")))
+        return {r["number"] for r in quality.keep_good(spark, changed.repartition(5), labels).collect()}
+
+    good = {r["doc_id"] for r in rated.where("kept").collect()}
+    # A label of the shared id is one of all its rows; only the evidence of these sites moves by that.
+    assert len(good ^ kept(F.lit(None).cast("long"))) <= 2
+    assert len(good ^ kept(F.lit(bad))) <= 10
+
+
 def test_query_has_a_row_for_each_document(spark, sf_dir, tables):
     rows = QUERIES["op1_quality"](spark, sf_dir)
     assert rows.select("doc_id").distinct().count() == rows.count() == len(tables("documents"))
