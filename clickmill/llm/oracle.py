@@ -61,3 +61,36 @@ SELECT doc_id, size, source, source_size, target, passes, passes * size AS taken
     ELSE -1 END AS position
 FROM taken
 """
+
+LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+LEAKS = rf"""
+WITH docs AS (
+  SELECT row_number() OVER () AS place, doc_id,
+    coalesce(regexp_extract_all(translate(text, '{LETTERS}', '{LETTERS.lower()}'),
+      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w
+  FROM documents
+), items AS (
+  SELECT item_id, regexp_extract_all(translate(text, '{LETTERS}', '{LETTERS.lower()}'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark WHERE text IS NOT NULL
+), windows AS (
+  SELECT DISTINCT item_id, len(w[i : i + 9]) AS n, array_to_string(w[i : i + 9], ' ') AS words
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM items WHERE len(w) > 0)
+), lengths AS (SELECT DISTINCT n FROM windows),
+doc_windows AS (
+  SELECT place, i, n, array_to_string(w[i : i + n - 1], ' ') AS words
+  FROM (SELECT place, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM docs, lengths WHERE len(w) >= n)
+), hits AS (
+  SELECT DISTINCT place, i, n, item_id FROM doc_windows JOIN windows USING (n, words)
+), hit_words AS (
+  SELECT place, count(DISTINCT p) AS n_hit
+  FROM (SELECT place, unnest(range(i, i + n)) AS p FROM (SELECT DISTINCT place, i, n FROM hits)) GROUP BY place
+), hit_items AS (
+  SELECT place, list_sort(list(DISTINCT CAST(item_id AS VARCHAR)) FILTER (item_id IS NOT NULL)) AS items
+  FROM hits GROUP BY place
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(len(items), 0) AS n_items,
+  sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM docs LEFT JOIN hit_words USING (place) LEFT JOIN hit_items USING (place)
+"""

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from clickmill.llm import brown, kmtree, mixing, oracle, packing, quality, rangejoin, sharding, simhash, sitetree, toxicity
+from clickmill.llm import brown, decontamination, kmtree, mixing, oracle, packing, quality, rangejoin, sharding, simhash, sitetree, toxicity
 from clickmill.llm.common import table
 
 
@@ -61,6 +61,14 @@ def op10_html(spark, sf_dir):
     return sitetree.extract(spark, table(spark, sf_dir, "pages"))
 
 
+def op13_decontamination(spark, sf_dir):
+    found = decontamination.find(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10, keep=["doc_id"])
+    return found.select(
+        "row.doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_embedding_near_dup": op2_embedding_near_dup,
@@ -72,6 +80,7 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_simhash": op9_simhash,
     "op10_html": op10_html,
+    "op13_decontamination": op13_decontamination,
 }
 
-ORACLE_SQL = {"op2_embedding_near_dup": oracle.NEAR_VECTORS, "op8_mixing": oracle.MIX}
+ORACLE_SQL = {"op2_embedding_near_dup": oracle.NEAR_VECTORS, "op8_mixing": oracle.MIX, "op13_decontamination": oracle.LEAKS}
