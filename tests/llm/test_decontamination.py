@@ -102,7 +102,7 @@ def test_spans_and_documents_go(spark, leaky, items, no_docs):
     cut = decontamination.clean_spans(spark, leaky, items)
     assert cut.columns == leaky.columns
     texts = {r["doc_id"]: r["text"] for r in cut.collect()}
-    assert texts[1] == "So:  more." and texts[2] == "" and texts[None] == "; !"
+    assert texts[1] == "So:  more." and texts[2] == "" and texts[None] == "!"
     assert texts[3] == TEXTS[2][1]
     assert texts[4] is None and texts[5] == ""
     again = decontamination.find(spark, cut, items)
