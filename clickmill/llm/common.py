@@ -70,8 +70,10 @@ def map_rows(rows: DataFrame, function: Callable, schema: str) -> DataFrame:
 
 
 def stretches(batch: pa.RecordBatch, column: str, size: int) -> Iterator[pa.RecordBatch]:
-    """The batch in slices whose values of a binary column take about `size` bytes, at least a row each."""
-    ends = np.cumsum(pc.fill_null(pc.binary_length(batch[column]), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    """The batch in slices whose values of a binary or list column have about `size` bytes or elements, at least a row each."""
+    values = batch[column]
+    length = pc.list_value_length(values) if pa.types.is_list(values.type) else pc.binary_length(values)
+    ends = np.cumsum(pc.fill_null(length, 0).to_numpy(zero_copy_only=False), dtype=np.int64)
     start = 0
     while start < batch.num_rows:
         before = ends[start - 1] if start else 0

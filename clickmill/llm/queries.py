@@ -2,14 +2,18 @@
 
 from pyspark.sql import functions as F
 
-from clickmill.llm import brown, decontamination, kmtree, mixing, oracle, packing, quality, rangejoin, sharding, simhash, sitetree, toxicity
+from clickmill.llm import alignment, brown, decontamination, kmtree, mixing, oracle, packing, quality, rangejoin, sharding, simhash, sitetree, toxicity
 from clickmill.llm.common import table
 
 
-def word_tokenizer() -> str:
+def tokenizer(name: str) -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
+
+
+def word_tokenizer() -> str:
+    return tokenizer("word_bpe_49k.json")
 
 
 def op1_quality(spark, sf_dir):
@@ -61,6 +65,11 @@ def op10_html(spark, sf_dir):
     return sitetree.extract(spark, table(spark, sf_dir, "pages"))
 
 
+def op12_alignment(spark, sf_dir):
+    sides = tokenizer("byte_bpe_50k.json"), tokenizer("piece_bpe_32k.model")
+    return alignment.link_counts(spark, table(spark, sf_dir, "documents"), *sides, keep=["doc_id"]).select("row.doc_id", "*").drop("row")
+
+
 def op13_decontamination(spark, sf_dir):
     found = decontamination.find(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10, keep=["doc_id"])
     return found.select(
@@ -80,6 +89,7 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_simhash": op9_simhash,
     "op10_html": op10_html,
+    "op12_alignment": op12_alignment,
     "op13_decontamination": op13_decontamination,
 }
 
