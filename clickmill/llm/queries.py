@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from clickmill.llm import alignment, brown, decontamination, kmtree, mixing, oracle, packing, quality, rangejoin, sharding, simhash, sitetree, toxicity
+from clickmill.llm import alignment, brown, decontamination, kmtree, mixing, oracle, packing, quality, rangejoin, sharding, simhash, sitetree, spelling, toxicity
 from clickmill.llm.common import table
 
 
@@ -65,6 +65,10 @@ def op10_html(spark, sf_dir):
     return sitetree.extract(spark, table(spark, sf_dir, "pages"))
 
 
+def op11_spelling(spark, sf_dir):
+    return spelling.variants(spark, table(spark, sf_dir, "documents"))
+
+
 def op12_alignment(spark, sf_dir):
     sides = tokenizer("byte_bpe_50k.json"), tokenizer("piece_bpe_32k.model")
     return alignment.link_counts(spark, table(spark, sf_dir, "documents"), *sides, keep=["doc_id"]).select("row.doc_id", "*").drop("row")
@@ -89,6 +93,7 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_simhash": op9_simhash,
     "op10_html": op10_html,
+    "op11_spelling": op11_spelling,
     "op12_alignment": op12_alignment,
     "op13_decontamination": op13_decontamination,
 }

@@ -1,0 +1,114 @@
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from clickmill.llm import spelling
+from clickmill.llm.queries import QUERIES
+
+RUN = re.compile("[A-Za-zÀ-ÿ]+")
+
+
+def plain_words(docs):
+    counts = Counter()
+    for doc_id, text in docs:
+        for run in RUN.findall(text or ""):
+            run = "".join(c.lower() if c.isascii() else c for c in run)
+            h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{run}".encode())
+            if h % 97 == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            counts[run] += 1
+    return {w: n for w, n in counts.items() if n >= 3 and len(w) >= 5}
+
+
+def one_apart(a, b):
+    if len(a) > len(b):
+        a, b = b, a
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    return len(b) == len(a) + 1 and any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
+
+
+def plain_near(words):
+    """Pairs that share what is left when each loses at most one letter, compared letter by letter."""
+    left = defaultdict(set)
+    for w in words:
+        for v in {w, *(w[:i] + w[i + 1 :] for i in range(len(w)))}:
+            left[v].add(w)
+    near = defaultdict(set)
+    for group in left.values():
+        for a in group:
+            near[a].update(b for b in group if one_apart(a, b))
+    return near
+
+
+def plain_variants(docs):
+    words = plain_words(docs)
+    near = plain_near(words)
+    best = {w: min(near[w], key=lambda v: (-words[v], v), default=None) for w in words}
+    form = {w: b if b is not None and words[b] >= 2 * words[w] else None for w, b in best.items()}
+    rows = []
+    for w, n in words.items():
+        root = w
+        while form[root] is not None:
+            root = form[root]
+        rows.append((w, form[w], root, n, len(near[w]), words.get(form[w])))
+    return sorted(rows)
+
+
+COLUMNS = ["word", "form", "root", "n", "n_near", "form_n"]
+
+
+def rows_of(frame):
+    assert frame.columns == COLUMNS
+    return sorted(tuple(r) for r in frame.collect())
+
+
+def test_query_matches_brute_force(spark, sf_dir, tables):
+    expected = plain_variants([(d["doc_id"], d["text"]) for d in tables("documents")])
+    assert rows_of(QUERIES["op11_spelling"](spark, sf_dir)) == expected
+    assert any(form for _, form, *_ in expected) and any(root != form and form for _, form, root, *_ in expected)
+
+
+@pytest.mark.parametrize("parts", [2, 3, 6, 9])
+def test_pairs_are_found_once(spark, parts):
+    """Every pair of a dense set of words, whatever the number of parts, and no words of the same letters."""
+    stems = ["aaaaa", "aabbb", "ababa", "babab", "abcde", "edcba", "bcdea", "aaaaaa", "éàüßx", "éàüÿx"]
+    words = {w: 3 for s in stems for w in {s, s + "a", "b" + s, s[:2] + "c" + s[3:], s[:2] + "cc" + s[3:], s[::-1]}}
+    frame = spark.createDataFrame(list(words.items()), "word string, n long")
+    part_of = spelling.letter_parts(frame, parts)
+    found = spelling.replaced(frame, part_of, parts).unionByName(spelling.inserted(frame, part_of, parts)).collect()
+    near = plain_near(words)
+    pairs = Counter(frozenset((r["word"], r["other"])) for r in found)
+    assert pairs == Counter({frozenset((a, b)) for a in words for b in near[a]})
+
+
+@given(st.lists(st.text("abé", min_size=1, max_size=9), min_size=1, max_size=12, unique=True), st.integers(1, 5))
+@settings(max_examples=200, deadline=None)
+def test_sums_tell_the_letters(words, parts):
+    part_of = {c: i % parts for i, c in enumerate("abé")}
+    sums = spelling.part_sums(words, part_of, parts)
+    for i, a in enumerate(words):
+        for j, b in enumerate(words[:i]):
+            assert (sums[i] == sums[j]).all() == (sorted(a) == sorted(b))
+
+
+def test_roots_follow_long_chains(spark):
+    forms = spark.createDataFrame([(f"w{i:02}", f"w{i + 1:02}") for i in range(40)] + [("x", "w00"), ("y", "z")], "word string, form string")
+    roots = {r["word"]: r["root"] for r in spelling._roots(spark, forms).collect()}
+    assert roots == {f"w{i:02}": "w40" for i in range(40)} | {"x": "w40", "y": "z"}
+
+
+def test_edge_cases(spark, edge_docs, no_docs, make_docs):
+    docs = [(r["doc_id"], r["text"]) for r in edge_docs.collect()]
+    assert rows_of(spelling.variants(spark, edge_docs)) == plain_variants(docs)
+    texts = [(i % 3 or None, "Colour color, COLOUR ÉCLAIR éclair×÷ x", "en", "a") for i in range(7)]
+    texts += [(i, "color " * 10 + "colors\n" * 4 + "coolor Coler", None, None) for i in range(4)]
+    texts += [(9, "tails " * 30_000 + "tailz " * 4, "en", "a"), (9, None, "en", "a"), (None, "", "en", "a")] + [(9, "aaaaaaaaaa" * 3000, "en", "a")] * 3
+    found = rows_of(spelling.variants(spark, make_docs(texts, extra="word")))
+    assert found == plain_variants([t[:2] for t in texts])
+    assert {w: form for w, form, *_ in found}["colour"] == "color"
+    assert rows_of(spelling.variants(spark, no_docs)) == []
