@@ -18,7 +18,7 @@ from clickmill.llm.prefix import pieces_of, with_running_total
 
 CAPACITY = 4096
 END_ID = 1
-CACHED = 150_000  # words whose ids a task remembers from one stretch of text to the next
+CACHED = 300_000  # words whose ids a task remembers from one stretch of text to the next
 MARKS = (b".", b",")
 LONGEST = 64  # bytes of such a word
 AT_ONCE = 1_000_000  # bytes of text, unless one text alone is longer
