@@ -101,9 +101,8 @@ def part_sums(words: list[str], part_of: dict[str, int], parts: int) -> np.ndarr
     return sums
 
 
-def _signed(words: DataFrame, part_of: dict[str, int], parts: int, describe, names: str) -> DataFrame:
+def _signed(words: DataFrame, part_of: dict[str, int], parts: int, describe, columns: list[str]) -> DataFrame:
     """word, n, and describe(sums, length) as further columns, an array of a row for each word and a column for each signature."""
-    columns = names.split()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -116,8 +115,7 @@ def _signed(words: DataFrame, part_of: dict[str, int], parts: int, describe, nam
             arrays = [batch["word"].take(of), batch["n"].take(of), *(pa.array(m.ravel()) for m in made)]
             yield pa.RecordBatch.from_arrays(arrays, ["word", "n", *columns])
 
-    kinds = ", ".join(f"{c} {'boolean' if c.startswith('only') else 'long'}" for c in columns)
-    return words.select("word", "n").mapInArrow(run, f"word string, n long, {kinds}")
+    return words.select("word", "n").mapInArrow(run, ", ".join(["word string, n long", *(f"{c} long" for c in columns)]))
 
 
 def replaced(words: DataFrame, part_of: dict[str, int], parts: int) -> DataFrame:
@@ -132,17 +130,22 @@ def replaced(words: DataFrame, part_of: dict[str, int], parts: int) -> DataFrame
     """
     left_out = list(combinations(range(parts), 2))
     first, second = (np.array(side) for side in zip(*left_out))
+    which = np.uint64(1 << len(left_out).bit_length())
 
     def describe(sums, length):
         rest = sums.sum(axis=1)[:, None] - sums[:, first] - sums[:, second]
-        signature = np.column_stack([_mixed(rest[:, i] * np.uint64(3) + length, i + 1) for i in range(len(left_out))])
-        shape = np.ones((len(length), 1), bool)
-        return signature.view(np.int64), sums[:, first].view(np.int64), sums[:, second].view(np.int64), shape & (second == first + 1), shape & ((first == 0) & (second == parts - 1))
+        # The last bits of a signature say which one of a word's it is.
+        signature = [_mixed(rest[:, i] * np.uint64(3) + length, 1) // which * which + np.uint64(i) for i in range(len(left_out))]
+        return np.column_stack(signature).view(np.int64), sums[:, first].view(np.int64), sums[:, second].view(np.int64)
 
-    signed = _signed(words, part_of, parts, describe, "signature first second only_first only_second")
+    signed = _signed(words, part_of, parts, describe, ["signature", "first", "second"])
     a, b = signed.alias("a"), signed.alias("b")
+    number = F.pmod(F.col("a.signature"), F.lit(int(which)))
     first_differs, second_differs = F.col("a.first") != F.col("b.first"), F.col("a.second") != F.col("b.second")
-    once = F.when(first_differs, second_differs | F.col("a.only_first")).otherwise(second_differs & F.col("a.only_second"))
+    next_part = number.isin([i for i, (p, q) in enumerate(left_out) if q == p + 1])
+    # After the last part comes the first.
+    next_first = number == left_out.index((0, parts - 1))
+    once = F.when(first_differs, second_differs | next_part).otherwise(second_differs & next_first)
     return _near(a, b, once & (F.col("a.word") < F.col("b.word")))
 
 
@@ -156,8 +159,8 @@ def inserted(words: DataFrame, part_of: dict[str, int], parts: int) -> DataFrame
         rest = sums.sum(axis=1)[:, None] - sums
         return (np.column_stack([_mixed(rest[:, i] * np.uint64(3) + length + np.uint64(more), i + 1) for i in range(parts)]).view(np.int64),)
 
-    a = _signed(words, part_of, parts, lambda sums, length: describe(sums, length, 1), "signature").alias("a")
-    b = _signed(words, part_of, parts, lambda sums, length: describe(sums, length, 0), "signature").alias("b")
+    a = _signed(words, part_of, parts, lambda sums, length: describe(sums, length, 1), ["signature"]).alias("a")
+    b = _signed(words, part_of, parts, lambda sums, length: describe(sums, length, 0), ["signature"]).alias("b")
     return _near(a, b, F.lit(True))
 
 
@@ -201,9 +204,10 @@ def variants(spark: SparkSession, docs: DataFrame, parts: int = PARTS) -> DataFr
     words = stored(spark, word_counts(spark, docs), "words")
     part_of = letter_parts(words, parts)
     near = replaced(words, part_of, parts).unionByName(inserted(words, part_of, parts))
-    back = near.select(F.col("other").alias("word"), F.col("other_n").alias("n"), F.col("word").alias("other"), F.col("n").alias("other_n"))
+    there, back = F.struct("word", "other", "other_n"), F.struct(F.col("other").alias("word"), F.col("word").alias("other"), F.col("n").alias("other_n"))
+    near = near.select(F.explode(F.array(there, back)).alias("near")).select("near.*")
     best = F.min(F.struct((-F.col("other_n")).alias("n"), F.col("other").alias("word"))).alias("best")
-    found = near.unionByName(back).groupBy("word").agg(F.count("*").alias("n_near"), best)
+    found = near.groupBy("word").agg(F.count("*").alias("n_near"), best)
     found = words.join(found, "word", "left")
     usual = -F.col("best.n") >= 2 * F.col("n")
     found = found.select(
