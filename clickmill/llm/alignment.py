@@ -23,19 +23,16 @@ PAIRS_AT_ONCE = 500_000  # of stored links
 PART_PAIRS = 1_000_000  # pairs of ids that one broadcast table holds
 # Fixed value: how byte-level tokenizers cut a text before they merge.
 BYTE_LEVEL_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-# Texts of settled letters whose words are of ordinary length.
-SETTLED = re.compile(r"[\x00-ɏ]*")
-LONG_GAP = re.compile(r"\s{500}")
-LONG_WORD = 500
+SETTLED = re.compile(r"[\x00-ɏ]*")  # letters that all libraries take for such
 
 
 class ByteTokens:
     """Ids by a byte-level vocabulary; strings of special tokens are ordinary text.
 
     A vocabulary of this kind numbers its entries in the order of their merges, so the entries
-    alone tell the ids, which the faster of two libraries works out. What they might cut
-    differently (letters that are new to one of them) or slowly (very long words) goes to the
-    tokenizer that the file states.
+    alone tell the ids, which the faster of two libraries works out. Texts with letters that might
+    be too new for one of them go to the tokenizer that the file states. Tokens always give
+    back their text, as every byte is an entry.
     """
 
     def __init__(self, path: str):
@@ -54,16 +51,16 @@ class ByteTokens:
         ranks = {self.bytes[number]: number for number in vocabulary.values() if number not in special}
         self.fast = tiktoken.Encoding("own", pat_str=BYTE_LEVEL_WORDS, mergeable_ranks=ranks, special_tokens={})
 
-    def ids(self, text: str) -> list[int]:
-        if SETTLED.fullmatch(text) and not LONG_GAP.search(text) and max(map(len, text.split()), default=0) < LONG_WORD:
-            return self.fast.encode_ordinary(text)
+    def ids(self, text: str) -> np.ndarray:
+        if SETTLED.fullmatch(text):
+            return self.fast.encode_to_numpy(text).astype(np.int64)
         if self.tokenizer is None:
             os.environ["TOKENIZERS_PARALLELISM"] = "false"
             from tokenizers import Tokenizer
 
             self.tokenizer = Tokenizer.from_file(self.path)
             self.tokenizer.encode_special_tokens = True
-        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int64)
 
 
 class PieceTokens:
@@ -145,10 +142,10 @@ class Aligner:
         if not text:
             return None
         words = text.decode(errors="replace")
-        ids = self.sides[0].ids(" " + words), self.sides[1].ids(words)
-        if any(b"".join(map(side.bytes.__getitem__, i)) != b" " + text for side, i in zip(self.sides, ids)):
+        a, pieces = self.sides[0].ids(" " + words), self.sides[1].ids(words)
+        if b"".join(map(self.sides[1].bytes.__getitem__, pieces)) != b" " + text:
             return None
-        a, b = (np.array(i, np.int64) for i in ids)
+        b = np.array(pieces, np.int64)
         a_ends, b_ends = (np.cumsum(lengths[i]) for lengths, i in zip(self.lengths, (a, b)))
         if len(a) <= len(b):
             a_common, b_common, a_links, b_links = overlaps(a_ends, b_ends)
