@@ -12,6 +12,7 @@ from clickmill.functions.hours import (
     date_parts,
     hour_bucket,
     hour_bucket_literal,
+    hour_day,
     within_hours,
 )
 
@@ -25,6 +26,7 @@ __all__ = [
     "encode_tsv",
     "hour_bucket",
     "hour_bucket_literal",
+    "hour_day",
     "numbered",
     "previous_page",
     "within_hours",

@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from clickmill.schema import INGEST_DATE, MS_PER_HOUR
 
+MS_PER_DAY = 24 * MS_PER_HOUR
+FIRST_DAY, LAST_DAY = (day.toordinal() - date(1970, 1, 1).toordinal() for day in (date(1600, 1, 1), date.max))
+
 
 def _col(value) -> Column:
     return F.col(value) if isinstance(value, str) else value
@@ -26,6 +29,14 @@ def hour_bucket_literal(millis) -> Column:
     return _col(millis) / F.lit(MS_PER_HOUR) * F.lit(MS_PER_HOUR)
 
 
+def hour_day(hour) -> Column:
+    """The UTC date that holds an hour, NULL for none; times before the year 1600 or after 9999 go to the first or last date."""
+    hour = _col(hour)
+    days = ((hour - F.pmod(hour, F.lit(MS_PER_DAY).cast("long"))) / MS_PER_DAY).cast("long")
+    bounded = F.least(F.greatest(days, F.lit(FIRST_DAY)), F.lit(LAST_DAY)).cast("int")
+    return F.when(hour.isNotNull(), F.date_from_unix_date(bounded))
+
+
 def within_hours(hours: int, now: int | Column | None = None, hour="timestamp_hour") -> Column:
     """Hours no older than `hours` before `now` (epoch seconds, default the current time).
 

@@ -1,4 +1,5 @@
 from clickmill.operators.aggregates import (
+    action_counts,
     activity_by_product,
     distinct_keys,
     in_key_order,
@@ -9,15 +10,17 @@ from clickmill.operators.aggregates import (
     visitors_by_product,
 )
 from clickmill.operators.quality import drop_duplicate_events, has_key, split_malformed
-from clickmill.operators.serving import apply_updates, merge, missing_rows, not_in
+from clickmill.operators.serving import apply_updates, merge, merge_in_place, missing_rows, not_in
 from clickmill.operators.sketches import (
     approx_visitors_by_product,
     estimate_visitors,
     merge_sketches,
+    serve_sketches,
     visitor_sketches,
 )
 
 __all__ = [
+    "action_counts",
     "activity_by_product",
     "apply_updates",
     "approx_visitors_by_product",
@@ -30,10 +33,12 @@ __all__ = [
     "last_write_per_key",
     "latest_hours",
     "merge",
+    "merge_in_place",
     "merge_sketches",
     "missing_rows",
     "not_in",
     "rollup_by_product",
+    "serve_sketches",
     "split_malformed",
     "visitor_sketches",
     "visitors_by_product",

@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType
 
-from clickmill.functions import date_parts, decode_clicks, within_hours
+from clickmill.functions import date_parts, decode_clicks, hour_day, within_hours
 from clickmill.operators import (
+    action_counts,
     activity_by_product,
     approx_visitors_by_product,
     drop_duplicate_events,
@@ -20,23 +21,47 @@ from clickmill.operators import (
     key_order,
     merge,
     rollup_by_product,
+    serve_sketches,
     split_malformed,
+    visitor_sketches,
+)
+from clickmill.schema import (
+    ACTIVITY,
+    BATCH_TABLES,
+    COUNTS,
+    EVENT_COLUMNS,
+    INGEST_DATE,
+    KAFKA_ROW,
+    KEYS,
+    TABLES,
+    VISITS,
 )
-from clickmill.schema import ACTIVITY, BATCH_TABLES, EVENT_COLUMNS, KAFKA_ROW, KEYS, TABLES
 from clickmill.session import new_folder
-from clickmill.sources import landed, newest_version, publish, write_table, write_version
-from clickmill.sources.catalog import point_at
+from clickmill.sources import (
+    create_database,
+    create_keyed_table,
+    landed,
+    landed_days,
+    overwrite_days,
+    publish,
+    state_cutoff,
+    write_table,
+)
+from clickmill.sources.catalog import BUCKETS, DAY
 from clickmill.sources.folders import delete
 from clickmill.streaming import (
-    KeyedTable,
+    DayTable,
     StoreTable,
     start_files,
     start_upsert,
     watermarked_counts,
+    watermarked_sketches,
     watermarked_visitors,
 )
 
 ACTIVITY_TABLE, VISITORS_TABLE = BATCH_TABLES
+SKETCH_TABLE, REJECTED_TABLE = "batch_visitor_sketches", "batch_rejected"
+VISITS_TABLE, CONSUMED_TABLE = "batch_visits", "batch_consumed_days"
 #: The newest event of a key counts, and of events at one time the one whose columns are largest.
 CLICK_ORDER = EVENT_COLUMNS
 POSITION = StructType([f for f in KAFKA_ROW if f.name in ("topic", "partition", "offset")])
@@ -75,7 +100,7 @@ def ingest(
 
 def speed_activity(
     rows: DataFrame,
-    table: KeyedTable | StoreTable,
+    table: DayTable | StoreTable,
     checkpoint: str,
     delay: str | None = None,
     **options,
@@ -95,7 +120,7 @@ def speed_activity(
 
 def speed_visitors(
     rows: DataFrame,
-    table: KeyedTable | StoreTable,
+    table: DayTable | StoreTable,
     checkpoint: str,
     delay: str | None = None,
     **options,
@@ -113,8 +138,23 @@ def speed_visitors(
     return start_upsert(visitors, table, checkpoint, **options)
 
 
+def speed_sketches(
+    rows: DataFrame,
+    table: DayTable | StoreTable,
+    checkpoint: str,
+    delay: str | None = None,
+    **options,
+) -> StreamingQuery:
+    """Keep running sketches of the visitors per product and hour, which serve_visitors unites with the batch job's."""
+    if delay is None:
+        sketches = visitor_sketches(decode_clicks(rows, columns=[*KEYS, "visitor"]))
+    else:
+        sketches = watermarked_sketches(decode_clicks(rows, columns=["eventtime", "product", "visitor"]), delay)
+    return start_upsert(sketches, table, checkpoint, **options)
+
+
 def speed_clicks(
-    rows: DataFrame, table: KeyedTable | StoreTable, checkpoint: str, **options
+    rows: DataFrame, table: DayTable | StoreTable, checkpoint: str, **options
 ) -> StreamingQuery:
     """Keep the last click of each product and hour, by the table's order: see CLICK_ORDER."""
     if table.order is None:
@@ -125,7 +165,7 @@ def speed_clicks(
 def batch(
     spark: SparkSession,
     landed_path: str,
-    out: str,
+    location: str,
     since: date | None = None,
     until: date | None = None,
     mode: str = "overwrite",
@@ -134,27 +174,29 @@ def batch(
     now: int | None = None,
     once: bool = False,
     rejects: bool = False,
-    database: str | None = None,
+    sketches: bool = False,
+    database: str = "default",
+    buckets: int = BUCKETS,
 ) -> tuple[DataFrame, DataFrame]:
     """Recompute both batch tables from landed clicks: (activity, visitors).
 
-    One pass over the clicks gives both aggregates. They are stored together, written as a
-    version of a table each, sorted within its files, and then removed. Readers of the former
-    version keep their files; with mode "errorifexists" the job refuses to begin if there is
-    one. A catalog database, if named, is pointed at the new versions.
+    One pass over the clicks gives both aggregates. They are stored together, published as
+    tables of the catalog database, in buckets of the key, and then removed. Readers of the former
+    tables keep their files; with mode "errorifexists" the job refuses to begin if there are
+    any.
 
     since and until bound the day of receipt, `hours` the age of the event's hour before `now`
     (epoch seconds, by default the current time). Days rewritten by close_day are read from
     `closed`. `once` drops repeated deliveries, for clicks landed with their position.
-    `rejects` writes the clicks without a key, with their payload if it was landed, as a
-    version of `rejected`.
+    `rejects` publishes the clicks without a key, with their payload if it was landed, and
+    `sketches` a sketch of every key's visitors, from a second pass, for serve_visitors.
 
     The activity table states a cutoff for serve: its newest hour, which may still receive
     clicks; every hour before counts from here.
     """
-    names = BATCH_TABLES
-    if mode == "errorifexists" and any(newest_version(spark, f"{out}/{name}") for name in names):
-        raise ValueError(f"{out} already holds batch tables")
+    create_database(spark, database, location)
+    if mode == "errorifexists" and any(spark.catalog.tableExists(f"{database}.{name}") for name in BATCH_TABLES):
+        raise ValueError(f"{database} already holds batch tables")
     extra = StructType([*([PAYLOAD] if rejects else []), *(POSITION if once else [])])
     rows = landed(spark, landed_path, since, until, extra, closed)
     if hours is not None:
@@ -165,19 +207,76 @@ def batch(
     folder = new_folder(spark, "rollup")
     both = write_table(rollup_by_product(accepted), folder)
     cutoff = both.agg(F.max("timestamp_hour")).first()[0]
+    for name in BATCH_TABLES:
+        publish(both.select(TABLES[name].names), f"{database}.{name}", location, buckets)
+    # Stated after the counts are in place: the hour before errs on the side of the speed layer.
+    state_cutoff(spark, f"{database}.{ACTIVITY_TABLE}", cutoff)
+    if sketches:
+        publish(visitor_sketches(accepted), f"{database}.{SKETCH_TABLE}", location, buckets)
+    if rejects:
+        publish(rejected, f"{database}.{REJECTED_TABLE}", location)
+    delete(spark, folder)
+    return tuple(spark.table(f"{database}.{name}") for name in BATCH_TABLES)
 
-    def table(name: str) -> DataFrame:
-        rows = both.select(TABLES[name].names).sortWithinPartitions(*key_order())
-        written = write_version(rows, f"{out}/{name}", cutoff if name == ACTIVITY_TABLE else None)
-        if database is not None:
-            point_at(spark, f"{database}.{name}", newest_version(spark, f"{out}/{name}"))
-        return written
 
-    tables = tuple(table(name) for name in (ACTIVITY_TABLE, VISITORS_TABLE))
-    if rejects:
-        write_version(rejected, f"{out}/rejected")
+def visits_of_days(
+    spark: SparkSession, landed_path: str, days: list[date], closed: str | None = None, once: bool = False
+) -> DataFrame:
+    """Counts per product, hour, visitor and day of receipt of the clicks of some days, of which alone files are read."""
+    rows = landed(spark, landed_path, extra=POSITION if once else StructType(), closed=closed)
+    received = F.make_date(*INGEST_DATE)
+    rows = rows.where(received.isin(days)).withColumn("ingest_day", received)
+    if once:
+        rows = drop_duplicate_events(rows, POSITION.names)
+    visits = split_malformed(rows)[0].groupBy(*KEYS, "visitor", "ingest_day").agg(*action_counts())
+    return visits.withColumn(DAY, hour_day("timestamp_hour"))
+
+
+def batch_new_days(
+    spark: SparkSession,
+    landed_path: str,
+    location: str,
+    until: date,
+    closed: str | None = None,
+    once: bool = False,
+    database: str = "default",
+    buckets: int = BUCKETS,
+) -> list[date]:
+    """Bring both batch tables up to date by the days of receipt that no run has read yet, up to `until`.
+
+    These days must receive no more clicks. What they hold is kept as counts per product, hour
+    and visitor, partitioned by the day of the event's hour and the day of receipt. Of the
+    batch tables, here partitioned by the day of the hour, only the days that new clicks fall in are computed
+    again, from these counts. So a run reads the new days' clicks and the counts of the event days they
+    touch, and the result is that of a full recompute.
+
+    Days count as read once all is written. A run that stopped anywhere is made good by the
+    next, which replaces the same partitions. `once` drops repeated deliveries within these days.
+    Returns the days read.
+    """
+    create_database(spark, database, location)
+    visits, consumed = f"{database}.{VISITS_TABLE}", f"{database}.{CONSUMED_TABLE}"
+    spread = [*KEYS, "visitor"]
+    create_keyed_table(spark, visits, VISITS, f"{location}/{VISITS_TABLE}", buckets, True, "ingest_day", spread)
+    for name in BATCH_TABLES:
+        create_keyed_table(spark, f"{database}.{name}", TABLES[name], f"{location}/{name}", buckets, by_day=True)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {consumed} (day date) USING parquet LOCATION '{location}/{CONSUMED_TABLE}'")
+    read = {r["day"] for r in spark.table(consumed).collect()}
+    new = [day for day in landed_days(spark, landed_path, closed) if day <= until and day not in read]
+    if not new:
+        return []
+    overwrite_days(visits_of_days(spark, landed_path, new, closed, once), visits, buckets, spread)
+    touched = spark.table(visits).where(F.col("ingest_day").isin(new)).select(DAY).distinct()
+    parts = spark.table(visits).where(F.col(DAY).isin([r[DAY] for r in touched.collect()]))
+    sums = [F.sum(name).alias(name) for name in COUNTS]
+    both = parts.groupBy(*KEYS).agg(*sums, F.countDistinct("visitor").alias("unique_visitors"))
+    folder = new_folder(spark, "rollup")
+    both = write_table(both.withColumn(DAY, hour_day("timestamp_hour")), folder)
+    for name in BATCH_TABLES:
+        overwrite_days(both, f"{database}.{name}", buckets)
+    spark.createDataFrame([(day,) for day in new], "day date").coalesce(1).write.insertInto(consumed)
     delete(spark, folder)
-    return tables
+    return new
 
 
 def quarantine(rows: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
@@ -212,3 +311,21 @@ def serve(
         raise ValueError("give the hour at which speed counts take over, or say that the tables are additive")
     merged = merge(batch_table, speed_table, cutoff_hour, ordered=True)
     return publish(merged, table, location)
+
+
+def serve_visitors(
+    batch_sketches: DataFrame,
+    speed_sketches: DataFrame,
+    table: str,
+    location: str,
+    cutoff_hour: int | None = None,
+    buckets: int = BUCKETS,
+) -> str:
+    """Unite the visitor sketches of both layers and publish them, each with its estimate, as a serving table.
+
+    A visitor in both layers counts once, so no hour need be left to one of them; with a cutoff the
+    speed layer's are read from that hour on only.
+    """
+    united = serve_sketches(batch_sketches, speed_sketches, cutoff_hour)
+    estimate = F.hll_sketch_estimate("visitors").alias("unique_visitors")
+    return publish(united.select(*KEYS, estimate, "visitors"), table, location, buckets)

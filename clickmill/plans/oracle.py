@@ -34,6 +34,10 @@ VISITORS = """
   FROM clicks GROUP BY product, timestamp_hour
 """
 
+BOTH = f"""{CLICKS}, activity AS ({ACTIVITY}), visitors AS ({VISITORS})
+  SELECT * FROM activity JOIN visitors USING (product, timestamp_hour)
+"""
+
 VISITORS_CLOSE = """
   SELECT product, timestamp_hour, count(DISTINCT visitor) AS unique_visitors, true AS close
   FROM clicks GROUP BY product, timestamp_hour
@@ -126,6 +130,9 @@ ORACLE_SQL = {
     "serving_merge": CLICKS + ACTIVITY,
     "serving_merge_cutoff": CLICKS + ACTIVITY,
     "serve": CLICKS + ACTIVITY,
+    "serve_visitors": CLICKS + VISITORS_CLOSE,
+    "serving_in_buckets": CLICKS + ACTIVITY,
+    "batch_new_days": BOTH,
     "serving_insert_row": CLICKS + ACTIVITY + " UNION ALL SELECT 'Product-0', 0, 1, 2, 3",
     "visitors_hll": CLICKS + VISITORS_CLOSE,
     "stream_visitors_approx": CLICKS + VISITORS_CLOSE,
@@ -134,8 +141,7 @@ ORACLE_SQL = {
         FROM clicks""",
     "stream_ingest": f"""{CLICKS}
         SELECT {LANDED_COLUMNS}, 2024 AS year, 2 AS month, 1 AS day FROM clicks""",
-    "stream_ingest_batch": f"""{CLICKS}, activity AS ({ACTIVITY}), visitors AS ({VISITORS})
-        SELECT * FROM activity JOIN visitors USING (product, timestamp_hour)""",
+    "stream_ingest_batch": BOTH,
     "stream_activity": CLICKS + ACTIVITY,
     "stream_clicks": CLICKS
     + LAST_CLICK.format(

@@ -4,8 +4,9 @@ Where a query needs two event sets, clicks from search engines are the batch lay
 others the speed layer's: between them they hold every event, and many of their keys meet.
 """
 
-from datetime import date
+from datetime import date, timedelta
 from functools import reduce
+from hashlib import sha1
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,8 +43,10 @@ from clickmill.plans.clicks import DELIVERIES, clicks, deliver, events, kafka_ro
 from clickmill.schema import (
     ACTIVITY,
     ACTIVITY_BY_PRODUCT,
+    BATCH_TABLES,
     INGEST_DATE,
     KEYS,
+    VISITOR_SKETCHES,
     VISITORS_BY_PRODUCT,
 )
 from clickmill.session import new_folder
@@ -56,16 +59,22 @@ from clickmill.sources import (
     write_table,
 )
 from clickmill.sources.files import DAYS
-from clickmill.streaming import KeyedTable, start_files, start_replace, watermarked_counts
+from clickmill.streaming import DayTable, start_files, start_replace, watermarked_counts
 
 INGEST_DAY = date(2024, 2, 1)
 NOW = 1_706_616_000  # 2024-01-30 12:00 UTC, within the last hours of the events
 CUTOFF_HOUR = 1_705_276_800_000  # 2024-01-15 00:00 UTC, the middle of the events
 STANDARD_ERROR = 0.05  # of a sketch, at most
 SEARCH_ENGINES = ["Google", "Bing", "Yahoo"]
+FEW = 2  # buckets of a day, of which the given tables have few rows
 RUN_ONCE = {"trigger": {"availableNow": True}}
 
 
+def _own_name(folder: str) -> str:
+    """The name of a table or database that lies in a folder of its own."""
+    return f"own_{sha1(folder.encode()).hexdigest()[:16]}"
+
+
 def _layers(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     searched = F.col("referrer").isin(SEARCH_ENGINES)
     return rows.where(searched), rows.where(~searched)
@@ -258,6 +267,49 @@ def serve(spark, sf_dir):
     return spark.table(table)
 
 
+def serve_visitors(spark, sf_dir):
+    """Sketches stored by the batch job and by a stream that saw the last half of its clicks as well, united."""
+    rows = clicks(spark, sf_dir)
+    batch_side, _ = _layers(rows)
+    folder = new_folder(spark, "serve-visitors")
+    landed_rows = batch_side.select(*ACTIVITY.names, *date_parts(INGEST_DAY))
+    landed_rows.write.partitionBy(*INGEST_DATE).parquet(f"{folder}/landed")
+    database = _own_name(folder)
+    jobs.batch(spark, f"{folder}/landed", f"{folder}/batch", sketches=True, database=database)
+    speed_side = rows.where((F.col("timestamp_hour") >= CUTOFF_HOUR) | ~F.col("referrer").isin(SEARCH_ENGINES))
+    kafka_rows(speed_side).write.parquet(f"{folder}/topic")
+    speed = DayTable(spark, f"{database}.stream_visitor_sketches", f"{folder}/speed", VISITOR_SKETCHES, buckets=FEW)
+    stream = kafka_stream(spark, f"{folder}/topic")
+    jobs.speed_sketches(stream, speed, f"{folder}/checkpoint", **RUN_ONCE).awaitTermination()
+    table = f"{database}.serving_visitors"
+    jobs.serve_visitors(spark.table(f"{database}.{jobs.SKETCH_TABLE}"), speed.read(), table, f"{folder}/serving")
+    return _beside_exact(spark.table(table).drop("visitors"), spark, sf_dir)
+
+
+def serving_in_buckets(spark, sf_dir):
+    """Update and insert over tables in equal buckets of the key, so that neither shuffles."""
+    folder = new_folder(spark, "buckets")
+    tables = []
+    for name, rows in zip(("batch", "speed"), _layer_tables(spark, sf_dir)):
+        table = f"{name}_{_own_name(folder)}"
+        publish(rows, table, folder, buckets=8)
+        tables.append(spark.table(table))
+    return apply_updates(*tables).unionByName(missing_rows(*tables))
+
+
+def batch_new_days(spark, sf_dir):
+    """Clicks land on three days, each recomputed when it is over; events of one day are received on all of them."""
+    folder = new_folder(spark, "new-days")
+    rows = clicks(spark, sf_dir)
+    for i in range(3):
+        day = INGEST_DAY + timedelta(days=i)
+        part = rows.where(F.col("event_id") % 3 == i).select(*ACTIVITY.names, *date_parts(day))
+        part.write.mode("append").partitionBy(*INGEST_DATE).parquet(f"{folder}/landed")
+        jobs.batch_new_days(spark, f"{folder}/landed", f"{folder}/batch", day, database=_own_name(folder), buckets=FEW)
+    activity, visitors = (spark.table(f"{_own_name(folder)}.{name}").drop("hour_day") for name in BATCH_TABLES)
+    return activity.join(visitors, KEYS)
+
+
 def serving_insert_row(spark, sf_dir):
     """The table with one more row, of literal values."""
     folder = new_folder(spark, "insert")
@@ -292,7 +344,7 @@ def stream_ingest_batch(spark, sf_dir):
     rows = kafka_stream(spark, f"{folder}/topic")
     options = {"keep_position": True, "files": 2, **RUN_ONCE}
     jobs.ingest(rows, f"{folder}/table", f"{folder}/checkpoint", INGEST_DAY, **options).awaitTermination()
-    activity, visitors = jobs.batch(spark, f"{folder}/table", folder, once=True)
+    activity, visitors = jobs.batch(spark, f"{folder}/table", f"{folder}/batch", once=True, database=_own_name(folder))
     return activity.join(visitors, KEYS)
 
 
@@ -312,18 +364,20 @@ def ingest_formats(spark, sf_dir):
 def stream_activity(spark, sf_dir):
     """The stream stops after the first delivery and goes on from its checkpoint."""
     folder = new_folder(spark, "activity")
-    table = KeyedTable(spark, f"{folder}/table", ACTIVITY_BY_PRODUCT)
+    table = DayTable(spark, _own_name(folder), f"{folder}/table", ACTIVITY_BY_PRODUCT, buckets=FEW)
     for first, until in ((0, 1), (1, DELIVERIES)):
         deliver(spark, sf_dir, f"{folder}/topic", first, until)
         rows = kafka_stream(spark, f"{folder}/topic")
         jobs.speed_activity(rows, table, f"{folder}/checkpoint", **RUN_ONCE).awaitTermination()
-    return table.read()
+    # The catalog table itself, as any SQL reads it.
+    spark.catalog.refreshTable(table.name)
+    return spark.sql(f"SELECT product, timestamp_hour, purchase_count, add_to_cart_count, page_view_count FROM {table.name}")
 
 
 def stream_visitors_approx(spark, sf_dir):
     """Hours are forgotten a day after they end; deliveries in order lose none by that."""
     folder, rows = _topic(spark, sf_dir, "visitors")
-    table = KeyedTable(spark, f"{folder}/table", VISITORS_BY_PRODUCT)
+    table = DayTable(spark, _own_name(folder), f"{folder}/table", VISITORS_BY_PRODUCT, buckets=FEW)
     query = jobs.speed_visitors(rows, table, f"{folder}/checkpoint", delay="1 day", **RUN_ONCE)
     query.awaitTermination()
     return _beside_exact(table.read(), spark, sf_dir)
@@ -331,7 +385,7 @@ def stream_visitors_approx(spark, sf_dir):
 
 def stream_clicks(spark, sf_dir):
     folder, rows = _topic(spark, sf_dir, "clicks")
-    table = KeyedTable(spark, f"{folder}/table", ACTIVITY, order=jobs.CLICK_ORDER)
+    table = DayTable(spark, _own_name(folder), f"{folder}/table", ACTIVITY, order=jobs.CLICK_ORDER, buckets=FEW)
     jobs.speed_clicks(rows, table, f"{folder}/checkpoint", **RUN_ONCE).awaitTermination()
     return table.read()
 
@@ -416,6 +470,9 @@ QUERIES = {
     "serving_merge": serving_merge,
     "serving_merge_cutoff": serving_merge_cutoff,
     "serve": serve,
+    "serve_visitors": serve_visitors,
+    "serving_in_buckets": serving_in_buckets,
+    "batch_new_days": batch_new_days,
     "serving_insert_row": serving_insert_row,
     "stream_ingest": stream_ingest,
     "stream_ingest_batch": stream_ingest_batch,

@@ -2,6 +2,7 @@
 
 from pyspark.sql.types import (
     BinaryType,
+    DateType,
     IntegerType,
     LongType,
     StringType,
@@ -65,6 +66,16 @@ TABLES = {
     "batch_activity_by_product": ACTIVITY_BY_PRODUCT,
     "batch_visitors_by_product": VISITORS_BY_PRODUCT,
 }
+VISITOR_SKETCHES = _struct(product=_TEXT, timestamp_hour=_LONG, visitors=BinaryType())
+VISITS = _struct(
+    product=_TEXT,
+    timestamp_hour=_LONG,
+    visitor=_TEXT,
+    purchase_count=_LONG,
+    add_to_cart_count=_LONG,
+    page_view_count=_LONG,
+    ingest_day=DateType(),
+)
 BATCH_TABLES = [name for name in TABLES if name.startswith("batch_")]
 KEYS = ["product", "timestamp_hour"]
 INGEST_DATE = ["year", "month", "day"]

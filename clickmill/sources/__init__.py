@@ -1,10 +1,14 @@
 from clickmill.sources.catalog import (
     create_database,
+    create_keyed_table,
     create_tables,
     list_columns,
     list_databases,
     list_tables,
+    overwrite_days,
     publish,
+    state_cutoff,
+    stated_cutoff,
     swap_table,
 )
 from clickmill.sources.files import (
@@ -12,11 +16,9 @@ from clickmill.sources.files import (
     closed_days,
     event_stream,
     landed,
-    newest_version,
-    read_version,
+    landed_days,
     text_lines,
     write_table,
-    write_version,
 )
 from clickmill.sources.kafka import kafka_options, kafka_stream, kafka_values, write_kafka
 from clickmill.sources.store import write_store
@@ -25,22 +27,24 @@ __all__ = [
     "close_day",
     "closed_days",
     "create_database",
+    "create_keyed_table",
     "create_tables",
     "event_stream",
     "kafka_options",
     "kafka_stream",
     "kafka_values",
     "landed",
+    "landed_days",
     "list_columns",
     "list_databases",
     "list_tables",
-    "newest_version",
+    "overwrite_days",
     "publish",
-    "read_version",
+    "state_cutoff",
+    "stated_cutoff",
     "swap_table",
     "text_lines",
     "write_kafka",
     "write_store",
     "write_table",
-    "write_version",
 ]

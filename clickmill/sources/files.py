@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from clickmill.schema import ACTIVITY, INGEST_DATE
-from clickmill.sources.folders import children, delete, exists, read_note, write_note
+from clickmill.sources.folders import children, write_note
 
 DAYS = StructType([StructField(name, IntegerType()) for name in INGEST_DATE])
 
@@ -55,6 +55,19 @@ def closed_days(spark: SparkSession, closed: str) -> list[date]:
     return [date.fromisoformat(name.removeprefix("_closed-")) for name in children(spark, closed) if name.startswith("_closed-")]
 
 
+def landed_days(spark: SparkSession, path: str, closed: str | None = None) -> list[date]:
+    """The days of receipt that hold clicks, from the names of their folders."""
+    days = set(closed_days(spark, closed)) if closed else set()
+
+    def parts(folder: str, name: str) -> list[int]:
+        return [int(child.removeprefix(f"{name}=")) for child in children(spark, folder) if child.startswith(f"{name}=")]
+
+    for year in parts(path, "year"):
+        for month in parts(f"{path}/year={year}", "month"):
+            days |= {date(year, month, day) for day in parts(f"{path}/year={year}/month={month}", "day")}
+    return sorted(days)
+
+
 def close_day(
     spark: SparkSession, path: str, closed: str, day: date, files: int, extra: StructType = StructType()
 ) -> None:
@@ -83,46 +96,8 @@ def text_lines(spark: SparkSession, path: str, name: str = "value") -> DataFrame
 def write_table(rows: DataFrame, path: str, mode: str = "overwrite") -> DataFrame:
     """Write a table and return it as read back.
 
-    The default replaces the former content, which readers under way lose; write_version
-    keeps it for them. "errorifexists" refuses to.
+    The default replaces the former content, which readers under way lose; a catalog table's
+    publish keeps it for them. "errorifexists" refuses to.
     """
     rows.write.mode(mode).parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
-
-
-def _versions(spark: SparkSession, path: str) -> list[int]:
-    names = [name for name in children(spark, path) if name.startswith("v")]
-    return sorted(int(name[1:]) for name in names if exists(spark, f"{path}/{name}/_SUCCESS"))
-
-
-def write_version(rows: DataFrame, path: str, cutoff: int | None = None) -> DataFrame:
-    """Write a new version of a batch table and return it as read back.
-
-    Readers find the newest whole version, so one that fails midway changes nothing. The
-    version before stays for queries under way; older ones are deleted. `cutoff` is the hour
-    that serve may take speed counts from.
-    """
-    spark = rows.sparkSession
-    kept = _versions(spark, path)
-    number = kept[-1] + 1 if kept else 1
-    rows.write.mode("overwrite").parquet(f"{path}/v{number}")
-    if cutoff is not None:
-        write_note(spark, f"{path}/v{number}/_cutoff", str(cutoff))
-    for old in kept[:-1]:
-        delete(spark, f"{path}/v{old}")
-    return spark.read.schema(rows.schema).parquet(f"{path}/v{number}")
-
-
-def newest_version(spark: SparkSession, path: str) -> str | None:
-    """The folder of the newest whole version, None if there is none."""
-    kept = _versions(spark, path)
-    return f"{path}/v{kept[-1]}" if kept else None
-
-
-def read_version(spark: SparkSession, path: str, schema: StructType) -> tuple[DataFrame, int | None]:
-    """The newest whole version of a batch table and its cutoff."""
-    folder = newest_version(spark, path)
-    if folder is None:
-        raise ValueError(f"{path} holds no whole version of a batch table")
-    cutoff = read_note(spark, f"{folder}/_cutoff")
-    return spark.read.schema(schema).parquet(folder), None if cutoff is None else int(cutoff)

@@ -1,5 +1,9 @@
-from clickmill.streaming.hourly import watermarked_counts, watermarked_visitors
-from clickmill.streaming.keyed_table import KeyedTable
+from clickmill.streaming.day_table import DayTable
+from clickmill.streaming.hourly import (
+    watermarked_counts,
+    watermarked_sketches,
+    watermarked_visitors,
+)
 from clickmill.streaming.sinks import (
     RowWriter,
     start_console,
@@ -13,7 +17,7 @@ from clickmill.streaming.sinks import (
 from clickmill.streaming.store_table import StoreTable
 
 __all__ = [
-    "KeyedTable",
+    "DayTable",
     "RowWriter",
     "StoreTable",
     "start_console",
@@ -24,5 +28,6 @@ __all__ = [
     "start_replace",
     "start_upsert",
     "watermarked_counts",
+    "watermarked_sketches",
     "watermarked_visitors",
 ]

@@ -18,10 +18,14 @@ def watermarked_counts(activity: DataFrame, delay: str) -> DataFrame:
     return watermarked(activity, delay, action_counts(), COUNTS)
 
 
+def watermarked_sketches(activity: DataFrame, delay: str) -> DataFrame:
+    """visitor_sketches with bounded state: an hour's sketch is forgotten like its counts."""
+    return watermarked(activity, delay, [F.hll_sketch_agg("visitor").alias("visitors")], ["visitors"])
+
+
 def watermarked_visitors(activity: DataFrame, delay: str) -> DataFrame:
-    """approx_visitors_by_product with bounded state: an hour's sketch is forgotten like its counts."""
-    sketch = F.hll_sketch_agg("visitor").alias("visitors")
-    return estimate_visitors(watermarked(activity, delay, [sketch], ["visitors"]))
+    """approx_visitors_by_product with bounded state."""
+    return estimate_visitors(watermarked_sketches(activity, delay))
 
 
 def watermarked(activity: DataFrame, delay: str, aggregates: list[Column], names: list[str]) -> DataFrame:

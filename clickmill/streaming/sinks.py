@@ -14,7 +14,7 @@ from clickmill.operators.aggregates import last_write_per_key
 from clickmill.schema import INGEST_DATE
 from clickmill.sources.folders import check_owner, children, delete, exists, set_owner
 from clickmill.sources.kafka import kafka_sink_options, kafka_values
-from clickmill.streaming.keyed_table import KeyedTable
+from clickmill.streaming.day_table import DayTable
 from clickmill.streaming.store_table import StoreTable
 
 
@@ -61,7 +61,7 @@ def start_files(
 
 def start_upsert(
     stream: DataFrame,
-    table: KeyedTable | StoreTable,
+    table: DayTable | StoreTable,
     checkpoint: str,
     mode: str = "update",
     trigger: dict | None = None,

@@ -14,6 +14,7 @@ from clickmill.functions import (
     encode_tsv,
     hour_bucket,
     hour_bucket_literal,
+    hour_day,
     previous_page,
     within_hours,
 )
@@ -169,3 +170,9 @@ def test_wire_contracts():
     ]
     assert all(field.nullable for s in (KAFKA_ROW, CLICK_EVENT, ACTIVITY) for field in s)
 
+
+
+def test_hour_day(spark):
+    hours = {0: "1970-01-01", -3_600_000: "1969-12-31", 86_400_000: "1970-01-02", 1_706_655_600_000: "2024-01-30", 10**18: "9999-12-31", -(10**18): "1600-01-01", None: None}
+    frame = spark.createDataFrame([(h,) for h in hours], "h long")
+    assert {r.h: r.d for r in frame.select("h", hour_day("h").cast("string").alias("d")).collect()} == hours

@@ -4,24 +4,29 @@ import re
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
-from clickmill.functions import decode_clicks, within_hours
+from clickmill.functions import decode_clicks, hour_day, within_hours
 from clickmill.operators import (
     activity_by_product,
     apply_updates,
+    estimate_visitors,
     last_write_per_key,
     latest_hours,
     merge,
+    merge_in_place,
     missing_rows,
     not_in,
     rollup_by_product,
+    serve_sketches,
+    visitor_sketches,
     visitors_by_product,
 )
 from clickmill.plans.clicks import clicks, kafka_rows
 from clickmill.plans.queries import QUERIES
-from clickmill.schema import ACTIVITY, ACTIVITY_BY_PRODUCT, EVENT_COLUMNS, KEYS
-from clickmill.sources import landed
-from clickmill.streaming import KeyedTable
+from clickmill.schema import ACTIVITY, ACTIVITY_BY_PRODUCT, KEYS, VISITOR_SKETCHES
+from clickmill.sources import create_keyed_table, landed, overwrite_days
+from clickmill.streaming import DayTable
 
 PLAIN = [n for n in QUERIES if "stream" not in n and n not in ("watermarked_hourly", "ingest_formats")]
 
@@ -176,26 +181,49 @@ def test_recent_hours_skip_row_groups_of_closed_days(spark, sf_dir):
     assert 0 < sum(read) < rows / 2
 
 
-def test_keyed_table_reads_only_live_versions(spark, tmp_path):
-    table = KeyedTable(spark, str(tmp_path / "t"), ACTIVITY_BY_PRODUCT)
-    rows = spark.createDataFrame([("a", 0, 1, 1, 1)], ACTIVITY_BY_PRODUCT)
-    for batch_id in range(3):
-        table.upsert(rows, batch_id)
-    text = plan(table.read())
-    assert "HashAggregate" in text and "SortAggregate" not in text
-    clicks_table = KeyedTable(spark, str(tmp_path / "c"), ACTIVITY, order=EVENT_COLUMNS)
-    for batch_id in range(2):
-        clicks_table.upsert(spark.createDataFrame([], ACTIVITY), batch_id)
-    text = plan(clicks_table.read())
-    assert "functions=[max_by(" in text and ", max_by(" not in text
-    table.compact()
+def test_a_day_table_reads_only_the_days_asked_for(spark, tmp_path):
+    table = DayTable(spark, f"t_{tmp_path.name}", str(tmp_path / "t"), ACTIVITY_BY_PRODUCT)
+    day = 24 * 3_600_000
+    table.upsert(spark.createDataFrame([("a", i * day, 1, 1, 1) for i in range(3)], ACTIVITY_BY_PRODUCT), 0)
+    text = plan(table.read(since_hour=2 * day))
+    assert "PartitionFilters: [isnotnull(hour_day" in text and "GreaterThanOrEqual(timestamp_hour,172800000)" in text
     assert "Exchange" not in plan(table.read())
-    assert {re.search(r"version=(\d+)", f)[1] for f in table.read().inputFiles()} == {"5"}
 
 
-def test_filters_on_keys_pass_the_keyed_table(spark, tmp_path):
-    table = KeyedTable(spark, str(tmp_path / "t"), ACTIVITY_BY_PRODUCT)
-    rows = spark.createDataFrame([("a", 0, 1, 1, 1)], ACTIVITY_BY_PRODUCT)
-    table.upsert(rows, 0)
-    table.upsert(rows, 1)
-    assert "GreaterThanOrEqual(timestamp_hour,5)" in plan(table.read().where("timestamp_hour >= 5"))
+@pytest.fixture
+def in_buckets(spark, stored, tmp_path):
+    """Tables by day and in equal buckets, as the speed layer and a recompute of new days keep them, never broadcast."""
+    found = []
+    for name in ("batch", "speed"):
+        table = f"{name}_{tmp_path.name}"
+        create_keyed_table(spark, table, ACTIVITY_BY_PRODUCT, str(tmp_path / name), 4, by_day=True)
+        rows = spark.read.parquet(f"{stored}/{name}")
+        overwrite_days(rows.withColumn("hour_day", hour_day("timestamp_hour")), table, 4)
+        found.append(spark.table(table).drop("hour_day"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield found
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("join", [apply_updates, missing_rows, merge_in_place])
+def test_tables_in_equal_buckets_are_joined_without_a_shuffle(in_buckets, join):
+    text = plan(join(*in_buckets))
+    assert "SortMergeJoin" in text and "Exchange" not in text and text.count("Bucketed: true") == 2
+
+
+def test_merging_in_place_is_merging(in_buckets):
+    batch, speed = in_buckets
+    speed = speed.where("timestamp_hour % 7200000 = 0").unionByName(speed.where("product = 'Product-1'").limit(5).withColumn("product", F.lit("new")))
+    found, expected = merge_in_place(batch, speed), merge(batch, speed)
+    assert found.exceptAll(expected).count() == expected.exceptAll(found).count() == 0
+
+
+def test_sketches_are_united_in_one_shuffle(spark, sf_dir):
+    rows = clicks(spark, sf_dir).select(ACTIVITY.names)
+    sides = [spark.createDataFrame([], VISITOR_SKETCHES)] * 2
+    text = plan(serve_sketches(*sides, cutoff_hour=5))
+    assert len(exchanges(text)) == 1 and "visitors" in text
+    assert "hll_union_agg" in text
+    twice = estimate_visitors(serve_sketches(visitor_sketches(rows), visitor_sketches(rows)))
+    once = estimate_visitors(visitor_sketches(rows))
+    assert twice.exceptAll(once).count() == 0 and twice.count() == once.count()

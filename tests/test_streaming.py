@@ -1,4 +1,5 @@
 import json
+import re
 from datetime import date
 
 import pytest
@@ -6,7 +7,7 @@ from pyspark.errors import AnalysisException, StreamingQueryException
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from clickmill.functions import decode_clicks, within_hours
+from clickmill.functions import decode_clicks, hour_day, within_hours
 from clickmill.operators import activity_by_product, drop_duplicate_events, last_write_per_key
 from clickmill.plans import jobs, queries
 from clickmill.plans.clicks import clicks, kafka_rows
@@ -19,12 +20,11 @@ from clickmill.sources import (
     kafka_stream,
     kafka_values,
     landed,
-    newest_version,
 )
-from clickmill.sources.folders import children
+from clickmill.sources.folders import children, delete
 from clickmill.sources.kafka import kafka_sink_options, write_kafka
 from clickmill.streaming import (
-    KeyedTable,
+    DayTable,
     RowWriter,
     StoreTable,
     start_console,
@@ -68,6 +68,15 @@ def finish(query):
     assert query.awaitTermination(120)
 
 
+def name_of(path):
+    """A table or database name for a folder of its own."""
+    return "t" + re.sub(r"\W", "_", path)
+
+
+def day_table(spark, path, schema, kind=DayTable, **options):
+    return kind(spark, name_of(path), path, schema, **options)
+
+
 def part(spark, topic, index, target):
     """Add one of the topic's files to a source folder of its own."""
     file = sorted(spark.read.parquet(topic).inputFiles())[index]
@@ -75,17 +84,17 @@ def part(spark, topic, index, target):
 
 
 def test_many_micro_batches_equal_the_batch_aggregate(spark, sf_dir, stream, folder):
-    table = KeyedTable(spark, folder("t"), ACTIVITY_BY_PRODUCT, compact_every=3)
+    table = day_table(spark, folder("t"), ACTIVITY_BY_PRODUCT)
     finish(jobs.speed_activity(stream, table, folder("c"), trigger=ONCE))
-    assert table.versions()[:4] == [0, 2, 4, 5]
-    for file in spark.read.parquet(f"{folder('t')}/version=5").inputFiles():
-        hours = [r.timestamp_hour for r in spark.read.parquet(file).collect()]
-        assert hours == sorted(hours)
+    for file in table.read().inputFiles():
+        keys = [(r.product, r.timestamp_hour) for r in spark.read.parquet(file).collect()]
+        assert keys == sorted(set(keys))
+    assert rows_of(spark.sql(f"SELECT * FROM {table.name}").drop("hour_day")) == rows_of(table.read())
     assert rows_of(table.read()) == rows_of(activity_by_product(clicks(spark, sf_dir)))
 
 
 def test_restart_with_the_same_checkpoint_goes_on_counting(spark, sf_dir, topic, folder):
-    table = KeyedTable(spark, folder("t"), ACTIVITY_BY_PRODUCT)
+    table = day_table(spark, folder("t"), ACTIVITY_BY_PRODUCT)
     for files in ((0, 1), (2, 3)):
         for index in files:
             part(spark, topic, index, folder("in"))
@@ -94,7 +103,7 @@ def test_restart_with_the_same_checkpoint_goes_on_counting(spark, sf_dir, topic,
     assert rows_of(table.read()) == rows_of(activity_by_product(clicks(spark, sf_dir)))
 
 
-class Failing(KeyedTable):
+class Failing(DayTable):
     """Fails after writing a micro-batch, before the stream can note it as done."""
 
     def upsert(self, rows, batch_id):
@@ -104,19 +113,67 @@ class Failing(KeyedTable):
 
 
 def test_failure_between_write_and_commit(spark, sf_dir, stream, folder):
-    failing = Failing(spark, folder("t"), ACTIVITY_BY_PRODUCT, compact_every=2)
+    failing = day_table(spark, folder("t"), ACTIVITY_BY_PRODUCT, Failing)
     with pytest.raises(StreamingQueryException, match="lost"):
         jobs.speed_activity(stream, failing, folder("c"), trigger=ONCE).awaitTermination(120)
-    # Micro-batch 1 is written, and even compacted, but not committed: it runs again.
-    assert failing.versions() == [0, 2, 3]
-    table = KeyedTable(spark, folder("t"), ACTIVITY_BY_PRODUCT, compact_every=2)
+    # Micro-batch 1 is written but not committed: it runs again.
+    table = day_table(spark, folder("t"), ACTIVITY_BY_PRODUCT)
     finish(jobs.speed_activity(stream, table, folder("c"), trigger=ONCE))
     assert rows_of(table.read()) == rows_of(activity_by_product(clicks(spark, sf_dir)))
 
 
+def test_failure_while_partitions_are_replaced(spark, folder, monkeypatch):
+    """A day that was removed and not yet written again comes back whole."""
+    def batch(*rows):
+        return spark.createDataFrame(rows, ACTIVITY_BY_PRODUCT)
+
+    day = 24 * 3_600_000
+    table = day_table(spark, folder("t"), ACTIVITY_BY_PRODUCT)
+    table.upsert(batch(("a", 0, 1, 0, 0), ("b", 0, 1, 0, 0), ("b", day, 1, 0, 0)), 0)
+
+    def fail(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr("clickmill.streaming.day_table.overwrite_days", fail)
+        with pytest.raises(RuntimeError, match="lost"):
+            table.upsert(batch(("a", 0, 2, 0, 0)), 1)
+    spark.sql(f"ALTER TABLE {table.name} DROP PARTITION (hour_day = date'1970-01-01') PURGE")
+    delete(spark, f"{folder('t')}/hour_day=1970-01-01")
+    table.upsert(batch(("a", 0, 2, 0, 0)), 1)
+    assert rows_of(table.read()) == [("a", 0, 2, 0, 0), ("b", 0, 1, 0, 0), ("b", day, 1, 0, 0)]
+    assert rows_of(table.read(since_hour=day)) == [("b", day, 1, 0, 0)]
+
+
+def test_a_micro_batch_rewrites_only_the_days_it_touches(spark, folder):
+    hour, day = 3_600_000, 24 * 3_600_000
+    table = day_table(spark, folder("t"), ACTIVITY_BY_PRODUCT, buckets=2)
+    rows = [(f"p{i}", at, 1, 0, 0) for i in range(9) for at in (-hour, 0, day, day + hour, 10**18, -(10**18) // hour * hour)]
+    table.upsert(spark.createDataFrame(rows, ACTIVITY_BY_PRODUCT), 0)
+    before = set(table.read().inputFiles())
+    table.upsert(spark.createDataFrame([("p0", day, 5, 0, 0), ("new", day, 1, 0, 0)], ACTIVITY_BY_PRODUCT), 1)
+    after = set(table.read().inputFiles())
+    assert {re.search("hour_day=([^/]*)", f)[1] for f in before ^ after} == {"1970-01-02"}
+    assert {re.search("hour_day=([^/]*)", f)[1] for f in after} == {"1600-01-01", "1969-12-31", "1970-01-01", "1970-01-02", "9999-12-31"}
+    changed = [r for r in rows if r[:2] != ("p0", day)] + [("p0", day, 5, 0, 0), ("new", day, 1, 0, 0)]
+    assert rows_of(table.read()) == sorted(changed)
+    # A catalog that has lost the table finds its days again.
+    spark.sql(f"DROP TABLE {table.name}")
+    assert rows_of(day_table(spark, folder("t"), ACTIVITY_BY_PRODUCT).read()) == sorted(changed)
+
+
+def test_rows_without_a_key_leave_a_table_that_goes_on(spark, folder):
+    """Micro-batches that hold nothing to keep belong to their checkpoint as well."""
+    table = day_table(spark, folder("t"), ACTIVITY_BY_PRODUCT)
+    for text in ("not json", '{"eventTime":1,"product":"x"}'):
+        spark.createDataFrame([(text,)], "value string").select(F.col("value").cast("binary")).write.mode("append").parquet(folder("in"))
+        finish(jobs.speed_activity(event_stream(spark, folder("in"), "value binary"), table, folder("c"), trigger=ONCE))
+    assert rows_of(table.read()) == [("x", 0, 0, 0, 0)]
+
+
 def test_a_lost_checkpoint_would_lose_counts(spark, sf_dir, topic, folder):
     """Why a new checkpoint is refused: with the check left out, totals come out too low."""
-    table = KeyedTable(spark, folder("t"), ACTIVITY_BY_PRODUCT)
+    table = day_table(spark, folder("t"), ACTIVITY_BY_PRODUCT)
     table.check = lambda checkpoint: None
     for index in (0, 1):
         part(spark, topic, index, folder(f"in{index}"))
@@ -127,22 +184,22 @@ def test_a_lost_checkpoint_would_lose_counts(spark, sf_dir, topic, folder):
 
 
 def test_a_new_checkpoint_on_a_filled_table_is_refused(spark, stream, folder):
-    table = KeyedTable(spark, folder("t"), ACTIVITY_BY_PRODUCT)
+    table = day_table(spark, folder("t"), ACTIVITY_BY_PRODUCT)
     finish(jobs.speed_activity(stream, table, folder("c"), trigger=ONCE))
     with pytest.raises(ValueError, match="new"):
         jobs.speed_activity(stream, table, folder("lost"), trigger=ONCE)
 
 
 def test_a_kept_checkpoint_on_an_empty_table_is_refused(spark, stream, folder):
-    table = KeyedTable(spark, folder("t"), ACTIVITY_BY_PRODUCT)
+    table = day_table(spark, folder("t"), ACTIVITY_BY_PRODUCT)
     finish(jobs.speed_activity(stream, table, folder("c"), trigger=ONCE))
     with pytest.raises(ValueError, match="does not hold"):
-        jobs.speed_activity(stream, KeyedTable(spark, folder("other"), ACTIVITY_BY_PRODUCT), folder("c"))
+        jobs.speed_activity(stream, day_table(spark, folder("other"), ACTIVITY_BY_PRODUCT), folder("c"))
 
 
 def test_a_checkpoint_of_another_table_is_refused(spark, stream, folder):
     for name in "ab":
-        table = KeyedTable(spark, folder(f"t{name}"), ACTIVITY_BY_PRODUCT)
+        table = day_table(spark, folder(f"t{name}"), ACTIVITY_BY_PRODUCT)
         finish(jobs.speed_activity(stream, table, folder(f"c{name}"), trigger=ONCE))
     with pytest.raises(ValueError, match="another checkpoint"):
         jobs.speed_activity(stream, table, folder("ca"), trigger=ONCE)
@@ -164,38 +221,21 @@ def test_replayed_micro_batch_changes_nothing(spark, folder):
     def batch(*rows):
         return spark.createDataFrame(rows, ACTIVITY_BY_PRODUCT)
 
-    table = KeyedTable(spark, folder("t"), ACTIVITY_BY_PRODUCT)
-    assert table.versions() == [] and table.read().count() == 0
+    table = day_table(spark, folder("t"), ACTIVITY_BY_PRODUCT)
+    assert table.read().count() == 0
     table.upsert(batch(("a", 0, 1, 0, 0), ("b", 0, 1, 0, 0), (None, 0, 9, 9, 9)), 0)
     for _ in range(2):
         table.upsert(batch(("a", 0, 2, 0, 0)), 1)
         assert rows_of(table.read()) == [("a", 0, 2, 0, 0), ("b", 0, 1, 0, 0)]
-    table.compact()
-    assert table.versions() == [0, 2, 3]
-    # The stream failed before it noted micro-batch 1 as done, and runs it again.
-    table.upsert(batch(("a", 0, 2, 0, 0)), 1)
     table.upsert(batch(("c", 0, 7, 0, 0)), 2)
-    expected = [("a", 0, 2, 0, 0), ("b", 0, 1, 0, 0), ("c", 0, 7, 0, 0)]
-    assert rows_of(table.read()) == expected
-    table.compact()
-    assert table.versions() == [3, 4, 5]
-    assert rows_of(table.read()) == expected
-
-
-def test_unfinished_write_is_not_read(spark, folder):
-    table = KeyedTable(spark, folder("t"), ACTIVITY_BY_PRODUCT)
-    rows = spark.createDataFrame([("a", 0, 1, 0, 0)], ACTIVITY_BY_PRODUCT)
-    unfinished = rows.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
-    unfinished.parquet(folder("t") + "/version=0")
-    assert table.read().count() == 0
-    table.upsert(rows, 0)
-    assert table.read().count() == 1
+    assert rows_of(table.read()) == [("a", 0, 2, 0, 0), ("b", 0, 1, 0, 0), ("c", 0, 7, 0, 0)]
+    assert len(children(spark, folder("t") + "/_stage")) == 1
 
 
 @pytest.mark.parametrize("files", [1, 4])
 def test_last_clicks_however_the_micro_batches_are_cut(spark, sf_dir, topic, folder, files):
     """The topic's files hold clicks of all hours, so micro-batches are out of order."""
-    table = KeyedTable(spark, folder("t"), ACTIVITY, order=jobs.CLICK_ORDER, compact_every=3)
+    table = day_table(spark, folder("t"), ACTIVITY, order=jobs.CLICK_ORDER)
     rows = event_stream(spark, topic, KAFKA_ROW, maxFilesPerTrigger=files)
     finish(jobs.speed_clicks(rows, table, folder("c"), trigger=ONCE))
     expected = last_write_per_key(clicks(spark, sf_dir).drop("event_id"), EVENT_COLUMNS)
@@ -205,19 +245,17 @@ def test_last_clicks_however_the_micro_batches_are_cut(spark, sf_dir, topic, fol
 def test_the_newest_event_wins_whenever_it_comes(spark, folder):
     older, newer = ((t, "r", "a", "", "v", "p", "x", 0) for t in (5, 9))
     for name, rows in (("a", (newer, older)), ("b", (older, newer)), ("c", (newer, older, older, newer))):
-        table = KeyedTable(spark, folder(name), ACTIVITY, order=jobs.CLICK_ORDER)
+        table = day_table(spark, folder(name), ACTIVITY, order=jobs.CLICK_ORDER)
         for batch_id, row in enumerate(rows):
             table.upsert(spark.createDataFrame([row], ACTIVITY), batch_id)
             # A replay of the same micro-batch.
             table.upsert(spark.createDataFrame([row], ACTIVITY), batch_id)
         assert [tuple(r) for r in table.read().collect()] == [newer]
-        table.compact()
-        assert [tuple(r) for r in table.read().collect()] == [newer]
 
 
 def test_last_clicks_need_an_order(stream, spark, folder):
     with pytest.raises(ValueError, match="order"):
-        jobs.speed_clicks(stream, KeyedTable(spark, folder("t"), ACTIVITY), folder("c"))
+        jobs.speed_clicks(stream, day_table(spark, folder("t"), ACTIVITY), folder("c"))
 
 
 @pytest.mark.parametrize("file_format", ["parquet", "orc", "json", "csv"])
@@ -240,23 +278,23 @@ def test_ingest_layout_and_batch_over_it(spark, sf_dir, stream, folder):
     assert landed(spark, folder("t"), since=date(2024, 2, 2)).count() == 0
     assert landed(spark, folder("t"), until=DAY).count() == rows.count()
     # The recompute may run again; who read the former version still can, and no more is kept.
-    activity, visitors = jobs.batch(spark, folder("t"), folder("out"), mode="errorifexists")
-    before, _ = jobs.batch(spark, folder("t"), folder("out"))
+    activity, visitors = jobs.batch(spark, folder("t"), folder("out"), database=name_of(folder("out")), mode="errorifexists")
+    before, _ = jobs.batch(spark, folder("t"), folder("out"), database=name_of(folder("out")))
     for _ in range(2):
         expected = rows_of(activity_by_product(clicks(spark, sf_dir)))
-        after, _ = jobs.batch(spark, folder("t"), folder("out"))
+        after, _ = jobs.batch(spark, folder("t"), folder("out"), database=name_of(folder("out")))
         assert rows_of(before) == rows_of(after) == expected
         before = after
-        assert len(children(spark, f"{folder('out')}/batch_activity_by_product")) == 2
+        assert sum(name.startswith("batch_activity_by_product-") for name in children(spark, folder("out"))) == 2
     assert visitors.schema.names == VISITORS_BY_PRODUCT.names
     with pytest.raises(ValueError, match="already"):
-        jobs.batch(spark, folder("t"), folder("out"), mode="errorifexists")
+        jobs.batch(spark, folder("t"), folder("out"), database=name_of(folder("out")), mode="errorifexists")
 
 
 def test_batch_leaves_no_rollup_behind(spark, stream, folder, monkeypatch):
     finish(jobs.ingest(stream, folder("t"), folder("c"), DAY, trigger=ONCE))
     monkeypatch.setattr(jobs, "new_folder", lambda spark, label: f"{folder('scratch')}/{label}")
-    jobs.batch(spark, folder("t"), folder("out"))
+    jobs.batch(spark, folder("t"), folder("out"), database=name_of(folder("out")))
     assert children(spark, folder("scratch")) == []
 
 
@@ -266,9 +304,9 @@ def test_redelivered_clicks_count_once(spark, sf_dir, topic, folder):
     source = event_stream(spark, folder("in"), KAFKA_ROW, maxFilesPerTrigger=2)
     finish(jobs.ingest(source, folder("t"), folder("c"), DAY, trigger=ONCE, keep_position=True))
     expected = activity_by_product(clicks(spark, sf_dir))
-    activity, _ = jobs.batch(spark, folder("t"), folder("out"), once=True)
+    activity, _ = jobs.batch(spark, folder("t"), folder("out"), database=name_of(folder("out")), once=True)
     assert rows_of(activity) == rows_of(expected)
-    activity, _ = jobs.batch(spark, folder("t"), folder("out"))
+    activity, _ = jobs.batch(spark, folder("t"), folder("out"), database=name_of(folder("out")))
     assert rows_of(activity) != rows_of(expected)
 
 
@@ -283,7 +321,7 @@ def test_closed_days_are_read_once_and_in_hour_order(spark, sf_dir, stream, fold
     for file in files:
         hours = [r.timestamp_hour for r in spark.read.parquet(file).collect()]
         assert hours == sorted(hours)
-    activity, _ = jobs.batch(spark, folder("t"), folder("out"), closed=folder("closed"), hours=6, now=1_706_616_000)
+    activity, _ = jobs.batch(spark, folder("t"), folder("out"), database=name_of(folder("out")), closed=folder("closed"), hours=6, now=1_706_616_000)
     recent = clicks(spark, sf_dir).where(within_hours(6, 1_706_616_000))
     assert rows_of(activity) == rows_of(activity_by_product(recent))
 
@@ -294,8 +332,8 @@ def test_batch_writes_rejects_with_their_payload(spark, folder):
     rows.select(F.col("value").cast("binary")).write.parquet(folder("in"))
     source = event_stream(spark, folder("in"), "value binary")
     finish(jobs.ingest(source, folder("t"), folder("c"), DAY, trigger=ONCE, keep_payload=True))
-    jobs.batch(spark, folder("t"), folder("out"), rejects=True)
-    found = spark.read.parquet(newest_version(spark, f"{folder('out')}/rejected"))
+    jobs.batch(spark, folder("t"), folder("out"), database=name_of(folder("out")), rejects=True)
+    found = spark.table(f"{name_of(folder('out'))}.batch_rejected")
     assert {r.payload for r in found.collect()} == {"not json", '{"product":"y"}'}
 
 
@@ -318,7 +356,7 @@ def test_ingest_keeps_what_it_cannot_read(spark, folder):
     assert found.count() == 3
     kept = found.where("payload IS NOT NULL").select("payload", "product").collect()
     assert {tuple(r) for r in kept} == {("not json", None), ('{"product":"y"}', "y")}
-    activity, _ = jobs.batch(spark, folder("t"), folder("out"))
+    activity, _ = jobs.batch(spark, folder("t"), folder("out"), database=name_of(folder("out")))
     assert rows_of(activity) == [("x", 0, 0, 0, 0)]
 
 
@@ -412,7 +450,7 @@ def test_closed_hours_leave_out_late_clicks(spark, folder):
 
 def test_running_counts_with_bounded_state(spark, folder):
     hour = 3_600_000
-    table = KeyedTable(spark, folder("t"), ACTIVITY_BY_PRODUCT)
+    table = day_table(spark, folder("t"), ACTIVITY_BY_PRODUCT)
 
     def add(*times):
         rows = [(json.dumps({"eventTime": t, "product": "x", "action": "page_view"}),) for t in times]
@@ -435,7 +473,7 @@ def test_running_counts_with_bounded_state(spark, folder):
 
 def test_running_visitors_with_bounded_state(spark, folder):
     hour = 3_600_000
-    table = KeyedTable(spark, folder("t"), VISITORS_BY_PRODUCT)
+    table = day_table(spark, folder("t"), VISITORS_BY_PRODUCT)
 
     def add(*clicks):
         rows = [(json.dumps({"eventTime": t, "product": "x", "visitor": v}),) for t, v in clicks]
@@ -468,11 +506,11 @@ def test_outside_store_gets_every_micro_batch(spark, sf_dir, topic, folder):
 
 
 def test_files_per_micro_batch_can_be_bounded(spark, sf_dir, topic, folder):
-    table = KeyedTable(spark, folder("t"), ACTIVITY_BY_PRODUCT, files=2)
+    table = day_table(spark, folder("t"), ACTIVITY_BY_PRODUCT, buckets=2)
     rows = event_stream(spark, topic, KAFKA_ROW)
     finish(jobs.speed_activity(rows, table, folder("c"), trigger=ONCE))
-    assert len(table.read().inputFiles()) == 2
-    assert rows_of(table.read()) == rows_of(activity_by_product(clicks(spark, sf_dir)))
+    days = clicks(spark, sf_dir).select(hour_day("timestamp_hour")).distinct().count()
+    assert len(table.read().inputFiles()) <= 2 * days
     finish(start_files(rows, folder("f"), folder("fc"), partition_by=[], trigger=ONCE, files=3))
     assert len(spark.read.parquet(folder("f")).inputFiles()) == 3
 
@@ -485,16 +523,18 @@ def test_sql_over_a_view_of_the_stream(spark, sf_dir, stream, folder):
         "count_if(action = 'page_view') AS page_view_count "
         "FROM activity GROUP BY product, timestamp_hour"
     )
-    table = KeyedTable(spark, folder("t"), ACTIVITY_BY_PRODUCT)
+    table = day_table(spark, folder("t"), ACTIVITY_BY_PRODUCT)
     finish(start_upsert(counted, table, folder("c"), trigger=ONCE))
     assert rows_of(table.read()) == rows_of(activity_by_product(clicks(spark, sf_dir)))
 
 
 def test_upsert_in_order(spark, stream, folder):
-    table = KeyedTable(spark, folder("t"), ACTIVITY, keys=["visitor"], order=["eventtime"])
+    table = day_table(spark, folder("t"), ACTIVITY, keys=["visitor", "timestamp_hour"], order=["eventtime"])
     finish(start_upsert(decode_clicks(stream), table, folder("c"), "append", trigger=ONCE))
     found = table.read()
-    assert found.count() == found.select("visitor").distinct().count()
+    assert found.count() == found.select("visitor", "timestamp_hour").distinct().count()
+    with pytest.raises(ValueError, match="hour"):
+        day_table(spark, folder("other"), ACTIVITY, keys=["visitor"])
 
 
 def test_kafka_options():
