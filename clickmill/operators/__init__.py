@@ -9,7 +9,13 @@ from clickmill.operators.aggregates import (
     rollup_by_product,
     visitors_by_product,
 )
-from clickmill.operators.quality import drop_duplicate_events, has_key, split_malformed
+from clickmill.operators.quality import (
+    DELIVERED,
+    counted,
+    drop_duplicate_events,
+    has_key,
+    split_malformed,
+)
 from clickmill.operators.serving import apply_updates, merge, merge_in_place, missing_rows, not_in
 from clickmill.operators.sketches import (
     approx_visitors_by_product,
@@ -20,10 +26,12 @@ from clickmill.operators.sketches import (
 )
 
 __all__ = [
+    "DELIVERED",
     "action_counts",
     "activity_by_product",
     "apply_updates",
     "approx_visitors_by_product",
+    "counted",
     "distinct_keys",
     "drop_duplicate_events",
     "estimate_visitors",

@@ -1,6 +1,6 @@
 """Rows a keyed table cannot hold, and repeated deliveries."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from clickmill.schema import KEYS
@@ -16,6 +16,20 @@ def has_key() -> Column:
     return F.col(product).isNotNull() & F.col(hour).isNotNull()
 
 
+#: Name of the counts that streams report with their progress.
+DELIVERED = "delivered"
+
+
+def counted(activity: DataFrame, observation: Observation | str = DELIVERED, time: str = "timestamp_hour") -> DataFrame:
+    """The same rows, counted on their way: `received`, and of these `rejected` for want of a product or time.
+
+    Spark adds the counts up in the pass that is made anyway. A batch reads them from its
+    Observation, a stream reports them under the name with each micro-batch.
+    """
+    keyed = F.col("product").isNotNull() & F.col(time).isNotNull()
+    return activity.observe(observation, F.count(F.lit(1)).alias("received"), F.count_if(~keyed).alias("rejected"))
+
+
 def split_malformed(activity: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(accepted, rejected) rows of stored activity; only accepted ones can be keyed."""
     return activity.where(has_key()), activity.where(~has_key())

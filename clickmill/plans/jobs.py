@@ -6,7 +6,7 @@ Clicks without a key are landed but appear in no keyed table.
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType
@@ -16,6 +16,7 @@ from clickmill.operators import (
     action_counts,
     activity_by_product,
     approx_visitors_by_product,
+    counted,
     drop_duplicate_events,
     has_key,
     key_order,
@@ -44,6 +45,7 @@ from clickmill.sources import (
     landed_days,
     overwrite_days,
     publish,
+    state_counts,
     state_cutoff,
     write_table,
 )
@@ -94,7 +96,7 @@ def ingest(
     if keep_position:
         extra += [F.col(f.name) for f in POSITION]
     keep = ("value",) * keep_payload + tuple(POSITION.names) * keep_position
-    activity = decode_clicks(rows, keep=keep).select(*ACTIVITY.names, *extra, day, month, year)
+    activity = counted(decode_clicks(rows, keep=keep)).select(*ACTIVITY.names, *extra, day, month, year)
     return start_files(activity, path, checkpoint, file_format, trigger=trigger, name=name, files=files)
 
 
@@ -111,9 +113,9 @@ def speed_activity(
     "2 days", clicks that much behind the newest are no longer counted, nor their hours kept.
     """
     if delay is None:
-        counts = activity_by_product(decode_clicks(rows, columns=[*KEYS, "action"]))
+        counts = activity_by_product(counted(decode_clicks(rows, columns=[*KEYS, "action"])))
     else:
-        activity = decode_clicks(rows, columns=["eventtime", "product", "action"])
+        activity = counted(decode_clicks(rows, columns=["eventtime", "product", "action"]), time="eventtime")
         counts = watermarked_counts(activity, delay)
     return start_upsert(counts, table, checkpoint, **options)
 
@@ -130,10 +132,10 @@ def speed_visitors(
     Each open hour holds a sketch of up to 4 KB; a delay closes hours as in speed_activity.
     """
     if delay is None:
-        visits = decode_clicks(rows, columns=[*KEYS, "visitor"])
+        visits = counted(decode_clicks(rows, columns=[*KEYS, "visitor"]))
         visitors = approx_visitors_by_product(visits)
     else:
-        visits = decode_clicks(rows, columns=["eventtime", "product", "visitor"])
+        visits = counted(decode_clicks(rows, columns=["eventtime", "product", "visitor"]), time="eventtime")
         visitors = watermarked_visitors(visits, delay)
     return start_upsert(visitors, table, checkpoint, **options)
 
@@ -147,9 +149,9 @@ def speed_sketches(
 ) -> StreamingQuery:
     """Keep running sketches of the visitors per product and hour, which serve_visitors unites with the batch job's."""
     if delay is None:
-        sketches = visitor_sketches(decode_clicks(rows, columns=[*KEYS, "visitor"]))
+        sketches = visitor_sketches(counted(decode_clicks(rows, columns=[*KEYS, "visitor"])))
     else:
-        sketches = watermarked_sketches(decode_clicks(rows, columns=["eventtime", "product", "visitor"]), delay)
+        sketches = watermarked_sketches(counted(decode_clicks(rows, columns=["eventtime", "product", "visitor"]), time="eventtime"), delay)
     return start_upsert(sketches, table, checkpoint, **options)
 
 
@@ -159,7 +161,7 @@ def speed_clicks(
     """Keep the last click of each product and hour, by the table's order: see CLICK_ORDER."""
     if table.order is None:
         raise ValueError("the last click needs a table with an order, such as CLICK_ORDER")
-    return start_upsert(decode_clicks(rows), table, checkpoint, mode="append", **options)
+    return start_upsert(counted(decode_clicks(rows)), table, checkpoint, mode="append", **options)
 
 
 def batch(
@@ -192,7 +194,8 @@ def batch(
     `sketches` a sketch of every key's visitors, from a second pass, for serve_visitors.
 
     The activity table states a cutoff for serve: its newest hour, which may still receive
-    clicks; every hour before counts from here.
+    clicks; every hour before counts from here. It also states how many clicks were `received`
+    and `rejected` for want of a key, counted in the pass that aggregates.
     """
     create_database(spark, database, location)
     if mode == "errorifexists" and any(spark.catalog.tableExists(f"{database}.{name}") for name in BATCH_TABLES):
@@ -205,12 +208,14 @@ def batch(
         rows = drop_duplicate_events(rows, POSITION.names)
     accepted, rejected = split_malformed(rows)
     folder = new_folder(spark, "rollup")
-    both = write_table(rollup_by_product(accepted), folder)
+    seen = Observation()
+    both = write_table(rollup_by_product(split_malformed(counted(rows, seen))[0]), folder)
     cutoff = both.agg(F.max("timestamp_hour")).first()[0]
     for name in BATCH_TABLES:
         publish(both.select(TABLES[name].names), f"{database}.{name}", location, buckets)
     # Stated after the counts are in place: the hour before errs on the side of the speed layer.
     state_cutoff(spark, f"{database}.{ACTIVITY_TABLE}", cutoff)
+    state_counts(spark, f"{database}.{ACTIVITY_TABLE}", seen.get)
     if sketches:
         publish(visitor_sketches(accepted), f"{database}.{SKETCH_TABLE}", location, buckets)
     if rejects:
@@ -220,7 +225,12 @@ def batch(
 
 
 def visits_of_days(
-    spark: SparkSession, landed_path: str, days: list[date], closed: str | None = None, once: bool = False
+    spark: SparkSession,
+    landed_path: str,
+    days: list[date],
+    closed: str | None = None,
+    once: bool = False,
+    seen: Observation | None = None,
 ) -> DataFrame:
     """Counts per product, hour, visitor and day of receipt of the clicks of some days, of which alone files are read."""
     rows = landed(spark, landed_path, extra=POSITION if once else StructType(), closed=closed)
@@ -228,6 +238,8 @@ def visits_of_days(
     rows = rows.where(received.isin(days)).withColumn("ingest_day", received)
     if once:
         rows = drop_duplicate_events(rows, POSITION.names)
+    if seen is not None:
+        rows = counted(rows, seen)
     visits = split_malformed(rows)[0].groupBy(*KEYS, "visitor", "ingest_day").agg(*action_counts())
     return visits.withColumn(DAY, hour_day("timestamp_hour"))
 
@@ -252,7 +264,8 @@ def batch_new_days(
 
     Days count as read once all is written. A run that stopped anywhere is made good by the
     next, which replaces the same partitions. `once` drops repeated deliveries within these days.
-    Returns the days read.
+    The activity table states how many clicks of this run's days were `received` and `rejected`. Returns
+    the days read.
     """
     create_database(spark, database, location)
     visits, consumed = f"{database}.{VISITS_TABLE}", f"{database}.{CONSUMED_TABLE}"
@@ -265,7 +278,8 @@ def batch_new_days(
     new = [day for day in landed_days(spark, landed_path, closed) if day <= until and day not in read]
     if not new:
         return []
-    overwrite_days(visits_of_days(spark, landed_path, new, closed, once), visits, buckets, spread)
+    seen = Observation()
+    overwrite_days(visits_of_days(spark, landed_path, new, closed, once, seen), visits, buckets, spread)
     touched = spark.table(visits).where(F.col("ingest_day").isin(new)).select(DAY).distinct()
     parts = spark.table(visits).where(F.col(DAY).isin([r[DAY] for r in touched.collect()]))
     sums = [F.sum(name).alias(name) for name in COUNTS]
@@ -274,6 +288,7 @@ def batch_new_days(
     both = write_table(both.withColumn(DAY, hour_day("timestamp_hour")), folder)
     for name in BATCH_TABLES:
         overwrite_days(both, f"{database}.{name}", buckets)
+    state_counts(spark, f"{database}.{ACTIVITY_TABLE}", seen.get)
     spark.createDataFrame([(day,) for day in new], "day date").coalesce(1).write.insertInto(consumed)
     delete(spark, folder)
     return new

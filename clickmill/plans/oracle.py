@@ -168,5 +168,8 @@ ORACLE_SQL = {
           CASE WHEN accepted THEN CAST(timestamp_hour AS VARCHAR) END AS timestamp_hour,
           'clicks' AS topic, partition, "offset", accepted,
           CASE WHEN NOT accepted THEN substr(json, 2) END AS payload FROM delivered""",
+    "delivery_counts": f"""{CLICKS}
+        SELECT unnest(['ingest', 'activity', 'visitors', 'sketches', 'batch']) AS job, count(*) AS received,
+          count(*) FILTER (action = 'error') AS rejected FROM clicks""",
     "dedup_events": f"{CLICKS} SELECT {LANDED_COLUMNS} FROM clicks",
 }

@@ -5,7 +5,7 @@ others the speed layer's: between them they hold every event, and many of their
 """
 
 from datetime import date, timedelta
-from functools import reduce
+from functools import partial, reduce
 from hashlib import sha1
 
 from pyspark.sql import DataFrame
@@ -52,14 +52,17 @@ from clickmill.schema import (
 from clickmill.session import new_folder
 from clickmill.sources import (
     close_day,
+    create_database,
+    file_options,
     landed,
     publish,
+    stated_counts,
     swap_table,
     text_lines,
     write_table,
 )
 from clickmill.sources.files import DAYS
-from clickmill.streaming import DayTable, start_files, start_replace, watermarked_counts
+from clickmill.streaming import DayTable, delivered, start_files, start_replace, watermarked_counts
 
 INGEST_DAY = date(2024, 2, 1)
 NOW = 1_706_616_000  # 2024-01-30 12:00 UTC, within the last hours of the events
@@ -355,9 +358,8 @@ def ingest_formats(spark, sf_dir):
     for name in ("orc", "json", "csv"):
         path = f"{folder}/{name}"
         jobs.ingest(rows, path, f"{path}-checkpoint", INGEST_DAY, name, **RUN_ONCE).awaitTermination()
-        back = spark.read.format(name).schema(StructType([*ACTIVITY, *DAYS])).load(path)
-        # Csv has no empty text of its own.
-        found.append(back.fillna("", ["prevpage"]).withColumn("format", F.lit(name)))
+        back = spark.read.format(name).options(**file_options(name)).schema(StructType([*ACTIVITY, *DAYS])).load(path)
+        found.append(back.withColumn("format", F.lit(name)))
     return reduce(DataFrame.unionByName, found)
 
 
@@ -438,6 +440,33 @@ def quarantine(spark, sf_dir):
     return sides[0].unionByName(sides[1]).withColumns(times)
 
 
+def delivery_counts(spark, sf_dir):
+    """What each job says it received and rejected of the same deliveries, some of them damaged."""
+    folder = new_folder(spark, "counts")
+    _damaged(spark, sf_dir).write.parquet(f"{folder}/topic")
+    rows = kafka_stream(spark, f"{folder}/topic")
+    found = []
+
+    def run(job, start, *arguments, **options):
+        query = start(rows, *arguments, f"{folder}/checkpoint-{job}", **options, **RUN_ONCE)
+        query.awaitTermination()
+        found.append((job, delivered(query)))
+
+    run("ingest", partial(jobs.ingest, ingest_date=INGEST_DAY), f"{folder}/landed")
+    database = _own_name(folder)
+    create_database(spark, database, f"{folder}/speed")
+    for job, start, schema, options in (
+        ("activity", jobs.speed_activity, ACTIVITY_BY_PRODUCT, {}),
+        ("visitors", jobs.speed_visitors, VISITORS_BY_PRODUCT, {"delay": "40 days"}),
+        ("sketches", jobs.speed_sketches, VISITOR_SKETCHES, {}),
+    ):
+        run(job, start, DayTable(spark, f"{database}.{job}", f"{folder}/speed/{job}", schema, buckets=FEW), **options)
+    jobs.batch(spark, f"{folder}/landed", f"{folder}/batch", database=database)
+    found.append(("batch", stated_counts(spark, f"{database}.{BATCH_TABLES[0]}")))
+    rows_of = [(job, counts["received"], counts["rejected"]) for job, counts in found]
+    return spark.createDataFrame(rows_of, "job string, received long, rejected long")
+
+
 def dedup_events(spark, sf_dir):
     """Every event delivered again a second later; the Kafka position tells the copies."""
     rows = kafka_rows(clicks(spark, sf_dir))
@@ -485,5 +514,6 @@ QUERIES = {
     "batch_write_modes": batch_write_modes,
     "product_lines": product_lines,
     "quarantine": quarantine,
+    "delivery_counts": delivery_counts,
     "dedup_events": dedup_events,
 }

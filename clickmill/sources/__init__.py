@@ -7,7 +7,9 @@ from clickmill.sources.catalog import (
     list_tables,
     overwrite_days,
     publish,
+    state_counts,
     state_cutoff,
+    stated_counts,
     stated_cutoff,
     swap_table,
 )
@@ -15,6 +17,7 @@ from clickmill.sources.files import (
     close_day,
     closed_days,
     event_stream,
+    file_options,
     landed,
     landed_days,
     text_lines,
@@ -30,6 +33,7 @@ __all__ = [
     "create_keyed_table",
     "create_tables",
     "event_stream",
+    "file_options",
     "kafka_options",
     "kafka_stream",
     "kafka_values",
@@ -40,7 +44,9 @@ __all__ = [
     "list_tables",
     "overwrite_days",
     "publish",
+    "state_counts",
     "state_cutoff",
+    "stated_counts",
     "stated_cutoff",
     "swap_table",
     "text_lines",

@@ -149,6 +149,17 @@ def state_cutoff(spark: SparkSession, table: str, hour: int | None) -> None:
         spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{CUTOFF}' = '{hour}')")
 
 
+def state_counts(spark: SparkSession, table: str, counts: dict[str, int]) -> None:
+    """Note with a batch table how many rows it was made of, by kind."""
+    pairs = ", ".join(f"'rows_{kind}' = '{n}'" for kind, n in counts.items())
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({pairs})")
+
+
+def stated_counts(spark: SparkSession, table: str) -> dict[str, int]:
+    properties = spark.sql(f"SHOW TBLPROPERTIES {table}").collect()
+    return {r["key"].removeprefix("rows_"): int(r["value"]) for r in properties if r["key"].startswith("rows_")}
+
+
 def stated_cutoff(spark: SparkSession, table: str) -> int | None:
     properties = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
     return int(properties[CUTOFF]) if CUTOFF in properties else None

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
+from clickmill.functions.codec import NULL_FIELD
 from clickmill.schema import ACTIVITY, INGEST_DATE
 from clickmill.sources.folders import children, write_note
 
@@ -83,6 +84,14 @@ def close_day(
     write_note(spark, f"{closed}/_closed-{day.isoformat()}", str(files))
 
 
+def file_options(file_format: str) -> dict[str, str]:
+    """How files of a format are written and read so that NULL and the empty text stay what they are.
+
+    In csv NULL is NULL_FIELD, the empty text a pair of quotes, which is what Spark makes of it.
+    """
+    return {"nullValue": NULL_FIELD} if file_format == "csv" else {}
+
+
 def event_stream(spark: SparkSession, path: str, schema: StructType | str, **options) -> DataFrame:
     """A parquet directory, or files matching a pattern, read as a stream from the beginning."""
     return spark.readStream.schema(schema).options(**options).parquet(path)

@@ -1,3 +1,4 @@
+from clickmill.streaming.counts import DeliveryListener, delivered
 from clickmill.streaming.day_table import DayTable
 from clickmill.streaming.hourly import (
     watermarked_counts,
@@ -18,8 +19,10 @@ from clickmill.streaming.store_table import StoreTable
 
 __all__ = [
     "DayTable",
+    "DeliveryListener",
     "RowWriter",
     "StoreTable",
+    "delivered",
     "start_console",
     "start_files",
     "start_foreach",

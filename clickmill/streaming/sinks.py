@@ -12,6 +12,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from clickmill.operators.aggregates import last_write_per_key
 from clickmill.schema import INGEST_DATE
+from clickmill.sources.files import file_options
 from clickmill.sources.folders import check_owner, children, delete, exists, set_owner
 from clickmill.sources.kafka import kafka_sink_options, kafka_values
 from clickmill.streaming.day_table import DayTable
@@ -54,7 +55,7 @@ def start_files(
     if files is not None:
         stream = stream.repartition(files)
     writer = _writer(stream, "append", checkpoint, trigger, name)
-    query = writer.partitionBy(*partition_by).format(file_format).start(path)
+    query = writer.partitionBy(*partition_by).format(file_format).options(**file_options(file_format)).start(path)
     set_owner(spark, path, query.id)
     return query
 
@@ -92,8 +93,11 @@ def start_replace(
 ) -> StreamingQuery:
     """Complete mode to files: each micro-batch writes the whole result as `path/batch=n`.
 
-    The result before stays for queries under way; older ones are deleted.
+    The result before stays for queries under way; older ones are deleted. Only the checkpoint that
+    filled a path may go on with it.
     """
+    spark = stream.sparkSession
+    check_owner(spark, path, checkpoint, filled=any(name.startswith("batch=") for name in children(spark, path)))
 
     def write(rows: DataFrame, batch_id: int) -> None:
         rows.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
@@ -102,7 +106,9 @@ def start_replace(
             if old.startswith("batch=") and int(old.removeprefix("batch=")) < batch_id - 1:
                 delete(spark, f"{path}/{old}")
 
-    return _writer(stream, "complete", checkpoint, trigger, name).foreachBatch(write).start()
+    query = _writer(stream, "complete", checkpoint, trigger, name).foreachBatch(write).start()
+    set_owner(spark, path, query.id)
+    return query
 
 
 def start_kafka(

@@ -1,5 +1,6 @@
 import json
 import re
+import time
 from datetime import date
 
 import pytest
@@ -16,6 +17,7 @@ from clickmill.sources import (
     close_day,
     closed_days,
     event_stream,
+    file_options,
     kafka_options,
     kafka_stream,
     kafka_values,
@@ -25,8 +27,10 @@ from clickmill.sources.folders import children, delete
 from clickmill.sources.kafka import kafka_sink_options, write_kafka
 from clickmill.streaming import (
     DayTable,
+    DeliveryListener,
     RowWriter,
     StoreTable,
+    delivered,
     start_console,
     start_files,
     start_foreach,
@@ -262,13 +266,60 @@ def test_last_clicks_need_an_order(stream, spark, folder):
 def test_ingest_formats(spark, sf_dir, stream, folder, file_format):
     finish(jobs.ingest(stream, folder("t"), folder("c"), DAY, file_format, trigger=ONCE))
     schema = clicks(spark, sf_dir).drop("event_id").schema
-    rows = spark.read.format(file_format).schema(schema.add("year", "integer").add("month", "integer"))
-    # Csv has no empty string of its own; both sides compare without it.
-    found = rows.load(folder("t")).fillna("", ["prevpage"])
+    rows = spark.read.format(file_format).options(**file_options(file_format)).schema(schema.add("year", "integer").add("month", "integer"))
+    found = rows.load(folder("t"))
     assert found.select("year", "month").distinct().collect() == [(2024, 2)]
     assert rows_of(found.select(ACTIVITY.names)) == rows_of(clicks(spark, sf_dir).select(ACTIVITY.names))
 
 
+@pytest.mark.parametrize("file_format", ["parquet", "orc", "json", "csv"])
+def test_formats_tell_null_from_empty_text(spark, folder, file_format):
+    payloads = [{"eventTime": 1, "product": "", "page": None}, {"eventTime": None, "product": "a,b", "page": ""}, {"page": 'q"uote', "visitor": "\\N;"}]
+    frame = spark.createDataFrame([(json.dumps(p),) for p in payloads], "value string").select(F.col("value").cast("binary"))
+    frame.write.parquet(folder("in"))
+    finish(jobs.ingest(event_stream(spark, folder("in"), "value binary"), folder("t"), folder("c"), DAY, file_format, trigger=ONCE))
+    found = spark.read.format(file_format).options(**file_options(file_format)).schema(ACTIVITY).load(folder("t"))
+    expected = [(p.get("eventTime"), p.get("product"), p.get("page"), p.get("visitor")) for p in payloads]
+    assert sorted(map(str, expected)) == sorted(str(tuple(r)) for r in found.select("eventtime", "product", "page", "visitor").collect())
+
+
+def test_counts_reach_listener_and_table(spark, folder):
+    """Micro-batches of a watermarked stream: what has no key, and what comes too late."""
+    hour = 3_600_000
+    told = []
+    listener = DeliveryListener(lambda name, batch_id, counts: told.append((name, batch_id)))
+    spark.streams.addListener(listener)
+    table = day_table(spark, folder("t"), ACTIVITY_BY_PRODUCT, buckets=1)
+    received = rejected = late = 0
+    for times in ((0, 10, None), (9 * hour,), (5, 9 * hour + 1)):
+        payloads = [json.dumps({"eventTime": t, "product": "x", "action": "page_view"}) for t in times] + ["not json"]
+        frame = spark.createDataFrame([(p,) for p in payloads], "value string").select(F.col("value").cast("binary"))
+        frame.coalesce(1).write.mode("append").parquet(folder("in"))
+        source = event_stream(spark, folder("in"), "value binary")
+        query = jobs.speed_activity(source, table, folder("c"), delay="1 hour", trigger=ONCE, name="counted")
+        finish(query)
+        counts = delivered(query)
+        received, rejected, late = received + counts["received"], rejected + counts["rejected"], late + counts["late_groups"]
+    assert (received, rejected, late) == (9, 4, 1)
+    deadline = time.time() + 30
+    while listener.totals["counted"]["received"] < 9 and time.time() < deadline:
+        time.sleep(0.2)
+    spark.streams.removeListener(listener)
+    assert listener.totals["counted"] == {"received": 9, "rejected": 4, "late_groups": 1}
+    assert {name for name, _ in told} >= {"counted"}
+    # Counted, rejected and late together are all.
+    assert sum(r.page_view_count for r in table.read().collect()) + rejected + late == received
+
+
+def test_replacing_takes_no_other_checkpoint(spark, stream, folder):
+    counts = activity_by_product(decode_clicks(stream))
+    finish(start_replace(counts, folder("t"), folder("c"), trigger=ONCE))
+    with pytest.raises(ValueError, match="new"):
+        start_replace(counts, folder("t"), folder("c2"), trigger=ONCE)
+    with pytest.raises(ValueError, match="does not hold"):
+        start_replace(counts, folder("empty"), folder("c"), trigger=ONCE)
+
+
 def test_ingest_layout_and_batch_over_it(spark, sf_dir, stream, folder):
     query = jobs.ingest(stream, folder("t"), folder("c"), DAY, trigger=ONCE)
     assert query.name == "landing"
