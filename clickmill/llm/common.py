@@ -1,5 +1,8 @@
 """What several operators share: tables, words, stored intermediate results, components."""
 
+import contextlib
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -9,19 +12,56 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickmill.session import new_folder
+from clickmill.sources.folders import delete
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_made: list[str] = []  # folders that `stored` has made in this process and `discard` has not deleted
+
+
 def stored(spark: SparkSession, rows: DataFrame, label: str) -> DataFrame:
     """The rows, written to the shared folder and read back: a lost executor costs no recomputation."""
     path = new_folder(spark, label)
+    _made.append(path)
     rows.write.parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
 
 
+def made() -> set[str]:
+    """The folders of stored rows that still exist."""
+    return set(_made)
+
+
+def discard(spark: SparkSession, folders: set[str]) -> None:
+    """Delete stored rows that no result still to be computed is made from."""
+    for path in folders & set(_made):
+        delete(spark, path)
+        _made.remove(path)
+
+
+@contextlib.contextmanager
+def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Whatever runs inside passes at most so many rows at once to Python: whole texts take room on both sides."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def release_memory() -> None:
+    """Give memory that earlier tasks of this Python worker have freed back to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries do so by themselves
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def keyed_rows(spark: SparkSession, rows: DataFrame, **more: Column) -> DataFrame:
     """Every row whole in _row, under a _row_key of its own and a _row_digest of all its columns, stored with further columns."""
     columns = [F.col(f"`{c}`") for c in rows.columns]

@@ -13,15 +13,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickmill.llm.common import stored, stretches, text_bytes
+from clickmill.llm.common import arrow_rows, release_memory, stored, stretches, text_bytes
 from clickmill.llm.prefix import pieces_of, with_running_total
 
 CAPACITY = 4096
 END_ID = 1
-CACHED = 300_000  # words whose ids a task remembers from one stretch of text to the next
+CACHED = 150_000  # words whose ids a task remembers from one stretch of text to the next
 MARKS = (b".", b",")
 LONGEST = 64  # bytes of such a word
 AT_ONCE = 1_000_000  # bytes of text, unless one text alone is longer
+ROWS_AT_ONCE = 500  # passed to Python
 
 # How byte-level vocabularies write bytes: printable ones as themselves, the others, in order, from 256 on.
 SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -153,10 +154,13 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_i
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memory()
         words = WordIds(tokenizer_path)
         for batch in batches:
             for part in stretches(batch, "text", AT_ONCE):
                 yield cut(part["doc_id"].to_pylist(), part["text"].to_pylist(), words)
+        del words
+        release_memory()
 
     rows = docs.select(F.col("doc_id").cast("long"), text_bytes().alias("text"))
     return rows.mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long")
@@ -223,7 +227,8 @@ def pack(
     doc_id too. Only the number of pieces of each length, at most `capacity` numbers, comes to
     the driver; the pieces of a length take its places in the order of a digest of their ids.
     """
-    cut = stored(spark, pieces(docs, tokenizer_path, capacity, end_id), "pieces")
+    with arrow_rows(spark, ROWS_AT_ONCE):
+        cut = stored(spark, pieces(docs, tokenizer_path, capacity, end_id), "pieces")
     counts = {row["length"]: row["n"] for row in cut.groupBy("length").agg(F.count("*").alias("n")).collect()}
     keys, entries, sequence = [], [], 0
     ranks = dict.fromkeys(counts, 0)
