@@ -41,10 +41,12 @@ def brute_force(rows, least):
     return links, plain_components([r[0] for r in rows if r[0] is not None], near)
 
 
-@pytest.mark.parametrize("cell, part", [(rangejoin.CELL, rangejoin.PART), (40, 16)])
-def test_matches_brute_force(spark, monkeypatch, cell, part):
+@pytest.mark.parametrize("cell, part, pivots", [(rangejoin.CELL, rangejoin.PART, rangejoin.PIVOTS), (20, 16, 3)])
+def test_matches_brute_force(spark, monkeypatch, cell, part, pivots):
+    """Also with cells so small that they are split again and cut in parts."""
     monkeypatch.setattr(rangejoin, "CELL", cell)
     monkeypatch.setattr(rangejoin, "PART", part)
+    monkeypatch.setattr(rangejoin, "PIVOTS", pivots)
     rows = planted(400, np.random.default_rng(3))
     links, root = brute_force(rows, 0.93)
     found = rangejoin.near_duplicates(spark, spark.createDataFrame(rows, SCHEMA)).collect()
@@ -62,5 +64,22 @@ def test_query_on_given_table(spark, sf_dir, tables):
     assert {r["vec_id"]: (r["n_links"], r["component_id"]) for r in found} == {i: (links[i], root[i]) for i in links}
 
 
+def test_pivots_divide_every_label(spark, sf_dir):
+    """The given table has pivots in each label, and every vector is a member of one cell."""
+    table = spark.read.parquet(f"{sf_dir}/embeddings.parquet").where("label IS NOT NULL").dropDuplicates(["label", "embedding"])
+    classes = table.selectExpr("vec_id AS rep", "label", "CAST(embedding AS array<double>) AS embedding", "1L AS n")
+    rows = rangejoin.cells(spark, classes, 0.37).toPandas()
+    members = rows[rows["member"]]
+    assert sorted(members["rep"]) == sorted(r["rep"] for r in classes.collect())
+    assert (members.groupby("label")["cell"].nunique() > 1).all()
+
+
+def test_one_id_for_different_vectors(spark):
+    """Rows of one vec_id but different vectors are rows of their own."""
+    rows = [(1, [1.0, 0.0], 0, "x"), (1, [0.0, 1.0], 0, "x"), (2, [1.0, 0.01], 0, "x"), (2, [1.0, 0.01], 0, "x")]
+    found = rangejoin.near_duplicates(spark, spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in found) == [(1, 0, 1), (1, 2, 1), (2, 2, 1), (2, 2, 1)]
+
+
 def test_empty(spark):
     assert rangejoin.near_duplicates(spark, spark.createDataFrame([], SCHEMA)).collect() == []
