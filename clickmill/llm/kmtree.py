@@ -3,6 +3,7 @@
 import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -176,19 +177,23 @@ def search(
 
     Returns query_id, rank (from 1), vec_id, score; all candidates if there are fewer than k.
     Ties go to the smaller vec_id. Vectors that are null, zero or hold null or non-finite
-    components, rows without a vec_id, and vectors of another length than the most frequent
-    take no part. Repeated rows of a vec_id are one candidate each; a query repeated is one
-    query. An empty table has no result.
+    components and rows without a vec_id take no part. Vectors have a distance only to those
+    of their length, so each length is searched by itself, with a tree of its own; a table
+    has few lengths. Repeated rows of a vec_id are one candidate each; a query repeated is one
+    query for each length of its vectors. An empty table has no result.
     """
     rows = embeddings.where(usable() & F.col("vec_id").isNotNull()).withColumn("is_query", F.coalesce(is_query, F.lit(False)))
     rows = rows.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"), "is_query")
-    schema = "query_id long, rank int, vec_id long, score double"
-    common = rows.groupBy(F.size("embedding").alias("dim")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "dim").first()
-    if common is None:
-        return spark.createDataFrame([], schema)
-    rows = rows.where(F.size("embedding") == common["dim"])
-    drawn = rows.where(share_of(sample, common["n"], SEED, "vec_id")).orderBy("vec_id").select("embedding").toPandas()
-    tree = grow(matrix(drawn["embedding"]).reshape(-1, common["dim"]))
+    lengths = rows.groupBy(F.size("embedding").alias("dim")).agg(F.count("*").alias("n")).orderBy("dim").collect()
+    found = [_search(spark, rows.where(F.size("embedding") == r["dim"]), r["dim"], r["n"], k, recall, sample) for r in lengths]
+    nothing = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    return reduce(DataFrame.unionByName, found) if found else nothing
+
+
+def _search(spark: SparkSession, rows: DataFrame, dim: int, total: int, k: int, recall: float, sample: int) -> DataFrame:
+    """The search among rows (vec_id, embedding, is_query) whose vectors are usable and of one length."""
+    drawn = rows.where(share_of(sample, total, SEED, "vec_id")).orderBy("vec_id").select("embedding").toPandas()
+    tree = grow(matrix(drawn["embedding"]).reshape(-1, dim))
 
     @F.pandas_udf("int")
     def leaf_of(vectors: pd.Series) -> pd.Series:

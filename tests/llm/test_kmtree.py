@@ -54,6 +54,19 @@ def test_recall_ties_and_hot_vector(spark, monkeypatch):
     assert found[0] == [(i, 0.0) for i in range(3, 33, 3)]
 
 
+def test_every_length_is_searched(spark):
+    """Vectors of a rarer length have neighbours of their length, and no others."""
+    random = np.random.default_rng(1)
+    rows = [(i, random.normal(size=8 if i % 4 else 3).astype(np.float32).tolist(), 0, "x") for i in range(400)]
+    rows.append((1000, [1.0], 0, "x"))
+    found = as_lists(kmtree.search(spark, spark.createDataFrame(rows, SCHEMA), F.col("vec_id") % 50 == 0).collect())
+    expected = {}
+    for size in (3, 8):
+        own = [r for r in rows if len(r[1]) == size]
+        expected |= brute_force(own, [r[:2] for r in own if r[0] % 50 == 0], 10)
+    assert set(found) == set(expected) and recall(found, expected) >= 0.9
+
+
 def test_few_and_unusable_vectors(spark):
     bad = [None, [0.0, 0.0], [float("nan"), 1.0], [None, 1.0], []]
     rows = [(i, v, 0, "x") for i, v in enumerate(bad)] + [(10, [1.0, 0.0], 1, "x"), (11, [0.0, 1.0], None, None), (12, [1.0, 1.0], 1, "x"), (None, [1.0, 0.5], 1, "x"), (13, [1.0], 1, "x")]
