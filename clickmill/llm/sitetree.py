@@ -33,7 +33,7 @@ CLOSES = {
     "th": {"td", "th"}, "option": {"option"}, "tbody": {"tr", "td", "th", "thead", "tbody"},
 }
 SCOPE = set("table ul ol dl select html body article section div main nav aside footer header form".split())
-NOISE_TAGS = set("head nav footer aside form menu button select option dialog fieldset".split())
+NOISE_TAGS = set("head nav footer aside menu button select option dialog fieldset".split())
 NOISE_WORDS = set(
     "nav navbar navigation menu menus breadcrumb breadcrumbs masthead footer sidebar aside widget related recommended "
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner popup modal overlay "
@@ -47,6 +47,9 @@ THING_WORDS = set(
     "link links list lists outer panel pane post posts primary right row secondary section site slot text title top unit "
     "wrap wrapper x".split()
 )
+# What stands before such a word or after it in a name for a part of a page, as in page-footer and comment-body.
+BEFORE_WORDS = set("page user reader site global".split())
+AFTER_WORDS = set("content contents body articles stories text".split())
 NAMED_NEVER = set("html body main article".split())
 MAIN_WORDS = {"articlebody", "article-body", "article-content", "entry-content", "post-content", "post-body", "main-content", "story-body", "page-content"}
 
@@ -89,7 +92,12 @@ def _named(names: str) -> set[str]:
     """Noise words that are whole names, or parts of names that only say what kind of thing it is."""
     found = set()
     for name in names.split():
-        words = set(re.findall("[a-z]+", name))
+        parts = re.findall("[a-z]+", name)
+        if len(parts) > 1 and parts[0] in BEFORE_WORDS:
+            parts = parts[1:]
+        if len(parts) > 1 and parts[-1] in AFTER_WORDS:
+            parts = parts[:-1]
+        words = set(parts)
         if words <= NOISE_WORDS | THING_WORDS | {"header"}:
             found |= words - THING_WORDS
     return found
@@ -104,7 +112,7 @@ def _element(tag: str, attributes: str, parent: Element, number: int) -> Element
     words = _named(names) if names and tag not in NAMED_NEVER else set()
     hidden = "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in found.get("style", "").replace(" ", "")
     noise = parent.noise or hidden or tag in NOISE_TAGS or tag == "header" and parent.level < MARKED
-    named = bool(words & NOISE_WORDS) or "header" in words and parent.level < MARKED
+    named = tag == "form" or bool(words & NOISE_WORDS) or "header" in words and parent.level < MARKED
     level = ARTICLE if tag == "article" else MAIN if tag == "main" or "main" in found.get("role", "").split() else MARKED if MAIN_WORDS & set(names.split()) else PLAIN
     marks = (*parent.marks, (number, level)) if level else parent.marks
     return Element(tag, f"{parent.path}/{label}", noise, (*parent.named, number) if named else parent.named, max(level, parent.level), marks)
@@ -135,14 +143,20 @@ def _places(blocks: list[tuple[str, bool, tuple[tuple[int, int], ...], str]]) ->
     ]
 
 
-def _lifted(blocks: list[tuple[str, bool, tuple[int, ...], int, str]]) -> set[int]:
-    """Named elements that hold the page's main text, so that their names say nothing.
+def _lifted(blocks: list[tuple[str, bool, tuple[int, ...], int, str]], forms: set[int]) -> set[int]:
+    """Named elements and forms that hold the page's main text, so that this says nothing.
 
-    If all text is noise, that is the outermost named element of the most text, and so on
-    inside of it. If text that the page marks as its article stands in named elements only,
-    and is more than what is not noise, it is those around the most of it.
+    A form that, itself alone, makes noise of over half of a page's other text is a frame
+    round the page. If all text is noise, it is the outermost named element of the most text,
+    and so on inside of it. If text that the page marks as its article stands in named
+    elements only, and is more than what is not noise, it is those around the most of it.
     """
-    lifted: set[int] = set()
+    only: Counter[int] = Counter()
+    for _, noise, named, _, text in blocks:
+        if not noise and forms.issuperset(named):
+            only.update(dict.fromkeys(named or (0,), len(text)))
+    total = sum(len(text) for _, noise, named, _, text in blocks if not noise and forms.issuperset(named))
+    lifted = {form for form, size in only.items() if form and 2 * size > total}
     while True:
         clean, marked = 0, False
         held: Counter[tuple[int, ...]] = Counter()
@@ -172,6 +186,7 @@ def read_page(html: str) -> Page:
     blocks: list[tuple[str, bool, tuple[int, ...], int, str]] = []
     marks: list[tuple[tuple[int, int], ...]] = []
     text: list[str] = []
+    forms: set[int] = set()
 
     def flush() -> None:
         joined = SPACE.sub(" ", unescape("".join(text))).strip()
@@ -236,6 +251,8 @@ def read_page(html: str) -> Page:
         if tag in VOID:
             continue
         element = _element(tag, attributes, stack[-1], at)
+        if tag == "form":
+            forms.add(at)
         if tag in BLOCK:
             owner = next(e for e in reversed(stack) if e.tag in BLOCK or not e.tag)
             if not owner.children or owner.children[-1] != tag:
@@ -246,7 +263,7 @@ def read_page(html: str) -> Page:
     text.append(html[at:])
     flush()
     close(1)
-    lifted = _lifted(blocks) if any(named for _, _, named, _, _ in blocks) else set()
+    lifted = _lifted(blocks, forms) if any(named for _, _, named, _, _ in blocks) else set()
     found = [(path, noise or not lifted.issuperset(named), mark, text) for (path, noise, named, _, text), mark in zip(blocks, marks)]
     page.blocks = [(path, noise, place, text) for (path, noise, _, text), place in zip(found, _places(found))]
     return page
@@ -359,7 +376,8 @@ def extract(spark: SparkSession, pages: DataFrame) -> DataFrame:
 
     Branches that HTML or their class, id or role name as menu, header, footer, sidebar,
     notice, advert, form or comments are noise; a name counts as a whole, never on html, body,
-    main and article, and not where it would hide the article a page marks or all it says. So is what a page shows on a branch whose
+    main and article, and not where it would hide the article a page marks or all it says. A
+    form round over half of the page is none. So is what a page shows on a branch whose
     importance in the style tree of its host is low, if other pages of the host show the same
     there; what only this page shows stays. Where a branch carries texts of the site, what
     recurs and is over half of a page's text is an article copied often, and stays. If a page
