@@ -44,6 +44,21 @@ def test_hot_group_is_dealt_over_shards(spark, monkeypatch, make_docs, range_row
     assert rows == sharding.shard(spark, make_docs(docs), 8).collect() or sorted(rows) == sorted(sharding.shard(spark, make_docs(docs), 8).collect())
 
 
+@pytest.mark.parametrize("ids", [lambda i: i, lambda i: None, lambda i: 7])
+def test_no_range_has_too_many_rows(spark, monkeypatch, make_docs, ids):
+    """Two thirds of all rows are null texts, which are few bytes; they lie in many ranges and in one shard."""
+    monkeypatch.setattr(sharding, "RANGE_ROWS", 50)
+    docs = [(ids(i), None if i % 3 else f"text {i} " * 200, "en", "a") for i in range(3000)]
+    kept = []
+    cut = sharding.cut_ranges
+    monkeypatch.setattr(sharding, "cut_ranges", lambda *a: kept.append(cut(*a)) or kept[0])
+    rows = sharding.shard(spark, make_docs(docs), 8).collect()
+    found = kept[0][1]
+    assert found["rows"].sum() == 3000 and found["rows"].max() <= 4 * 50
+    assert_dealt(rows, docs, 8, 2 * 2000)
+    assert len({r["shard"] for r in rows if r["size"] == 1}) == 1
+
+
 def test_edge_cases(spark, edge_docs, no_docs):
     docs = [(r["doc_id"], r["text"]) for r in edge_docs.collect()]
     assert_dealt(sharding.shard(spark, edge_docs, 3).collect(), docs, 3, 1 << 20)
