@@ -50,16 +50,19 @@ WITH sized AS (
       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS before
   FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source
 ), taken AS (
-  SELECT *, before + size / 2 AS first,
+  SELECT *, [(source_size * k + before + size / 2) / target FOR k IN [0, 1, 2]] AS shares,
     CAST(before + size / 2 < target AS INTEGER)
       + CAST(source_size + before + size / 2 < target AS INTEGER)
       + CAST(source_size * 2 + before + size / 2 < target AS INTEGER) AS passes
   FROM placed
+), timed AS (
+  SELECT *, [CASE WHEN k <= passes THEN 2 * shares[k] / (w0 + sqrt(w0 * w0 + 2 * (w1 - w0) * shares[k])) ELSE -1 END
+    FOR k IN [1, 2, 3]] AS moments
+  FROM taken
 )
 SELECT doc_id, size, source, source_size, target, passes, passes * size AS taken,
-  CASE WHEN passes > 0 THEN 2 * (first / target) / (w0 + sqrt(w0 * w0 + 2 * (w1 - w0) * (first / target)))
-    ELSE -1 END AS position
-FROM taken
+  moments[1] AS position, moments[2] AS position_2, moments[3] AS position_3
+FROM timed
 """
 
 LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"

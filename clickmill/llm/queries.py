@@ -50,9 +50,11 @@ def op7_packing(spark, sf_dir):
 
 
 def op8_mixing(spark, sf_dir):
-    """position is the time of a document's first copy, -1 if it is not taken."""
+    """position, position_2 and position_3 are the times of a document's copies, -1 for those not taken; sorted by the first."""
     plan = mixing.mix(spark, table(spark, sf_dir, "documents"), weights=(1, 2, 3), most_passes=3)
-    return plan.withColumn("position", F.coalesce(F.get("positions", F.lit(0)), F.lit(-1.0))).drop("positions")
+    names = ("position", "position_2", "position_3")
+    times = [F.coalesce(F.get("positions", F.lit(i)), F.lit(-1.0)).alias(name) for i, name in enumerate(names)]
+    return plan.select("*", *times).drop("positions").orderBy("position", "doc_id")
 
 
 def op9_simhash(spark, sf_dir):
