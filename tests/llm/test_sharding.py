@@ -2,6 +2,7 @@ import zlib
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from clickmill.llm import sharding
 from clickmill.llm.queries import QUERIES
@@ -44,6 +45,38 @@ def test_hot_group_is_dealt_over_shards(spark, monkeypatch, make_docs, range_row
     assert rows == sharding.shard(spark, make_docs(docs), 8).collect() or sorted(rows) == sorted(sharding.shard(spark, make_docs(docs), 8).collect())
 
 
+def plain_shards(docs, keys, shards):
+    """The whole query without ranges: (doc_id, size, crc, shard, slot) of every row, in the order of the texts' hashes."""
+    rows = sorted((k, -(1 << 63) if i is None else i, i, (t or "").encode()) for (i, t), k in zip(docs, keys))
+    total = sum(len(t) + 1 for *_, t in rows)
+    group = Counter()
+    for key, *_, t in rows:
+        group[key] += len(t) + 1
+    out, end, start, slots = [], 0, {}, Counter()
+    for key, _, i, t in rows:
+        size = len(t) + 1
+        start.setdefault(key, end)
+        end += size
+        kept = group[key] * shards * sharding.WHOLE <= total
+        middle = start[key] + group[key] / 2 if kept else end - size / 2
+        shard = min(int(middle * shards / total), shards - 1)
+        out.append((i, size, zlib.crc32(t), shard, slots[shard]))
+        slots[shard] += 1
+    return Counter(out)
+
+
+@pytest.mark.parametrize("range_rows", [30, sharding.RANGE_ROWS])
+def test_matches_brute_force(spark, monkeypatch, sf_dir, range_rows):
+    """However the rows fall in ranges, and where ranges cut groups of equal texts."""
+    monkeypatch.setattr(sharding, "RANGE_ROWS", range_rows)
+    table = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    more = [(10**9 + i, None if i % 2 else "often") for i in range(300)]
+    docs = table.unionByName(spark.createDataFrame(more, table.schema))
+    found = docs.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit("")), F.lit(sharding.SEED)).alias("key")).collect()
+    expected = plain_shards([(r["doc_id"], r["text"]) for r in found], [r["key"] for r in found], 8)
+    assert Counter(map(tuple, sharding.shard(spark, docs, 8).collect())) == expected
+
+
 @pytest.mark.parametrize("ids", [lambda i: i, lambda i: None, lambda i: 7])
 def test_no_range_has_too_many_rows(spark, monkeypatch, make_docs, ids):
     """Two thirds of all rows are null texts, which are few bytes; they lie in many ranges and in one shard."""
