@@ -244,6 +244,18 @@ def visits_of_days(
     return visits.withColumn(DAY, hour_day("timestamp_hour"))
 
 
+def rollup_of_days(visits: DataFrame, days: list[date]) -> DataFrame:
+    """The counts and the exact unique visitors of each key in some days of events, from counts per visitor.
+
+    They are dealt anew by key and visitor. Read where they lie, all of a bucket would be one task's,
+    however many days and rows that is.
+    """
+    parts = visits.where(F.col(DAY).isin(days)).repartition(*KEYS, "visitor")
+    sums = [F.sum(name).alias(name) for name in COUNTS]
+    both = parts.groupBy(*KEYS).agg(*sums, F.countDistinct("visitor").alias("unique_visitors"))
+    return both.withColumn(DAY, hour_day("timestamp_hour"))
+
+
 def batch_new_days(
     spark: SparkSession,
     landed_path: str,
@@ -281,11 +293,8 @@ def batch_new_days(
     seen = Observation()
     overwrite_days(visits_of_days(spark, landed_path, new, closed, once, seen), visits, buckets, spread)
     touched = spark.table(visits).where(F.col("ingest_day").isin(new)).select(DAY).distinct()
-    parts = spark.table(visits).where(F.col(DAY).isin([r[DAY] for r in touched.collect()]))
-    sums = [F.sum(name).alias(name) for name in COUNTS]
-    both = parts.groupBy(*KEYS).agg(*sums, F.countDistinct("visitor").alias("unique_visitors"))
     folder = new_folder(spark, "rollup")
-    both = write_table(both.withColumn(DAY, hour_day("timestamp_hour")), folder)
+    both = write_table(rollup_of_days(spark.table(visits), [r[DAY] for r in touched.collect()]), folder)
     for name in BATCH_TABLES:
         overwrite_days(both, f"{database}.{name}", buckets)
     state_counts(spark, f"{database}.{ACTIVITY_TABLE}", seen.get)

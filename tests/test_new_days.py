@@ -124,3 +124,17 @@ def test_nothing_landed(spark, place):
     landed, location, database = place
     assert jobs.batch_new_days(spark, landed, location, day(0), database=database) == []
     assert tables(spark, database) == [[], []]
+
+
+def test_tasks_do_not_depend_on_how_few_buckets_there_are(spark, sf_dir, place):
+    landed, location, database = place
+    land(clicks(spark, sf_dir), 0, landed)
+    jobs.batch_new_days(spark, landed, location, day(0), database=database, buckets=1)
+    visits = spark.table(f"{database}.{jobs.VISITS_TABLE}")
+    for table in (visits, *(spark.table(f"{database}.{name}") for name in BATCH_TABLES)):
+        files = [file.rsplit("/", 1) for file in table.inputFiles()]
+        # One file for the one bucket of a day, written by several tasks.
+        assert len({folder for folder, _ in files}) == len(files)
+        assert len({name[:10] for _, name in files}) > 2
+    days = [r[0] for r in visits.select("hour_day").distinct().collect()]
+    assert "Bucketed: true" not in jobs.rollup_of_days(visits, days)._jdf.queryExecution().executedPlan().toString()
