@@ -11,6 +11,7 @@ from clickmill.sources import event_stream
 REFERRERS = ["Google", "Bing", "Yahoo", "Twitter", "Facebook", "Other", "Direct", "Internal"]
 
 DELIVERIES = 3  # micro-batches of a stream
+FILE_ROWS = 100_000  # of a delivered file, at most: a micro-batch takes whole files, one task or more to read each
 
 # Stating the types saves reading a footer before planning.
 EVENTS = (
@@ -66,6 +67,11 @@ def kafka_rows(clicks: DataFrame, value=None) -> DataFrame:
     )
 
 
+def write_topic(rows: DataFrame, topic: str) -> None:
+    """Append Kafka rows to a folder, in files that grow in number with the rows, not in size."""
+    rows.write.mode("append").option("maxRecordsPerFile", FILE_ROWS).parquet(topic)
+
+
 def deliver(spark: SparkSession, sf_dir: str, topic: str, first: int = 0, until: int = DELIVERIES) -> None:
     """Append deliveries of the clicks, as Kafka rows in the order of their time, to a folder.
 
@@ -76,7 +82,7 @@ def deliver(spark: SparkSession, sf_dir: str, topic: str, first: int = 0, until:
     step = (end - start) // DELIVERIES + 1
     for i in range(first, until):
         part = rows.where(F.col("eventtime").between(start + i * step, start + (i + 1) * step - 1))
-        kafka_rows(part).write.mode("append").parquet(topic)
+        write_topic(kafka_rows(part), topic)
 
 
 def kafka_stream(spark: SparkSession, topic: str) -> DataFrame:

@@ -291,7 +291,7 @@ def batch_new_days(
     if not new:
         return []
     seen = Observation()
-    overwrite_days(visits_of_days(spark, landed_path, new, closed, once, seen), visits, buckets, spread)
+    overwrite_days(visits_of_days(spark, landed_path, new, closed, once, seen), visits, buckets, spread, "ingest_day")
     touched = spark.table(visits).where(F.col("ingest_day").isin(new)).select(DAY).distinct()
     folder = new_folder(spark, "rollup")
     both = write_table(rollup_of_days(spark.table(visits), [r[DAY] for r in touched.collect()]), folder)

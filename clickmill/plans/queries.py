@@ -39,7 +39,7 @@ from clickmill.operators import (
     visitors_by_product,
 )
 from clickmill.plans import jobs
-from clickmill.plans.clicks import DELIVERIES, clicks, deliver, events, kafka_rows, kafka_stream
+from clickmill.plans.clicks import DELIVERIES, clicks, deliver, events, kafka_rows, kafka_stream, write_topic
 from clickmill.schema import (
     ACTIVITY,
     ACTIVITY_BY_PRODUCT,
@@ -280,7 +280,7 @@ def serve_visitors(spark, sf_dir):
     database = _own_name(folder)
     jobs.batch(spark, f"{folder}/landed", f"{folder}/batch", sketches=True, database=database)
     speed_side = rows.where((F.col("timestamp_hour") >= CUTOFF_HOUR) | ~F.col("referrer").isin(SEARCH_ENGINES))
-    kafka_rows(speed_side).write.parquet(f"{folder}/topic")
+    write_topic(kafka_rows(speed_side), f"{folder}/topic")
     speed = DayTable(spark, f"{database}.stream_visitor_sketches", f"{folder}/speed", VISITOR_SKETCHES, buckets=FEW)
     stream = kafka_stream(spark, f"{folder}/topic")
     jobs.speed_sketches(stream, speed, f"{folder}/checkpoint", **RUN_ONCE).awaitTermination()
@@ -443,7 +443,7 @@ def quarantine(spark, sf_dir):
 def delivery_counts(spark, sf_dir):
     """What each job says it received and rejected of the same deliveries, some of them damaged."""
     folder = new_folder(spark, "counts")
-    _damaged(spark, sf_dir).write.parquet(f"{folder}/topic")
+    write_topic(_damaged(spark, sf_dir), f"{folder}/topic")
     rows = kafka_stream(spark, f"{folder}/topic")
     found = []
 

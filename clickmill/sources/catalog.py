@@ -55,20 +55,19 @@ def create_keyed_table(
         spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
 
 
-def overwrite_days(rows: DataFrame, table: str, buckets: int = BUCKETS, by: list[str] = KEYS) -> None:
+def overwrite_days(rows: DataFrame, table: str, buckets: int = BUCKETS, by: list[str] = KEYS, also_by: str | None = None) -> None:
     """Replace the partitions of a table by day that the rows lie in; all others stay. A bucket of a partition is one file.
 
     Rows are dealt by partition and bucket, so there may be as many tasks as files, and what one of them sorts
     does not depend on how few buckets there are.
     """
     spark = rows.sparkSession
-    columns = spark.catalog.listColumns(table)
-    partitions = [F.col(column.name) for column in columns if column.isPartition]
+    columns = spark.table(table).columns
+    partitions = [DAY, *([also_by] if also_by else [])]
     # As Spark numbers them.
     bucket = F.pmod(F.hash(*by), F.lit(buckets))
     tasks = max(buckets, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    rows = rows.select([column.name for column in columns]).repartition(tasks, *partitions, bucket)
-    rows.write.insertInto(table, overwrite=True)
+    rows.select(columns).repartition(tasks, *partitions, bucket).write.insertInto(table, overwrite=True)
     spark.catalog.refreshTable(table)
 
 

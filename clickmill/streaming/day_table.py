@@ -68,27 +68,34 @@ class DayTable:
         for old in children(spark, stage):
             if old != name:
                 delete(spark, f"{stage}/{old}")
-        if exists(spark, f"{stage}/{name}/_SUCCESS"):
+        path = f"{stage}/{name}"
+        if exists(spark, f"{path}/kept/_SUCCESS"):
             # The stream's state moves on only if the rows are computed.
             rows.write.format("noop").mode("overwrite").save()
         else:
-            self._store_merged(rows, f"{stage}/{name}")
-        schema = StructType([*self.schema.fields]).add(DAY, "date")
-        overwrite_days(spark.read.schema(schema).parquet(f"{stage}/{name}"), self.name, self.buckets)
+            self._store_merged(rows, path)
+        merged = [f"{path}/kept"] if self.order else [f"{path}/changed", f"{path}/kept"]
+        overwrite_days(self._stored(spark, *merged), self.name, self.buckets)
+
+    def _stored(self, spark: SparkSession, *paths: str) -> DataFrame:
+        return spark.read.schema(StructType([*self.schema.fields]).add(DAY, "date")).parquet(*paths)
 
     def _store_merged(self, rows: DataFrame, path: str) -> None:
+        """Store the changed rows, and then those that are kept beside them; with an order, those that are kept of all."""
         spark = rows.sparkSession
-        changed = rows.select(self.schema.names).dropna(subset=self.keys).withColumn(DAY, hour_day("timestamp_hour")).persist()
-        days = [r[0] for r in changed.select(DAY).distinct().collect()]
+        rows = rows.select(self.schema.names).dropna(subset=self.keys).withColumn(DAY, hour_day("timestamp_hour"))
+        # Written first, as each further use of the rows would run the stream's state again, also if they were cached.
+        rows.write.mode("overwrite").parquet(f"{path}/changed")
+        changed = self._stored(spark, f"{path}/changed")
+        days = changed.agg(F.collect_set(DAY)).first()[0]
         spark.catalog.refreshTable(self.name)
-        current = spark.table(self.name).where(F.col(DAY).isin(days))
+        current = spark.table(self.name).where(F.col(DAY).isin(days)).select(changed.columns)
         if self.order is None:
-            others = current.join(changed.select(self.keys), self.keys, "left_anti")
-            merged = others.select(changed.columns).unionByName(changed)
+            kept = current.join(changed.select(self.keys), self.keys, "left_anti").select(changed.columns)
         else:
-            merged = last_write_per_key(current.unionByName(changed), self.order, self.keys)
-        merged.write.mode("overwrite").parquet(path)
-        changed.unpersist()
+            kept = last_write_per_key(current.unionByName(changed), self.order, self.keys)
+        # At most as many files as these days will have, however many tasks a shuffle has.
+        kept.coalesce(max(1, self.buckets * len(days))).write.mode("overwrite").parquet(f"{path}/kept")
 
     def read(self, since_hour: int | None = None) -> DataFrame:
         """The rows, of the hours from `since_hour` on if it is given; other days are not read."""

@@ -10,8 +10,10 @@ from pyspark.sql.types import StructType
 
 from clickmill.functions import decode_clicks, hour_day, within_hours
 from clickmill.operators import activity_by_product, drop_duplicate_events, last_write_per_key
+from clickmill.plans import clicks as click_plans
 from clickmill.plans import jobs, queries
-from clickmill.plans.clicks import clicks, kafka_rows
+from clickmill.plans.clicks import clicks, kafka_rows, write_topic
+from clickmill.plans.clicks import kafka_stream as topic_stream
 from clickmill.schema import ACTIVITY, ACTIVITY_BY_PRODUCT, EVENT_COLUMNS, KAFKA_ROW, VISITORS_BY_PRODUCT
 from clickmill.sources import (
     close_day,
@@ -126,6 +128,30 @@ def test_failure_between_write_and_commit(spark, sf_dir, stream, folder):
     assert rows_of(table.read()) == rows_of(activity_by_product(clicks(spark, sf_dir)))
 
 
+def test_a_micro_batch_runs_its_state_once(spark, stream, topic, folder):
+    """A second use of its rows, cached or not, would run the stream's state again, which counts what it updates twice."""
+    table = day_table(spark, folder("t"), ACTIVITY_BY_PRODUCT)
+    query = jobs.speed_activity(stream, table, folder("c"), trigger=ONCE)
+    finish(query)
+    keyed = decode_clicks(spark.read.schema(KAFKA_ROW).parquet(topic).withColumn("key", F.input_file_name().cast("binary")), keep=("key",))
+    updated = keyed.select("key", "product", "timestamp_hour").distinct().count()
+    assert sum(progress.stateOperators[0].numRowsUpdated for progress in query.recentProgress if progress.numInputRows) == updated
+
+
+def test_a_topic_grows_in_files(spark, sf_dir, folder, monkeypatch):
+    """So that a micro-batch, a third of the files, has more tasks as rows grow, not longer ones."""
+    monkeypatch.setattr(click_plans, "FILE_ROWS", 500)
+    rows = kafka_rows(clicks(spark, sf_dir)).coalesce(1)
+    write_topic(rows, folder("topic"))
+    stored = spark.read.schema(KAFKA_ROW).parquet(folder("topic"))
+    per_file = stored.groupBy(F.input_file_name()).count()
+    assert per_file.agg(F.max("count")).first()[0] == 500 and stored.count() == rows.count()
+    query = jobs.ingest(topic_stream(spark, folder("topic")), folder("t"), folder("c"), DAY, trigger=ONCE)
+    finish(query)
+    assert len([p for p in query.recentProgress if p.numInputRows]) == click_plans.DELIVERIES
+    assert landed(spark, folder("t")).count() == rows.count()
+
+
 def test_failure_while_partitions_are_replaced(spark, folder, monkeypatch):
     """A day that was removed and not yet written again comes back whole."""
     def batch(*rows):
