@@ -1,11 +1,13 @@
 """Best-fit packing of tokenised documents by minimum bin slack."""
 
 import os
+import string
 import unicodedata
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 from itertools import chain, islice
+from operator import attrgetter
 
 import numpy as np
 import pandas as pd
@@ -18,8 +20,8 @@ from clickmill.llm.prefix import pieces_of, with_running_total
 
 CAPACITY = 4096
 END_ID = 1
-CACHED = 150_000  # words whose ids a task remembers from one stretch of text to the next
-MARKS = (b".", b",")
+CACHED = 250_000  # words whose ids a task remembers from one stretch of text to the next
+MARKS = string.punctuation.replace("'", "").encode()
 LONGEST = 64  # bytes of such a word
 AT_ONCE = 1_000_000  # bytes of text, unless one text alone is longer
 ROWS_AT_ONCE = 500  # passed to Python
@@ -33,8 +35,8 @@ class WordIds:
     """Ids of texts, from the remembered ids of their words.
 
     The tokenizer never joins what white space parts, so runs of other characters are
-    tokenised alone. Nor does it join a letter with the full stop or comma after it. What is
-    letters only, in lower case, is one piece to its last step, which is then called directly.
+    tokenised alone. Nor does it join a letter with the marks after it, all of which at the end of a
+    run are one piece. What is letters only, in lower case, is one piece to its last step, which is then called directly.
     Of more than CACHED words only the half that came most often is kept, and none of over
     LONGEST bytes, so what is remembered takes some megabytes however many words there are.
     """
@@ -74,30 +76,33 @@ class WordIds:
     def learn(self) -> None:
         """Tokenise the runs that have numbers but no ids yet."""
         of, known, merge = self.numbers.__getitem__, len(self.count), self.merge
-        plain, stopped, others = [], [], []
+        plain, others, marked, parts = [], [], [], []
         for run in list(islice(self.numbers, known, None)):
             if _only_letters(run):
                 plain.append(run)
-            elif run[-1:] in MARKS and _only_letters(run[:-1]):
-                stopped.append(run)
+                continue
+            stem = run.rstrip(MARKS)
+            if len(stem) < len(run) and _only_letters(stem):
+                marked.append(run)
+                parts += stem, run[len(stem) :]
             else:
                 others.append(run)
-        asked = known + len(plain) + len(stopped) + len(others)
-        stems, marks = [of(run[:-1]) for run in stopped], [of(run[-1:]) for run in stopped]
+        asked = len(self.numbers)
+        both = np.fromiter(map(of, parts), np.int64, len(parts)).reshape(-1, 2)
         for run in list(islice(self.numbers, asked, None)):
-            (others if run in MARKS else plain).append(run)
+            (others if run[0] in MARKS else plain).append(run)
         shown = [run.decode() if run.isascii() else run.decode("latin-1").translate(BYTE_LEVEL) for run in plain]
-        ids = [[token.id for token in merge(text)] for text in shown]
-        ids += [e.ids for e in self.tokenizer.encode_batch_fast([run.decode(errors="replace") for run in others], add_special_tokens=False)]
-        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
+        pieces = list(map(merge, shown))
+        rest = [e.ids for e in self.tokenizer.encode_batch_fast([run.decode(errors="replace") for run in others], add_special_tokens=False)]
+        lengths = np.fromiter(map(len, chain(pieces, rest)), np.int64, len(pieces) + len(rest))
         numbers = np.array(list(map(of, plain + others)), np.int64)
         self.count, self.first, self.seen = (np.concatenate([c, np.zeros(len(self.numbers) - known, np.int64)]) for c in (self.count, self.first, self.seen))
         self.count[numbers] = lengths
         self.first[numbers] = len(self.flat) + np.cumsum(lengths) - lengths
-        self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(ids), "<u4", lengths.sum())])
-        if stopped:
-            both = np.column_stack([stems, marks])
-            numbers = np.array(list(map(of, stopped)), np.int64)
+        ids = chain(map(attrgetter("id"), chain.from_iterable(pieces)), chain.from_iterable(rest))
+        self.flat = np.concatenate([self.flat, np.fromiter(ids, "<u4", lengths.sum())])
+        if marked:
+            numbers = np.array(list(map(of, marked)), np.int64)
             self.count[numbers] = lengths = self.count[both].sum(axis=1)
             self.first[numbers] = len(self.flat) + np.cumsum(lengths) - lengths
             self.flat = np.concatenate([self.flat, self._ids(both.ravel())])

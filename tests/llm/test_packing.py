@@ -104,3 +104,23 @@ def test_special_tokens_in_a_text_are_as_the_tokenizer_has_them():
     ids, lengths = words.of([text.encode() for text in texts])
     assert lengths.tolist() == [len(e) for e in expected]
     assert ids.tolist() == [i for e in expected for i in e]
+
+
+def test_marks_after_a_word_are_tokenised_once(monkeypatch):
+    """Of words with marks after them only the marks are left to the whole tokenizer, once each."""
+    from tokenizers import Tokenizer
+
+    plain, words, asked = Tokenizer.from_file(word_tokenizer()), packing.WordIds(word_tokenizer()), []
+
+    class Recorder:
+        def encode_batch_fast(self, texts, **options):
+            asked.extend(texts)
+            return plain.encode_batch_fast(texts, **options)
+
+    words.tokenizer = Recorder()
+    texts = ["Wort!! größe$$$, wort$$$, b.", "naïve!! wort&&&. c_ c<| wort", "$$$, !! wort's it's! (wort) wort'"]
+    ids, lengths = words.of([text.encode() for text in texts])
+    expected = [plain.encode(text, add_special_tokens=False).ids for text in texts]
+    assert lengths.tolist() == [len(e) for e in expected]
+    assert ids.tolist() == sum(expected, [])
+    assert sorted(asked) == sorted(["!!", "$$$,", ".", "&&&.", "_", "<|", "wort's", "it's!", "(wort)", "wort'"])
