@@ -42,8 +42,11 @@ def discard(spark: SparkSession, folders: set[str]) -> None:
         _made.remove(path)
 
 
+TEXTS_AT_ONCE = 500  # rows with whole texts passed to Python at once
+
+
 @contextlib.contextmanager
-def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+def arrow_rows(spark: SparkSession, rows: int = TEXTS_AT_ONCE) -> Iterator[None]:
     """Whatever runs inside passes at most so many rows at once to Python: whole texts take room on both sides."""
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
     before = spark.conf.get(name)

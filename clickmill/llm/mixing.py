@@ -152,6 +152,7 @@ def take(
     rows = keyed_rows(spark, docs, _size=word_count())
     sized = rows.select(F.col("_row.doc_id").alias("doc_id"), F.col("_row.source").alias("source"), F.col("_size").alias("size"), "_row_digest", "_row_key")
     plan = _planned(spark, sized, weights, most_passes, seed).where("passes > 0")
-    plan = plan.select(F.col("_row_key").alias("_of"), F.explode("positions").alias("_position"))
+    # No list is empty; a plain explode would filter for that, and find the times in Python twice, in two workers at once.
+    plan = plan.select(F.col("_row_key").alias("_of"), F.explode_outer("positions").alias("_position"))
     joined = rows.select("_row_key", "_row").join(plan, F.col("_row_key") == F.col("_of"))
     return joined.orderBy("_position", "_row.doc_id", "_row_key").select("_row.*")

@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickmill.llm.common import keyed_rows, stored, text_bytes
+from clickmill.llm.common import arrow_rows, keyed_rows, stored, text_bytes
 from clickmill.llm.training import SAMPLE, fit_dense, labelled_sample, logit, sigmoid
 
 THRESHOLD = 0.5
@@ -161,10 +161,12 @@ RATED = ["host", "path", "probability", "host_posterior", "path_posterior", "pos
 
 def _rated(spark: SparkSession, docs: DataFrame, labels: DataFrame, bound: int, keys: list[str]) -> DataFrame:
     """rate_documents with other columns of docs to tell its rows by."""
-    classifier = learn(docs, labels, bound)
+    with arrow_rows(spark):
+        classifier = learn(docs, labels, bound)
     known = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.max("quality").alias("quality"))
     rows = docs.select(*{*keys, "doc_id"}, F.col("source").alias("host"), F.col("lang").alias("path"), evidence(classifier, text_bytes()).alias("probability"))
-    rows = stored(spark, rows, "evidence")
+    with arrow_rows(spark):
+        rows = stored(spark, rows, "evidence")
     # Rows without an id have no label; a join would bring them all to one task.
     named = rows.where("doc_id is not null").join(known, "doc_id", "left")
     rows = named.unionByName(rows.where("doc_id is null"), allowMissingColumns=True)

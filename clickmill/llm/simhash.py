@@ -9,7 +9,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickmill.llm.common import components, keyed_rows, local_components, seeded_hash, stored, text_bytes, words
+from clickmill.llm.common import arrow_rows, components, keyed_rows, local_components, seeded_hash, stored, text_bytes, words
 
 SEED = 42
 REFERENCES = 24
@@ -163,7 +163,8 @@ def near_duplicates(
     0, linked like any other; rows without a doc_id link too, and get a null component_id
     only where no linked row has a doc_id. Repeated rows give repeated results.
     """
-    prints = stored(spark, fingerprints(docs, shingle_words), "fingerprints")
+    with arrow_rows(spark):
+        prints = stored(spark, fingerprints(docs, shingle_words), "fingerprints")
     known = _classes(spark, prints, max_bits)
     return prints.join(known, "fp").select("doc_id", "fp", "component_id")
 
@@ -184,7 +185,8 @@ def keep_one(spark: SparkSession, docs: DataFrame, shingle_words: int = 4, max_b
     A row without a doc_id stays only if its group has no row with one. Of rows that share a
     doc_id, those of one group are one document, those of different groups all stay.
     """
-    rows = keyed_rows(spark, docs, _fp=_print_of_text(shingle_words))
+    with arrow_rows(spark):
+        rows = keyed_rows(spark, docs, _fp=_print_of_text(shingle_words))
     slim = rows.select("_row_key", "_row_digest", F.col("_row.doc_id").alias("doc_id"), F.col("_fp").alias("fp"))
     known = _classes(spark, slim.select("doc_id", "fp"), max_bits)
     place = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "_row_digest", "_row_key")

@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickmill.llm.common import stored
+from clickmill.llm.common import arrow_rows, release_memory, stored
 from clickmill.llm.training import SAMPLE, Sparse, fit_sparse, labelled_sample, logit, sigmoid
 
 FEATURES = 2_000
@@ -19,6 +19,7 @@ SURPRISE = 3.0  # standard deviations by which its toxic documents must differ f
 STEMS = (4, 5)  # letters of word beginnings
 FOLDS = 3
 REMEMBERED = 300_000  # words whose features a task keeps
+COUNTED = 100_000  # features that a task counts before it passes the counts on
 SEED = 5
 OVERALL = "toxic"
 WORD = re.compile(r"\w+")
@@ -97,13 +98,23 @@ def _select(sample: DataFrame, categories: Sequence[str]) -> list[dict[str, int]
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows, positive = Counter(), Counter()
+
+        def counted() -> pd.DataFrame:
+            found = pd.DataFrame([(k, f, n, positive[k, f]) for (k, f), n in rows.items()], columns=["kind", "feature", "n", "p"])
+            rows.clear()
+            positive.clear()
+            return found
+
         for frame in frames:
             for text, label in zip(frame["text"], frame["label"]):
                 own = {f for word in words_of(text) for f in features(word)}
                 rows.update(own)
                 if label:
                     positive.update(own)
-        yield pd.DataFrame([(k, f, n, positive[k, f]) for (k, f), n in rows.items()], columns=["kind", "feature", "n", "p"])
+                if len(rows) > COUNTED:
+                    yield counted()
+        yield counted()
+        release_memory()
 
     texts = sample.select(F.coalesce("text", F.lit("")).alias("text"), any_category.alias("label"))
     total = texts.agg(F.count("*").alias("n"), F.coalesce(F.sum("label"), F.lit(0)).alias("p")).first()
@@ -182,8 +193,11 @@ def probabilities(chain: Chain, text: Column) -> Column:
     """Probability of every category of the chain; a null text is empty."""
 
     @F.pandas_udf("array<double>")
-    def of(texts: pd.Series) -> pd.Series:
-        return texts.map(chain.probabilities)
+    def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield texts.map(chain.probabilities)
+        vars(chain).pop("remembered", None)
+        release_memory()
 
     return of(F.coalesce(text, F.lit("")))
 
@@ -195,8 +209,9 @@ def classify(spark: SparkSession, docs: DataFrame, labels: DataFrame, bound: int
     Whole texts count. A null or empty text has no features and the probabilities of that;
     repeated rows give repeated results; a null doc_id stays null.
     """
-    chain = learn(spark, docs, labels, bound)
-    rows = docs.select("doc_id", probabilities(chain, F.col("text")).alias("p"))
+    with arrow_rows(spark):
+        chain = learn(spark, docs, labels, bound)
+        rows = stored(spark, docs.select("doc_id", probabilities(chain, F.col("text")).alias("p")), "toxic-found")
     names = F.array(*[F.lit(c) for c in chain.categories])
     last = F.element_at("p", -1)
     return rows.select("doc_id", F.map_from_arrays(names, "p").alias("categories"), last.alias("probability"), (last >= chain.threshold).alias("toxic"))
@@ -204,5 +219,6 @@ def classify(spark: SparkSession, docs: DataFrame, labels: DataFrame, bound: int
 
 def clean(spark: SparkSession, docs: DataFrame, labels: DataFrame, bound: int = SAMPLE) -> DataFrame:
     """The documents that are not toxic, with all their columns."""
-    chain = learn(spark, docs, labels, bound)
-    return docs.where(F.element_at(probabilities(chain, F.col("text")), -1) < chain.threshold)
+    with arrow_rows(spark):
+        chain = learn(spark, docs, labels, bound)
+        return stored(spark, docs.where(F.element_at(probabilities(chain, F.col("text")), -1) < chain.threshold), "clean")

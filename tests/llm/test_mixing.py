@@ -122,3 +122,10 @@ def test_take_ties_nothing_to_the_doc_id(spark, make_docs):
     found = mixing.take(spark, docs).collect()
     assert None in {d for d, _ in wanted}
     assert Counter((r["doc_id"], len(r["text"].split())) for r in found) == wanted
+
+
+def test_the_times_of_copies_are_found_once(spark, make_docs):
+    """A second call of the same function would need a second Python worker beside the first in every task."""
+    docs = make_docs([(i, "some words of a text " * (i % 5), "en", "ab"[i % 2]) for i in range(40)])
+    plan = mixing.take(spark, docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1

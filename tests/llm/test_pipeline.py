@@ -18,7 +18,7 @@ from test_simhash import plain_fingerprint
 
 import corpus_pipeline
 from __spark_entry__ import oracle_sql, queries
-from clickmill.llm import quality, toxicity
+from clickmill.llm import common, quality, simhash, toxicity
 from clickmill.llm.common import table
 from clickmill.llm.queries import ORACLE_SQL, QUERIES
 
@@ -124,6 +124,39 @@ def test_runs_on_tables_without_content(spark, sf_dir, tmp_path, rows):
     assert len(found) <= (rows == "null")
 
 
+PYTHON = re.compile("ArrowEvalPython|MapInPandas|MapInArrow")
+
+
+@pytest.mark.parametrize(
+    ("module", "run"),
+    [
+        (toxicity, lambda spark, docs, labels: toxicity.clean(spark, docs, labels)),
+        (toxicity, lambda spark, docs, labels: toxicity.classify(spark, docs, labels)),
+        (quality, lambda spark, docs, labels: quality.keep_good(spark, docs, labels)),
+        (simhash, lambda spark, docs, labels: simhash.keep_one(spark, docs)),
+        (simhash, lambda spark, docs, labels: simhash.near_duplicates(spark, docs)),
+    ],
+)
+def test_few_whole_texts_at_once_go_to_python(spark, make_docs, labels, monkeypatch, module, run):
+    """Batches of thousands of texts fill an executor's memory beside the heap, and stay there."""
+    docs = make_docs([(i, f"some words of text {i} and a few more", "en", "a") for i in range(20)])
+    name, seen = "spark.sql.execution.arrow.maxRecordsPerBatch", []
+    before, write = spark.conf.get(name), common.stored
+
+    def watched(spark, rows, label):
+        plan = rows._jdf.queryExecution().optimizedPlan().toString()
+        if PYTHON.search(plan) and "text" in plan:
+            seen.append(int(spark.conf.get(name)))
+        return write(spark, rows, label)
+
+    monkeypatch.setattr(module, "stored", watched)
+    monkeypatch.setattr(common, "stored", watched)
+    found = run(spark, docs, labels)
+    assert seen and max(seen) <= 1000
+    assert not PYTHON.search(found._jdf.queryExecution().optimizedPlan().toString())
+    assert spark.conf.get(name) == before
+
+
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_matches_oracle(spark, sf_dir, name):
     duck = duckdb.connect()

@@ -102,3 +102,12 @@ def test_given_labels(spark, sf_dir, tables):
     assert len(found) == len(tables("documents"))
     wrong = [i for i, t in truth.items() if found[i] != bool(t)]
     assert len(wrong) <= 0.01 * len(truth)
+
+
+def test_counting_in_parts_gives_the_same_features(spark, monkeypatch):
+    """A task passes its counts on whenever it holds many; they add up to the same."""
+    rows, labels = corpus(np.random.default_rng(5), 300)
+    sample = spark.createDataFrame([(t, labels[i][1]) for i, t, *_ in rows], "text string, first int").coalesce(1)
+    whole = toxicity._select(sample, ["first"])
+    monkeypatch.setattr(toxicity, "COUNTED", 20)
+    assert toxicity._select(sample, ["first"]) == whole and any(whole)
